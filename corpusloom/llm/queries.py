@@ -5,11 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding, url_filter
+from . import exact_dedup, language, media, mixing, near_dedup, pieces, sharding, url_filter
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_media_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.with_media(table(spark, sf_dir, "documents"))
+    read = media.with_probe(stored, payload=True)
+    unit = F.lit(media.UNIT)
+    key = lambda i, field: F.coalesce(F.get(F.col("keyframes"), i)[field].cast("string"), F.lit("-"))
+    ranges = F.array_join(F.transform("keyframes", lambda k: F.concat_ws("+", k["offset"], k["size"])), ",")
+    feature = F.concat_ws(
+        ":", F.trim("codec"), F.concat_ws("/", "duration", "timescale"), F.col("n_samples"), F.size("keyframes"), key(F.lit(0), "offset"), key(F.size("keyframes") - 1, "offset"), F.substring(F.sha2(ranges.cast("binary"), 256), 1, 16)
+    )
+    payload = F.col("payload")
+    return read.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length(payload).cast("long").alias("payload_bytes"),
+        F.sha2(payload, 256).alias("payload_sha256"),
+        F.crc32(F.substring(payload, F.octet_length(payload) - unit + 1, unit)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        feature.alias("feature"),
+    )
+
+
+def op2_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.Model(language.sample(docs))
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), derive=pieces.DIGESTS)
+
+
 def op3_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -27,4 +66,9 @@ def op9_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"), block_words=64).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_stream_dedup, op5_template_tree, op8_interleave, op9_block_mix)}
+def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op5_template_tree, op6_piece_spans, op8_interleave, op9_block_mix, op10_circulant_minhash)}
