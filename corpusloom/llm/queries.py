@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, media, mixing, near_dedup, pieces, sharding, url_filter
+from . import edit_counts, exact_dedup, html_blocks, language, media, mixing, near_dedup, pieces, sharding, url_filter
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -53,10 +53,39 @@ def op3_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def made_edits(doc_id: Column, text: Column) -> Column:
+    """The edits that op4 makes in every document: cut 9 characters, put in a phrase, replace 4 by two words, append a line."""
+    n = F.char_length(text).cast("long")
+    place = lambda salt: F.pmod(F.xxhash64(doc_id, F.lit(salt)), n + 1)
+    one = lambda start, end, new: F.struct(start.alias("start"), end.alias("end"), F.lit(new).alias("text"))
+    return F.array(
+        one(place("cut"), place("cut") + 9, ""),
+        one(place("put"), place("put"), " it's 42 new_words"),
+        one(place("swap"), place("swap") + 4, "  two words'll "),
+        one(n + 99, n + 99, "\nThe end."),
+    )
+
+
+def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    where = tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), made_edits(F.col("doc_id"), text).alias("edits"))
+    before = edit_counts.build(docs, *where, keep=("edits",)).withColumnRenamed("n_tokens", "n_before")
+    trees = before.withColumn("doc_id", F.struct("doc_id", "n_before", "n_pretokens"))
+    after = edit_counts.apply_edits(trees, *where)
+    return after.select("doc_id.doc_id", "doc_id.n_before", "doc_id.n_pretokens", "n_edits", "n_tokens", "n_encoded", F.sha2(F.col("text").cast("binary"), 256).alias("edited_sha256"))
+
+
 def op5_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"), html_blocks.trained(), keep=("url",))
+
+
 def op8_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.interleave(table(spark, sf_dir, "documents"), n_shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -71,4 +100,4 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op5_template_tree, op6_piece_spans, op8_interleave, op9_block_mix, op10_circulant_minhash)}
+QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash)}
