@@ -28,7 +28,12 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, stored, work_dir
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: RocksDB on disk; a store's local files go with each commit, as the shared log has all of them.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -74,7 +79,7 @@ def stream_state(stream: DataFrame, folder: str) -> DataFrame:
     def save(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/updates/epoch={epoch}")
 
-    with _settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+    with _settings(spark, STORE):
         run = state.writeStream.outputMode("update").foreachBatch(save).trigger(availableNow=True).option("checkpointLocation", f"{folder}/state").start()
         run.awaitTermination()
     schema = "digest string, keep struct<doc_id: bigint, locator: string>, group_size bigint, epoch int"
