@@ -11,11 +11,16 @@ Work follows the number of documents, not the pairs of a group:
 
 * documents with the same word sequence become one class with its smallest id as representative;
 * in each bucket every member is compared with one centre; links are confirmed on the full sets,
-  and links make components;
-* buckets that still hold several components are gone through again with other centres while that
-  leaves much to compare, and then all pairs of members of different components (of sizes that could
-  reach the threshold) are compared. Within a component no further comparison could change anything,
-  so no bucket is capped and no candidate is dropped.
+  and links make components. Within a component no further comparison could change anything;
+* documents of buckets that still hold several components are compared through their rarest
+  shingles: two sets of the threshold's similarity share one of the first quarter of each, in any
+  order of shingles that all documents follow. The order is by a count sketch of fixed size over
+  these documents, so passages that many unlike documents share come last and make no pair. Shingles
+  that few components share give pairs, left out only where sizes or places in the order rule the
+  threshold out. Shingles that more components share, as in a cloud of variants of one text, join
+  their documents to a cluster, whose blocks of documents are compared block by block with matrix
+  products: rows grow as the cluster's square over the block size, and no pair is ever a row.
+  No bucket is capped and no candidate is dropped.
 
 A centre's members are dealt in lots, each with a copy of the centre's text, so a centre with a
 third of all documents is no task's burden; components come from minimum labels and pointer jumps,
@@ -42,6 +47,10 @@ from .common import ship, stored
 
 SHINGLE, BANDS, ROWS, UNIVERSE_BITS, SEED = 5, 40, 5, 22, 20240229
 LOT = 64
+#: Slots of the count sketch that orders shingles, 4 bytes each.
+SKETCH_BITS = 20
+#: Shingles of more components are dense; documents of a cluster are compared in blocks of so many.
+DENSE, BLOCK, COLUMNS = 8, 128, 1 << 16
 REMEMBERED = 400_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -179,7 +188,106 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def near_groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", rounds: int = 6) -> DataFrame:
+def sketch(opened: DataFrame) -> np.ndarray:
+    """How often the shingles of (rep, comp, text) fall into each slot; each task sends one count a slot at most."""
+    ship(opened.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, counts = Shingler(), np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            for text in batch.column(2):
+                slots = (shingler.shingles(shingler.words(text.as_py())) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+                np.add.at(counts, slots, 1)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
+
+    found = opened.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << SKETCH_BITS, np.int32)
+    out[found.column(0).to_numpy()] = np.minimum(found.column(1).to_numpy(), 2**31 - 1)
+    return out
+
+
+def rarest(opened: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(key, rep, comp, n, place): the rarest shingles of each set, as many as two sets of the threshold must share one of."""
+    shared = opened.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, counts = Shingler(), shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                keys, sizes = [], []
+                for text in part.column(2).to_pylist():
+                    own = shingler.shingles(shingler.words(text))
+                    n = len(own)
+                    order = np.lexsort((own, counts[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
+                    keys.append(own[order[: n - -(-percent * n // 100) + 1]].view(np.int64))
+                    sizes.append(n)
+                times = list(map(len, keys))
+                rep, comp = (np.repeat(part.column(i).to_numpy(), times) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(rep), pa.array(comp), pa.array(np.repeat(sizes, times)), pa.array(np.concatenate([np.arange(t) for t in times]))], ["key", "rep", "comp", "n", "place"])
+
+    return opened.mapInArrow(run, "key long, rep long, comp long, n long, place long")
+
+
+def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (x of ``left``, y of ``right``) of the sets that reach the similarity."""
+    sizes = np.array([len(s) for s in sets])
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    _, token, count = np.unique(tokens, return_inverse=True, return_counts=True)
+    use = count[token] > 1
+    rank = np.cumsum(count > 1) - 1
+    token, owner = rank[token[use]], owner[use]
+    common = np.zeros((len(left), len(right)), np.int64)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    for at in range(0, int(rank[-1]) + 1 if len(rank) else 0, COLUMNS):
+        a, b = np.searchsorted(token, (at, at + COLUMNS))
+        part = np.zeros((len(sets), min(COLUMNS, int(rank[-1]) + 1 - at)), np.float32)
+        part[owner[a:b], token[a:b] - at] = 1
+        common += np.rint(part[left] @ part[right].T).astype(np.int64)
+    return np.nonzero(100 * common >= percent * (sizes[left][:, None] + sizes[right][None] - common))
+
+
+def block_links(clusters: DataFrame, opened: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components within (rep, cluster)."""
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    own = clusters.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = other.select("rep", "cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    rows = opened.join(dealt, "rep").select("cluster", "lo", "hi", "side", "rep", "comp", "text").repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, at, group = Shingler(), None, []
+
+        def links() -> pa.RecordBatch:
+            side, rep, comp = (np.array([g[i] for g in group], np.int64) for i in range(3))
+            left = np.flatnonzero(side == 0)
+            right = left if at[1] == at[2] else np.flatnonzero(side == 1)
+            x, y = similar([g[3] for g in group], left, right, percent) if len(left) and len(right) else (np.zeros(0, int),) * 2
+            x, y = left[x], right[y]
+            keep = (comp[x] != comp[y]) & ((rep[x] < rep[y]) | (at[1] != at[2]))
+            a, b = rep[x[keep]], rep[y[keep]]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                if row[:3] != at:
+                    if group:
+                        yield links()
+                    at, group = row[:3], []
+                group.append((row[3], row[4], row[5], shingler.shingles(shingler.words(row[6]))))
+        if group:
+            yield links()
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def fits(x, y, percent: int):
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
+def near_groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     made = stored(signatures(docs, id_col, text_col), "signatures")
     full = made.where("n_shingles > 0 and doc_id is not null")
@@ -187,42 +295,37 @@ def near_groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     reps = full.join(classes, (full.doc_id == classes.rep) & (full.digest == classes.digest)).select("rep", "n_shingles", "bands").dropDuplicates(["rep"])
     spread = reps.select(F.explode("bands").alias("key"), "rep", "n_shingles")
-    shared = spread.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "centre")
-    members = stored(spread.join(shared, "key"), "members")
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    size_of = members.select(F.col("rep").alias("centre"), F.col("n_shingles").alias("cn")).distinct()
-    pairs = members.where("rep != centre").select(F.col("centre").alias("centre"), F.col("rep").alias("b"), F.col("n_shingles").alias("bn")).distinct()
-    pairs = pairs.join(size_of, "centre").where(fits(F.col("bn"), F.col("cn"))).select(F.col("centre").alias("a"), "b")
-    tested = stored(pairs, "pairs")
+    shared = spread.groupBy("key").agg(F.min_by(F.struct(F.col("rep"), F.col("n_shingles")), "rep").alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    members = stored(spread.join(shared.select("key", F.col("c.rep").alias("centre"), F.col("c.n_shingles").alias("cn")), "key"), "members")
+    pairs = members.where((F.col("rep") != F.col("centre")) & fits(F.col("n_shingles"), F.col("cn"), percent))
+    tested = stored(pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     links = stored(confirmed(tested, texts, percent), "links")
-    for turn in range(rounds + 1):
-        label = components(links)
-        named = members.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n_shingles", F.coalesce("label", "rep").alias("comp"))
-        split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        open_ = stored(named.join(split, "key"), "open")
-        sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"), F.sum(F.lit(1)).alias("c"))
-        work = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-        if not work[0]:
-            break
-        last = turn == rounds or work[1] <= 4 * work[0]
-        x, y = open_.alias("x"), open_.alias("y")
-        if not last:
-            chosen = open_.groupBy("key").agg(F.min_by(F.struct("rep", "n_shingles", "comp"), F.xxhash64("rep", F.lit(turn))).alias("c")).select("key", "c.*").alias("x")
-            x = chosen
-        either = x.join(y, F.col("x.key") == F.col("y.key")).where(F.col("x.comp") != F.col("y.comp"))
-        either = either.where(fits(F.col("x.n_shingles"), F.col("y.n_shingles")))
-        if last:
-            either = either.where(F.col("x.rep") < F.col("y.rep"))
-            more = either.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-        else:
-            more = either.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-        old = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        more = stored(more.join(old, ["a", "b"], "left_anti"), "pairs")
-        tested = stored(tested.union(more), "tested")
-        links = stored(links.union(confirmed(more, texts, percent)), "links")
-        if last:
-            label = components(links)
-            break
+    label = components(links)
+    named = members.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("comp"))
+    split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    opened = named.join(split, "key", "left_semi").select("rep", "comp").distinct()
+    opened = stored(texts.join(opened, F.col("doc_id") == F.col("rep")).select("rep", "comp", "text").dropDuplicates(["rep"]), "opened")
+    if not opened.isEmpty():
+        rare = rarest(opened, sketch(opened), percent)
+        rare = stored(rare, "rare")
+        comps = rare.select("key", "comp").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        rare = stored(rare.join(comps, "key"), "rare")
+        thin, dense = rare.where(F.col("comps") <= DENSE), rare.where(F.col("comps") > DENSE)
+        sides = thin.select("key", "comp").distinct()
+        sides = sides.select("key", F.col("comp").alias("ca")).join(sides.select("key", F.col("comp").alias("cb")), "key").where("ca < cb")
+        side = lambda x: thin.select("key", F.col("comp").alias("c" + x), F.col("rep").alias("r" + x), F.col("n").alias("n" + x), (F.col("n") - F.col("place")).alias("o" + x))
+        met = sides.join(side("a"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(fits(F.col("na"), F.col("nb"), percent))
+        # what is left of either set from the first common shingle on must be enough
+        met = met.where((100 + percent) * F.least("oa", "ob") >= percent * (F.col("na") + F.col("nb")))
+        met = met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+        found = confirmed(stored(met.join(tested, ["a", "b"], "left_anti"), "pairs"), texts, percent)
+        if not dense.isEmpty():
+            first = dense.groupBy("key").agg(F.min("rep").alias("a"))
+            cluster = components(dense.join(first, "key").select("a", F.col("rep").alias("b")))
+            found = found.union(block_links(cluster.select(F.col("v").alias("rep"), F.col("label").alias("cluster")), opened, percent))
+        found = stored(found, "links")
+        if not found.isEmpty():
+            label = components(links.union(found))
     of_class = classes.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
     light = made.select("doc_id", "n_shingles", "digest")
     linked = light.where("n_shingles > 0 and doc_id is not null").join(of_class, "digest").select("doc_id", "n_shingles", "component_id")
