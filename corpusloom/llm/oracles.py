@@ -1 +1,145 @@
-ORACLES: dict[str, str] = {}
+"""DuckDB SQL for the queries that SQL can express; written from the contracts and methods, not from the DataFrame code."""
+
+from __future__ import annotations
+
+from . import mixing, sharding, url_filter  # noqa: F401
+
+WS = r"\x20\x09-\x0D"
+
+OP3 = rf"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[{WS}]+', '', 'g') AS t FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = first_value(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
+"""
+
+
+def _op5() -> str:
+    rules = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in rules) + " END"
+    fixed = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in rules) + " END"
+    part = lambda x: "CASE " + " ".join(f"WHEN regexp_matches({x}, '{pattern}') THEN '{name}'" for pattern, name in url_filter.CLASSES) + f" ELSE {x} END"
+    depth = range(url_filter.DEPTH)
+    raw = ", ".join(["host", *(f"p{i}" for i in depth), "tail"])
+    sql = f"""WITH u AS (
+      SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), v AS (
+      SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+    ), w AS (
+      SELECT *, {rule} AS rule, {fixed} AS fixed, string_split(regexp_replace(path, '^/', ''), '/') AS s FROM v
+    ), rows AS (
+      SELECT *, {", ".join(f"{part(f'coalesce(s[{i + 1}], chr(0))')} AS q{i}" for i in depth)}, CASE WHEN len(s) > {url_filter.DEPTH} THEN '/**' ELSE '' END AS tail FROM w
+    ), cut AS (
+      SELECT * EXCLUDE (q0, q1, q2), {", ".join(f"CASE WHEN q{i} = chr(0) THEN '' ELSE q{i} END AS p{i}" for i in depth)} FROM rows
+    ), tree0 AS (
+      SELECT {raw}, count(*) AS n, count(*) FILTER (fixed IS NOT NULL) AS seen, count(*) FILTER (fixed = 'block') AS bad FROM cut GROUP BY ALL
+    )"""
+    above = "host"
+    for i in depth:
+        sql += f""", kids{i} AS (
+      SELECT {above}, p{i}, sum(n)::DOUBLE AS cn, sum(seen)::DOUBLE AS cs, sum(bad)::DOUBLE AS cb FROM tree{i} GROUP BY ALL
+    ), all{i} AS (
+      SELECT *, count(*) OVER x AS kids, sum(cn) OVER x AS pn, sum(cs) OVER x AS ps, sum(cb) OVER x AS pb FROM kids{i} WINDOW x AS (PARTITION BY {above})
+    ), named{i} AS (
+      SELECT {above}, p{i}, CASE WHEN p{i} = '' THEN '' WHEN kids > 16 AND pn < 4 * kids THEN '*' WHEN cs = 0 OR ps = 0 OR pb = 0 OR pb = ps THEN '~'
+        WHEN abs(cb / cs - pb / ps) >= 1.96::DOUBLE * sqrt(pb / ps * (1 - pb / ps) / cs) THEN p{i} ELSE '~' END AS t{i} FROM all{i}
+    ), tree{i + 1} AS (
+      SELECT * FROM tree{i} JOIN named{i} USING ({above}, p{i})
+    )"""
+        above += f", t{i}"
+    return sql + f""", leaves AS (
+      SELECT {above}, tail, sum(seen)::DOUBLE AS seen, sum(bad)::DOUBLE AS bad FROM tree{url_filter.DEPTH} GROUP BY ALL
+    ), hosts AS (
+      SELECT host, sum(seen) AS hs, sum(bad) AS hb FROM leaves GROUP BY 1
+    ), priors AS (
+      SELECT host, (hb + 4 * coalesce((SELECT sum(hb) / nullif(sum(hs), 0) FROM hosts), 0)) / (hs + 4) AS prior FROM hosts
+    ), scored AS (
+      SELECT {above}, tail, (bad + 4 * prior) / (seen + 4) AS score FROM leaves JOIN priors USING (host)
+    )
+    SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN score >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict
+    FROM cut JOIN (SELECT {raw}, {above.replace("host, ", "")} FROM tree{url_filter.DEPTH}) USING ({raw}) JOIN scored USING ({above}, tail)"""
+
+
+#: CRC-32 by half bytes, the low one first; the table of 16 follows from the reversed polynomial.
+CRC = """bytes AS (
+  SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM documents
+), nibbles AS (
+  SELECT doc_id, list_prepend(4294967295::BIGINT, flatten(list_transform(b, lambda x: [x & 15, x >> 4]))) AS b FROM bytes
+), tab AS (
+  SELECT list_transform(range(16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t
+), crc AS (
+  SELECT doc_id, xor(list_reduce(b, lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1])), 4294967295::BIGINT) AS text_crc32 FROM nibbles, tab
+)"""
+
+OP8 = f"""WITH {CRC}, d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, CASE WHEN source IS NULL THEN '~' ELSE '=' || source END AS k, md5('interleave:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY h, doc_id, size) AS r, count(*) OVER (PARTITION BY k) AS n, count(*) OVER () AS total FROM d
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY (2 * r - 1)::DOUBLE / (2 * n)::DOUBLE, k, r) - 1 AS p FROM r
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (p * 16 // total)::INTEGER AS shard, row_number() OVER (PARTITION BY p * 16 // total ORDER BY p) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM p JOIN crc USING (doc_id)"""
+
+
+def _op9(block: int = 64) -> str:
+    steps, at = "", "perm0"
+    for i in range(mixing.ROUNDS):
+        steps += f""", key{i} AS (
+      SELECT * EXCLUDE (rk), rk * {mixing.STEP} % {mixing.PRIME} AS rk FROM {at}
+    ), mate{i} AS (
+      SELECT *, (rk % blocks - x + blocks) % blocks AS mate FROM key{i}
+    ), perm{i + 1} AS (
+      SELECT * EXCLUDE (x, mate), CASE WHEN (greatest(x, mate) % {mixing.PRIME} * rk) % {mixing.PRIME} % 2 = 1 THEN mate ELSE x END AS x FROM mate{i}
+    )"""
+        at = f"perm{i + 1}"
+    return f"""WITH d AS (
+      SELECT row_number() OVER () AS rid, doc_id, coalesce(len(regexp_extract_all(text, '[^{WS}]+')), 0) AS size, CASE WHEN source IS NULL THEN '~' ELSE '=' || source END AS k, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+    ), s AS (
+      SELECT k, sum(size)::BIGINT AS words FROM d GROUP BY 1
+    ), w AS (
+      SELECT *, [3.0::DOUBLE, 1.0, 2.0][(row_number() OVER (ORDER BY k) - 1) % 3 + 1] AS weight, 2.0::DOUBLE * words AS lim FROM s
+    ), l AS (
+      SELECT *, lim / weight AS ratio, (1.5::DOUBLE * sum(words) OVER () - coalesce(sum(lim) OVER (ORDER BY lim / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY lim / weight, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
+    ), t AS (
+      SELECT k, words, CASE WHEN level >= ratio THEN lim ELSE max(CASE WHEN level < ratio THEN level END) OVER () * weight END AS target FROM l
+    ), n AS (
+      SELECT *, ceil(words / {block})::BIGINT AS blocks, CASE WHEN words = 0 THEN 0 ELSE round(target * ceil(words / {block})::BIGINT / words) END::BIGINT AS slots FROM t
+    ), laid AS (
+      SELECT rid, doc_id, size, k, sum(size) OVER (PARTITION BY k ORDER BY h, doc_id, size, rid ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start FROM d
+    ), pieces AS (
+      SELECT rid, k, block, least(start + size, (block + 1) * {block}) - greatest(start, block * {block}) AS words
+      FROM (SELECT *, unnest(range(start // {block}, (start + size - 1) // {block} + 1)) AS block FROM laid WHERE size > 0)
+    ), perm0 AS (
+      SELECT k, blocks, j % blocks AS x, ('0x' || substr(md5('mix:' || k || ':' || (j // blocks)), 1, 7))::BIGINT + 1 AS rk FROM (SELECT *, unnest(range(slots)) AS j FROM n)
+    ){steps}, shown AS (
+      SELECT k, x AS block, count(*) AS times FROM {at} GROUP BY ALL
+    ), got AS (
+      SELECT rid, sum(words * times)::BIGINT AS taken FROM pieces JOIN shown USING (k, block) GROUP BY 1
+    )
+    SELECT doc_id, size, words AS source_size, target, coalesce(taken, 0) AS taken FROM laid JOIN n USING (k) LEFT JOIN got USING (rid)"""
+
+
+OP10 = rf"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^{WS}]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS shingle FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM edges UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other
+), found AS (
+  SELECT doc_id, min(other) AS least FROM reach GROUP BY 1
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, w.doc_id) AS component_id, w.doc_id = coalesce(least, w.doc_id) AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op8_interleave": OP8, "op9_block_mix": _op9(), "op10_circulant_minhash": OP10}
