@@ -88,7 +88,7 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag in INLINE:
+            if tag in INLINE and not (tag == "ins" and any(t == tag for t, _ in stack)):
                 if tag == "a" and links:
                     links -= 1
                 elif tag == "br":
@@ -114,7 +114,7 @@ def blocks(page: str) -> list[Block]:
             if ends:
                 at = min(ends)
             continue
-        if tag in INLINE:
+        if tag in INLINE and not (tag == "ins" and m[3].strip()):  # a named ins is a slot for adverts
             if tag == "a":
                 links += 1
             elif tag == "br":
@@ -175,7 +175,7 @@ class Reader:
             n, chars = len(words), len(text)
             out[i, :PATH_DIMS] = self.path(b.path)
             hashed = np.bincount([slot(w, WORD_DIMS) for w in words], minlength=WORD_DIMS)
-            out[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = 0.3 * hashed / math.sqrt(n)
+            out[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = 0.5 * hashed / np.linalg.norm(hashed)
             ends = text.count(". ") + text.count("! ") + text.count("? ") + (text[-1] in ".!?")
             out[i, PATH_DIMS + WORD_DIMS :] = (
                 math.log1p(n) / 4, math.log1p(chars) / 6, min(1, b.linked / chars), min(1, ends / 3), text.count(",") / n, (i + 1) / len(page), 1 / (i + 1), 1 / (len(page) - i), len(b.path) / 10,
@@ -347,10 +347,11 @@ def made_page(rng: np.random.Generator) -> tuple[str, list[str]]:
 
     def article() -> str:
         out = [f"<h1>{kept(phrase(2, 12))}</h1>"] if rng.random() < 0.8 else []
-        for _ in range(int(rng.integers(1, 12))):
+        for _ in range(int(rng.integers(1, 12) if rng.random() < 0.88 else rng.integers(15, 40))):
             r = rng.random()
             if r < 0.62:
-                out.append(f"<p>{kept(sentences(1, 7))}" + pick(("</p>", "</p>", "", "\n")))
+                text = main[-1] if main and rng.random() < 0.12 else pick((sentences(1, 7), sentences(1, 7), sentences(1, 2), phrase(1, 5)))
+                out.append(f"<p>{kept(text)}" + pick(("</p>", "</p>", "", "\n")))
             elif r < 0.7:
                 out.append(f"<p><b>{kept(pick((sentences(1, 2), phrase(1, 10))))}<br>" + pick(("", "</b></p>")) + ("<p>" + kept(sentences(1, 3)) if rng.random() < 0.5 else ""))
             elif r < 0.77:
@@ -364,7 +365,8 @@ def made_page(rng: np.random.Generator) -> tuple[str, list[str]]:
             elif r < 0.89:
                 out.append("<table>" + "".join("<tr>" + "".join(f"<td>{kept(phrase(1, 4))}</td>" for _ in range(2)) + "</tr>" for _ in range(2)) + "</table>")
             elif r < 0.92:
-                out.append(pick((f"<pre>{kept(phrase(3, 12))}</pre>", f"<div>{kept(sentences(1, 4))}</div>", f"<figure><figcaption>{kept(phrase(3, 10))}</figcaption></figure>")))
+                start, end = pick((("<pre>", "</pre>"), ("<div>", "</div>"), ("<figure><figcaption>", "</figcaption></figure>")))
+                out.append(start + kept(pick((phrase(3, 12), sentences(1, 4)))) + end)
             else:
                 out.append(clutter(pick(("advert", "share", "sidebar", "notice", "form", "advert"))))
         if not main:
