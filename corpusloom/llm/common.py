@@ -4,32 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from corpusloom.functions.shipping import ship  # noqa: F401
+
 #: The white space of every contract: space and the six ASCII controls 0x09-0x0D without 0x0E on.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, so their Python workers can import it from anywhere."""
-    context = spark.sparkContext
-    if getattr(context, "_corpusloom_shipped", False):
-        return
-    root = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="corpusloom-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(target, "w") as out:
-        for f in sorted(root.rglob("*.py")):
-            out.write(f, f.relative_to(root.parent))
-    context.addPyFile(str(target))
-    context._corpusloom_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
