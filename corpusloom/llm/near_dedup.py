@@ -23,7 +23,9 @@ Work follows the number of documents, not the pairs of a group:
   No bucket is capped and no candidate is dropped.
 
 A centre's members are dealt in lots, each with a copy of the centre's text, so a centre with a
-third of all documents is no task's burden; components come from minimum labels and pointer jumps,
+third of all documents is no task's burden. Bucket and shingle keys with more than 1 in ``HOT`` of
+the rows, of which there are fewer than ``HOT`` by that, meet their rows by broadcast, and the two
+sides of a pair of components are salted both ways, so no hot key is one either. Components come from minimum labels and pointer jumps,
 each step written to the shared folder.
 
 Defined cases: null or wordless text has an empty set, links with nothing and is its own component;
@@ -47,6 +49,8 @@ from .common import ship, stored
 
 SHINGLE, BANDS, ROWS, UNIVERSE_BITS, SEED = 5, 40, 5, 22, 20240229
 LOT = 64
+#: Keys with over 1 in HOT of all rows are broadcast; rows of a component that one task pairs at a key.
+HOT, SIDE = 1024, 512
 #: Slots of the count sketch that orders shingles, 4 bytes each.
 SKETCH_BITS = 20
 #: Shingles of more components are dense; documents of a cluster are compared in blocks of so many.
@@ -283,6 +287,19 @@ def block_links(clusters: DataFrame, opened: DataFrame, percent: int) -> DataFra
     return rows.mapInArrow(run, "a long, b long")
 
 
+def keyed(rows: DataFrame, per_key: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` joined with ``per_key``, whose ``m`` is the number of rows of its key.
+
+    Keys of over 1 in HOT of the rows are fewer than HOT, as all ``m`` together are the rows (or
+    more); they are broadcast and their rows stay where they are. The others are shuffled.
+    """
+    total = per_key.agg(F.sum("m")).first()[0] or 0
+    is_hot = F.col("m") * HOT > total
+    hot, rest = per_key.where(is_hot).drop("m"), per_key.where(~is_hot).drop("m")
+    cold = rows.join(F.broadcast(hot.select(*on).distinct()), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(cold.join(rest, on))
+
+
 def fits(x, y, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
@@ -296,25 +313,35 @@ def near_groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text
     reps = full.join(classes, (full.doc_id == classes.rep) & (full.digest == classes.digest)).select("rep", "n_shingles", "bands").dropDuplicates(["rep"])
     spread = reps.select(F.explode("bands").alias("key"), "rep", "n_shingles")
     shared = spread.groupBy("key").agg(F.min_by(F.struct(F.col("rep"), F.col("n_shingles")), "rep").alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = stored(spread.join(shared.select("key", F.col("c.rep").alias("centre"), F.col("c.n_shingles").alias("cn")), "key"), "members")
+    shared = stored(shared.select("key", F.col("c.rep").alias("centre"), F.col("c.n_shingles").alias("cn"), "m"), "shared")
+    members = stored(keyed(spread, shared, ["key"]), "members")
     pairs = members.where((F.col("rep") != F.col("centre")) & fits(F.col("n_shingles"), F.col("cn"), percent))
     tested = stored(pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     links = stored(confirmed(tested, texts, percent), "links")
     label = components(links)
     named = members.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("comp"))
     split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    opened = named.join(split, "key", "left_semi").select("rep", "comp").distinct()
+    split = stored(split.join(shared.select("key", "m"), "key"), "split")
+    opened = keyed(named, split, ["key"]).select("rep", "comp").distinct()
     opened = stored(texts.join(opened, F.col("doc_id") == F.col("rep")).select("rep", "comp", "text").dropDuplicates(["rep"]), "opened")
     if not opened.isEmpty():
         rare = rarest(opened, sketch(opened), percent)
         rare = stored(rare, "rare")
-        comps = rare.select("key", "comp").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        rare = stored(rare.join(comps, "key"), "rare")
+        comps = rare.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("m").alias("m")).where("comps > 1")
+        rare = stored(keyed(rare, stored(comps, "comps"), ["key"]), "rare")
         thin, dense = rare.where(F.col("comps") <= DENSE), rare.where(F.col("comps") > DENSE)
-        sides = thin.select("key", "comp").distinct()
-        sides = sides.select("key", F.col("comp").alias("ca")).join(sides.select("key", F.col("comp").alias("cb")), "key").where("ca < cb")
-        side = lambda x: thin.select("key", F.col("comp").alias("c" + x), F.col("rep").alias("r" + x), F.col("n").alias("n" + x), (F.col("n") - F.col("place")).alias("o" + x))
-        met = sides.join(side("a"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(fits(F.col("na"), F.col("nb"), percent))
+        sizes = thin.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+        sides = sizes.select("key", F.col("comp").alias("ca"), F.col("m").alias("ma")).join(sizes.select("key", F.col("comp").alias("cb"), F.col("m").alias("mb")), "key").where("ca < cb")
+        sides = stored(sides, "sides")
+
+        def side(x: str, y: str) -> DataFrame:
+            own = thin.select("key", F.col("comp").alias("c" + x), F.col("rep").alias("r" + x), F.col("n").alias("n" + x), (F.col("n") - F.col("place")).alias("o" + x))
+            lots = {z: F.ceil(F.col("m" + z) / SIDE) for z in (x, y)}
+            own = keyed(own, sides.withColumn("m", F.col("m" + x)), ["key", "c" + x])
+            own = own.withColumn("s" + x, F.pmod(F.xxhash64("r" + x), lots[x])).withColumn("s" + y, F.explode(F.sequence(F.lit(0).cast("long"), lots[y] - 1)))
+            return own.drop("ma", "mb")
+
+        met = side("a", "b").join(side("b", "a"), ["key", "ca", "cb", "sa", "sb"]).where(fits(F.col("na"), F.col("nb"), percent))
         # what is left of either set from the first common shingle on must be enough
         met = met.where((100 + percent) * F.least("oa", "ob") >= percent * (F.col("na") + F.col("nb")))
         met = met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
