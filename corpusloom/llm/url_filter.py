@@ -89,11 +89,10 @@ def judge(pages: DataFrame, rules=RULES, purity: float = 0.8, alpha: float = 4.0
         tree = stored(tree.join(child, [*above, f"p{i}"]), "templates")
         above = [*above, f"t{i}"]
     template = [f"t{i}" for i in range(DEPTH)] + ["tail"]
-    of_host, of_all = W.partitionBy("host"), W.partitionBy(F.lit(0))
     leaves = tree.groupBy("host", *template).agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
     hosts = leaves.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb"))
     whole = hosts.agg(F.coalesce(F.sum("hb") / F.nullif(F.sum("hs"), F.lit(0)), F.lit(0.0)).alias("base"))
-    hosts = hosts.crossJoin(F.broadcast(whole)).select("host", ((F.col("hb") + alpha * F.col("base")) / (F.col("hs") + alpha)).alias("prior"))
+    hosts = hosts.select("host", ((F.col("hb") + alpha * whole.scalar()) / (F.col("hs") + alpha)).alias("prior"))
     leaves = leaves.join(hosts, "host").withColumn("score", (F.col("bad") + alpha * F.col("prior")) / (F.col("seen") + alpha))
     scored = tree.select(*raw, *template[:-1]).join(leaves.select("host", *template, "score"), ["host", *template])
     shown = F.concat(F.lit("/"), F.concat_ws("/", *(F.nullif(F.col(f"t{i}"), F.lit("")) for i in range(DEPTH))), F.col("tail"))
