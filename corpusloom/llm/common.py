@@ -37,10 +37,10 @@ def work_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/corpusloom/{what}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+def stored(df: DataFrame, what: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut lineage that survives lost executors."""
     path = work_dir(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,8 +5,9 @@ of ``block_words``. A source gets as many slots as its target needs. Slot j of a
 blocks belongs to epoch j div n and shows block pi(j mod n), where pi is a pseudorandom permutation
 of that source and epoch (a swap-or-not shuffle: a few rounds of integer arithmetic, no table and
 no sort). Every slot is dealt to an output shard by a hash, so the counts of a source over the
-shards are a multinomial draw, conditioned on the source's total meeting its target. Joining slots
-and blocks on (source, block) gives the mix.
+shards are a multinomial draw, conditioned on the source's total meeting its target. :func:`packed`
+joins slots and packed blocks on (source, block) and writes the mix, each block with its words and
+the spans of documents they come from.
 
 Targets: source i in code-point order, null last, weighs 3, 1, 2 and so on; together they get
 ``share`` times all words, none more than ``cap`` times its own (what is over goes to the others
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import WORD, buckets_for, hex_bucket, prefix_sums, shuffle_key, source_key, stored
+from .common import SPACE, WORD, buckets_for, hex_bucket, prefix_sums, shuffle_key, source_key, stored
 
 #: Modulus and multiplier of the permutation's round keys (a full-period generator below 2^31).
 PRIME, STEP = 2147483647, 48271
@@ -69,42 +70,91 @@ def round_key(seed: str, source: Column, epoch: Column) -> Column:
     return F.conv(F.substring(shuffle_key(seed, source, epoch), 1, 7), 16, 10).cast("long") + 1
 
 
-def mix(docs: DataFrame, block_words: int = 64, shards: int = 16, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_bucket: int = 20_000) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, slots, pieces).
+def placed(rows: DataFrame, before: DataFrame) -> DataFrame:
+    """``rows`` with ``start``, the words of their source before theirs."""
+    run = W.partitionBy("source_key", "b").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    return rows.join(before, ["source_key", "b"]).withColumn("start", F.col("size_before") + F.sum("size").over(run) - F.col("size"))
 
-    documents: row, doc_id, size, source_size, target, for every row of ``docs``;
-    slots: source_key, j, block, shard, a row for each block of the mix;
-    pieces: row, source_key, block, words, what a document adds to a block.
-    """
+
+def plan(docs: DataFrame, block_words: int = 64, shards: int = 16, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_bucket: int = 20_000) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(documents, slots, pieces) of :func:`mix`, and the rows with words and text by their place in their source."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    base = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), source_key(F.col(source_col)).alias("source_key"), size.alias("size"), shuffle_key(seed, F.col(id_col)).alias("h")), "sizes")
+    keys = F.col(id_col).alias("doc_id"), source_key(F.col(source_col)).alias("source_key"), size.alias("size"), shuffle_key(seed, F.col(id_col)).alias("h")
+    base = stored(docs.select(F.monotonically_increasing_id().alias("row"), *keys), "sizes")
     sources = base.groupBy("source_key").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
     most = sources.agg(F.max("n")).first()[0] or 0
     wanted = targets(sources.select("source_key", "words"))
     wanted = wanted.withColumn("blocks", F.ceil(F.col("words") / F.lit(block_words)).cast("long"))
     wanted = wanted.withColumn("slots", F.when(F.col("words") == 0, F.lit(0)).otherwise(F.round(F.col("target") * F.col("blocks") / F.col("words"))).cast("long"))
-    base = base.withColumn("b", hex_bucket(F.col("h"), buckets_for(most, rows_per_bucket)))
+    bucket = hex_bucket(F.col("h"), buckets_for(most, rows_per_bucket))
+    base = base.withColumn("b", bucket)
     before = prefix_sums(base, ["source_key"], "b", {"size": F.sum("size")}).select("source_key", "b", "size_before")
-    before = before.join(wanted, "source_key")
-    run = W.partitionBy("source_key", "b").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    laid = base.join(before, ["source_key", "b"]).withColumn("start", F.col("size_before") + F.sum("size").over(run) - F.col("size"))
+    before = stored(before.join(wanted, "source_key"), "before")
+    laid = placed(base, before)
     laid = stored(laid.select("row", "doc_id", "size", "source_key", "start", "words", "target", "blocks", "slots"), "laid")
     first, last = F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")
     pieces = laid.where("size > 0").select("row", "source_key", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
     over = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
-    pieces = pieces.select("row", "source_key", "block", over.alias("words"))
+    pieces = pieces.select("row", "source_key", "block", F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).alias("start"), over.alias("words"))
     opened = laid.where("size > 0").withColumn("lo", F.expr(f"(start + {block_words - 1}) div {block_words}")).withColumn("hi", last).where("lo <= hi")
     opened = opened.select("source_key", "blocks", "slots", F.explode(F.sequence("lo", "hi")).alias("i"))
     slots = opened.withColumn("epoch", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long")))).withColumn("j", F.col("i") + F.col("epoch") * F.col("blocks")).where("j < slots")
     slots = slots.withColumn("k", round_key(seed, F.col("source_key"), F.col("epoch"))).withColumn("block", F.col("i"))
     slots = permuted(slots, "block", "blocks", "k").select("source_key", "j", "block", F.pmod(F.xxhash64(F.lit(seed), "source_key", "j"), F.lit(shards)).cast("int").alias("shard"))
-    documents = laid.select("row", "doc_id", "size", F.col("words").alias("source_size"), "target")
-    return documents, slots, pieces
+    documents = laid.select("row", "doc_id", "size", "source_key", F.when(F.col("size") > 0, F.col("start")).alias("place"), F.col("words").alias("source_size"), "target")
+    texts = placed(docs.select(*keys, F.col(text_col).alias("text")).where("size > 0").withColumn("b", bucket), before.select("source_key", "b", "size_before"))
+    return documents, slots, pieces, texts
+
+
+def mix(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, slots, pieces).
+
+    documents: row, doc_id, size, source_key, place, source_size, target, for every row of ``docs``;
+    slots: source_key, j, block, shard, a row for each block of the mix;
+    pieces: row, source_key, block, start, words, what a document adds to a block and where this starts in the document.
+    """
+    return plan(docs, **options)[:3]
+
+
+def packed(docs: DataFrame, block_words: int = 64, **options) -> tuple[DataFrame, DataFrame]:
+    """(documents, mixed): those of :func:`mix`, and the mix itself, written.
+
+    mixed: shard, source_key, slot, block, text, spans, a row for each block of the mix. ``text`` has the
+    block's words with a space between; spans are, in their order, doc_id, place (of the document in its
+    source, which tells rows of one id apart), start (the first word's number in the document) and words.
+    """
+    documents, slots, _, texts = plan(docs, block_words, **options)
+
+    def cut(words: Column) -> Column:
+        def one(block: Column) -> Column:
+            at = F.greatest(F.col("start"), block * block_words)
+            n = F.least(F.col("start") + F.col("size"), (block + 1) * block_words) - at
+            mine = F.array_join(F.slice(words, (at - F.col("start") + 1).cast("int"), n.cast("int")), " ")
+            return F.struct(block.alias("block"), at.alias("at"), (at - F.col("start")).alias("start"), n.alias("words"), mine.alias("text"))
+
+        return F.transform(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")), one)
+
+    # as the variable of a lambda the words of a text are split once, not once a block
+    words = F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), f"{SPACE}+")
+    parts = texts.select("source_key", "doc_id", F.col("start").alias("place"), F.explode(F.transform(F.array(words), cut)[0]).alias("p"))
+    parts = parts.select("source_key", "p.block", F.struct("p.at", "doc_id", "place", "p.start", "p.words", "p.text").alias("part"))
+    blocks = parts.groupBy("source_key", "block").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda p: p["text"]), " ")
+    spans = F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["place"].alias("place"), p["start"].alias("start"), p["words"].alias("words")))
+    mixed = slots.join(blocks, ["source_key", "block"]).select("shard", "source_key", F.col("j").alias("slot"), "block", text.alias("text"), spans.alias("spans"))
+    return documents, stored(mixed, "mix", compression="zstd")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """row, doc_id, size, source_size, target, taken: the words of each document in the mix, repeats counted."""
+    """row, doc_id, size, source_key, source_size, target, taken: the words of each document in the written mix, repeats counted."""
+    documents, mixed = packed(docs, **options)
+    got = mixed.select("source_key", F.inline("spans")).groupBy("source_key", "place").agg(F.sum("words").alias("taken"))
+    return documents.join(got, ["source_key", "place"], "left").drop("place").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+
+
+def counted(docs: DataFrame, **options) -> DataFrame:
+    """What :func:`taken` returns, from the pieces alone: for a use that needs no packed words."""
     documents, slots, pieces = mix(docs, **options)
     shown = slots.groupBy("source_key", "block").agg(F.count(F.lit(1)).alias("times"))
     got = pieces.join(shown, ["source_key", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    return documents.join(got, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+    return documents.drop("place").join(got, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))

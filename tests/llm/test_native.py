@@ -128,3 +128,28 @@ def test_slots_join_blocks_of_their_source(make):
     assert slots.groupBy("source_key", "block").count().agg(F.max("count")).first()[0] <= 2
     assert slots.join(pieces, ["source_key", "block"], "left_anti").count() == 0 and documents.count() == 90
     assert slots.select("shard").distinct().count() == 16
+
+
+def test_the_mix_can_be_rebuilt_from_its_shards(make, odd, none):
+    rows = [(i if i % 9 else None, " ".join(f" {i}w{k}\n" for k in range(i * 37 % 200)), None, [None, "a", "hot", "hot"][i % 4]) for i in range(200)] + [(7, " ".join(f"x{k}" for k in range(59)), None, "hot")]
+    documents, mixed = mixing.packed(make(rows), block_words=16)
+    got = mixed.collect()
+    texts = defaultdict(list)
+    for i, t, _, s in rows:
+        texts["~" if s is None else f"={s}", i].append(t.split())
+    taken, blocks, places = Counter(), {}, {}
+    for r in got:
+        words, at = r.text.split(" "), 0
+        assert blocks.setdefault((r.source_key, r.block), (r.text, r.spans)) == (r.text, r.spans)
+        for s in r.spans:
+            mine = words[at : (at := at + s.words)]
+            assert any(t[s.start : s.start + s.words] == mine for t in texts[r.source_key, s.doc_id])
+            assert places.setdefault((r.source_key, s.place), s.doc_id) == s.doc_id and s.place + s.start == r.block * 16 + at - s.words
+            taken[r.source_key, s.place] += s.words
+        assert at == len(words) <= 16
+    slots = mixing.mix(make(rows), block_words=16)[1].collect()
+    assert sorted((r.source_key, r.slot, r.block, r.shard) for r in got) == sorted((r.source_key, r.j, r.block, r.shard) for r in slots)
+    key = lambda r: str((r.doc_id, r.size, r.source_key, r.source_size, r.target, r.taken))
+    want = sorted(str((r.doc_id, r.size, r.source_key, r.source_size, r.target, taken[r.source_key, r.place])) for r in documents.collect())
+    assert want == sorted(map(key, mixing.taken(make(rows), block_words=16).collect())) == sorted(map(key, mixing.counted(make(rows), block_words=16).collect()))
+    assert mixing.packed(odd)[1].where("text = ''").count() == 0 and mixing.packed(none)[1].count() == 0
