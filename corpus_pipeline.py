@@ -45,14 +45,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it on the whole: its words in the mix over its words, rounded, once at least.
+    """Every document as often as the mix takes it: its words in the mix over its words, rounded without bias.
 
-    A document of no words, or of which the mix takes none, goes.
+    A document with a share of 1.3 comes once, and again with a chance of 0.3; one with 0.3 comes with that
+    chance or goes. The chance is a hash of id, source and text, so reruns agree and rows of one id are decided
+    apart. A document of no words goes.
     """
-    got = mixing.taken(docs).where("taken > 0").groupBy("doc_id").agg(F.max(F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size")).cast("int"))).alias("__times"))
-    got = got.withColumnRenamed("doc_id", "__wanted")
-    rows = docs.join(got, docs["doc_id"].eqNullSafe(got["__wanted"]))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*(docs[c] for c in docs.columns))
+    key = mixing.source_key(F.col("source"))
+    got = mixing.counted(docs).where("taken > 0").groupBy("doc_id", "source_key").agg((F.sum("taken") / F.sum("size")).alias("__share"))
+    got = got.withColumnsRenamed({"doc_id": "__wanted", "source_key": "__key"})
+    chance = F.pmod(F.xxhash64(F.lit("times"), "doc_id", "source", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    words = F.regexp_like("text", F.lit(mixing.WORD))
+    rows = docs.where(words).join(got, docs["doc_id"].eqNullSafe(got["__wanted"]) & (key == got["__key"]))
+    times = F.floor("__share") + (chance < F.col("__share") - F.floor("__share")).cast("long")
+    rows = rows.withColumn("__times", times).where("__times > 0")
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select(*(docs[c] for c in docs.columns))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,21 @@ def test_oracles(spark):
             rows = [tuple(dict(zip(wanted.columns, r, strict=True))[n] for n in names) for r in wanted.fetchall()]
         got = [tuple(r[n] for n in names) for r in QUERIES[name](spark, SF).collect()]
         assert sorted(map(str, got)) == sorted(map(str, rows)), name
+
+
+def test_words_of_every_source_follow_their_targets(spark, make):
+    import corpus_pipeline as cp
+
+    from corpusloom.llm import mixing
+
+    # sources weigh 3, 1, 2, 3: b is taken less than once, a and d (no id) up to the cap, c between
+    rows = [(None if s == "d" else i, f"{i} " + "w " * (i * 37 % 120), "en", s) for i, s in enumerate("a" * 500 + "b" * 2600 + "c" * 2200 + "d" * 2200)] + [(9000, " \t", "en", "b"), (9001, None, "en", "b")]
+    docs = make(rows)
+    want = {r.source_key: (r.target, r.source_size, r.n) for r in mixing.counted(docs).groupBy("source_key", "target", "source_size").count().withColumnRenamed("count", "n").collect()}
+    assert min(t / w for t, w, _ in want.values()) < 0.8
+    got = [(f"={r.source}", len(r.text.split())) for r in cp.mix_sources(spark, docs, "").collect()]
+    for key, (target, words, n) in want.items():
+        assert abs(sum(w for k, w in got if k == key) / target - 1) < 0.06, key
+        assert abs(sum(k == key for k, _ in got) / n - target / words) < 0.06, key
+    again = Counter((r.doc_id, r.text) for r in cp.mix_sources(spark, docs.repartition(5), "").collect())
+    assert again == Counter((r.doc_id, r.text) for r in cp.mix_sources(spark, docs, "").collect()) and max(again.values()) <= 2
