@@ -22,6 +22,7 @@ alike; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import ship
 
 ORDER = 4
-#: Bound of the training sample: documents of a language, and bytes of a language (whole documents until it is reached).
+#: Bound of the training sample: documents of a language, and bytes of a language (whole documents, passing over those that do not fit; if none fits, the head of the shortest).
 SAMPLE_DOCS, SAMPLE_BYTES = 256, 400_000
 EVIDENCE = 64
 LETTER = regex.compile(r"\p{L}")
@@ -210,21 +211,30 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     order: dict[str, list] = {}
     for r in picked.select("lang", "h", "i", "n").collect():
         order.setdefault(r["lang"], []).append((r["h"], r["i"] is None, r["i"] or 0, r["n"]))
-    cut: dict[str, int] = {}
+    need: Counter = Counter()
     for lang, found in order.items():
         found.sort()
-        size = 0
-        for k, (h, _, _, n) in enumerate(found):
-            if k >= per_language or (k and size + n > max_bytes):
-                break
-            size, cut[lang] = size + n, h
-    limit = F.lit(-1)
-    for lang, h in cut.items():
-        limit = F.when(F.col("lang") == lang, F.lit(h)).otherwise(limit)
+        size = taken = 0
+        for h, _, i, n in found:
+            # a text that does not fit is passed over, so a very long one takes no other's place
+            if taken < per_language and size + n <= max_bytes:
+                size, taken = size + n, taken + 1
+                need[lang, h, i, n] += 1
+        if not taken:
+            h, _, i, n = min(found, key=lambda x: x[3])
+            need[lang, h, i, n] = 1
+    wanted = F.lit(False)
+    for lang in order:
+        of = [k for k in need if k[0] == lang]
+        wanted = wanted | ((F.col("lang") == lang) & F.col("h").isin([k[1] for k in of]) & F.col("n").isin([k[3] for k in of]))
+    # no character is shorter than a byte, so this much holds the part that is used
+    rows = picked.where(wanted).select("lang", "h", "i", "n", F.left("text", F.lit(max_bytes)).alias("text")).collect()
     texts: dict[str, list] = {}
-    for r in picked.where(F.col("h") <= limit).select("lang", "h", "i", "text").collect():
-        texts.setdefault(r["lang"], []).append((r["h"], r["i"] or 0, r["text"]))
-    return {lang: [t.lower().encode("utf-8", "surrogatepass") for _, _, t in sorted(found)] for lang, found in texts.items()}
+    for key, text in sorted(((r["lang"], r["h"], r["i"] or 0, r["n"]), r["text"]) for r in rows):
+        if need[key] > 0:
+            need[key] -= 1
+            texts.setdefault(key[0], []).append((key[1], key[2], text))
+    return {lang: [t.lower().encode("utf-8", "surrogatepass")[:max_bytes] for _, _, t in sorted(found)] for lang, found in texts.items()}
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

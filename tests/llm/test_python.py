@@ -101,6 +101,13 @@ def test_identify(odd, none, make):
     assert {r.lang_pred for r in language.identify(odd, empty).collect()} == {"und"}
 
 
+def test_long_texts_do_not_take_the_place_of_others(make):
+    rows = [(i, "long " * 1000 if i % 4 == 0 else f"{i:03} " + "short " * 9, "en") for i in range(100)] + [(i, "lang " * (1000 + i), "de") for i in range(200, 210)] + [(300, None, "fr")]
+    got = language.sample(make(rows), held_out=None, max_bytes=1000)
+    assert len(got["en"]) == 17 and all(len(t) == 58 and b"short" in t for t in got["en"])
+    assert [len(t) for t in got["de"]] == [1000] and set(got) == {"en", "de"}
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
 def test_held_out_accuracy(spark):
     from corpusloom.llm.queries import op2_ppm_language
