@@ -3,10 +3,12 @@
 The first three path segments of a url become template parts: a segment that is a number, a hash,
 a date or a mix of letters and digits becomes a wildcard of its class, and what follows the third
 is one tail mark. A part whose parent has many different children of few pages each becomes ``*``
-as well. Sibling branches whose labelled share does not differ from that of all siblings together
-(two-sided test of proportions, |z| below ``z``) are merged into one branch; only branches that do
-differ stay apart. A template is rejected when its share of blocked labels, smoothed towards the
-share of its host and this towards that of all hosts, reaches ``purity``.
+as well. Sibling branches with labels whose share does not differ from that of the other siblings
+(two-sided test of proportions, |z| below ``z``) are merged into one branch, ``~``; branches that do
+differ stay apart, and those without any label are a branch of their own, ``?``. A template is
+rejected when its share of blocked labels, smoothed towards the share of its host and this towards
+that of all hosts, reaches ``purity``; one without labels has the share of all hosts, as the labels
+of other branches say nothing about it.
 
 Labels are the verdicts of the given rules, so every page under a rule teaches the template it
 falls under. Pages are first counted by (host, template parts); the tree is built on those counts,
@@ -80,11 +82,13 @@ def judge(pages: DataFrame, rules=RULES, purity: float = 0.8, alpha: float = 4.0
         level = W.partitionBy(*above)
         child = child.withColumns({"kids": F.count(F.lit(1)).over(level), "pn": F.sum("cn").over(level), "ps": F.sum("cs").over(level), "pb": F.sum("cb").over(level)})
         wild = (F.col("kids") > many) & (F.col("pn") < few * F.col("kids"))
-        # siblings that do not differ from all together merge
+        # labelled siblings that do not differ from the others merge
         share = F.col("pb") / F.col("ps")
-        spread = F.sqrt(share * (1 - share) / F.col("cs"))
-        differs = F.when((F.col("cs") == 0) | (F.col("ps") == 0), False).when(spread == 0, False).otherwise(F.abs(F.col("cb") / F.col("cs") - share) >= z * spread)
-        name = F.when(F.col(f"p{i}") == "", "").when(wild, "*").when(differs, F.col(f"p{i}")).otherwise("~")
+        spread = F.sqrt(share * (1 - share) * (1 / F.col("cs") + 1 / (F.col("ps") - F.col("cs"))))
+        others = (F.col("pb") - F.col("cb")) / (F.col("ps") - F.col("cs"))
+        differs = F.when((F.col("cs") == 0) | (F.col("ps") == F.col("cs")), False).when(spread == 0, False).otherwise(F.abs(F.col("cb") / F.col("cs") - others) >= z * spread)
+        merged = F.when((F.col("cs") == 0) & (F.col("ps") > 0), "?").otherwise("~")
+        name = F.when(F.col(f"p{i}") == "", "").when(wild, "*").when(differs, F.col(f"p{i}")).otherwise(merged)
         child = child.select(*above, f"p{i}", name.alias(f"t{i}"))
         tree = stored(tree.join(child, [*above, f"p{i}"]), "templates")
         above = [*above, f"t{i}"]
@@ -92,8 +96,8 @@ def judge(pages: DataFrame, rules=RULES, purity: float = 0.8, alpha: float = 4.0
     leaves = tree.groupBy("host", *template).agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
     hosts = leaves.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb"))
     whole = hosts.agg(F.coalesce(F.sum("hb") / F.nullif(F.sum("hs"), F.lit(0)), F.lit(0.0)).alias("base"))
-    hosts = hosts.select("host", ((F.col("hb") + alpha * whole.scalar()) / (F.col("hs") + alpha)).alias("prior"))
-    leaves = leaves.join(hosts, "host").withColumn("score", (F.col("bad") + alpha * F.col("prior")) / (F.col("seen") + alpha))
+    hosts = hosts.select("host", "hs", "hb", whole.scalar().alias("base")).withColumn("prior", (F.col("hb") + alpha * F.col("base")) / (F.col("hs") + alpha))
+    leaves = leaves.join(hosts, "host").withColumn("score", F.when(F.col("seen") == 0, F.col("base")).otherwise((F.col("bad") + alpha * F.col("prior")) / (F.col("seen") + alpha)))
     scored = tree.select(*raw, *template[:-1]).join(leaves.select("host", *template, "score"), ["host", *template])
     shown = F.concat(F.lit("/"), F.concat_ws("/", *(F.nullif(F.col(f"t{i}"), F.lit("")) for i in range(DEPTH))), F.col("tail"))
     scored = scored.select(*raw, shown.alias("template"), "score")

@@ -65,6 +65,16 @@ def test_pure_templates_are_rejected_and_mixed_ones_are_not(spark):
     assert got[205].rule is None and got[205].template == "/spam/~/~"
 
 
+def test_branches_without_labels_are_not_judged_by_others(spark):
+    rows = [(i, f"http://a.com/{'de' if i < 7 else 'fr'}/w{'abcdefghi'[i]}") for i in range(9)] + [(100 + i, f"http://b.com/de/w{c}") for i, c in enumerate("abcdefghijkl")]
+    rows += [(300 + i, f"http://c.com/fr/{i}") for i in range(20)]
+    rows += [(200 + i, f"http://{h}.com/{p}/w") for i, (h, p) in enumerate((h, p) for h in "ab" for p in ("en", "es", "about"))]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert {got[i].verdict for i in range(200, 206)} == {"allow"} == {got[i].verdict for i in (7, 8)} and {got[i].template for i in range(200, 206)} == {"/?/~"}
+    assert {got[i].verdict for i in [*range(7), *range(100, 112)]} == {"block"} and got[0].template != got[8].template
+    assert len({got[i].score for i in range(200, 206)}) == 1
+
+
 def test_interleave(odd, none, make):
     rows = [(i, "x" * (i % 5), None, "hot" if i % 3 else f"s{i % 7}") for i in range(1000)]
     got = sharding.interleave(make(rows), n_shards=16).collect()
