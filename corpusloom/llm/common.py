@@ -1,49 +1,27 @@
-"""Helpers the training-data operators share: table access, work folders, seeded ranks."""
+"""Helpers the training-data operators share: table access, seeded ranks, joins that a hot key can't stall."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from corpusloom.functions.shared import discard, shared_dir, stored  # noqa: F401
 from corpusloom.functions.shipping import ship  # noqa: F401
 
 #: The white space of every contract: space and the six ASCII controls 0x09-0x0D without 0x0E on.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key with more than one in so many rows is hot, so there are fewer hot keys than this; and never below LEAST_HOT rows.
+HOT_KEYS, LEAST_HOT = 8192, 64
+#: Slots of the filter that :func:`narrowed` broadcasts.
+SLOT_BITS = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession, what: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, the one place that driver and executors share.
-
-    Only where that setting is missing (tests, one machine) a temporary folder of this machine
-    stands in for it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = getattr(spark.sparkContext, "_corpusloom_tmp", None)
-        if base is None:
-            base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-            spark.sparkContext._corpusloom_tmp = base
-    return f"{base.rstrip('/')}/corpusloom/{what}-{uuid.uuid4().hex[:12]}"
-
-
-def stored(df: DataFrame, what: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a cut lineage that survives lost executors."""
-    path = work_dir(df.sparkSession, what)
-    df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def source_key(col: Column) -> Column:
     """A never-null grouping key: '=' + the name, and '~' (sorts after) for null."""
     return F.when(col.isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), col))
@@ -79,3 +57,28 @@ def prefix_sums(df: DataFrame, keys: list[str], bucket: str, sums: dict[str, Col
         *(F.coalesce(F.sum(k).over(upto), F.lit(0).cast("long")).alias(f"{k}_before") for k in sums),
         *(F.sum(k).over(part).alias(f"{k}_all") for k in sums),
     )
+
+
+def join_hot(rows: DataFrame, per_key: DataFrame, on: list[str], count: str) -> DataFrame:
+    """``rows`` joined with ``per_key``, which has one row for each key and in ``count`` how many of ``rows`` have it.
+
+    Keys with more than one in HOT_KEYS of the rows are fewer than HOT_KEYS whatever the input, so their side is broadcast
+    and their rows stay where they are; all other keys are too small to stall a task and are shuffled.
+    ``per_key`` is read three times and ``rows`` twice: give tables, or what is cheap to make again.
+    """
+    total = per_key.agg(F.sum(count)).first()[0] or 0
+    least = max(LEAST_HOT, total // HOT_KEYS)
+    hot = per_key.where(F.col(count) > least)
+    cold = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(per_key.where(F.col(count) <= least), on)
+    return rows.join(F.broadcast(hot), on).unionByName(cold)
+
+
+def narrowed(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, bits: int = SLOT_BITS) -> DataFrame:
+    """All rows whose key is among the wanted ones, and few others as long as the wanted are fewer than ``2**bits``.
+
+    What is broadcast is the slots that the wanted keys hash to, ``2**bits`` numbers at most. It spares the join that follows
+    most of its shuffle where few rows are wanted; where many are, it lets all pass.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    slots = wanted.select(slot(wanted_key).alias("__slot")).distinct()
+    return rows.withColumn("__slot", slot(key)).join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
