@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, stored, work_dir
+from .common import SPACE, shared_dir as work_dir, stored
 
 #: RocksDB on disk; a store's local files go with each commit, as the shared log has all of them.
 STORE = {

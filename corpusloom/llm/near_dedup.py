@@ -14,17 +14,19 @@ Work follows the number of documents, not the pairs of a group:
   and links make components. Within a component no further comparison could change anything;
 * documents of buckets that still hold several components are compared through their rarest
   shingles: two sets of the threshold's similarity share one of the first quarter of each, in any
-  order of shingles that all documents follow. The order is by a count sketch of fixed size over
-  these documents, so passages that many unlike documents share come last and make no pair. Shingles
-  that few components share give pairs, left out only where sizes or places in the order rule the
-  threshold out. Shingles that more components share, as in a cloud of variants of one text, join
-  their documents to a cluster, whose blocks of documents are compared block by block with matrix
-  products: rows grow as the cluster's square over the block size, and no pair is ever a row.
-  No bucket is capped and no candidate is dropped.
-
-A centre's members are dealt in lots, each with a copy of the centre's text, so a centre with a
-third of all documents is no task's burden; components come from minimum labels and pointer jumps,
-each step written to the shared folder.
+  order of shingles that all documents follow. Here shingles that no two components share come
+  first, and need no place in any table; the others follow by their exact count, so passages that
+  many unlike documents share come last and make no pair. Shingles at which components meet in few
+  pairs for each document give these pairs, left out only where sizes or places in the order rule
+  the threshold out. All other shingles join their documents to a cluster, which is compared block
+  by block with matrix products: only blocks of like set sizes meet, and never two of the cluster's
+  largest component. No bucket is capped and no candidate is dropped.
+
+What is shuffled are keys, and sets (sorted arrays of hashes) of documents that share a bucket with
+another; texts are read where they lie. Keys that a large share of the rows has are joined by
+broadcast, of fewer than ``HOT_KEYS`` rows. A centre's members are dealt in lots, each with a copy of
+the centre's set, so a centre with a third of all documents is no task's burden; components come
+from minimum labels and pointer jumps, each step written to the shared folder.
 
 Defined cases: null or wordless text has an empty set, links with nothing and is its own component;
 rows that repeat an id count as one document; an empty table gives an empty result; a null id is
@@ -34,6 +36,7 @@ taken apart from all others; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,14 +46,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import discard, join_hot, narrowed, ship, stored
 
 SHINGLE, BANDS, ROWS, UNIVERSE_BITS, SEED = 5, 40, 5, 22, 20240229
 LOT = 64
-#: Slots of the count sketch that orders shingles, 4 bytes each.
-SKETCH_BITS = 20
-#: Shingles of more components are dense; documents of a cluster are compared in blocks of so many.
-DENSE, BLOCK, COLUMNS = 8, 128, 1 << 16
+#: A shingle gives pairs if it gives each of its documents no more than PAIRS on average, and has no more than THIN documents.
+PAIRS, THIN = 16, 4096
+#: Documents of a cluster are compared in blocks of so many, in products of so many columns.
+BLOCK, COLUMNS = 512, 1 << 13
 REMEMBERED = 400_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -138,35 +141,57 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(run, "doc_id long, digest binary, n_shingles long, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = 75) -> DataFrame:
-    """Of (a, b), those whose full shingle sets reach the similarity. ``texts``: doc_id, text."""
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """From (rep, text): rep, keys (the sorted set of shingle hashes)."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                yield pa.RecordBatch.from_arrays([part.column(0), listed([shingler.shingles(shingler.words(t)) for t in part.column(1).to_pylist()])], ["rep", "keys"])
+
+    return docs.select("rep", "text").mapInArrow(run, "rep long, keys array<long>")
+
+
+def listed(sets: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+
+
+def unlisted(column: pa.ListArray) -> list[np.ndarray]:
+    """The sets of a column, without copies."""
+    ends, values = column.offsets.to_numpy().tolist(), column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
+    """Of (a, b), a written table, those whose full shingle sets reach the similarity. ``sets``: rep, keys."""
     ship(pairs.sparkSession)
-    lots = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LOT).alias("lots"))
-    members = pairs.join(lots, "a").select(F.col("b").alias("doc_id"), "a", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"), F.lit(1).alias("role"))
-    centres = lots.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"), F.lit(0).alias("role"))
+    lots = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).withColumn("lots", F.ceil(F.col("n") / LOT))
+    members = join_hot(pairs, lots, ["a"], "n").select(F.col("b").alias("rep"), "a", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"), F.lit(1).alias("role"))
+    centres = lots.select(F.col("a").alias("rep"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"), F.lit(0).alias("role"))
     needed = members.unionByName(centres)
-    dealt = texts.join(needed, "doc_id").select("a", "lot", "role", "doc_id", "text").repartition("a", "lot").sortWithinPartitions("a", "lot", "role")
+    dealt = sets.join(needed, "rep").select("a", "lot", "role", "rep", "keys").repartition("a", "lot").sortWithinPartitions("a", "lot", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, at, centre = Shingler(), None, None
+        at, centre = None, None
         for batch in batches:
             a, b = [], []
-            for i in range(batch.num_rows):
-                group, role, doc = batch.column(0)[i].as_py(), batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
+            for group, role, rep, own in zip(*(batch.column(i).to_numpy().tolist() for i in (0, 2, 3)), unlisted(batch.column(4)), strict=True):
                 if role == 0:
                     if group != at:
-                        at, centre = group, shingler.shingles(shingler.words(batch.column(4)[i].as_py()))
+                        at, centre = group, own.copy()
                     continue
                 if group != at:
                     raise ValueError(f"document {group} isn't there")
-                own = shingler.shingles(shingler.words(batch.column(4)[i].as_py()))
                 if 100 * min(len(own), len(centre)) < percent * max(len(own), len(centre)):
                     continue
                 place = np.searchsorted(centre, own)
                 common = int((centre[np.minimum(place, len(centre) - 1)] == own).sum())
                 if 100 * common >= percent * (len(own) + len(centre) - common):
                     a.append(group)
-                    b.append(doc)
+                    b.append(rep)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
@@ -176,58 +201,36 @@ def components(edges: DataFrame) -> DataFrame:
     """(v, label) of every end of an edge (a, b): the smallest id it can reach."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = stored(both, "edges")
-    label = stored(both.groupBy(F.col("a").alias("v")).agg(F.least("v", F.min("b")).alias("label")), "labels")
+    last = stored(both.groupBy(F.col("a").alias("v")).agg(F.least("v", F.min("b")).alias("label")), "labels")
     while True:
+        label = last.select("v", "label")
         near = both.join(label.select(F.col("v").alias("b"), F.col("label").alias("l")), "b").groupBy(F.col("a").alias("v")).agg(F.min("l").alias("near"))
         step = label.join(near, "v").select("v", F.col("label").alias("old"), F.least("label", "near").alias("l"))
         jump = label.select(F.col("v").alias("l"), F.col("label").alias("far"))
-        step = step.join(jump, "l").select("v", "old", F.least("l", "far").alias("label"))
+        # a label that many hold is a hot key: its one row is broadcast
+        held = step.groupBy("l").agg(F.count(F.lit(1)).alias("n")).join(jump, "l")
+        step = join_hot(step, held, ["l"], "n").select("v", "old", F.least("l", "far").alias("label"))
         step = stored(step, "labels")
-        label = step.select("v", "label")
+        discard(last)
+        last = step
         if step.where("old != label").isEmpty():
-            return label
+            discard(both)
+            return step.select("v", "label")
 
 
-def sketch(opened: DataFrame) -> np.ndarray:
-    """How often the shingles of (rep, comp, text) fall into each slot; each task sends one count a slot at most."""
-    ship(opened.sparkSession)
+def rarest(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, rep, comp, n, place): the shingles that documents of (rep, comp) have to be compared through.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(), np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
-            for text in batch.column(2):
-                slots = (shingler.shingles(shingler.words(text.as_py())) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                np.add.at(counts, slots, 1)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
-
-    found = opened.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << SKETCH_BITS, np.int32)
-    out[found.column(0).to_numpy()] = np.minimum(found.column(1).to_numpy(), 2**31 - 1)
-    return out
-
-
-def rarest(opened: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """(key, rep, comp, n, place): the rarest shingles of each set, as many as two sets of the threshold must share one of."""
-    shared = opened.sparkSession.sparkContext.broadcast(counts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(), shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                keys, sizes = [], []
-                for text in part.column(2).to_pylist():
-                    own = shingler.shingles(shingler.words(text))
-                    n = len(own)
-                    order = np.lexsort((own, counts[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
-                    keys.append(own[order[: n - -(-percent * n // 100) + 1]].view(np.int64))
-                    sizes.append(n)
-                times = list(map(len, keys))
-                rep, comp = (np.repeat(part.column(i).to_numpy(), times) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(rep), pa.array(comp), pa.array(np.repeat(sizes, times)), pa.array(np.concatenate([np.arange(t) for t in times]))], ["key", "rep", "comp", "n", "place"])
-
-    return opened.mapInArrow(run, "key long, rep long, comp long, n long, place long")
+    Of the first n - ceil(percent / 100 n) + 1 shingles of each set of n, in the order of all sets, those that another component has.
+    """
+    single = sets.join(opened, "rep").select("rep", "comp", F.size("keys").cast("long").alias("n"), F.explode("keys").alias("key"))
+    counts = single.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key", "c")
+    counts = stored(counts, "shared")
+    of_doc = join_hot(single, counts, ["key"], "c").groupBy("rep").agg(F.first("comp").alias("comp"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "key"))).alias("shared"))
+    need = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("long") + 1
+    alone = F.col("n") - F.size("shared")
+    used = of_doc.withColumn("alone", alone).withColumn("use", need - F.col("alone")).where("use > 0")
+    return used.select("rep", "comp", "n", "alone", F.posexplode(F.slice("shared", 1, F.col("use").cast("int"))).alias("at", "s")).select("s.key", "rep", "comp", "n", (F.col("alone") + F.col("at")).alias("place"))
 
 
 def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,34 +252,51 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent
     return np.nonzero(100 * common >= percent * (sizes[left][:, None] + sizes[right][None] - common))
 
 
-def block_links(clusters: DataFrame, opened: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components within (rep, cluster)."""
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    own = clusters.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = other.select("rep", "cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    rows = opened.join(dealt, "rep").select("cluster", "lo", "hi", "side", "rep", "comp", "text").repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi", "side")
+def block_links(clusters: DataFrame, opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components within (rep, cluster). ``opened``: rep, comp; ``sets``: rep, keys.
+
+    Blocks hold documents of one size class, a class being so wide that only neighbours can reach the similarity;
+    those of a cluster's largest component are blocks apart and don't meet.
+    """
+    width = math.log(100 / percent) * 1.001
+    docs = clusters.join(opened, "rep").join(sets.select("rep", F.size("keys").alias("n")), "rep")
+    docs = stored(docs.withColumn("class", F.floor(F.log(F.col("n")) / width).cast("int")), "clusters")
+    parts = docs.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("cluster").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("members"))
+    docs = join_hot(docs.drop("n"), main, ["cluster"], "members").withColumn("is_main", F.col("comp") == F.col("main")).drop("main")
+    sizes = docs.groupBy("cluster", "members", "is_main", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sizes = stored(sizes, "sizes")
+    every = sizes.select("cluster", "members", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct("is_main", "class", k.alias("k")))).alias("block"))
+    every = every.groupBy("cluster").agg(F.first("members").alias("members"), F.sort_array(F.collect_list("block")).alias("every"))
+    own = join_hot(docs.drop("members"), every, ["cluster"], "members").drop("members")
+    mine = F.filter("every", lambda x: (x["is_main"] == F.col("is_main")) & (x["class"] == F.col("class")))
+    own = own.withColumn("own", F.element_at(mine, (F.pmod(F.xxhash64("rep"), F.size(mine)) + 1).cast("int")))
+    meets = lambda x: (F.abs(x["class"] - F.col("class")) <= 1) & ~(x["is_main"] & F.col("is_main"))
+    other = own.withColumn("other", F.explode(F.filter("every", meets)))
+    dealt = other.select("rep", "comp", "cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    dealt = dealt.select("rep", "comp", F.xxhash64("cluster", "lo", "hi").alias("pair"), (F.col("lo") == F.col("hi")).cast("int").alias("same"), "side")
+    rows = sets.join(dealt, "rep").select("pair", "same", "side", "rep", "comp", "keys").repartition("pair").sortWithinPartitions("pair", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, at, group = Shingler(), None, []
+        at, group = None, []
 
         def links() -> pa.RecordBatch:
             side, rep, comp = (np.array([g[i] for g in group], np.int64) for i in range(3))
             left = np.flatnonzero(side == 0)
-            right = left if at[1] == at[2] else np.flatnonzero(side == 1)
+            right = left if at[1] else np.flatnonzero(side == 1)
             x, y = similar([g[3] for g in group], left, right, percent) if len(left) and len(right) else (np.zeros(0, int),) * 2
             x, y = left[x], right[y]
-            keep = (comp[x] != comp[y]) & ((rep[x] < rep[y]) | (at[1] != at[2]))
+            keep = (comp[x] != comp[y]) & ((rep[x] < rep[y]) | (not at[1]))
             a, b = rep[x[keep]], rep[y[keep]]
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                if row[:3] != at:
+            for pair, same, side, rep, comp, keys in zip(*(batch.column(i).to_numpy().tolist() for i in range(5)), unlisted(batch.column(5)), strict=True):
+                if (pair, same) != at:
                     if group:
                         yield links()
-                    at, group = row[:3], []
-                group.append((row[3], row[4], row[5], shingler.shingles(shingler.words(row[6]))))
+                    at, group = (pair, same), []
+                group.append((side, rep, comp, keys.copy()))
         if group:
             yield links()
 
@@ -287,47 +307,58 @@ def fits(x, y, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def leftover_links(opened: DataFrame, sets: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Links between documents of (rep, comp) whose components differ, by their rarest shingles."""
+    rare = stored(rarest(opened, sets, percent), "rare")
+    at_key = rare.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("s")).groupBy("key").agg(F.sum("s").alias("t"), F.sum(F.col("s") * F.col("s")).alias("q"), F.count(F.lit(1)).alias("comps"))
+    at_key = at_key.where("comps > 1").select("key", "t", ((F.col("t") * F.col("t") - F.col("q")) / 2 <= F.lit(PAIRS) * F.col("t")).alias("few"))
+    met = stored(join_hot(rare, stored(at_key, "keys"), ["key"], "t"), "rare")
+    thin, dense = met.where((F.col("t") <= THIN) & F.col("few")), met.where((F.col("t") > THIN) | ~F.col("few"))
+    sides = thin.select("key", "comp").distinct()
+    sides = sides.select("key", F.col("comp").alias("ca")).join(sides.select("key", F.col("comp").alias("cb")), "key").where("ca < cb")
+    side = lambda x: thin.select("key", F.col("comp").alias("c" + x), F.col("rep").alias("r" + x), F.col("n").alias("n" + x), (F.col("n") - F.col("place")).alias("o" + x))
+    pairs = sides.join(side("a"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(fits(F.col("na"), F.col("nb"), percent))
+    # what is left of either set from the first common shingle on must be enough
+    pairs = pairs.where((100 + percent) * F.least("oa", "ob") >= percent * (F.col("na") + F.col("nb")))
+    pairs = pairs.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+    found = confirmed(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), sets, percent)
+    if not dense.isEmpty():
+        first = dense.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n"))
+        cluster = components(join_hot(dense.select("key", "rep"), stored(first, "first"), ["key"], "n").select("a", F.col("rep").alias("b")))
+        found = found.union(block_links(cluster.select(F.col("v").alias("rep"), F.col("label").alias("cluster")), opened, sets, percent))
+    return stored(found, "links")
+
+
 def near_groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     made = stored(signatures(docs, id_col, text_col), "signatures")
     full = made.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    classes = stored(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     reps = full.join(classes, (full.doc_id == classes.rep) & (full.digest == classes.digest)).select("rep", "n_shingles", "bands").dropDuplicates(["rep"])
-    spread = reps.select(F.explode("bands").alias("key"), "rep", "n_shingles")
-    shared = spread.groupBy("key").agg(F.min_by(F.struct(F.col("rep"), F.col("n_shingles")), "rep").alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = stored(spread.join(shared.select("key", F.col("c.rep").alias("centre"), F.col("c.n_shingles").alias("cn")), "key"), "members")
-    pairs = members.where((F.col("rep") != F.col("centre")) & fits(F.col("n_shingles"), F.col("cn"), percent))
-    tested = stored(pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = stored(confirmed(tested, texts, percent), "links")
+    reps = stored(reps, "reps")
+    spread = reps.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
+    buckets = stored(spread.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("m")).where("m > 1"), "buckets")
+    members = stored(join_hot(spread, buckets, ["key"], "m"), "members")
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
+    alike = stored(members.select("rep").distinct(), "alike")
+    sets = stored(shingle_sets(narrowed(texts, F.col("rep"), alike, F.col("rep"))).join(alike, "rep").dropDuplicates(["rep"]), "sets")
+    centres = reps.select(F.col("rep").alias("centre"), F.col("n_shingles").alias("cn"))
+    pairs = members.where("rep != centre").select("centre", "rep", "n").distinct()
+    sized = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("m")).join(centres, "centre")
+    tested = join_hot(stored(pairs, "pairs"), stored(sized, "centres"), ["centre"], "m").where(fits(F.col("n"), F.col("cn"), percent))
+    tested = stored(tested.select(F.col("centre").alias("a"), F.col("rep").alias("b")), "pairs")
+    links = stored(confirmed(tested, sets, percent), "links")
     label = components(links)
-    named = members.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("comp"))
-    split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    opened = named.join(split, "key", "left_semi").select("rep", "comp").distinct()
-    opened = stored(texts.join(opened, F.col("doc_id") == F.col("rep")).select("rep", "comp", "text").dropDuplicates(["rep"]), "opened")
+    named = stored(members.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("comp")), "named")
+    discard(members)
+    split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m")
+    opened = stored(join_hot(named, stored(split, "split"), ["key"], "m").select("rep", "comp").distinct(), "opened")
     if not opened.isEmpty():
-        rare = rarest(opened, sketch(opened), percent)
-        rare = stored(rare, "rare")
-        comps = rare.select("key", "comp").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        rare = stored(rare.join(comps, "key"), "rare")
-        thin, dense = rare.where(F.col("comps") <= DENSE), rare.where(F.col("comps") > DENSE)
-        sides = thin.select("key", "comp").distinct()
-        sides = sides.select("key", F.col("comp").alias("ca")).join(sides.select("key", F.col("comp").alias("cb")), "key").where("ca < cb")
-        side = lambda x: thin.select("key", F.col("comp").alias("c" + x), F.col("rep").alias("r" + x), F.col("n").alias("n" + x), (F.col("n") - F.col("place")).alias("o" + x))
-        met = sides.join(side("a"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(fits(F.col("na"), F.col("nb"), percent))
-        # what is left of either set from the first common shingle on must be enough
-        met = met.where((100 + percent) * F.least("oa", "ob") >= percent * (F.col("na") + F.col("nb")))
-        met = met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-        found = confirmed(stored(met.join(tested, ["a", "b"], "left_anti"), "pairs"), texts, percent)
-        if not dense.isEmpty():
-            first = dense.groupBy("key").agg(F.min("rep").alias("a"))
-            cluster = components(dense.join(first, "key").select("a", F.col("rep").alias("b")))
-            found = found.union(block_links(cluster.select(F.col("v").alias("rep"), F.col("label").alias("cluster")), opened, percent))
-        found = stored(found, "links")
+        found = leftover_links(opened, sets, tested, percent)
         if not found.isEmpty():
             label = components(links.union(found))
-    of_class = classes.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
+    of_class = stored(classes.join(label.withColumnRenamed("v", "rep"), "rep", "left").select("digest", "copies", F.coalesce("label", "rep").alias("component_id")), "components")
     light = made.select("doc_id", "n_shingles", "digest")
-    linked = light.where("n_shingles > 0 and doc_id is not null").join(of_class, "digest").select("doc_id", "n_shingles", "component_id")
+    linked = join_hot(light.where("n_shingles > 0 and doc_id is not null"), of_class, ["digest"], "copies").select("doc_id", "n_shingles", "component_id")
     alone = light.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

@@ -8,7 +8,7 @@ import struct
 import numpy as np
 import pytest
 
-from corpusloom.llm import edit_counts, html_blocks, language, media, near_dedup, pieces
+from corpusloom.llm import common, edit_counts, html_blocks, language, media, near_dedup, pieces
 from tests.llm.conftest import ODD
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -292,7 +292,11 @@ def test_cloud_of_variants_and_shared_passages(make, monkeypatch):
         rows.append((i, " ".join(w)))
     rows += [(200 + i, " ".join([f"u{i}_{k}" for k in range(60)] + passage)) for i in range(60)]
     rows += [(300 + i, rows[i][1].upper()) for i in range(5)]
-    monkeypatch.setattr(near_dedup, "DENSE", 3)
+    check(make(rows), rows)
+    for name, value in (("PAIRS", 1), ("BLOCK", 8), ("COLUMNS", 64), ("LOT", 4)):
+        monkeypatch.setattr(near_dedup, name, value)
+    monkeypatch.setattr(common, "LEAST_HOT", 3)
+    monkeypatch.setattr(common, "HOT_KEYS", 40)
     check(make(rows), rows)
 
 
