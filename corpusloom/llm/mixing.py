@@ -1,21 +1,22 @@
 """Mixing sources to target weights by blocks and indexes.
 
 The words of a source are laid end to end in a seeded order of its documents and cut into blocks
-of ``block_words``. A source gets as many slots as its target needs. Slot j of a source with n
-blocks belongs to epoch j div n and shows block pi(j mod n), where pi is a pseudorandom permutation
-of that source and epoch (a swap-or-not shuffle: a few rounds of integer arithmetic, no table and
-no sort). Every slot is dealt to an output shard by a hash, so the counts of a source over the
-shards are a multinomial draw, conditioned on the source's total meeting its target. :func:`packed`
-joins slots and packed blocks on (source, block) and writes the mix, each block with its words and
-the spans of documents they come from.
+of ``block_words``. A source gets as many slots as its target needs. How many of them each output
+shard gets is a multinomial draw (:func:`draws`): every slot of the source picks a shard by a
+seeded hash and the picks are counted, so the counts of all shards add up to what the target needs.
+The slots of a source are then numbered shard after shard. Slot j of a source with n blocks belongs
+to epoch j div n and shows block pi(j mod n), where pi is a pseudorandom permutation of that source
+and epoch (a swap-or-not shuffle: a few rounds of integer arithmetic, no table and no sort).
+:func:`packed` joins slots and packed blocks on (source, block) and writes the mix, each block with
+its words and the spans of documents they come from.
 
 Targets: source i in code-point order, null last, weighs 3, 1, 2 and so on; together they get
 ``share`` times all words, none more than ``cap`` times its own (what is over goes to the others
 by weight until none is above, found in closed form from running sums).
 
-A block is shown once in an epoch and there are at most ``cap`` epochs, so no document exceeds
-``cap`` times its size. Word offsets come from bucket counts as in :mod:`sharding`, so a source
-with a third of all words is spread over all tasks.
+A block is shown once in an epoch and there are ``cap`` epochs at most, rounded up, so no document
+exceeds so many times its size. Word offsets come from bucket counts as in :mod:`sharding`, so a
+source with a third of all words is spread over all tasks.
 
 Defined cases: null text or only white space has no words and is never taken; a null source is a
 source of its own; repeated rows are rows of their own; an empty table gives an empty result; other
@@ -24,11 +25,13 @@ columns are not read. Reruns agree, as nothing but hashes of ids decides.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import SPACE, WORD, buckets_for, hex_bucket, prefix_sums, shuffle_key, source_key, stored
+from .common import SPACE, WORD, buckets_for, hex_bucket, join_hot, prefix_sums, shuffle_key, source_key, stored
 
 #: Modulus and multiplier of the permutation's round keys (a full-period generator below 2^31).
 PRIME, STEP = 2147483647, 48271
@@ -53,17 +56,16 @@ def permuted(df: DataFrame, index: str, size: str, key: str, rounds: int = ROUND
     """Replace ``index`` in [0, size) by its image under the permutation that ``key`` (below PRIME) selects.
 
     Each round pairs x with (k - x) mod size and swaps the pair if a hash bit of the pair says so;
-    both halves see the same bit, so a round is a permutation of any range.
+    both halves see the same bit, so a round is a permutation of any range. Rounds are columns, so they are compiled.
     """
-
-    def swap(state: Column, _: Column) -> Column:
-        k, x = (state["k"] * STEP) % PRIME, state["x"]
-        mate = (k % F.col(size) - x + F.col(size)) % F.col(size)
+    df = df.withColumn(key, F.col(key).cast("long")).withColumn(index, F.col(index).cast("long"))
+    x, k, n, mate = F.col(index), F.col(key), F.col(size), F.col("__mate")
+    for _ in range(rounds):
+        df = df.withColumn(key, (k * STEP) % PRIME)
+        df = df.withColumn("__mate", (k % n - x + n) % n)
         bit = (((F.greatest(x, mate) % PRIME) * k) % PRIME) % 2
-        return F.struct(F.when(bit == 1, mate).otherwise(x).alias("x"), k.alias("k"))
-
-    start = F.struct(F.col(index).cast("long").alias("x"), F.col(key).cast("long").alias("k"))
-    return df.withColumn(index, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, swap)["x"]).drop(key)
+        df = df.withColumn(index, F.when(bit == 1, mate).otherwise(x))
+    return df.drop(key, "__mate")
 
 
 def round_key(seed: str, source: Column, epoch: Column) -> Column:
@@ -76,14 +78,27 @@ def placed(rows: DataFrame, before: DataFrame) -> DataFrame:
     return rows.join(before, ["source_key", "b"]).withColumn("start", F.col("size_before") + F.sum("size").over(run) - F.col("size"))
 
 
-def plan(docs: DataFrame, block_words: int = 64, shards: int = 16, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_bucket: int = 20_000) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def draws(slots: DataFrame, shards: int, seed: str) -> DataFrame:
+    """From (source_key, slots, j), a row for each slot: source_key, slots, ends, the last-plus-one slot of each shard in turn.
+
+    The counts of a source over the shards are a draw from the multinomial of equal chances.
+    """
+    shard = F.pmod(F.xxhash64(F.lit(f"{seed} draw"), "source_key", "j"), F.lit(shards))
+    drawn = slots.groupBy("source_key", "slots", shard.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    counts = drawn.groupBy("source_key", "slots").agg(F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("n"))
+    upto = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.coalesce(F.try_element_at("n", s.cast("long")), F.lit(0).cast("long")))
+    running = F.aggregate(upto, F.array().cast("array<bigint>"), lambda out, n: F.concat(out, F.array(n + F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(0).cast("long")))))
+    return counts.select("source_key", "slots", running.alias("ends"))
+
+
+def plan(docs: DataFrame, block_words: int = 64, shards: int = 16, share: float = 1.5, cap: float = 2.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_bucket: int = 20_000) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(documents, slots, pieces) of :func:`mix`, and the rows with words and text by their place in their source."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     keys = F.col(id_col).alias("doc_id"), source_key(F.col(source_col)).alias("source_key"), size.alias("size"), shuffle_key(seed, F.col(id_col)).alias("h")
     base = stored(docs.select(F.monotonically_increasing_id().alias("row"), *keys), "sizes")
     sources = base.groupBy("source_key").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
     most = sources.agg(F.max("n")).first()[0] or 0
-    wanted = targets(sources.select("source_key", "words"))
+    wanted = targets(sources.select("source_key", "words"), share, cap)
     wanted = wanted.withColumn("blocks", F.ceil(F.col("words") / F.lit(block_words)).cast("long"))
     wanted = wanted.withColumn("slots", F.when(F.col("words") == 0, F.lit(0)).otherwise(F.round(F.col("target") * F.col("blocks") / F.col("words"))).cast("long"))
     bucket = hex_bucket(F.col("h"), buckets_for(most, rows_per_bucket))
@@ -96,13 +111,20 @@ def plan(docs: DataFrame, block_words: int = 64, shards: int = 16, seed: str = "
     pieces = laid.where("size > 0").select("row", "source_key", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
     over = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
     pieces = pieces.select("row", "source_key", "block", F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).alias("start"), over.alias("words"))
+    # a document makes the slots whose number is that of a block that begins in it, plus whole epochs
     opened = laid.where("size > 0").withColumn("lo", F.expr(f"(start + {block_words - 1}) div {block_words}")).withColumn("hi", last).where("lo <= hi")
-    opened = opened.select("source_key", "blocks", "slots", F.explode(F.sequence("lo", "hi")).alias("i"))
-    slots = opened.withColumn("epoch", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long")))).withColumn("j", F.col("i") + F.col("epoch") * F.col("blocks")).where("j < slots")
-    slots = slots.withColumn("k", round_key(seed, F.col("source_key"), F.col("epoch"))).withColumn("block", F.col("i"))
-    slots = permuted(slots, "block", "blocks", "k").select("source_key", "j", "block", F.pmod(F.xxhash64(F.lit(seed), "source_key", "j"), F.lit(shards)).cast("int").alias("shard"))
+    epochs = F.sequence(F.lit(0).cast("long"), F.lit(math.ceil(cap) - 1).cast("long"))
+    opened = opened.select("source_key", "blocks", "slots", F.explode(epochs).alias("epoch"), "lo", "hi").where("lo + epoch * blocks < slots")
+    opened = opened.select("source_key", "blocks", "slots", "epoch", F.explode(F.sequence("lo", "hi")).alias("block"))
+    opened = opened.withColumn("j", F.col("block") + F.col("epoch") * F.col("blocks")).where("j < slots")
+    ends = stored(draws(opened, shards, seed), "draws")
+    slots = opened.withColumn("k", round_key(seed, F.col("source_key"), F.col("epoch"))).drop("epoch", "slots")
+    # written, as the optimizer takes ages to infer filters through so many columns for a join above them
+    slots = stored(permuted(slots, "block", "blocks", "k").drop("blocks"), "slots")
+    slots = join_hot(slots, ends, ["source_key"], "slots")
+    slots = slots.select("source_key", "j", "block", F.size(F.filter("ends", lambda e: e <= F.col("j"))).alias("shard"))
     documents = laid.select("row", "doc_id", "size", "source_key", F.when(F.col("size") > 0, F.col("start")).alias("place"), F.col("words").alias("source_size"), "target")
-    texts = placed(docs.select(*keys, F.col(text_col).alias("text")).where("size > 0").withColumn("b", bucket), before.select("source_key", "b", "size_before"))
+    texts = placed(docs.select(*keys, F.col(text_col).alias("text")).withColumn("b", bucket), before.select("source_key", "b", "size_before")).where("size > 0")
     return documents, slots, pieces, texts
 
 
@@ -130,14 +152,15 @@ def packed(docs: DataFrame, block_words: int = 64, **options) -> tuple[DataFrame
             at = F.greatest(F.col("start"), block * block_words)
             n = F.least(F.col("start") + F.col("size"), (block + 1) * block_words) - at
             mine = F.array_join(F.slice(words, (at - F.col("start") + 1).cast("int"), n.cast("int")), " ")
-            return F.struct(block.alias("block"), at.alias("at"), (at - F.col("start")).alias("start"), n.alias("words"), mine.alias("text"))
+            return F.struct(block.alias("block"), (at - F.col("start")).alias("start"), n.alias("words"), mine.alias("text"))
 
         return F.transform(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")), one)
 
     # as the variable of a lambda the words of a text are split once, not once a block
     words = F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), f"{SPACE}+")
     parts = texts.select("source_key", "doc_id", F.col("start").alias("place"), F.explode(F.transform(F.array(words), cut)[0]).alias("p"))
-    parts = parts.select("source_key", "p.block", F.struct("p.at", "doc_id", "place", "p.start", "p.words", "p.text").alias("part"))
+    # documents lie in the order of their places, so this is the order of a block's words
+    parts = parts.select("source_key", "p.block", F.struct("place", "doc_id", "p.start", "p.words", "p.text").alias("part"))
     blocks = parts.groupBy("source_key", "block").agg(F.sort_array(F.collect_list("part")).alias("parts"))
     text = F.array_join(F.transform("parts", lambda p: p["text"]), " ")
     spans = F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["place"].alias("place"), p["start"].alias("start"), p["words"].alias("words")))
