@@ -1,12 +1,13 @@
 """Exact dedup, URL templates, sharding and mixing against plain Python."""
 
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, mixing, sharding, url_filter
+from corpusloom.llm import common, exact_dedup, mixing, sharding, url_filter
 from tests.llm.conftest import ODD
 
 
@@ -27,11 +28,31 @@ def test_dedup(odd, none):
 def test_dedup_over_several_batches_and_with_clashing_digests(make):
     rows = [(i, f"text  {i % 7}" + " " * (i % 3)) for i in range(200)]
     docs = make(rows)
-    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.dedup(docs, files_per_batch=1).collect()) == dedup_truth(rows)
-    weak = lambda t: F.crc32(t.cast("binary")).cast("string").substr(1, 1)
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.dedup(docs, batches=16).collect()) == dedup_truth(rows)
+    weak = lambda t: F.crc32(t.cast("binary")).cast("string").substr(1, 1).cast("binary")
     assert Counter((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.dedup(docs, digest=weak).collect()) == dedup_truth(rows)
 
 
+def test_a_hot_digest_and_ids_of_text(spark, monkeypatch):
+    monkeypatch.setattr(common, "LEAST_HOT", 3)
+    monkeypatch.setattr(common, "HOT_KEYS", 10)
+    rows = [(f"d{i:03}", "same  text" + " " * (i % 2) if i % 3 else f"own {i}") for i in range(90)]
+    got = exact_dedup.dedup(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == dedup_truth(rows)
+
+
+def test_the_stream_runs_in_several_batches_and_checks_bytes_by_locator(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i % 40}") for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    seen = []
+    run = exact_dedup.stream_state
+    monkeypatch.setattr(exact_dedup, "stream_state", lambda stream, folder: (seen.append(folder), run(stream, folder))[1])
+    got = exact_dedup.dedup(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == dedup_truth(rows)
+    assert len(os.listdir(seen[0].removeprefix("file://") + "/state/commits")) >= 2 * 4  # with their checksums
+    assert {r.keep_locator.rpartition("#")[2] for r in got} == {str(i) for i in range(40)}
+
+
 def test_state_goes_on_in_the_same_folder(spark, make, tmp_path):
     for turn in range(2):
         log = exact_dedup.arrivals(make([(turn * 2, "a b"), (turn * 2 + 1, f"{turn}")]))
