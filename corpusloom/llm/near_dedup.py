@@ -53,7 +53,7 @@ LOT = 64
 #: A shingle gives pairs if it gives each of its documents no more than PAIRS on average, and has no more than THIN documents.
 PAIRS, THIN = 16, 4096
 #: Documents of a cluster are compared in blocks of so many, in products of so many columns.
-BLOCK, COLUMNS = 512, 1 << 13
+BLOCK, COLUMNS = 128, 1 << 15
 REMEMBERED = 400_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
