@@ -5,7 +5,8 @@ with the path of open elements above it. Scripts, styles, comments and the head
 block becomes a vector of hashed path parts (element names, and the parts of class, id and role),
 hashed words, and a few measures (length, links, punctuation, place). A bidirectional LSTM in numpy
 reads the vectors of the whole page and gives every block the chance to be main text; blocks at 0.5
-or more are kept.
+or more are kept. Pages of more than ``LONG`` blocks are read in stretches, forward and then backward,
+so what is held is the blocks and one number for each, and no page is cut.
 
 The weights are trained here, on the driver, from a fixed seed, on pages that :func:`made_page`
 invents: layouts of articles among menus, headers, footers, sidebars, notices, adverts, forms and
@@ -13,7 +14,8 @@ reader comments, with blocks that tell their kind by name and blocks that only t
 row of the input is used for training.
 
 Defined cases: null, empty or text-free html gives empty text; unclosed elements end with what holds
-them; a page without any markup is one block; repeated rows give equal results; an empty table gives
+them, but an unclosed script or style goes to the end of the page, as in browsers; a page without any
+markup is one block; elements may be nested to any depth; repeated rows give equal results; an empty table gives
 an empty result; other columns are not read.
 """
 
@@ -23,6 +25,7 @@ import html
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,28 +42,78 @@ HIDDEN = 16
 #: Training: invented pages, passes over them, pages a step, rate.
 PAGES, PASSES, STEP, RATE, SEED = 1500, 6, 30, 0.015, 7
 
+#: Blocks of the longest page that is read at once, and blocks of the pages that are read side by side.
+LONG, TOGETHER = 20_000, 30_000
+
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = frozenset("script style noscript template head title svg math iframe object canvas audio video".split())
+#: Elements that hold no text of the page: those whose content is raw up to the end tag, and those that hold elements.
+RAW = frozenset("script style title iframe".split())
+NESTED = frozenset("noscript template svg math object canvas audio video".split())
 #: Elements whose start ends an open one of these, looked for up to the nearest holder.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",)}
-HOLDERS = frozenset("ul ol dl table tbody thead tfoot select body html".split())
+ENDED = frozenset(["p", *(x for names in ENDS.values() for x in names)])
+HOLDERS = frozenset("ul ol dl table tbody thead tfoot select body html div section article aside form blockquote".split())
 MARKUP = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|([^<]+|<)""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
+HEAD_ENDS = re.compile(r"</head|<body", re.I | re.A)
+
+
+@lru_cache(maxsize=64)
+def tags_of(tag: str) -> re.Pattern:
+    """Start and end tags of an element, by ASCII letters of either case: places are those in the page itself."""
+    return re.compile(rf"<(/?){tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I | re.A)
+
+
+def behind(page: str, tag: str, at: int) -> int:
+    """Where a hidden element that starts right before ``at`` ends; -1 if it never does."""
+    depth = 1
+    for m in tags_of(tag).finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif tag in NESTED and not m[0].endswith("/>"):
+            depth += 1
+        if not depth or m[1] and tag in RAW:
+            return m.end()
+    return -1
+
+
+class Node:
+    """An open element: bits of its own path parts, and of all that hold it."""
+
+    __slots__ = ("above", "depth", "ended", "own", "parent", "tag")
+
+    def __init__(self, parent: "Node | None", tag: str, own: int):
+        self.parent, self.tag, self.own = parent, tag, own
+        self.depth, self.above = (parent.depth + 1, parent.above | parent.own) if parent else (1, 0)
+        #: The nearest element here or above that a start tag may end.
+        self.ended = self if tag in ENDED else None if tag in HOLDERS or parent is None else parent.ended
 
 
 class Block:
-    __slots__ = ("linked", "path", "text")
+    __slots__ = ("linked", "node", "text")
+
+    def __init__(self, node: Node | None, text: str, linked: int):
+        self.node, self.text, self.linked = node, text, linked
+
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+@lru_cache(maxsize=50_000)
+def part_bits(tag: str, names: str) -> int:
+    """The slots of an element's name and of the parts of its naming attributes."""
+    bits = 0
+    if tag not in ("html", "body", "div", "section"):
+        bits |= 1 << slot("<" + tag, PATH_DIMS)
+    for name in {x.lower() for x in PARTS.findall(names)}:
+        bits |= 1 << slot("." + name, PATH_DIMS)
+    return bits
 
 
 def blocks(page: str) -> list[Block]:
-    """The blocks with text, in page order. A path part is the element's name and its naming attributes."""
+    """The blocks with text, in page order, each with the element that holds it."""
     found: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    node: Node | None = None
+    opened: Counter = Counter()
     parts: list[str] = []
     links = linked = 0
 
@@ -69,13 +122,22 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                found.append(Block(tuple(x for _, x in stack), text, linked))
+                found.append(Block(node, text, linked))
             parts.clear()
         linked = 0
 
-    at, low = 0, None
-    for_end = len(page)
-    while at < for_end:
+    def leave(last: Node) -> None:
+        """Close elements up to and with ``last``."""
+        nonlocal node
+        while True:
+            opened[node.tag] -= 1
+            gone, node = node, node.parent
+            if gone is last:
+                return
+
+    at = 0
+    shut: set[str] = set()  # hidden elements of which the rest of the page has no end
+    while at < len(page):
         m = MARKUP.match(page, at)
         at = m.end()
         text = m[4]
@@ -88,31 +150,35 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag in INLINE and not (tag == "ins" and any(t == tag for t, _ in stack)):
+            if tag in INLINE and not (tag == "ins" and opened[tag]):
                 if tag == "a" and links:
                     links -= 1
                 elif tag == "br":
                     parts.append(" ")
                 continue
-            if any(t == tag for t, _ in stack):
+            if opened[tag]:
                 close()
-                while stack.pop()[0] != tag:
-                    pass
+                last = node
+                while last.tag != tag:
+                    last = last.parent
+                leave(last)
                 links = 0
             elif tag == "p":
                 close()
             continue
-        if tag in HIDDEN_TAGS:
-            if tag != "head":
-                low = page.lower() if low is None else low
-                end = low.find(f"</{tag}", at)
-                if not m[0].endswith("/>"):
-                    at = for_end if end < 0 else for_end if page.find(">", end) < 0 else page.find(">", end) + 1
-                continue
-            low = page.lower() if low is None else low
-            ends = [x for x in (low.find("</head", at), low.find("<body", at)) if x >= 0]
-            if ends:
-                at = min(ends)
+        if tag in RAW or tag in NESTED:
+            if not m[0].endswith("/>") and tag not in shut:
+                end = behind(page, tag, at)
+                if end >= 0:
+                    at = end
+                elif tag in RAW:
+                    at = len(page)
+                else:
+                    shut.add(tag)
+            continue
+        if tag == "head":
+            if ends := HEAD_ENDS.search(page, at):
+                at = ends.start()
             continue
         if tag in INLINE and not (tag == "ins" and m[3].strip()):  # a named ins is a slot for adverts
             if tag == "a":
@@ -125,15 +191,17 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         ending = ENDS.get(tag, ())
-        for i in range(len(stack) - 1, -1, -1):
-            name = stack[i][0]
-            if name in ending or name == "p":
-                del stack[i:]
-                if not ending or name in ending and tag != "tr":
+        near = node.ended if node else None
+        while near:
+            if near.tag in ending or near.tag == "p":
+                leave(near)
+                if not ending or near.tag in ending and tag != "tr":
                     break
-            elif name in HOLDERS or name in ("div", "section", "article", "aside", "form", "blockquote"):
-                break
-        stack.append((tag, tag + " " + " ".join("".join(x) for x in NAMES.findall(m[3])) if m[3] else tag))
+                near = node.ended if node else None
+            else:
+                near = near.parent.ended if near.parent else None
+        node = Node(node, tag, part_bits(tag, " ".join("".join(x) for x in NAMES.findall(m[3])) if m[3] else ""))
+        opened[tag] += 1
     close()
     return found
 
@@ -142,43 +210,49 @@ def slot(word: str, size: int) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % size
 
 
+def weights(bits: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits.to_bytes(PATH_DIMS // 8, "little"), np.uint8), bitorder="little").astype(np.float32)
+
+
 class Reader:
-    """Blocks to vectors; path parts and words are looked up once."""
+    """Blocks to vectors; paths are looked up once."""
 
     def __init__(self):
-        self.paths: dict[tuple[str, ...], np.ndarray] = {}
-
-    def path(self, path: tuple[str, ...]) -> np.ndarray:
-        found = self.paths.get(path)
+        self.paths: dict[tuple[str, int, int], np.ndarray] = {}
+
+    def path(self, node: Node | None) -> np.ndarray:
+        """Slots of the element and the two above it weigh 1, all others above 0.7."""
+        if node is None:
+            return np.zeros(PATH_DIMS, np.float32)
+        near, top = node.own | 1 << slot("<<" + node.tag, PATH_DIMS), node
+        for _ in range(2):
+            if top.parent:
+                top = top.parent
+                near |= top.own
+        key = (node.tag, near, top.above)
+        found = self.paths.get(key)
         if found is None:
-            found = np.zeros(PATH_DIMS, np.float32)
-            for depth, part in enumerate(reversed(path[-12:])):
-                tag, _, names = part.partition(" ")
-                weight = 1.0 if depth < 3 else 0.7
-                if tag not in ("html", "body", "div", "section"):
-                    found[slot("<" + tag, PATH_DIMS)] = max(found[slot("<" + tag, PATH_DIMS)], weight)
-                if depth == 0:
-                    found[slot("<<" + tag, PATH_DIMS)] = 1
-                for name in {x.lower() for x in PARTS.findall(names)}:
-                    at = slot("." + name, PATH_DIMS)
-                    found[at] = max(found[at], weight)
+            found = np.maximum(weights(near), np.float32(0.7) * weights(top.above))
             if len(self.paths) > 50_000:
                 self.paths.clear()
-            self.paths[path] = found
+            self.paths[key] = found
         return found
 
-    def page(self, page: list[Block]) -> np.ndarray:
-        out = np.zeros((len(page), WIDTH), np.float32)
-        for i, b in enumerate(page):
+    def page(self, page: list[Block], first: int = 0, last: int | None = None) -> np.ndarray:
+        """The vectors of the blocks from ``first`` up to ``last``."""
+        last = len(page) if last is None else min(last, len(page))
+        out = np.zeros((last - first, WIDTH), np.float32)
+        for k, i in enumerate(range(first, last)):
+            b = page[i]
             text = b.text
             words = text.lower().split()
             n, chars = len(words), len(text)
-            out[i, :PATH_DIMS] = self.path(b.path)
+            out[k, :PATH_DIMS] = self.path(b.node)
             hashed = np.bincount([slot(w, WORD_DIMS) for w in words], minlength=WORD_DIMS)
-            out[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = 0.5 * hashed / np.linalg.norm(hashed)
+            out[k, PATH_DIMS : PATH_DIMS + WORD_DIMS] = 0.5 * hashed / np.linalg.norm(hashed)
             ends = text.count(". ") + text.count("! ") + text.count("? ") + (text[-1] in ".!?")
-            out[i, PATH_DIMS + WORD_DIMS :] = (
-                math.log1p(n) / 4, math.log1p(chars) / 6, min(1, b.linked / chars), min(1, ends / 3), text.count(",") / n, (i + 1) / len(page), 1 / (i + 1), 1 / (len(page) - i), len(b.path) / 10,
+            out[k, PATH_DIMS + WORD_DIMS :] = (
+                math.log1p(n) / 4, math.log1p(chars) / 6, min(1, b.linked / chars), min(1, ends / 3), text.count(",") / n, (i + 1) / len(page), 1 / (i + 1), 1 / (len(page) - i), min(2, (b.node.depth if b.node else 0) / 10),
             )
         return out
 
@@ -252,21 +326,47 @@ class Labeller:
         return out
 
     def chances(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """The chance of each block of each page; pages of like length run together."""
+        """The chance of each block of pages given as vectors."""
+        x, mask = padded(pages)
+        chance = self.run(x, mask)
+        return [chance[: len(p), k] for k, p in enumerate(pages)]
+
+    def labelled(self, pages: list[list[Block]], reader: Reader) -> list[np.ndarray]:
+        """The chance of each block of each page; pages of like length run together, vectors are made as they are needed."""
         out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
-        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
+        order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
         at = 0
         while at < len(order):
             some = order[at : at + 128]
-            while len(some) > 1 and len(some) * len(pages[some[-1]]) > 60_000:
+            while len(some) > 1 and len(some) * len(pages[some[-1]]) > TOGETHER:
                 some = some[: len(some) // 2]
-            x, mask = padded([pages[i] for i in some])
-            chance = self.run(x, mask)
-            for k, i in enumerate(some):
-                out[i] = chance[: len(pages[i]), k]
+            if len(pages[some[0]]) > LONG:
+                some = some[:1]
+                out[some[0]] = self.streamed(pages[some[0]], reader)
+            else:
+                for i, chance in zip(some, self.chances([reader.page(pages[i]) for i in some]), strict=True):
+                    out[i] = chance
             at += len(some)
         return out
 
+    def streamed(self, page: list[Block], reader: Reader, step: int = 4096) -> np.ndarray:
+        """The chances of one page's blocks, read in stretches of ``step``, once in either direction."""
+        h = self.hidden
+        total = np.full(len(page), self.w["c"][0], np.float32)
+        for k, d in enumerate("fb"):
+            state, cell = np.zeros(h, np.float32), np.zeros(h, np.float32)
+            out, w = self.w["o"][k * h : (k + 1) * h], self.w["h" + d]
+            firsts = range(0, len(page), step)
+            for first in firsts if d == "f" else reversed(firsts):
+                gates = reader.page(page, first, first + step) @ self.w["x" + d] + self.w["b" + d]
+                for t in range(len(gates)) if d == "f" else range(len(gates) - 1, -1, -1):
+                    g = gates[t] + state @ w
+                    s = sigmoid(g[: 3 * h])
+                    cell = s[h : 2 * h] * cell + s[:h] * np.tanh(g[3 * h :])
+                    state = s[2 * h :] * np.tanh(cell)
+                    total[first + t] += state @ out
+        return sigmoid(total)
+
 
 def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     time = max(map(len, pages))
@@ -427,7 +527,7 @@ def trained(seed: int = SEED, pages: int = PAGES, passes: int = PASSES) -> Label
 
 def main_text(pages: list[str | None], net: Labeller, reader: Reader, cut: float = 0.5) -> list[str]:
     found = [blocks(p or "") for p in pages]
-    chances = net.chances([reader.page(f) for f in found])
+    chances = net.labelled(found, reader)
     return ["\n".join(b.text for b, c in zip(f, chance, strict=True) if c >= cut) for f, chance in zip(found, chances, strict=True)]
 
 

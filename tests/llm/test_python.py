@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import struct
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -214,6 +215,59 @@ def test_blocks_and_labels(spark, net):
     assert {r.text for r in got if r.page_id == 1} == {"\n".join(texts[3:6])}
 
 
+def test_letters_that_grow_in_lower_case_move_nothing(net):
+    odd = "\u0130" * 50
+    page = f"<html><head><title>{odd}</title></head><body><h1>{odd} head</h1><p>{odd}</p><SCRIPT>var x = 'no'</SCRIPT ><p>Kept one.</p><style>{odd}</style><p>Kept two.</p><script>{odd}</script>end</body>"
+    assert [b.text for b in html_blocks.blocks(page)] == [f"{odd} head", odd, "Kept one.", "Kept two.", "end"]
+
+
+def test_unclosed_and_nested_hidden_elements():
+    texts = lambda page: [b.text for b in html_blocks.blocks(page)]
+    assert texts("<p>a<video src=x><p>b") == ["a", "b"] and texts("<p>a<svg><svg><text>t</text></svg>u</svg><p>b") == ["a", "b"]
+    assert texts("<p>a<script>b<p>c") == ["a"] and texts("<p>a<object><p>x</object>b") == ["a b".replace(" ", "")]
+    assert texts("<svg/><p>a</p><template>x</template>b<noscript>y</noscript>") == ["a", "b"]
+
+
+def test_names_at_any_depth_reach_the_block(net):
+    reader = html_blocks.Reader()
+    for tag in ("nav", "aside"):
+        far, = html_blocks.blocks(f"<{tag}>" + "<div>" * 40 + "text" + "</div>" * 40)
+        plain, = html_blocks.blocks("<div>" * 41 + "text")
+        at = html_blocks.slot("<" + tag, html_blocks.PATH_DIMS)
+        assert reader.path(far.node)[at] > 0.6 and reader.path(plain.node)[at] == 0
+    assert len(html_blocks.blocks("<div>x" * 50_000)) == 50_000 and len(html_blocks.blocks("<h1>x" * 50_000)) == 50_000
+
+
+def test_long_pages_are_read_in_stretches_with_equal_chances(net, monkeypatch):
+    rng, reader = np.random.default_rng(5), html_blocks.Reader()
+    found = [html_blocks.blocks("".join(html_blocks.made_page(rng)[0] for _ in range(4)))]
+    whole = net.labelled(found, reader)[0]
+    assert np.allclose(whole, net.streamed(found[0], reader, 7), atol=1e-4)
+    monkeypatch.setattr(html_blocks, "LONG", 5)
+    assert np.allclose(net.labelled([*found, []], reader)[0], whole, atol=1e-4)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_the_query_finds_the_articles(spark):
+    """Against the article element of the tables' pages, whose paragraphs are read here by plain means."""
+    import html as h
+    import re
+
+    from corpusloom.llm.queries import op7_block_labeller
+
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
+    right = total = 0
+    for r in op7_block_labeller(spark, "/root/testdata/sf0.001").collect():
+        article = re.search(r"<article[^>]*>(.*?)</article>", pages[r.page_id], re.S)[1]
+        article = re.sub(r"<(script|style|aside|nav|form|figure)\b.*?</\1>|<!--.*?-->", "\n", article, flags=re.S)
+        article = re.sub(r"<div[^>]*>.*?</div>", "\n", article, flags=re.S)
+        words = Counter(h.unescape(re.sub(r"<[^>]+>", " ", article)).split())
+        mine = Counter(r.text.split())
+        right, total = right + 2 * sum((words & mine).values()), total + sum(words.values()) + sum(mine.values())
+        assert r.n_chars == len(r.text)
+    assert right / total > 0.98
+
+
 def test_held_out_pages(net):
     rng, reader, right, total = np.random.default_rng(1234), html_blocks.Reader(), 0, 0
     for _ in range(150):
