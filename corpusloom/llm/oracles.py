@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding, url_filter  # noqa: F401
+from . import mixing, url_filter
 
 WS = r"\x20\x09-\x0D"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP3 = rf"""
 WITH d AS (
@@ -15,51 +16,48 @@ FROM d WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
 """
 
 
-def _op5() -> str:
-    rules = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+def _op5(depth: int = 10) -> str:
+    """Written for paths of ``depth`` segments, which no table at hand reaches."""
+    rules = [("block", "example.org", "/en/1"), ("block", "example.org", "/es/"), ("allow", "com", "/fr/"), ("block", "com", "/de/"), ("allow", "org", "/")]
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
     rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in rules) + " END"
     fixed = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in rules) + " END"
-    part = lambda x: "CASE " + " ".join(f"WHEN regexp_matches({x}, '{pattern}') THEN '{name}'" for pattern, name in url_filter.CLASSES) + f" ELSE {x} END"
-    depth = range(url_filter.DEPTH)
-    raw = ", ".join(["host", *(f"p{i}" for i in depth), "tail"])
+    part = "CASE " + " ".join(f"WHEN regexp_matches(x, '{pattern}') THEN '{name}'" for pattern, name in url_filter.CLASSES) + " ELSE x END"
     sql = f"""WITH u AS (
       SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
     ), v AS (
-      SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
-    ), w AS (
-      SELECT *, {rule} AS rule, {fixed} AS fixed, string_split(regexp_replace(path, '^/', ''), '/') AS s FROM v
-    ), rows AS (
-      SELECT *, {", ".join(f"{part(f'coalesce(s[{i + 1}], chr(0))')} AS q{i}" for i in depth)}, CASE WHEN len(s) > {url_filter.DEPTH} THEN '/**' ELSE '' END AS tail FROM w
+      SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
     ), cut AS (
-      SELECT * EXCLUDE (q0, q1, q2), {", ".join(f"CASE WHEN q{i} = chr(0) THEN '' ELSE q{i} END AS p{i}" for i in depth)} FROM rows
+      SELECT *, {rule} AS rule, {fixed} AS fixed, list_transform(string_split(regexp_replace(path, '^/', ''), '/'), lambda x: {part}) AS s FROM v
     ), tree0 AS (
-      SELECT {raw}, count(*) AS n, count(*) FILTER (fixed IS NOT NULL) AS seen, count(*) FILTER (fixed = 'block') AS bad FROM cut GROUP BY ALL
+      SELECT host, s, '' AS t, count(*)::DOUBLE AS n, (count(*) FILTER (fixed IS NOT NULL))::DOUBLE AS seen, (count(*) FILTER (fixed = 'block'))::DOUBLE AS bad FROM cut GROUP BY ALL
     )"""
-    above = "host"
-    for i in depth:
+    for i in range(depth):
         sql += f""", kids{i} AS (
-      SELECT {above}, p{i}, sum(n)::DOUBLE AS cn, sum(seen)::DOUBLE AS cs, sum(bad)::DOUBLE AS cb FROM tree{i} GROUP BY ALL
+      SELECT host, t, s[{i + 1}] AS seg, sum(n) AS cn, sum(seen) AS cs, sum(bad) AS cb FROM tree{i} WHERE len(s) > {i} GROUP BY ALL
     ), all{i} AS (
-      SELECT *, count(*) OVER x AS kids, sum(cn) OVER x AS pn, sum(cs) OVER x AS ps, sum(cb) OVER x AS pb FROM kids{i} WINDOW x AS (PARTITION BY {above})
+      SELECT *, count(*) OVER x AS kids, sum(cn) OVER x AS pn, sum(cs) OVER x AS ps, sum(cb) OVER x AS pb FROM kids{i} WINDOW x AS (PARTITION BY host, t)
     ), named{i} AS (
-      SELECT {above}, p{i}, CASE WHEN p{i} = '' THEN '' WHEN kids > 16 AND pn < 4 * kids THEN '*' WHEN cs = 0 OR ps = 0 OR pb = 0 OR pb = ps THEN '~'
-        WHEN abs(cb / cs - pb / ps) >= 1.96::DOUBLE * sqrt(pb / ps * (1 - pb / ps) / cs) THEN p{i} ELSE '~' END AS t{i} FROM all{i}
+      SELECT host, t, seg, CASE WHEN seg = '' THEN '' WHEN kids > 16 AND pn < 4 * kids THEN '*' WHEN cs = 0 AND ps > 0 THEN '?' WHEN cs = 0 OR ps = cs OR pb = 0 OR pb = ps THEN '~'
+        WHEN abs(cb / cs - (pb - cb) / (ps - cs)) >= 1.96::DOUBLE * sqrt(pb / ps * (1 - pb / ps) * (1 / cs + 1 / (ps - cs))) THEN seg ELSE '~' END AS name FROM all{i}
     ), tree{i + 1} AS (
-      SELECT * FROM tree{i} JOIN named{i} USING ({above}, p{i})
+      SELECT r.* EXCLUDE (t), CASE WHEN k.seg IS NULL THEN r.t ELSE r.t || '/' || k.name END AS t FROM tree{i} r LEFT JOIN named{i} k ON k.host = r.host AND k.t = r.t AND k.seg = r.s[{i + 1}]
     )"""
-        above += f", t{i}"
     return sql + f""", leaves AS (
-      SELECT {above}, tail, sum(seen)::DOUBLE AS seen, sum(bad)::DOUBLE AS bad FROM tree{url_filter.DEPTH} GROUP BY ALL
+      SELECT host, t, sum(seen) AS seen, sum(bad) AS bad FROM tree{depth} GROUP BY ALL
     ), hosts AS (
       SELECT host, sum(seen) AS hs, sum(bad) AS hb FROM leaves GROUP BY 1
     ), priors AS (
-      SELECT host, (hb + 4 * coalesce((SELECT sum(hb) / nullif(sum(hs), 0) FROM hosts), 0)) / (hs + 4) AS prior FROM hosts
+      SELECT host, base, (hb + 4 * base) / (hs + 4) AS prior FROM hosts, (SELECT coalesce(sum(hb) / nullif(sum(hs), 0), 0) AS base FROM hosts)
     ), scored AS (
-      SELECT {above}, tail, (bad + 4 * prior) / (seen + 4) AS score FROM leaves JOIN priors USING (host)
+      SELECT host, t, CASE WHEN seen = 0 THEN base ELSE (bad + 4 * prior) / (seen + 4) END AS score FROM leaves JOIN priors USING (host)
     )
-    SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN score >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict
-    FROM cut JOIN (SELECT {raw}, {above.replace("host, ", "")} FROM tree{url_filter.DEPTH}) USING ({raw}) JOIN scored USING ({above}, tail)"""
+    SELECT page_id, cut.host, path, rule, coalesce(fixed, CASE WHEN score >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict
+    FROM cut JOIN tree{depth} r ON r.host = cut.host AND r.s = cut.s JOIN scored ON scored.host = r.host AND scored.t = r.t"""
+
+
+#: What must come out where urls are planted (see ``planted_pages``), from the planting alone.
+PLANTED = "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'block' ELSE 'allow' END AS verdict, NOT starts_with(page_id::VARCHAR, '1') AS by_method FROM pages"
 
 
 #: CRC-32 by half bytes, the low one first; the table of 16 follows from the reversed polynomial.
@@ -124,7 +122,7 @@ def _op9(block: int = 64) -> str:
 
 
 OP10 = rf"""WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^{WS}]+') AS w FROM documents
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^{WS}]+') AS w FROM documents
 ), s AS (
   SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS shingle FROM w
 ), n AS (
@@ -142,4 +140,4 @@ OP10 = rf"""WITH RECURSIVE w AS (
 )
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, w.doc_id) AS component_id, w.doc_id = coalesce(least, w.doc_id) AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op8_interleave": OP8, "op9_block_mix": _op9(), "op10_circulant_minhash": OP10}
+ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op5_planted_templates": PLANTED, "op8_interleave": OP8, "op9_block_mix": _op9(), "op10_circulant_minhash": OP10}

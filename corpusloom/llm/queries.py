@@ -82,6 +82,23 @@ def op5_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def planted_pages(pages: DataFrame) -> DataFrame:
+    """The pages with urls whose fourth segment tells even ids from odd ones."""
+    branch = F.when(F.col("page_id") % 2 == 0, "spam").otherwise("news")
+    url = F.concat(F.lit("http://h"), (F.floor(F.col("page_id") / 2) % 2).cast("string"), F.lit(".test/a/b/c/"), branch, F.lit("/"), F.col("page_id").cast("string"), F.lit("/x"))
+    return pages.select("page_id", url.alias("url"))
+
+
+#: Only ids that begin with 1 are under a rule; all other pages are the method's to judge.
+PLANTED_RULES = (("block", "test", "/a/b/c/spam/1"), ("allow", "test", "/a/b/c/news/1"))
+
+
+def op5_planted_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator where labels differ below the third segment: what no rule covers goes as its branch goes."""
+    judged = url_filter.judge(planted_pages(table(spark, sf_dir, "pages")), PLANTED_RULES)
+    return judged.select("page_id", "verdict", F.col("rule").isNull().alias("by_method"))
+
+
 def op7_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages"), html_blocks.trained(), keep=("url",))
 
@@ -100,4 +117,4 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash)}
+QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash, op5_planted_templates)}

@@ -1,38 +1,37 @@
 """URL filter by a tree of path templates per host.
 
-The first three path segments of a url become template parts: a segment that is a number, a hash,
-a date or a mix of letters and digits becomes a wildcard of its class, and what follows the third
-is one tail mark. A part whose parent has many different children of few pages each becomes ``*``
-as well. Sibling branches with labels whose share does not differ from that of the other siblings
-(two-sided test of proportions, |z| below ``z``) are merged into one branch, ``~``; branches that do
-differ stay apart, and those without any label are a branch of their own, ``?``. A template is
-rejected when its share of blocked labels, smoothed towards the share of its host and this towards
-that of all hosts, reaches ``purity``; one without labels has the share of all hosts, as the labels
-of other branches say nothing about it.
+The path segments of a url become template parts: a segment that is a number, a hash, a date or a
+mix of letters and digits becomes a wildcard of its class. A part whose parent has many different
+children of few pages each becomes ``*`` as well. Sibling branches with labels whose share does not
+differ from that of the other siblings (two-sided test of proportions, |z| below ``z``) are merged
+into one branch, ``~``; branches that do differ stay apart, and those without any label are a branch
+of their own, ``?``. A template is rejected when its share of blocked labels, smoothed towards the
+share of its host and this towards that of all hosts, reaches ``purity``; one without labels has the
+share of all hosts, as the labels of other branches say nothing about it.
 
 Labels are the verdicts of the given rules, so every page under a rule teaches the template it
-falls under. Pages are first counted by (host, template parts); the tree is built on those counts,
-and pages meet it again in one join on the same keys. DataFrame functions only.
+falls under. Pages are first counted by (host, template parts); the tree is grown on those counts
+level by level, as deep as different paths share a template, and what is left of a path that is
+alone is its own. Pages meet the tree again in one join. A host, node or template with a large part
+of all rows is joined by broadcast (see :func:`~.common.join_hot`). DataFrame functions only.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no rule and the
-verdict of the empty host's template; repeated rows are judged alike; an empty table gives an empty
-result; other columns are not read.
+verdict of the empty host's template; very long and very deep urls are read whole; repeated rows are
+judged alike; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import stored
+from .common import discard, join_hot, stored
 
 #: (verdict, host, path) of the fixed rules.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (pattern, wildcard): classes of variable segments, the first that fits counts.
 CLASSES = ((r"^[0-9]+$", "{n}"), (r"^[0-9]+\.[A-Za-z]+$", "{n}.x"), (r"^[0-9]{4}-[0-9]{2}(-[0-9]{2})?$", "{date}"), (r"^[0-9A-Fa-f-]{16,}$", "{hex}"), (r"[0-9]", "{mix}"))
-DEPTH = 3
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -60,47 +59,69 @@ def part(segment: Column) -> Column:
     return out
 
 
+def name_children(child: DataFrame, z: float, many: int, few: float) -> DataFrame:
+    """From (host, t, seg, cn, cs, cb, paths), the pages, labels and blocked labels below each child: host, t, seg, paths, name."""
+    node = child.groupBy("host", "t").agg(F.count(F.lit(1)).alias("kids"), F.sum("cn").alias("pn"), F.sum("cs").alias("ps"), F.sum("cb").alias("pb"))
+    child = join_hot(child, stored(node, "nodes"), ["host", "t"], "kids")
+    wild = (F.col("kids") > many) & (F.col("pn") < few * F.col("kids"))
+    share = F.col("pb") / F.col("ps")
+    spread = F.sqrt(share * (1 - share) * (1 / F.col("cs") + 1 / (F.col("ps") - F.col("cs"))))
+    others = (F.col("pb") - F.col("cb")) / (F.col("ps") - F.col("cs"))
+    differs = F.when((F.col("cs") == 0) | (F.col("ps") == F.col("cs")), False).when(spread == 0, False).otherwise(F.abs(F.col("cb") / F.col("cs") - others) >= z * spread)
+    merged = F.when((F.col("cs") == 0) & (F.col("ps") > 0), "?").otherwise("~")
+    name = F.when(F.col("seg") == "", "").when(wild, "*").when(differs, F.col("seg")).otherwise(merged)
+    return child.select("host", "t", "seg", "paths", name.alias("name"))
+
+
+def grown(paths: DataFrame, z: float, many: int, few: float) -> DataFrame:
+    """From (host, raw, n, seen, bad), the template parts of every path: with ``template``."""
+    kept = ["host", "raw", "n", "seen", "bad"]
+    cut = F.locate("/", F.col("rest"))
+    head = F.when(cut > 0, F.substring(F.col("rest"), F.lit(1), cut - 1)).otherwise(F.col("rest"))
+    tail = F.when(cut > 0, F.substring(F.col("rest"), cut + 1, F.length("rest")))
+    done, level = [], paths.select(*kept, F.lit("").alias("t"), F.col("raw").alias("rest"))
+    while True:
+        level = level.withColumns({"seg": head, "rest": tail})
+        child = level.groupBy("host", "t", "seg").agg(F.sum("n").alias("cn"), F.sum("seen").alias("cs"), F.sum("bad").alias("cb"), F.count(F.lit(1)).alias("paths"))
+        named = stored(name_children(stored(child, "children"), z, many, few), "names")
+        longer = F.concat("t", F.lit("/"), "name").alias("t")
+        level = stored(join_hot(level, named, ["host", "t", "seg"], "paths").select(*kept, longer, "rest"), "paths")
+        # a path that no other of its template goes on with is closed as it is
+        going = level.where("rest is not null").groupBy("host", "t").agg(F.count(F.lit(1)).alias("going"))
+        going = stored(going, "going")
+        alone = join_hot(level.where("rest is not null"), going, ["host", "t"], "going")
+        done.append(level.where("rest is null").select(*kept, "t"))
+        done.append(alone.where("going = 1").select(*kept, F.concat("t", F.lit("/"), "rest").alias("t")))
+        level = alone.where("going > 1").select(*kept, "t", "rest")
+        if going.where("going > 1").isEmpty():
+            break
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return stored(out.withColumnRenamed("t", "template"), "templates")
+
+
 def judge(pages: DataFrame, rules=RULES, purity: float = 0.8, alpha: float = 4.0, z: float = 1.96, many: int = 16, few: float = 4.0, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, template, score (the smoothed share of blocked labels)."""
     url = F.col(url_col)
     host, path = split_url(url)
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    segments = F.split(F.regexp_replace("path", "^/", ""), "/")
-    parts = [part(F.coalesce(F.get(F.col("segments"), F.lit(i)), F.lit(""))) for i in range(DEPTH)]
-    rows = rows.withColumns({"rule": rule, "fixed": verdict, "segments": segments}).withColumns({f"p{i}": p for i, p in enumerate(parts)})
-    rows = rows.withColumn("tail", F.when(F.size("segments") > DEPTH, "/**").otherwise("")).drop("segments")
-    rows = stored(rows, "urls")
-    raw = ["host", *(f"p{i}" for i in range(DEPTH)), "tail"]
+    # a part has no slash in it, so the joined parts tell as much as the list
+    raw = F.array_join(F.transform(F.split(F.regexp_replace("path", "^/", ""), "/"), part), "/")
+    rows = stored(rows.withColumns({"rule": rule, "fixed": verdict, "raw": raw}), "urls")
     labelled, blocked = F.col("fixed").isNotNull(), F.col("fixed") == "block"
-    tree = rows.groupBy(*raw).agg(F.count(F.lit(1)).alias("n"), F.count_if(labelled).alias("seen"), F.count_if(blocked).alias("bad"))
-    tree = stored(tree, "templates")
-    above = ["host"]
-    for i in range(DEPTH):
-        # wildcards: many children of few pages
-        child = tree.groupBy(*above, f"p{i}").agg(F.sum("n").alias("cn"), F.sum("seen").alias("cs"), F.sum("bad").alias("cb"))
-        level = W.partitionBy(*above)
-        child = child.withColumns({"kids": F.count(F.lit(1)).over(level), "pn": F.sum("cn").over(level), "ps": F.sum("cs").over(level), "pb": F.sum("cb").over(level)})
-        wild = (F.col("kids") > many) & (F.col("pn") < few * F.col("kids"))
-        # labelled siblings that do not differ from the others merge
-        share = F.col("pb") / F.col("ps")
-        spread = F.sqrt(share * (1 - share) * (1 / F.col("cs") + 1 / (F.col("ps") - F.col("cs"))))
-        others = (F.col("pb") - F.col("cb")) / (F.col("ps") - F.col("cs"))
-        differs = F.when((F.col("cs") == 0) | (F.col("ps") == F.col("cs")), False).when(spread == 0, False).otherwise(F.abs(F.col("cb") / F.col("cs") - others) >= z * spread)
-        merged = F.when((F.col("cs") == 0) & (F.col("ps") > 0), "?").otherwise("~")
-        name = F.when(F.col(f"p{i}") == "", "").when(wild, "*").when(differs, F.col(f"p{i}")).otherwise(merged)
-        child = child.select(*above, f"p{i}", name.alias(f"t{i}"))
-        tree = stored(tree.join(child, [*above, f"p{i}"]), "templates")
-        above = [*above, f"t{i}"]
-    template = [f"t{i}" for i in range(DEPTH)] + ["tail"]
-    leaves = tree.groupBy("host", *template).agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
-    hosts = leaves.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb"))
+    paths = stored(rows.groupBy("host", "raw").agg(F.count(F.lit(1)).alias("n"), F.count_if(labelled).alias("seen"), F.count_if(blocked).alias("bad")), "paths")
+    tree = grown(paths, z, many, few)
+    leaves = stored(tree.groupBy("host", "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("paths")), "leaves")
+    hosts = leaves.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb"), F.count(F.lit(1)).alias("templates"))
     whole = hosts.agg(F.coalesce(F.sum("hb") / F.nullif(F.sum("hs"), F.lit(0)), F.lit(0.0)).alias("base"))
-    hosts = hosts.select("host", "hs", "hb", whole.scalar().alias("base")).withColumn("prior", (F.col("hb") + alpha * F.col("base")) / (F.col("hs") + alpha))
-    leaves = leaves.join(hosts, "host").withColumn("score", F.when(F.col("seen") == 0, F.col("base")).otherwise((F.col("bad") + alpha * F.col("prior")) / (F.col("seen") + alpha)))
-    scored = tree.select(*raw, *template[:-1]).join(leaves.select("host", *template, "score"), ["host", *template])
-    shown = F.concat(F.lit("/"), F.concat_ws("/", *(F.nullif(F.col(f"t{i}"), F.lit("")) for i in range(DEPTH))), F.col("tail"))
-    scored = scored.select(*raw, shown.alias("template"), "score")
-    return rows.join(scored, raw).select(
+    hosts = hosts.select("host", "hs", "hb", "templates", whole.scalar().alias("base")).withColumn("prior", (F.col("hb") + alpha * F.col("base")) / (F.col("hs") + alpha))
+    leaves = join_hot(leaves, stored(hosts, "hosts"), ["host"], "templates")
+    score = F.when(F.col("seen") == 0, F.col("base")).otherwise((F.col("bad") + alpha * F.col("prior")) / (F.col("seen") + alpha))
+    leaves = stored(leaves.select("host", "template", "paths", score.alias("score")), "scores")
+    scored = stored(join_hot(tree.select("host", "raw", "n", "template"), leaves, ["host", "template"], "paths").drop("paths"), "scored")
+    discard(tree, paths)
+    return join_hot(rows, scored, ["host", "raw"], "n").select(
         "page_id", "host", "path", "rule", F.coalesce("fixed", F.when(F.col("score") >= purity, "block").otherwise("allow")).alias("verdict"), "template", "score"
     )

@@ -83,7 +83,7 @@ def test_pure_templates_are_rejected_and_mixed_ones_are_not(spark):
     rows += [(i, f"http://bad.net/news/{i - 200}") for i in range(300, 400)] + [(i, f"http://bad.net/news/2{i}") for i in range(400, 420)]
     got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
     assert {got[i].verdict for i in range(200, 220)} == {"block"} and {got[i].verdict for i in range(400, 420)} == {"allow"}
-    assert got[205].rule is None and got[205].template == "/spam/~/~"
+    assert got[205].rule is None and got[205].template == got[105].template == "/spam/{n}/p" and got[405].template == got[305].template
 
 
 def test_branches_without_labels_are_not_judged_by_others(spark):
@@ -96,6 +96,22 @@ def test_branches_without_labels_are_not_judged_by_others(spark):
     assert len({got[i].score for i in range(200, 206)}) == 1
 
 
+def test_deep_and_long_urls(spark):
+    deep = "http://deep.net/" + "/".join(f"s{i}x" for i in range(3000))
+    rows = [(1, deep), (2, "http://deep.net/" + "y" * 100_000), (3, "http://deep.net/a/b/c/d/e/f/g"), (4, "http://deep.net/a/b/c/d/e/f/h"), (5, "http://deep.net/a/b"), (6, "http://deep.net/a/b/")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert len(got) == 6 and got[3].template == got[4].template != got[5].template != got[6].template and got[1].path == deep[15:]
+    assert {r.verdict for r in got.values()} == {"allow"}
+
+
+def test_labels_below_the_third_segment_decide(spark):
+    from corpusloom.llm.queries import PLANTED_RULES, planted_pages
+
+    got = url_filter.judge(planted_pages(spark.range(300).withColumnRenamed("id", "page_id")), PLANTED_RULES).collect()
+    assert all(r.verdict == ("allow" if r.page_id % 2 else "block") for r in got) and sum(r.rule is None for r in got) > 150
+    assert {r.template for r in got} == {"/~/~/~/spam/~/~", "/~/~/~/news/~/~"}
+
+
 def test_interleave(odd, none, make):
     rows = [(i, "x" * (i % 5), None, "hot" if i % 3 else f"s{i % 7}") for i in range(1000)]
     got = sharding.interleave(make(rows), n_shards=16).collect()
