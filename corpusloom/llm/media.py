@@ -4,9 +4,12 @@
 ``unit`` bytes, several pictures to a chunk, every ``key_every``-th marked as a sync sample.
 
 :func:`probe` walks the nested boxes of any file and decodes the sample tables: sizes (stsz, stz2),
-chunks (stsc, stco, co64), times (stts), sync samples (stss). It gives codec, duration and the
-byte range of every keyframe, and touches no payload byte. :func:`read_track` follows the same
-tables to fetch the samples.
+chunks (stsc, stco, co64), times (stts), sync samples (stss), and the runs of fragments (tfhd, tfdt,
+trun, with the defaults of trex). It gives codec, duration and the byte range of every keyframe of
+the first video track (of the first track if there is no video), lists all tracks, and touches no
+payload byte. :func:`read_track` follows the same tables to fetch the samples. Counts are held
+against the file's size before anything is made of them, so a hostile file costs no more memory
+than an honest one.
 
 Column forms: :func:`with_media` (text to a media column) and :func:`with_probe` (media column to
 codec, time scale, duration, samples, keyframe ranges, payload or why it can't be read). Rows are
@@ -32,6 +35,8 @@ from .common import ship
 UNIT, KEY_EVERY, PER_CHUNK, TIMESCALE, TICKS = 64, 16, 64, 600, 20
 #: Boxes that hold nothing but boxes.
 CONTAINERS = frozenset((b"moov", b"trak", b"mdia", b"minf", b"dinf", b"stbl", b"edts", b"mvex", b"moof", b"traf", b"udta"))
+#: Containers in containers beyond this depth hold no tables.
+DEEPEST = 16
 #: Bytes of input handled at once in a task, beside a single row.
 SLICE_BYTES = 16 << 20
 MATRIX = struct.pack(">9i", 0x10000, 0, 0, 0, 0x10000, 0, 0, 0, 0x40000000)
@@ -106,8 +111,8 @@ class Broken(ValueError):
     """The boxes or tables of a file contradict each other."""
 
 
-def boxes(data: memoryview, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
-    """(kind, start, end) of the contents of each box between ``at`` and ``end``."""
+def boxes(data: memoryview, at: int, end: int) -> Iterator[tuple[bytes, int, int, int]]:
+    """(kind, start of the box, start and end of its contents) of each box between ``at`` and ``end``."""
     while at < end:
         if end - at < 8:
             raise Broken("a box header is cut off")
@@ -121,12 +126,12 @@ def boxes(data: memoryview, at: int, end: int) -> Iterator[tuple[bytes, int, int
             n = end - at
         if n < start - at or at + n > end:
             raise Broken(f"box {kind!r} reaches beyond what holds it")
-        yield kind, start, at + n
+        yield kind, at, start, at + n
         at += n
 
 
-def walk(data: memoryview) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path of kinds, start, end) of every box, parents first; iterative, so depth is no matter."""
+def walk(data: memoryview) -> Iterator[tuple[tuple[bytes, ...], int, int, int]]:
+    """(path of kinds, start of the box, start and end of its contents) of every box, parents first; iterative, so depth is no matter."""
     todo = [((), boxes(data, 0, len(data)))]
     while todo:
         path, level = todo[-1]
@@ -134,9 +139,9 @@ def walk(data: memoryview) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
         if found is None:
             todo.pop()
             continue
-        kind, start, stop = found
-        yield (*path, kind), start, stop
-        if kind in CONTAINERS:
+        kind, at, start, stop = found
+        yield (*path, kind), at, start, stop
+        if kind in CONTAINERS and len(path) < DEEPEST:
             todo.append(((*path, kind), boxes(data, start, stop)))
 
 
@@ -149,21 +154,42 @@ def _table(data: memoryview, start: int, end: int, skip: int, width: int, kind:
 
 
 def tracks(data: memoryview) -> list[dict]:
-    """Per track: codec, timescale, duration, and numpy arrays offset, size, time and sync, one entry a sample."""
+    """Per track: id, handler, codec, timescale, duration, and numpy arrays offset, size, time and sync, one entry a sample."""
     found: list[dict] = []
-    for path, start, end in walk(data):
+    defaults: dict[int, tuple[int, int, int]] = {}
+    fragments: list[dict] = []
+    moof = 0
+    for path, at, start, end in walk(data):
         kind = path[-1]
+        if path[0] == b"moof":
+            if kind == b"moof":
+                moof = at
+                fragments.append({"moof": moof, "first": True})
+            elif kind == b"traf":
+                fragments.append({"moof": moof, "first": fragments[-1].pop("first", False), "runs": []})
+            elif kind == b"tfhd":
+                fragments[-1]["tfhd"] = _track_head(data, start, end)
+            elif kind == b"tfdt":
+                fragments[-1]["time"] = struct.unpack_from(">Q" if data[start] else ">I", data, start + 4)[0]
+            elif kind == b"trun" and "runs" in fragments[-1]:
+                fragments[-1]["runs"].append((start, end))
+            continue
+        if kind == b"trex":
+            track, _, *rest = struct.unpack_from(">5I", data, start + 4)
+            defaults[track] = tuple(rest)
         if kind == b"trak":
             found.append({})
         if b"trak" not in path or path[0] != b"moov" or not found:
             continue
         t = found[-1]
-        if kind == b"mdhd":
+        if kind == b"tkhd":
+            t["id"] = struct.unpack_from(">I", data, start + (20 if data[start] else 12))[0]
+        elif kind == b"mdhd":
             t["timescale"], t["duration"] = struct.unpack_from(">IQ" if data[start] else ">II", data, start + (20 if data[start] else 12))
         elif kind == b"hdlr":
             t["handler"] = bytes(data[start + 8 : start + 12]).decode("latin-1")
         elif kind == b"stsd":
-            t["codec"] = next((k.decode("latin-1") for k, _, _ in boxes(data, start + 8, end)), None)
+            t["codec"] = next((k.decode("latin-1") for k, *_ in boxes(data, start + 8, end)), None)
         elif kind == b"stts":
             t["stts"] = _table(data, start, end, 4, 2)
         elif kind == b"stss":
@@ -176,6 +202,8 @@ def tracks(data: memoryview) -> list[dict]:
             t["chunks"] = _table(data, start, end, 4, 1, ">u8")[:, 0]
         elif kind == b"stsz":
             same, n = struct.unpack_from(">II", data, start + 4)
+            if same * n > len(data):
+                raise Broken("the samples are larger than the file")
             t["size"] = np.full(n, same, np.int64) if same else _table(data, start, end, 8, 1)[:, 0]
         elif kind == b"stz2":
             bits, n = data[start + 7], struct.unpack_from(">I", data, start + 8)[0]
@@ -183,9 +211,73 @@ def tracks(data: memoryview) -> list[dict]:
             t["size"] = (np.stack((raw >> 4, raw & 15), 1).ravel() if bits == 4 else raw if bits == 8 else raw[: len(raw) // 2 * 2].view(">u2"))[:n].astype(np.int64)
     for t in found:
         _place(t, len(data))
+    _add_fragments(data, found, defaults, [f for f in fragments if f.get("runs")])
     return found
 
 
+def _track_head(data: memoryview, start: int, end: int) -> dict:
+    """What a fragment says of its track: id, base (of offsets), and default duration, size and flags of samples."""
+    flags, track = struct.unpack_from(">II", data, start)
+    out, at = {"id": track, "whole": flags & 0x20000}, start + 8
+    for bit, name, kind in ((0x1, "base", ">Q"), (0x2, None, ">I"), (0x8, "duration", ">I"), (0x10, "size", ">I"), (0x20, "flags", ">I")):
+        if flags & bit:
+            if at + struct.calcsize(kind) > end:
+                raise Broken("a fragment's head is cut off")
+            if name:
+                out[name] = struct.unpack_from(kind, data, at)[0]
+            at += struct.calcsize(kind)
+    return out
+
+
+def _add_fragments(data: memoryview, found: list[dict], defaults: dict[int, tuple[int, int, int]], fragments: list[dict]) -> None:
+    """Append the samples of fragments to their tracks."""
+    by_id = {t.get("id"): t for t in found}
+    ended = 0
+    for f in fragments:
+        head = f.get("tfhd")
+        t = by_id.get(head["id"]) if head else None
+        if t is None:
+            raise Broken("a fragment's track doesn't exist")
+        duration, size, flags = (head.get(k, v) for k, v in zip(("duration", "size", "flags"), defaults.get(head["id"], (0, 0, 0)), strict=True))
+        at = base = head.get("base", f["moof"] if head["whole"] or f["first"] else ended)
+        parts = t.setdefault("parts", [])
+        time = f.get("time", parts[-1][4] if parts else int(t["end"]))
+        for start, end in f["runs"]:
+            said, n = struct.unpack_from(">II", data, start)
+            fields = [bit for bit in (0x100, 0x200, 0x400, 0x800) if said & bit]
+            p = start + 8
+            if said & 0x1:
+                at, p = base + struct.unpack_from(">i", data, p)[0], p + 4
+            first = None
+            if said & 0x4:
+                first, p = struct.unpack_from(">I", data, p)[0], p + 4
+            if p + 4 * n * len(fields) > end or not said & 0x200 and size * n > len(data) or not fields and not size and n > len(data):
+                raise Broken("a fragment's run is longer than its box or the file")
+            table = np.frombuffer(data[p : p + 4 * n * len(fields)], ">u4").astype(np.int64).reshape(n, len(fields))
+            column = lambda bit, default: table[:, fields.index(bit)] if bit in fields else np.full(n, default, np.int64)  # noqa: B023, E731
+            sizes, steps, marks = column(0x200, size), column(0x100, duration), column(0x400, flags)
+            if first is not None and n:
+                marks = marks.copy()
+                marks[0] = first
+            ends = np.cumsum(sizes)
+            offset = at + ends - sizes
+            if n and (at < 0 or offset[-1] + sizes[-1] > len(data)):
+                raise Broken("a sample lies outside the file")
+            times = time + np.cumsum(steps) - steps
+            at, time = at + (int(ends[-1]) if n else 0), time + int(steps.sum())
+            parts.append((offset, sizes, times, np.flatnonzero((marks & 0x10000) == 0), time))
+        ended = at
+    for t in found:
+        if parts := t.pop("parts", None):
+            before = np.cumsum([len(t["size"]), *(len(x[1]) for x in parts)])
+            t["sync"] = np.concatenate([t["sync"], *(x[3] + b for x, b in zip(parts, before))])
+            for k, name in enumerate(("offset", "size", "time")):
+                t[name] = np.concatenate([t[name], *(x[k] for x in parts)])
+            t["end"] = max(t["end"], *(x[4] for x in parts))
+        t["duration"] = t.get("duration") or int(t.pop("end"))
+        t.pop("end", None)
+
+
 def _place(t: dict, end: int) -> None:
     size, chunks, runs = t.get("size"), t.get("chunks"), t.pop("stsc", None)
     if size is None or chunks is None or runs is None:
@@ -208,22 +300,26 @@ def _place(t: dict, end: int) -> None:
     else:
         t["offset"] = np.zeros(0, np.int64)
     stts = t.pop("stts", np.zeros((0, 2), np.int64))
-    steps = np.repeat(stts[:, 1], stts[:, 0])[:n]
-    t["time"] = np.cumsum(steps) - steps
+    # no more steps than samples, whatever the table says
+    counts = np.minimum(stts[:, 0], n)
+    counts = np.clip(counts, 0, np.maximum(0, n - (np.cumsum(counts) - counts)))
+    steps = np.repeat(stts[:, 1], counts)
+    t["time"], t["end"] = np.cumsum(steps) - steps, steps.sum()
     t["sync"] = t.pop("stss", np.arange(n))
     if len(t["sync"]) and (t["sync"].min() < 0 or t["sync"].max() >= n):
         raise Broken("a sync sample doesn't exist")
 
 
 def probe(data: bytes) -> dict:
-    """Codec, timescale, duration, n_samples and keyframes (time, offset, size) of the first track."""
+    """Codec, timescale, duration, n_samples and keyframes (time, offset, size) of the first video track, or else of the first track; all tracks in short."""
     found = tracks(memoryview(data))
     if not found:
         raise Broken("no track")
-    t = found[0]
+    t = next((t for t in found if t.get("handler") == "vide"), found[0])
     k = t["sync"]
     times = t["time"][k] if len(t["time"]) == len(t["size"]) else np.zeros(len(k), np.int64)
-    return {"codec": t.get("codec"), "timescale": t.get("timescale"), "duration": t.get("duration"), "n_samples": len(t["size"]), "keyframes": (times, t["offset"][k], t["size"][k]), "track": t}
+    listed = [{"handler": x.get("handler"), "codec": x.get("codec"), "timescale": x.get("timescale"), "duration": x.get("duration"), "n_samples": len(x["size"]), "n_keyframes": len(x["sync"])} for x in found]
+    return {"codec": t.get("codec"), "timescale": t.get("timescale"), "duration": t.get("duration"), "n_samples": len(t["size"]), "keyframes": (times, t["offset"][k], t["size"][k]), "tracks": listed, "track": t}
 
 
 def read_track(data: bytes, track: dict) -> bytes:
@@ -264,30 +360,33 @@ def with_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 KEYFRAMES = "array<struct<time: bigint, offset: bigint, size: bigint>>"
+TRACKS = "array<struct<handler: string, codec: string, timescale: bigint, duration: bigint, n_samples: bigint, n_keyframes: bigint>>"
 
 
 def with_probe(media: DataFrame, media_col: str = "media", payload: bool = False) -> DataFrame:
-    """Adds codec, timescale, duration, n_samples, keyframes and problem; with ``payload`` also the bytes of all samples.
+    """Adds codec, timescale, duration, n_samples, keyframes, problem and tracks; with ``payload`` also the bytes of all samples.
 
     Columns of those names that are there already are replaced.
     """
     ship(media.sparkSession)
-    fields = ["codec", "timescale", "duration", "n_samples", "keyframes", "problem"] + ["payload"] * payload
+    fields = ["codec", "timescale", "duration", "n_samples", "keyframes", "problem", "tracks"] + ["payload"] * payload
     keep = [c for c in media.columns if c not in fields]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("time", pa.int64()), ("offset", pa.int64()), ("size", pa.int64())])), pa.string(), pa.binary()]
+    numbers = lambda *names: [(n, pa.int64()) for n in names]
+    listed = pa.list_(pa.struct([("handler", pa.string()), ("codec", pa.string()), *numbers("timescale", "duration", "n_samples", "n_keyframes")]))
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct(numbers("time", "offset", "size"))), pa.string(), listed, pa.binary()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, keep.index(media_col)):
-                out: list[list] = [[] for _ in range(7)]
+                out: list[list] = [[] for _ in range(8)]
                 for data in batch.column(keep.index(media_col)).to_pylist():
                     try:
                         if data is None:
                             raise Broken("null")
                         p = probe(data)
-                        row = [p["codec"], p["timescale"], p["duration"], p["n_samples"], p["keyframes"], None, read_track(data, p["track"]) if payload else None]
-                    except (Broken, struct.error, IndexError) as e:
-                        row = [None, None, None, None, None, str(e), None]
+                        row = [p["codec"], p["timescale"], p["duration"], p["n_samples"], p["keyframes"], None, p["tracks"], read_track(data, p["track"]) if payload else None]
+                    except (ValueError, struct.error, IndexError, OverflowError, MemoryError) as e:
+                        row = [None, None, None, None, None, str(e) or type(e).__name__, None, None]
                     for k, v in zip(out, row, strict=True):
                         k.append(v)
                 sizes = [-1 if k is None else len(k[0]) for k in out[4]]
@@ -298,6 +397,6 @@ def with_probe(media: DataFrame, media_col: str = "media", payload: bool = False
                 made = [lists if i == 4 else pa.array(x, kinds[i]) for i, x in enumerate(out[: len(fields)])]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*keep, *fields])
 
-    types = ["string", "bigint", "bigint", "bigint", KEYFRAMES, "string", "binary"]
+    types = ["string", "bigint", "bigint", "bigint", KEYFRAMES, "string", TRACKS, "binary"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema if f.name in keep), *(f"{n} {t}" for n, t in zip(fields, types))])
     return media.select(*keep).mapInArrow(read, schema)
