@@ -30,12 +30,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import ship
 
 ORDER = 4
 #: Bound of the training sample: documents of a language, and bytes of a language (whole documents, passing over those that do not fit; if none fits, the head of the shortest).
 SAMPLE_DOCS, SAMPLE_BYTES = 256, 400_000
+#: Bound of the languages that are learned: those with the most labelled documents.
+SAMPLE_LANGUAGES = 256
 EVIDENCE = 64
 LETTER = regex.compile(r"\p{L}")
 #: Separates documents and stands for the context before their first byte; as long as the longest context.
@@ -191,50 +194,46 @@ class Model:
         return [self.languages[b] if ok else "und" for b, ok in zip(best, lettered)], np.where(lettered, score, 0.0)
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int | None = 2, folds: int = 4, per_language: int = SAMPLE_DOCS, max_bytes: int = SAMPLE_BYTES) -> dict[str, list[bytes]]:
-    """The training texts: of each language the first documents in a hashed order of ids, whole, up to the two bounds.
+def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int | None = 2, folds: int = 4, per_language: int = SAMPLE_DOCS, max_bytes: int = SAMPLE_BYTES, languages: int = SAMPLE_LANGUAGES) -> dict[str, list[bytes]]:
+    """The training texts: of each language the first documents in a hashed order of ids and texts, whole, up to the two bounds.
 
-    Ids are picked by a hash threshold that counts have fixed, so no group is sorted or sent as a whole.
+    A hash threshold that counts have fixed leaves a few times ``per_language`` rows of each language, and a rank that Spark
+    limits in every task before it shuffles holds that bound where rows tie, as those without id do.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if held_out is not None:
         rows = rows.where(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds != held_out)
-    share = F.pmod(F.xxhash64(F.col(id_col), F.lit("train")), F.lit(1 << 20))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    candidates = 2 * per_language + 64
+    share = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("train")), 2)
+    counts = rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("__n"), F.min(share).alias("__least")).orderBy(F.desc("__n"), lang_col).limit(languages).collect()
     if not counts:
         return {}
-    limit = F.lit(0)
-    for lang, n in counts.items():
-        limit = F.when(F.col(lang_col) == lang, F.lit(min(1 << 20, int((2 * per_language + 64) / n * (1 << 20)) + 1))).otherwise(limit)
-    # at most a few times per_language rows of each language meet here, by the threshold
-    picked = rows.where(share < limit).select(F.col(lang_col).alias("lang"), share.alias("h"), F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.octet_length(text_col).alias("n"))
+    limit = F.lit(-1).cast("long")
+    for lang, n, least in counts:  # the least, as few different rows may all lie above the threshold
+        limit = F.when(F.col(lang_col) == lang, F.lit(max(least, min((1 << 62) - 1, (candidates << 62) // n))).cast("long")).otherwise(limit)
+    picked = rows.where(share <= limit).select(F.col(lang_col).alias("lang"), share.alias("h"), F.xxhash64(F.col(text_col)).alias("x"), F.octet_length(text_col).alias("n"), F.col(text_col).alias("text"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("h", "x", "n"))
     order: dict[str, list] = {}
-    for r in picked.select("lang", "h", "i", "n").collect():
-        order.setdefault(r["lang"], []).append((r["h"], r["i"] is None, r["i"] or 0, r["n"]))
+    for r in picked.select("lang", "h", "x", "n", place.alias("place")).where(F.col("place") <= candidates).collect():
+        order.setdefault(r["lang"], []).append((r["h"], r["x"], r["n"]))
     need: Counter = Counter()
     for lang, found in order.items():
         found.sort()
         size = taken = 0
-        for h, _, i, n in found:
+        for h, x, n in found:
             # a text that does not fit is passed over, so a very long one takes no other's place
             if taken < per_language and size + n <= max_bytes:
                 size, taken = size + n, taken + 1
-                need[lang, h, i, n] += 1
+                need[lang, h, x, n] += 1
         if not taken:
-            h, _, i, n = min(found, key=lambda x: x[3])
-            need[lang, h, i, n] = 1
-    wanted = F.lit(False)
-    for lang in order:
-        of = [k for k in need if k[0] == lang]
-        wanted = wanted | ((F.col("lang") == lang) & F.col("h").isin([k[1] for k in of]) & F.col("n").isin([k[3] for k in of]))
-    # no character is shorter than a byte, so this much holds the part that is used
-    rows = picked.where(wanted).select("lang", "h", "i", "n", F.left("text", F.lit(max_bytes)).alias("text")).collect()
-    texts: dict[str, list] = {}
-    for key, text in sorted(((r["lang"], r["h"], r["i"] or 0, r["n"]), r["text"]) for r in rows):
-        if need[key] > 0:
-            need[key] -= 1
-            texts.setdefault(key[0], []).append((key[1], key[2], text))
-    return {lang: [t.lower().encode("utf-8", "surrogatepass")[:max_bytes] for _, _, t in sorted(found)] for lang, found in texts.items()}
+            need[(lang, *min(found, key=lambda x: x[2]))] = 1
+    wanted = docs.sparkSession.createDataFrame(sorted(need), "lang string, h long, x long, n int")
+    # no character is shorter than a byte, so this much holds the part that is used; rows that tie have one text
+    rows = picked.join(F.broadcast(wanted), ["lang", "h", "x", "n"], "left_semi").withColumn("text", F.left("text", F.lit(max_bytes))).dropDuplicates(["lang", "h", "x", "n"]).collect()
+    texts: dict[str, list[bytes]] = {}
+    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["x"], r["n"])):
+        texts.setdefault(r["lang"], []).extend([r["text"].lower().encode("utf-8", "surrogatepass")[:max_bytes]] * need[r["lang"], r["h"], r["x"], r["n"]])
+    return texts
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
