@@ -4,10 +4,15 @@ A document keeps a segment tree over its pre-tokens: leaves are runs of pre-toke
 in characters and the token count of each, inner nodes hold the sums of both. An edit finds its
 place by descending the length sums, walks back by the boundary context (how far beyond its end a
 pre-token's extent can depend on the text), splits pre-tokens again from there until a boundary
-falls on an old one behind the edit, and encodes only the pre-tokens of that stretch. The sums on
-the paths of the leaves it touched are updated; the total is the root's.
+falls on an old one behind the edit, and encodes only the pre-tokens of that stretch. Only sums on
+the paths of the leaves it touched are updated; the total is the root's. Leaves lie in the slots of
+an implicit binary tree with room between them: new leaves are spread over the least window around
+them that has room, so an edit moves few leaves, and the tree grows only when it is nearly full.
+The stored tree holds its sums, so nothing is summed again when it is loaded.
 
-A byte-level BPE never merges across pre-tokens, so the counts are those of the whole text.
+A byte-level BPE never merges across pre-tokens, so the counts are those of the whole text. How far
+a pre-token's extent can depend on what follows it is known for the patterns in ``CONTEXTS``; any
+other pattern is refused unless the caller gives its ``context``.
 
 :func:`build` makes the tree column of a table, :func:`apply_edits` takes it on. Edits of a
 document are an array of (start, end, text) in characters, applied in order, each to the result of
@@ -32,17 +37,21 @@ from .common import ship
 
 #: Pre-tokens in a leaf when it is made; it is split at twice this.
 LEAF = 64
-#: A pre-token's extent depends on no more than so many characters behind its end.
-CONTEXT = 3
+#: Patterns, and the characters behind its end that a pre-token's extent can depend on: none of their parts looks further ahead.
+CONTEXTS = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+": 3}
 REMEMBERED = 300_000
 
 
 class Counter:
     """Splits text into pre-tokens and counts the tokens of each."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, context: int | None = None):
         import tiktoken
 
+        self.context = CONTEXTS.get(pattern) if context is None else context
+        if self.context is None:
+            raise ValueError("how far this pattern looks ahead isn't known: give its context in characters")
+
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -65,70 +74,149 @@ class Counter:
 
 
 @lru_cache(maxsize=2)
-def counter(ranks_path: str, pattern: str) -> Counter:
-    return Counter(ranks_path, pattern)
+def counter(ranks_path: str, pattern: str, context: int | None = None) -> Counter:
+    return Counter(ranks_path, pattern, context)
 
 
 class Tree:
-    """Leaves of (lengths, counts) lists, and an implicit binary tree of their sums."""
+    """Leaves of (lengths, counts) in the slots of an implicit binary tree; ``sums`` has characters, tokens and leaves below each node."""
 
     def __init__(self, lengths: list[int], counts: list[int]):
-        self.leaves = [(lengths[i : i + LEAF], counts[i : i + LEAF]) for i in range(0, len(lengths), LEAF)] or [([], [])]
-        self._sum_all()
+        self._lay([(lengths[i : i + LEAF], counts[i : i + LEAF]) for i in range(0, len(lengths), LEAF)])
 
-    def _sum_all(self) -> None:
-        n = self.size = 1 << (len(self.leaves) - 1).bit_length()
-        self.chars, self.tokens = [0] * (2 * n), [0] * (2 * n)
-        for i, (a, b) in enumerate(self.leaves):
-            self.chars[n + i], self.tokens[n + i] = sum(a), sum(b)
-        for i in range(n - 1, 0, -1):
-            self.chars[i], self.tokens[i] = self.chars[2 * i] + self.chars[2 * i + 1], self.tokens[2 * i] + self.tokens[2 * i + 1]
+    def _lay(self, leaves: list) -> None:
+        n = self.size = 2 << max(0, len(leaves) - 1).bit_length()
+        self.slots: list = [None] * n
+        self.sums = [[0] * (2 * n) for _ in range(3)]
+        self._spread(1, leaves)
 
     @property
     def total(self) -> int:
-        return self.tokens[1]
+        return self.sums[1][1]
+
+    @property
+    def chars(self) -> int:
+        return self.sums[0][1]
+
+    def leaf(self, slot: int) -> tuple[list[int], list[int]]:
+        """The lists of a leaf; one that lies in the stored bytes is unpacked when it is first asked for."""
+        found = self.slots[slot]
+        if found is None:
+            return [], []
+        if not isinstance(found[0], list):
+            found = self.slots[slot] = (found[0].tolist(), found[1].tolist())
+        return found
+
+    def _window(self, node: int) -> tuple[int, int]:
+        """First slot and number of slots below a node."""
+        width = self.size >> (node.bit_length() - 1)
+        return node * width - self.size, width
+
+    def _spread(self, node: int, leaves: list) -> None:
+        """Deal leaves evenly over the slots below ``node`` and sum there; sums above are not touched."""
+        first, width = self._window(node)
+        self.slots[first : first + width] = [None] * width
+        for i, leaf in enumerate(leaves):
+            self.slots[first + i * width // len(leaves)] = leaf
+        chars, tokens, used = self.sums
+        for slot in range(first, first + width):
+            x, at = self.slots[slot], self.size + slot
+            chars[at], tokens[at], used[at] = (0, 0, 0) if x is None else (int(sum(x[0])), int(sum(x[1])), 1)
+        lo, n = (self.size + first) // 2, width // 2
+        while n:
+            for at in range(lo, lo + n):
+                for row in self.sums:
+                    row[at] = row[2 * at] + row[2 * at + 1]
+            lo, n = lo // 2, n // 2
+
+    def _climb(self, nodes: set[int]) -> None:
+        """Sum again on the paths from nodes to the root."""
+        while nodes := {n // 2 for n in nodes if n > 1}:
+            for at in nodes:
+                for row in self.sums:
+                    row[at] = row[2 * at] + row[2 * at + 1]
 
     def find(self, at: int) -> tuple[int, int, int]:
-        """(leaf, pre-token in it, start) of the pre-token that holds character ``at``; at the end, one behind the last."""
-        if at >= self.chars[1]:
-            last = len(self.leaves) - 1
-            return last, len(self.leaves[last][0]), self.chars[1]
+        """(slot, pre-token in its leaf, start) of the pre-token that holds character ``at``; at the end, one behind the last."""
+        chars = self.sums[0]
+        if at >= chars[1]:
+            slot = self.last()
+            return slot, len(self.leaf(slot)[0]), chars[1]
         node, start = 1, 0
         while node < self.size:
             node *= 2
-            if at >= start + self.chars[node]:
-                start += self.chars[node]
+            if at >= start + chars[node]:
+                start += chars[node]
                 node += 1
-        leaf = node - self.size
-        for k, n in enumerate(self.leaves[leaf][0]):
+        slot = node - self.size
+        for k, n in enumerate(self.leaf(slot)[0]):
             if at < start + n:
-                return leaf, k, start
+                return slot, k, start
             start += n
         raise AssertionError("sums and leaves differ")
 
+    def last(self) -> int:
+        """The slot of the last leaf; the first if there is none."""
+        node, used = 1, self.sums[2]
+        while node < self.size:
+            node = 2 * node + (used[2 * node + 1] > 0)
+        return node - self.size if used[1] else 0
+
     def splice(self, first: tuple[int, int], last: tuple[int, int], lengths: list[int], counts: list[int]) -> None:
-        """Put new pre-tokens in place of those from ``first`` up to, without, ``last``, each (leaf, pre-token)."""
+        """Put new pre-tokens in place of those from ``first`` up to, without, ``last``, each (slot, pre-token)."""
         (a, i), (b, j) = first, last
-        lengths = self.leaves[a][0][:i] + lengths + self.leaves[b][0][j:]
-        counts = self.leaves[a][1][:i] + counts + self.leaves[b][1][j:]
-        if a == b and len(lengths) <= 2 * LEAF:
-            self.leaves[a] = (lengths, counts)
-            node = self.size + a
-            self.chars[node], self.tokens[node] = sum(lengths), sum(counts)
-            while node := node // 2:
-                self.chars[node], self.tokens[node] = self.chars[2 * node] + self.chars[2 * node + 1], self.tokens[2 * node] + self.tokens[2 * node + 1]
+        lengths = self.leaf(a)[0][:i] + lengths + self.leaf(b)[0][j:]
+        counts = self.leaf(a)[1][:i] + counts + self.leaf(b)[1][j:]
+        step = 2 * LEAF if len(lengths) <= 2 * LEAF else LEAF
+        new = [(lengths[k : k + step], counts[k : k + step]) for k in range(0, len(lengths), step)]
+        free = [s for s in range(a, b + 1)]
+        if len(new) <= len(free):
+            # those that are left over stay empty
+            for slot, leaf in zip(free, [*new, *[None] * (len(free) - len(new))], strict=True):
+                self.slots[slot] = leaf
+                at = self.size + slot
+                for row, value in zip(self.sums, (0, 0, 0) if leaf is None else (sum(leaf[0]), sum(leaf[1]), 1), strict=True):
+                    row[at] = value
+            self._climb({self.size + s for s in free})
             return
-        self.leaves[a : b + 1] = [(lengths[k : k + LEAF], counts[k : k + LEAF]) for k in range(0, len(lengths), LEAF)] or [([], [])]
-        self._sum_all()
+        node = self.size + a
+        while True:
+            lo, width = self._window(node)
+            if lo + width > b:
+                leaves = [x for s, x in enumerate(self.slots[lo:a], lo) if x is not None] + new + [x for x in self.slots[b + 1 : lo + width] if x is not None]
+                if len(leaves) <= (width if width < 8 else width * 3 // 4):
+                    break
+            if node == 1:
+                self._lay(leaves)
+                return
+            node //= 2
+        # leaves below the window's edges that the edit took out are gone with it, as it reaches over all of them
+        self._spread(node, leaves)
+        self._climb({node})
 
     def dump(self) -> bytes:
-        flat = [np.fromiter((x for leaf in self.leaves for x in leaf[k]), "<u4") for k in (0, 1)]
-        return np.concatenate(flat).tobytes()
+        """Header, sums, leaf sizes, then lengths and counts of all pre-tokens."""
+        leaves = [x for x in self.slots if x is not None]
+        sizes = np.array([0 if x is None else len(x[0]) for x in self.slots], "<u4")
+        flat = [np.concatenate([np.zeros(0, "<u4"), *(np.asarray(x[k], "<u4") for x in leaves)]) for k in (0, 1)]
+        return np.concatenate([np.array([self.size, len(flat[0])], "<u4"), *(np.array(row, "<u4") for row in self.sums), sizes, *flat]).tobytes()
 
     @classmethod
     def load(cls, data: bytes) -> Tree:
-        flat = np.frombuffer(data, "<u4").tolist()
-        return cls(flat[: len(flat) // 2], flat[len(flat) // 2 :])
+        flat = np.frombuffer(data, "<u4")
+        tree = cls.__new__(cls)
+        n, pre_tokens = tree.size, _ = flat[:2].tolist()
+        tree.sums = [flat[2 + k * 2 * n : 2 + (k + 1) * 2 * n].tolist() for k in range(3)]
+        sizes = flat[2 + 6 * n : 2 + 7 * n]
+        lengths, counts = flat[2 + 7 * n : 2 + 7 * n + pre_tokens], flat[2 + 7 * n + pre_tokens :]
+        ends = np.cumsum(sizes).tolist()
+        tree.slots = [(lengths[e - s : e], counts[e - s : e]) if s else None for s, e in zip(sizes.tolist(), ends, strict=True)]
+        return tree
+
+    @staticmethod
+    def pre_tokens(data: bytes) -> int:
+        """The number of pre-tokens of a stored tree."""
+        return int(np.frombuffer(data, "<u4", 1, 4)[0])
 
 
 def plant(text: str, counter: Counter) -> Tree:
@@ -151,10 +239,10 @@ def edit(tree: Tree, text: str, start: int, end: int, new: str, counter: Counter
     end = max(start, min(end, len(text)))
     after = text[:start] + new + text[end:]
     grown, behind = len(new) - (end - start), start + len(new)
-    leaf, k, at = tree.find(max(0, start - CONTEXT))
-    if k == len(tree.leaves[leaf][0]) and k:  # beyond the end: the last pre-token may go on
+    leaf, k, at = tree.find(max(0, start - counter.context))
+    if k == len(tree.leaf(leaf)[0]) and k:  # beyond the end: the last pre-token may go on
         k -= 1
-        at -= tree.leaves[leaf][0][k]
+        at -= tree.leaf(leaf)[0][k]
     first, old_at, old = (leaf, k), at, (leaf, k)
     lengths, found = [], []
     done = False
@@ -167,35 +255,36 @@ def edit(tree: Tree, text: str, start: int, end: int, new: str, counter: Counter
         # the old boundary that could lie here
         while old_at < at - grown:
             a, b = old
-            while b == len(tree.leaves[a][0]):
+            while b == len(tree.leaf(a)[0]):
                 a, b = a + 1, 0
-            old_at += tree.leaves[a][0][b]
+            old_at += tree.leaf(a)[0][b]
             old = (a, b + 1)
         if old_at == at - grown and old_at >= end:
             done = True
             break
     counts = counter.count(found)
     if not done:
-        old = (len(tree.leaves) - 1, len(tree.leaves[-1][0]))
+        last = max(tree.last(), first[0])
+        old = (last, len(tree.leaf(last)[0]))
         if at < len(after):
             lengths, counts = [*lengths, len(after) - at], [*counts, 0]
     tree.splice(first, old, lengths, counts)
     return after, len(found)
 
 
-def build(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def build(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), context: int | None = None) -> DataFrame:
     """doc_id, the columns of ``keep``, text, tree, n_tokens, n_pretokens."""
     ship(docs.sparkSession)
     names = ["doc_id", *keep, "text", "tree", "n_tokens", "n_pretokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = counter(ranks_path, pattern)
+        own = counter(ranks_path, pattern, context)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 trees = [plant(t or "", own) for t in part.column(part.num_columns - 1).to_pylist()]
                 dumps = [t.dump() for t in trees]
-                made = [pa.array(dumps, pa.binary()), pa.array([t.total for t in trees], pa.int64()), pa.array([len(d) // 8 for d in dumps], pa.int64())]
+                made = [pa.array(dumps, pa.binary()), pa.array([t.total for t in trees], pa.int64()), pa.array(list(map(Tree.pre_tokens, dumps)), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("text"))
@@ -203,13 +292,13 @@ def build(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id"
     return rows.mapInArrow(run, f"{schema}, tree binary, n_tokens long, n_pretokens long")
 
 
-def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, edits_col: str = "edits") -> DataFrame:
+def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, edits_col: str = "edits", context: int | None = None) -> DataFrame:
     """From doc_id, text, tree and an array of edits: doc_id, text and tree after them, n_tokens, n_edits, n_encoded."""
     ship(trees.sparkSession)
     names = ["doc_id", "text", "tree", "n_tokens", "n_edits", "n_encoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = counter(ranks_path, pattern)
+        own = counter(ranks_path, pattern, context)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
