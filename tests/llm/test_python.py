@@ -57,6 +57,85 @@ def test_two_tracks_odd_tables_and_broken_files(spark):
     assert all(r.problem and r.keyframes is None and r.codec is None for r in rows)
 
 
+def test_hostile_counts_cost_nothing(spark):
+    """Under a limit of memory that an honest reading of the counts would break."""
+    good = media.write_track(b"x" * 640)
+    size, time = good.index(b"stsz") + 4, good.index(b"stts") + 4
+    runs = good.index(b"stsc") + 4
+    bad = [
+        good[: size + 8] + b"\xff" * 4 + good[size + 12 :], good[: size + 4] + struct.pack(">II", 0, 2**32 - 1) + good[size + 12 :],
+        good[: runs + 12] + b"\xff" * 4 + good[runs + 16 :], b"".join((good[: size + 4], struct.pack(">II", 1, 2**32 - 1), good[size + 12 :])),
+    ]
+    many_times = good[: time + 8] + b"\xff" * 4 + good[time + 12 :]
+    import tracemalloc
+
+    tracemalloc.start()
+    for data in bad:
+        with pytest.raises(media.Broken):
+            media.probe(data)
+    assert media.probe(many_times)["n_samples"] == 10
+    assert tracemalloc.get_traced_memory()[1] < 5_000_000
+    tracemalloc.stop()
+    rows = media.with_probe(spark.createDataFrame([(i, x) for i, x in enumerate(bad)], "i int, media binary")).collect()
+    assert all(r.problem and r.tracks is None for r in rows)
+
+
+def test_fragments_and_all_tracks(spark):
+    def track(number, handler, codec):
+        empty = [media.full_box(k, bytes(4)) for k in (b"stts", b"stsc", b"stco")]
+        stbl = media.box(b"stbl", media.full_box(b"stsd", struct.pack(">I", 1), media.box(codec, bytes(8))), *empty, media.full_box(b"stsz", bytes(8)))
+        mdia = media.box(b"mdia", media.full_box(b"mdhd", struct.pack(">IIII", 0, 0, 90, 0)), media.full_box(b"hdlr", bytes(4), handler, bytes(12)), media.box(b"minf", stbl))
+        return media.box(b"trak", media.full_box(b"tkhd", struct.pack(">IIII", 0, 0, number, 0), bytes(64)), mdia)
+
+    trex = [media.full_box(b"trex", struct.pack(">5I", n, 1, 10, 2, 0x10000)) for n in (1, 2)]
+    moov = media.box(b"moov", track(1, b"soun", b"mp4a"), track(2, b"vide", b"avc1"), media.box(b"mvex", *trex))
+
+    def fragment(shift):
+        video = media.full_box(b"trun", struct.pack(">IiI", 3, shift, 0), struct.pack(">III", 4, 5, 6), flags=0x1 | 0x4 | 0x200)
+        sound = media.full_box(b"trun", struct.pack(">Ii", 2, shift + 15), flags=0x1)
+        head = lambda n: media.full_box(b"tfhd", struct.pack(">I", n), flags=0x20000)
+        time = media.full_box(b"tfdt", struct.pack(">I", 700))
+        return media.box(b"moof", media.box(b"traf", head(2), time, video), media.box(b"traf", head(1), sound))
+
+    def whole():
+        out = moov
+        for mdat in (b"VVVVvvvvvwwwwwwAABB", b"vvvvVVVVVwwwwwwCCDD"):
+            out += fragment(len(fragment(0)) + 8) + media.box(b"mdat", mdat)
+        return out
+
+    data = whole()
+    p = media.probe(data)
+    assert p["codec"] == "avc1" and p["n_samples"] == 6 and media.read_track(data, p["track"]) == b"VVVVvvvvvwwwwwwvvvvVVVVVwwwwww"
+    assert [data[o : o + n] for o, n in zip(p["keyframes"][1], p["keyframes"][2], strict=True)] == [b"VVVV", b"vvvv"] and p["keyframes"][0].tolist() == [700, 700] and p["duration"] == 730
+    assert [(t["handler"], t["n_samples"], t["n_keyframes"]) for t in p["tracks"]] == [("soun", 4, 0), ("vide", 6, 2)]
+    assert media.read_track(data, media.tracks(memoryview(data))[0]) == b"AABBCCDD"
+    row = media.with_probe(spark.createDataFrame([(data,)], "media binary"), payload=True).first()
+    assert row.problem is None and len(row.tracks) == 2 and len(row.keyframes) == 2
+    with pytest.raises(media.Broken):
+        media.probe(data.replace(struct.pack(">Ii", 2, len(fragment(0)) + 23), struct.pack(">Ii", -1 & 0xFFFFFFFF, 8)))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_the_media_query_against_plain_reading(spark):
+    import zlib
+
+    from corpusloom.llm.queries import op1_media_column
+
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = op1_media_column(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        raw = texts[r.doc_id]
+        payload = raw + bytes(-len(raw) % 64 if raw else 64)
+        file = media.write_track(payload)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.media_bytes, r.media_sha256) == (len(file), hashlib.sha256(file).hexdigest())
+        samples = len(payload) // 64
+        keys = [file.index(payload) + 64 * k for k in range(0, samples, 16)]
+        ranges = hashlib.sha256(",".join(f"{k}+64" for k in keys).encode()).hexdigest()[:16]
+        assert r.feature == f"raw:{20 * samples}/600:{samples}:{len(keys)}:{keys[0]}:{keys[-1]}:{ranges}"
+
+
 # ---- language ----
 
 
@@ -109,6 +188,13 @@ def test_long_texts_do_not_take_the_place_of_others(make):
     assert [len(t) for t in got["de"]] == [1000] and set(got) == {"en", "de"}
 
 
+def test_rows_without_ids_and_repeats_do_not_break_the_bound(make):
+    rows = [(None, f"words number {i} of a text", "en") for i in range(900)] + [(7, "the same text", "en")] * 900 + [(None, "eins zwei", "de")] * 700
+    got = language.sample(make(rows), held_out=None, per_language=20)
+    assert len(got["en"]) == 20 == len(got["de"]) and got == language.sample(make(rows).repartition(7), held_out=None, per_language=20)
+    assert set(language.sample(make(rows), held_out=None, languages=1)) == {"en"}
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
 def test_held_out_accuracy(spark):
     from corpusloom.llm.queries import op2_ppm_language
@@ -129,7 +215,52 @@ def test_edits_keep_the_count_of_the_whole_text():
         for _ in range(8):
             a = rnd.randrange(len(text) + 2)
             text, _ = edit_counts.edit(tree, text, a, a + rnd.choice((0, 1, 5, 100)), "".join(rnd.choice(letters) for _ in range(rnd.choice((0, 1, 30)))), own)
-            assert tree.total == own.whole(text) and tree.chars[1] == len(text)
+            assert tree.total == own.whole(text) and tree.chars == len(text)
+            if trial % 3 == 0:
+                tree = edit_counts.Tree.load(tree.dump())
+
+
+def leaves_of(tree):
+    return [x for s in range(tree.size) for x in zip(*tree.leaf(s), strict=True)]
+
+
+def test_trees_after_many_edits_are_those_of_the_text():
+    own, rnd = edit_counts.counter(*COUNTER), random.Random(8)
+    text = "a few words, and a 42. " * 300
+    tree = edit_counts.plant(text, own)
+    for turn in range(400):
+        a = rnd.randrange(len(text) + 1)
+        text, _ = edit_counts.edit(tree, text, a, a + rnd.choice((0, 3, 900 if turn % 50 == 0 else 0)), rnd.choice(("", "new ", "x y z " * rnd.choice((3, 100)))), own)
+        if turn % 20 == 0:
+            fresh = edit_counts.plant(text, own)
+            assert leaves_of(tree) == leaves_of(fresh)
+            chars, tokens, used = tree.sums
+            for node in range(1, tree.size):
+                assert all(row[node] == row[2 * node] + row[2 * node + 1] for row in tree.sums)
+            assert [chars[tree.size + s] for s in range(tree.size)] == [sum(tree.leaf(s)[0]) for s in range(tree.size)] and sum(tokens[tree.size :]) == own.whole(text)
+            tree = edit_counts.Tree.load(tree.dump())
+
+
+def test_an_edit_sums_only_paths(monkeypatch):
+    own, moved = edit_counts.counter(*COUNTER), []
+    text = "some words and more of them. " * 20_000
+    tree = edit_counts.plant(text, own)
+    spread = edit_counts.Tree._spread
+    monkeypatch.setattr(edit_counts.Tree, "_spread", lambda self, node, leaves: (moved.append(len(leaves)), spread(self, node, leaves))[1])
+    for i in range(200):
+        text, _ = edit_counts.edit(tree, text, 290_000, 290_000, "put in some more words ", own)
+    assert tree.total == own.whole(text) and sum(moved) < 3 * 200 and max(moved) < 100 < tree.sums[2][1]
+
+
+def test_patterns_of_unknown_context_are_refused():
+    pattern = r"\s*[\r\n]+|\s+|\S+"
+    with pytest.raises(ValueError, match="context"):
+        edit_counts.Counter(COUNTER[0], pattern)
+    own = edit_counts.Counter(COUNTER[0], pattern, 50)
+    text = "a" + " " * 10 + "b"
+    tree = edit_counts.plant(text, own)
+    text, _ = edit_counts.edit(tree, text, 11, 11, "\n", own)
+    assert [n for n, _ in leaves_of(tree)] == [1, 11, 1] and tree.total == own.whole(text)
 
 
 def test_an_edit_encodes_only_its_surroundings():
