@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -22,6 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings for what runs inside."""
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def source_key(col: Column) -> Column:
     """A never-null grouping key: '=' + the name, and '~' (sorts after) for null."""
     return F.when(col.isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), col))

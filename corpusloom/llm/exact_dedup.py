@@ -25,15 +25,13 @@ and point at the same id; an empty table gives an empty result; other columns ar
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.shared import remove_at_exit
 
-from .common import SPACE, join_hot, narrowed, shared_dir, stored
+from .common import SPACE, join_hot, narrowed, settings, shared_dir, stored
 
 #: RocksDB on disk; a store's local files go with each commit, as the shared log has all of them.
 STORE = {
@@ -53,18 +51,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-@contextmanager
-def _settings(spark: SparkSession, wanted: dict[str, str]):
-    old = {k: spark.conf.get(k, None) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def locator(docs: DataFrame, id_col: str) -> Column:
     """File and row where the input is files, else the id."""
     place = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
@@ -97,7 +83,7 @@ def stream_state(stream: DataFrame, folder: str) -> DataFrame:
     def save(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/updates/epoch={epoch}")
 
-    with _settings(spark, STORE):
+    with settings(spark, STORE):
         run = state.writeStream.outputMode("update").foreachBatch(save).trigger(availableNow=True).option("checkpointLocation", f"{folder}/state").start()
         run.awaitTermination()
     kind = {f.name: f.dataType.simpleString() for f in stream.schema}

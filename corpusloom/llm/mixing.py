@@ -1,22 +1,25 @@
 """Mixing sources to target weights by blocks and indexes.
 
-The words of a source are laid end to end in a seeded order of its documents and cut into blocks
-of ``block_words``. A source gets as many slots as its target needs. How many of them each output
+The documents of a source are dealt to buckets by a seeded hash. The words of a bucket are laid end
+to end in the hash's order and cut into blocks of ``block_words`` (the last of a bucket may be
+shorter), numbered through all buckets of the source. A source gets as many slots as its target needs. How many of them each output
 shard gets is a multinomial draw (:func:`draws`): every slot of the source picks a shard by a
 seeded hash and the picks are counted, so the counts of all shards add up to what the target needs.
 The slots of a source are then numbered shard after shard. Slot j of a source with n blocks belongs
 to epoch j div n and shows block pi(j mod n), where pi is a pseudorandom permutation of that source
 and epoch (a swap-or-not shuffle: a few rounds of integer arithmetic, no table and no sort).
-:func:`packed` joins slots and packed blocks on (source, block) and writes the mix, each block with
-its words and the spans of documents they come from.
+:func:`packed` joins slots and packed blocks by index and writes the mix, each block with its words
+and the spans of documents they come from. Texts are shuffled once, to their buckets: blocks are
+packed there, and the slots, which are light, come to them.
 
 Targets: source i in code-point order, null last, weighs 3, 1, 2 and so on; together they get
 ``share`` times all words, none more than ``cap`` times its own (what is over goes to the others
 by weight until none is above, found in closed form from running sums).
 
 A block is shown once in an epoch and there are ``cap`` epochs at most, rounded up, so no document
-exceeds so many times its size. Word offsets come from bucket counts as in :mod:`sharding`, so a
-source with a third of all words is spread over all tasks.
+exceeds so many times its size. A bucket holds about ``rows_per_bucket`` documents, so a source with
+a third of all words is spread over all tasks. How many buckets a source has is broadcast for
+sources with a large share of the rows, of which there are fewer than ``HOT_KEYS``.
 
 Defined cases: null text or only white space has no words and is never taken; a null source is a
 source of its own; repeated rows are rows of their own; an empty table gives an empty result; other
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import SPACE, WORD, buckets_for, hex_bucket, join_hot, prefix_sums, shuffle_key, source_key, stored
+from .common import HOT_KEYS, LEAST_HOT, SPACE, WORD, hex_bucket, join_hot, settings, shuffle_key, source_key, stored
 
 #: Modulus and multiplier of the permutation's round keys (a full-period generator below 2^31).
 PRIME, STEP = 2147483647, 48271
@@ -72,10 +75,15 @@ def round_key(seed: str, source: Column, epoch: Column) -> Column:
     return F.conv(F.substring(shuffle_key(seed, source, epoch), 1, 7), 16, 10).cast("long") + 1
 
 
-def placed(rows: DataFrame, before: DataFrame) -> DataFrame:
-    """``rows`` with ``start``, the words of their source before theirs."""
+def bucketed(rows: DataFrame, hot: DataFrame, others: int) -> DataFrame:
+    """``rows`` with ``b``, their bucket, by ``hot`` (source_key, buckets) and the number of buckets of all other sources."""
+    return rows.join(F.broadcast(hot), "source_key", "left").withColumn("b", hex_bucket(F.col("h"), F.coalesce("buckets", F.lit(others)))).drop("buckets")
+
+
+def laid_out(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``at``, the words of their bucket before theirs."""
     run = W.partitionBy("source_key", "b").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    return rows.join(before, ["source_key", "b"]).withColumn("start", F.col("size_before") + F.sum("size").over(run) - F.col("size"))
+    return rows.withColumn("at", F.sum("size").over(run) - F.col("size"))
 
 
 def draws(slots: DataFrame, shards: int, seed: str) -> DataFrame:
@@ -91,30 +99,36 @@ def draws(slots: DataFrame, shards: int, seed: str) -> DataFrame:
     return counts.select("source_key", "slots", running.alias("ends"))
 
 
-def plan(docs: DataFrame, block_words: int = 64, shards: int = 16, share: float = 1.5, cap: float = 2.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_bucket: int = 20_000) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(documents, slots, pieces) of :func:`mix`, and the rows with words and text by their place in their source."""
+def plan(docs: DataFrame, block_words: int = 64, shards: int = 16, share: float = 1.5, cap: float = 2.0, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", rows_per_bucket: int = 1024) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(documents, slots, pieces) of :func:`mix`, the index of blocks by their place in buckets, and the texts by their place there."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     keys = F.col(id_col).alias("doc_id"), source_key(F.col(source_col)).alias("source_key"), size.alias("size"), shuffle_key(seed, F.col(id_col)).alias("h")
     base = stored(docs.select(F.monotonically_increasing_id().alias("row"), *keys), "sizes")
-    sources = base.groupBy("source_key").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
-    most = sources.agg(F.max("n")).first()[0] or 0
+    sources = stored(base.groupBy("source_key").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "sources")
+    total = sources.agg(F.sum("n")).first()[0] or 0
+    least = max(LEAST_HOT, total // HOT_KEYS)
+    hot = sources.where(F.col("n") > least).select("source_key", F.ceil(F.col("n") / rows_per_bucket).cast("int").alias("buckets"))
+    others = -(-least // rows_per_bucket)
     wanted = targets(sources.select("source_key", "words"), share, cap)
-    wanted = wanted.withColumn("blocks", F.ceil(F.col("words") / F.lit(block_words)).cast("long"))
-    wanted = wanted.withColumn("slots", F.when(F.col("words") == 0, F.lit(0)).otherwise(F.round(F.col("target") * F.col("blocks") / F.col("words"))).cast("long"))
-    bucket = hex_bucket(F.col("h"), buckets_for(most, rows_per_bucket))
-    base = base.withColumn("b", bucket)
-    before = prefix_sums(base, ["source_key"], "b", {"size": F.sum("size")}).select("source_key", "b", "size_before")
-    before = stored(before.join(wanted, "source_key"), "before")
-    laid = placed(base, before)
-    laid = stored(laid.select("row", "doc_id", "size", "source_key", "start", "words", "target", "blocks", "slots"), "laid")
-    first, last = F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")
-    pieces = laid.where("size > 0").select("row", "source_key", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-    over = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
-    pieces = pieces.select("row", "source_key", "block", F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).alias("start"), over.alias("words"))
+    base = bucketed(base, hot, others)
+    in_bucket = base.groupBy("source_key", "b").agg(F.sum("size").alias("in_words")).withColumn("in_blocks", F.ceil(F.col("in_words") / F.lit(block_words)).cast("long"))
+    of_source = W.partitionBy("source_key")
+    upto = of_source.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    before = in_bucket.select("source_key", "b", *(F.coalesce(F.sum(f"in_{x}").over(upto), F.lit(0).cast("long")).alias(f"{x}_before") for x in ("words", "blocks")), F.sum("in_blocks").over(of_source).alias("blocks"))
+    before = before.join(wanted, "source_key").drop("weight")
+    before = stored(before.withColumn("slots", F.when(F.col("words") == 0, F.lit(0)).otherwise(F.round(F.col("target") * F.col("blocks") / F.col("words"))).cast("long")), "before")
+    laid = stored(laid_out(base).join(before, ["source_key", "b"]).drop("h"), "laid")
+    full = laid.where("size > 0")
+    first, last = F.expr(f"at div {block_words}"), F.expr(f"(at + size - 1) div {block_words}")
+    pieces = full.select("row", "source_key", "blocks_before", "at", "size", F.explode(F.sequence(first, last)).alias("k"))
+    over = F.least(F.col("at") + F.col("size"), (F.col("k") + 1) * block_words) - F.greatest(F.col("at"), F.col("k") * block_words)
+    pieces = pieces.select("row", "source_key", (F.col("blocks_before") + F.col("k")).alias("block"), F.greatest(F.col("k") * block_words - F.col("at"), F.lit(0)).alias("start"), over.alias("words"))
     # a document makes the slots whose number is that of a block that begins in it, plus whole epochs
-    opened = laid.where("size > 0").withColumn("lo", F.expr(f"(start + {block_words - 1}) div {block_words}")).withColumn("hi", last).where("lo <= hi")
+    opened = full.withColumn("lo", F.expr(f"(at + {block_words - 1}) div {block_words}")).withColumn("hi", last).where("lo <= hi")
+    index = opened.select("source_key", "b", "words_before", "blocks_before", F.explode(F.sequence("lo", "hi")).alias("k"))
+    index = index.select("source_key", (F.col("blocks_before") + F.col("k")).alias("block"), "b", "k", "words_before")
     epochs = F.sequence(F.lit(0).cast("long"), F.lit(math.ceil(cap) - 1).cast("long"))
-    opened = opened.select("source_key", "blocks", "slots", F.explode(epochs).alias("epoch"), "lo", "hi").where("lo + epoch * blocks < slots")
+    opened = opened.select("source_key", "blocks", "slots", F.explode(epochs).alias("epoch"), (F.col("blocks_before") + F.col("lo")).alias("lo"), (F.col("blocks_before") + F.col("hi")).alias("hi")).where("lo + epoch * blocks < slots")
     opened = opened.select("source_key", "blocks", "slots", "epoch", F.explode(F.sequence("lo", "hi")).alias("block"))
     opened = opened.withColumn("j", F.col("block") + F.col("epoch") * F.col("blocks")).where("j < slots")
     ends = stored(draws(opened, shards, seed), "draws")
@@ -123,9 +137,9 @@ def plan(docs: DataFrame, block_words: int = 64, shards: int = 16, share: float
     slots = stored(permuted(slots, "block", "blocks", "k").drop("blocks"), "slots")
     slots = join_hot(slots, ends, ["source_key"], "slots")
     slots = slots.select("source_key", "j", "block", F.size(F.filter("ends", lambda e: e <= F.col("j"))).alias("shard"))
-    documents = laid.select("row", "doc_id", "size", "source_key", F.when(F.col("size") > 0, F.col("start")).alias("place"), F.col("words").alias("source_size"), "target")
-    texts = placed(docs.select(*keys, F.col(text_col).alias("text")).withColumn("b", bucket), before.select("source_key", "b", "size_before")).where("size > 0")
-    return documents, slots, pieces, texts
+    documents = laid.select("row", "doc_id", "size", "source_key", F.when(F.col("size") > 0, F.col("words_before") + F.col("at")).alias("place"), F.col("words").alias("source_size"), "target")
+    texts = laid_out(bucketed(docs.select(*keys, F.col(text_col).alias("text")), hot, others)).where("size > 0")
+    return documents, slots, pieces, index, texts
 
 
 def mix(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -138,6 +152,10 @@ def mix(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
     return plan(docs, **options)[:3]
 
 
+#: Blocks lie with their buckets, and slots join them on bucket and block: the bucket alone decides where both go.
+KEEP_BUCKETS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
 def packed(docs: DataFrame, block_words: int = 64, **options) -> tuple[DataFrame, DataFrame]:
     """(documents, mixed): those of :func:`mix`, and the mix itself, written.
 
@@ -145,27 +163,29 @@ def packed(docs: DataFrame, block_words: int = 64, **options) -> tuple[DataFrame
     block's words with a space between; spans are, in their order, doc_id, place (of the document in its
     source, which tells rows of one id apart), start (the first word's number in the document) and words.
     """
-    documents, slots, _, texts = plan(docs, block_words, **options)
+    documents, slots, _, index, texts = plan(docs, block_words, **options)
 
     def cut(words: Column) -> Column:
-        def one(block: Column) -> Column:
-            at = F.greatest(F.col("start"), block * block_words)
-            n = F.least(F.col("start") + F.col("size"), (block + 1) * block_words) - at
-            mine = F.array_join(F.slice(words, (at - F.col("start") + 1).cast("int"), n.cast("int")), " ")
-            return F.struct(block.alias("block"), (at - F.col("start")).alias("start"), n.alias("words"), mine.alias("text"))
+        def one(k: Column) -> Column:
+            first = F.greatest(F.col("at"), k * block_words)
+            n = F.least(F.col("at") + F.col("size"), (k + 1) * block_words) - first
+            mine = F.array_join(F.slice(words, (first - F.col("at") + 1).cast("int"), n.cast("int")), " ")
+            return F.struct(k.alias("k"), (first - F.col("at")).alias("start"), n.alias("words"), mine.alias("text"))
 
-        return F.transform(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")), one)
+        return F.transform(F.sequence(F.expr(f"at div {block_words}"), F.expr(f"(at + size - 1) div {block_words}")), one)
 
     # as the variable of a lambda the words of a text are split once, not once a block
     words = F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), f"{SPACE}+")
-    parts = texts.select("source_key", "doc_id", F.col("start").alias("place"), F.explode(F.transform(F.array(words), cut)[0]).alias("p"))
+    parts = texts.select("source_key", "b", "doc_id", "at", F.explode(F.transform(F.array(words), cut)[0]).alias("p"))
     # documents lie in the order of their places, so this is the order of a block's words
-    parts = parts.select("source_key", "p.block", F.struct("place", "doc_id", "p.start", "p.words", "p.text").alias("part"))
-    blocks = parts.groupBy("source_key", "block").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    parts = parts.select("source_key", "b", "p.k", F.struct("at", "doc_id", "p.start", "p.words", "p.text").alias("part"))
+    blocks = parts.groupBy("source_key", "b", "k").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    shown = stored(slots.join(index, ["source_key", "block"]), "shown")
     text = F.array_join(F.transform("parts", lambda p: p["text"]), " ")
-    spans = F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["place"].alias("place"), p["start"].alias("start"), p["words"].alias("words")))
-    mixed = slots.join(blocks, ["source_key", "block"]).select("shard", "source_key", F.col("j").alias("slot"), "block", text.alias("text"), spans.alias("spans"))
-    return documents, stored(mixed, "mix", compression="zstd")
+    spans = F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), (F.col("words_before") + p["at"]).alias("place"), p["start"].alias("start"), p["words"].alias("words")))
+    mixed = shown.join(blocks, ["source_key", "b", "k"]).select("shard", "source_key", F.col("j").alias("slot"), "block", text.alias("text"), spans.alias("spans"))
+    with settings(docs.sparkSession, KEEP_BUCKETS):
+        return documents, stored(mixed, "mix", compression="zstd")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:

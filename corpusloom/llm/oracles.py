@@ -57,7 +57,7 @@ def _op5(depth: int = 10) -> str:
 
 
 #: What must come out where urls are planted (see ``planted_pages``), from the planting alone.
-PLANTED = "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'block' ELSE 'allow' END AS verdict, NOT starts_with(page_id::VARCHAR, '1') AS by_method FROM pages"
+PLANTED = "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'block' ELSE 'allow' END AS verdict, left(page_id::VARCHAR, 1) NOT IN ('1', '2') AS by_method FROM pages"
 
 
 #: CRC-32 by half bytes, the low one first; the table of 16 follows from the reversed polynomial.
@@ -93,8 +93,10 @@ def _op9(block: int = 64) -> str:
       SELECT * EXCLUDE (x, mate), CASE WHEN (greatest(x, mate) % {mixing.PRIME} * rk) % {mixing.PRIME} % 2 = 1 THEN mate ELSE x END AS x FROM mate{i}
     )"""
         at = f"perm{i + 1}"
-    return f"""WITH d AS (
+    return f"""WITH d0 AS (
       SELECT row_number() OVER () AS rid, doc_id, coalesce(len(regexp_extract_all(text, '[^{WS}]+')), 0) AS size, CASE WHEN source IS NULL THEN '~' ELSE '=' || source END AS k, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+    ), d AS (
+      SELECT *, (('0x' || substr(h, 1, 8))::BIGINT * ceil(count(*) OVER (PARTITION BY k) / 1024)::BIGINT) >> 32 AS b FROM d0
     ), s AS (
       SELECT k, sum(size)::BIGINT AS words FROM d GROUP BY 1
     ), w AS (
@@ -104,13 +106,17 @@ def _op9(block: int = 64) -> str:
         / sum(weight) OVER (ORDER BY lim / weight, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
     ), t AS (
       SELECT k, words, CASE WHEN level >= ratio THEN lim ELSE max(CASE WHEN level < ratio THEN level END) OVER () * weight END AS target FROM l
+    ), buckets AS (
+      SELECT k, b, ceil(sum(size) / {block})::BIGINT AS n FROM d GROUP BY ALL
+    ), before AS (
+      SELECT k, b, coalesce(sum(n) OVER (PARTITION BY k ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM buckets
     ), n AS (
-      SELECT *, ceil(words / {block})::BIGINT AS blocks, CASE WHEN words = 0 THEN 0 ELSE round(target * ceil(words / {block})::BIGINT / words) END::BIGINT AS slots FROM t
+      SELECT *, CASE WHEN words = 0 THEN 0 ELSE round(target * blocks / words) END::BIGINT AS slots FROM t JOIN (SELECT k, sum(n)::BIGINT AS blocks FROM buckets GROUP BY 1) USING (k)
     ), laid AS (
-      SELECT rid, doc_id, size, k, sum(size) OVER (PARTITION BY k ORDER BY h, doc_id, size, rid ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start FROM d
+      SELECT rid, doc_id, size, k, b, sum(size) OVER (PARTITION BY k, b ORDER BY h, doc_id, size, rid ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start FROM d
     ), pieces AS (
-      SELECT rid, k, block, least(start + size, (block + 1) * {block}) - greatest(start, block * {block}) AS words
-      FROM (SELECT *, unnest(range(start // {block}, (start + size - 1) // {block} + 1)) AS block FROM laid WHERE size > 0)
+      SELECT rid, k, before + block AS block, least(start + size, (block + 1) * {block}) - greatest(start, block * {block}) AS words
+      FROM (SELECT *, unnest(range(start // {block}, (start + size - 1) // {block} + 1)) AS block FROM laid WHERE size > 0) JOIN before USING (k, b)
     ), perm0 AS (
       SELECT k, blocks, j % blocks AS x, ('0x' || substr(md5('mix:' || k || ':' || (j // blocks)), 1, 7))::BIGINT + 1 AS rk FROM (SELECT *, unnest(range(slots)) AS j FROM n)
     ){steps}, shown AS (

@@ -85,12 +85,12 @@ def op5_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def planted_pages(pages: DataFrame) -> DataFrame:
     """The pages with urls whose fourth segment tells even ids from odd ones."""
     branch = F.when(F.col("page_id") % 2 == 0, "spam").otherwise("news")
-    url = F.concat(F.lit("http://h"), (F.floor(F.col("page_id") / 2) % 2).cast("string"), F.lit(".test/a/b/c/"), branch, F.lit("/"), F.col("page_id").cast("string"), F.lit("/x"))
+    url = F.concat(F.lit("http://h.test/a/b/c/"), branch, F.lit("/"), F.col("page_id").cast("string"), F.lit("/x"))
     return pages.select("page_id", url.alias("url"))
 
 
-#: Only ids that begin with 1 are under a rule; all other pages are the method's to judge.
-PLANTED_RULES = (("block", "test", "/a/b/c/spam/1"), ("allow", "test", "/a/b/c/news/1"))
+#: Only ids that begin with 1 or 2 are under a rule; all other pages are the method's to judge.
+PLANTED_RULES = tuple((verdict, "test", f"/a/b/c/{branch}/{digit}") for verdict, branch in (("block", "spam"), ("allow", "news")) for digit in (1, 2))
 
 
 def op5_planted_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

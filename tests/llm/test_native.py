@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import common, exact_dedup, mixing, sharding, url_filter
@@ -108,8 +109,8 @@ def test_labels_below_the_third_segment_decide(spark):
     from corpusloom.llm.queries import PLANTED_RULES, planted_pages
 
     got = url_filter.judge(planted_pages(spark.range(300).withColumnRenamed("id", "page_id")), PLANTED_RULES).collect()
-    assert all(r.verdict == ("allow" if r.page_id % 2 else "block") for r in got) and sum(r.rule is None for r in got) > 150
-    assert {r.template for r in got} == {"/~/~/~/spam/~/~", "/~/~/~/news/~/~"}
+    assert all(r.verdict == ("allow" if r.page_id % 2 else "block") for r in got) and sum(r.rule is None for r in got) > 70
+    assert {r.template for r in got} == {"/~/~/~/spam/{n}/x", "/~/~/~/news/{n}/x"}
 
 
 def test_interleave(odd, none, make):
@@ -177,9 +178,10 @@ def test_slots_join_blocks_of_their_source(make):
     assert slots.select("shard").distinct().count() == 16
 
 
-def test_the_mix_can_be_rebuilt_from_its_shards(make, odd, none):
+@pytest.mark.parametrize("rows_per_bucket", [1024, 8])
+def test_the_mix_can_be_rebuilt_from_its_shards(make, odd, none, rows_per_bucket):
     rows = [(i if i % 9 else None, " ".join(f" {i}w{k}\n" for k in range(i * 37 % 200)), None, [None, "a", "hot", "hot"][i % 4]) for i in range(200)] + [(7, " ".join(f"x{k}" for k in range(59)), None, "hot")]
-    documents, mixed = mixing.packed(make(rows), block_words=16)
+    documents, mixed = mixing.packed(make(rows), block_words=16, rows_per_bucket=rows_per_bucket)
     got = mixed.collect()
     texts = defaultdict(list)
     for i, t, _, s in rows:
@@ -191,12 +193,13 @@ def test_the_mix_can_be_rebuilt_from_its_shards(make, odd, none):
         for s in r.spans:
             mine = words[at : (at := at + s.words)]
             assert any(t[s.start : s.start + s.words] == mine for t in texts[r.source_key, s.doc_id])
-            assert places.setdefault((r.source_key, s.place), s.doc_id) == s.doc_id and s.place + s.start == r.block * 16 + at - s.words
+            assert places.setdefault((r.source_key, s.place), s.doc_id) == s.doc_id
+            assert rows_per_bucket < 1024 or s.place + s.start == r.block * 16 + at - s.words
             taken[r.source_key, s.place] += s.words
         assert at == len(words) <= 16
-    slots = mixing.mix(make(rows), block_words=16)[1].collect()
+    slots = mixing.mix(make(rows), block_words=16, rows_per_bucket=rows_per_bucket)[1].collect()
     assert sorted((r.source_key, r.slot, r.block, r.shard) for r in got) == sorted((r.source_key, r.j, r.block, r.shard) for r in slots)
     key = lambda r: str((r.doc_id, r.size, r.source_key, r.source_size, r.target, r.taken))
     want = sorted(str((r.doc_id, r.size, r.source_key, r.source_size, r.target, taken[r.source_key, r.place])) for r in documents.collect())
-    assert want == sorted(map(key, mixing.taken(make(rows), block_words=16).collect())) == sorted(map(key, mixing.counted(make(rows), block_words=16).collect()))
+    assert want == sorted(map(key, mixing.taken(make(rows), block_words=16, rows_per_bucket=rows_per_bucket).collect())) == sorted(map(key, mixing.counted(make(rows), block_words=16, rows_per_bucket=rows_per_bucket).collect()))
     assert mixing.packed(odd)[1].where("text = ''").count() == 0 and mixing.packed(none)[1].count() == 0

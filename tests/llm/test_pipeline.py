@@ -52,6 +52,46 @@ def test_oracles(spark):
         assert sorted(map(str, got)) == sorted(map(str, rows)), name
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
+def test_every_source_meets_its_target(spark):
+    """Words of each source after the stage, against targets worked out by plain means: within its largest document."""
+    import corpus_pipeline as cp
+
+    from tests.llm.test_native import water
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    size, largest = Counter(), Counter()
+    for r in docs.collect():
+        n = len((r.text or "").split())
+        size[r.source] += n
+        largest[r.source] = max(largest[r.source], n)
+    got = Counter()
+    for r in cp.mix_sources(spark, docs, "").collect():
+        got[r.source] += len(r.text.split())
+    for source, target in water(size).items():
+        assert abs(got[source] - target) <= max(largest[source] / 2 + 64, 0.02 * target), source
+
+
+def test_stages_on_odd_rows_and_clashing_names(spark, odd, none):
+    import corpus_pipeline as cp
+    from pyspark.sql import functions as F
+
+    clash = odd.select("*", *(F.lit(i).alias(n) for i, n in enumerate(("__wanted", "__times", "__copy", "__key", "__0", "__text", "slot", "gone", "copy", "times", "taken", "size", "source_key", "words", "share"))))
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, clash, "")
+        assert out.dtypes == clash.dtypes
+        assert {r.doc_id for r in out.collect()} <= {r.doc_id for r in clash.collect()}
+        assert stage(spark, none, "").count() == 0
+    assert sorted(r.doc_id for r in cp.drop_copies(spark, clash, "").collect()) == [3, 4, 4, 6, 7, 8, 9]
+    assert sorted(r.doc_id for r in cp.drop_near_copies(spark, clash, "").collect()) == [1, 2, 3, 4, 4, 5, 6, 7, 8, 9]
+    assert {1, 2, 3} & {r.doc_id for r in cp.mix_sources(spark, clash, "").collect()} == set()
+    nameless = odd.withColumn("doc_id", F.lit(None).cast("long"))
+    for _, stage in cp.STAGES:
+        stage(spark, nameless, "").collect()
+    five = cp.encode_pieces(spark, clash, "")
+    assert five.count() == 10 and cp.encode_pieces(spark, none, "").count() == 0
+
+
 def test_words_of_every_source_follow_their_targets(spark, make):
     import corpus_pipeline as cp
 
