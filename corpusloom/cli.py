@@ -16,6 +16,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--out", required=True, help="folder that all executors share")
     parser.add_argument("--bots", help="list of authors to leave out, one a line")
     parser.add_argument("--no-group", action="store_true", help="one document per comment")
+    parser.add_argument("--dtd", help="a DTD to hold the documents against")
     parser.add_argument("--long-window", action="store_true", help="archives compressed with a long window")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("corpusloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -23,7 +24,7 @@ def main(argv: list[str] | None = None) -> int:
         name = given.rstrip("/").rsplit("/", 1)[-1]
         if given.endswith((".zst", ".gz", ".ndjson")):
             out = f"{args.out}/{name.split('.')[0].removesuffix('_comments')}_{'nogroup' if args.no_group else 'grouped'}"
-            result = pipeline.run_archive(spark, given, out, args.bots, not args.no_group, long_window=args.long_window)
+            result = pipeline.run_archive(spark, given, out, args.bots, not args.no_group, long_window=args.long_window, dtd=args.dtd)
             result.counters.show(truncate=False)
             result.reconciled.show(truncate=False)
             result.validation.groupBy("valid").count().show()

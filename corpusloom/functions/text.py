@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1c-\x1f]"
 #: Private-use marks around link texts while links are rewritten.
 OPEN, CLOSE = "\ue000", "\ue001"
+#: What counts as a URL, bare and in a markdown link, and the marks that stand for nothing.
 PLAIN_URL = r"(?:https?://|www\.)\S*\w/?"
 MARKDOWN_URL = r"\[([^\]]+)\]\((?:https?://|www\.)\S+\)"
+ZERO_WIDTH = r"&amp;#x200B;|&#x200B;|\\u200B"
 URL_MARK = "[URL]"
 #: Bodies that stand for a deleted comment.
 DELETED = ("[removed]", "[deleted]", "[removed by reddit]")
@@ -83,7 +85,7 @@ def is_reminder(c: Column) -> Column:
 
 
 def zero_width_marks(c: Column) -> Column:
-    return F.regexp_replace(c, r"&amp;#x200B;|&#x200B;|\\u200B", "")
+    return F.regexp_replace(c, ZERO_WIDTH, "")
 
 
 def newlines(c: Column) -> Column:

@@ -28,8 +28,8 @@ def rendered(body: Column, python: bool = True, strict: bool = False) -> Column:
 
 
 def header(grouped: bool) -> Column:
-    """The header from the metadata columns."""
-    t, a = (lambda n: X.xml_text(F.col(n))), (lambda n: X.xml_attribute(F.col(n)))
+    """The header from the metadata columns; what is missing is empty."""
+    t, a = (lambda n: X.xml_text(F.coalesce(n, F.lit("")))), (lambda n: X.xml_attribute(F.coalesce(n, F.lit(""))))
     top = lines(
         "  <teiHeader>\n    <fileDesc>\n      <titleStmt>\n        <title type=\"main\">", t("title"), "</title>\n      </titleStmt>\n      <publicationStmt>\n        <p/>\n      </publicationStmt>\n      <sourceDesc>\n        <bibl>Reddit/",
         t("subreddit"), ": ", t("title"), ", ", t("date"), "</bibl>\n        <biblFull>\n          <titleStmt>\n",
@@ -58,25 +58,22 @@ def _checked(docs: DataFrame, strict: bool) -> DataFrame:
     return docs.where("xml_ok") if strict else docs
 
 
-def grouped(threads: DataFrame, filtered: bool = True, python: bool = True, strict: bool = False) -> DataFrame:
-    """One document per thread: file_name, tei, n_items, xml_ok, xml_error. A thread of which nothing is left has none."""
-    ship(threads.sparkSession)
+def prepared(comments: DataFrame, python: bool = True, strict: bool = False) -> DataFrame:
+    """Comments with ``text``, the body as XML content: to be made before comments are grouped, as the Python function takes columns, not arrays."""
+    ship(comments.sparkSession)
+    return comments.withColumn("text", rendered(F.col("body"), python, strict))
+
+
+def grouped(threads: DataFrame, filtered: bool = True, strict: bool = False) -> DataFrame:
+    """One document per thread of :func:`prepared` comments: file_name, tei, n_items, xml_ok, xml_error. A thread of which nothing is left has none."""
     items = F.filter("comments", lambda c: c["body"] != "[deleted]") if filtered else F.col("comments")
     rows = threads.withColumn("__items", items).where(F.size("__items") > 0)
-    # the bodies are rendered one row a comment, as the Python function takes columns, not arrays
-    each = rows.select("source", "thread_id", F.explode("__items").alias("c")).select("source", "thread_id", "c.*")
-    if python:
-        each = each.withColumn("text", rendered(F.col("body"), True, strict)).select("source", "thread_id", F.struct("ord", "id", "text", "created_utc", "author").alias("c"))
-        each = each.groupBy("source", "thread_id").agg(F.array_sort(F.collect_list("c")).alias("__done"))
-        rows = rows.join(each, ["source", "thread_id"])
-    else:
-        rows = rows.withColumn("__done", F.transform("__items", lambda c: F.struct(c["ord"].alias("ord"), c["id"].alias("id"), rendered(c["body"], False, strict).alias("text"), c["created_utc"].alias("created_utc"), c["author"].alias("author"))))
     item = lambda c: lines(
         '          <item source="', X.xml_attribute(F.concat(F.col("thread_url"), F.lit("comment/"), c["id"], F.lit("/"))), '">', c["text"], "<date>", F.coalesce(X.utc_date(c["created_utc"]), F.lit("")), "</date> <name>",
         X.xml_text(F.coalesce(c["author"], F.lit(""))), "</name> </item>\n",
     )
-    body = lines('  <text>\n    <body>\n      <div type="comments">\n        <list>\n', F.array_join(F.transform("__done", item), ""), "        </list>\n      </div>\n    </body>\n  </text>\n")
-    docs = rows.select(F.concat("post_id", F.lit(".xml")).alias("file_name"), F.concat(F.lit(START), header(True), body, F.lit(END)).alias("tei"), F.size("__done").cast("long").alias("n_items"))
+    body = lines('  <text>\n    <body>\n      <div type="comments">\n        <list>\n', F.array_join(F.transform("__items", item), ""), "        </list>\n      </div>\n    </body>\n  </text>\n")
+    docs = rows.select(F.concat("post_id", F.lit(".xml")).alias("file_name"), F.concat(F.lit(START), header(True), body, F.lit(END)).alias("tei"), F.size("__items").cast("long").alias("n_items"))
     return _checked(docs, strict)
 
 

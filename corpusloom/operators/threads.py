@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusloom.functions import text as X
+from corpusloom.functions.shared import stored
 from corpusloom.schema import DROPPED_FIELDS
 
 BASE_URL = "https://www.reddit.com"
@@ -38,7 +39,7 @@ def metadata(info: Column, post_id: Column, fallback_date: Column) -> dict[str,
     parts = F.split(info["permalink"], "/")
     full = F.coalesce(F.size(parts) >= 6, F.lit(False))
     part = lambda i, other: F.when(full, F.get(parts, F.lit(i))).otherwise(other)
-    sub, post, title = part(2, info["subreddit"]), part(4, post_id), part(5, post_id)
+    sub, post, title = F.coalesce(part(2, info["subreddit"]), F.lit("")), part(4, post_id), part(5, post_id)
     url = F.concat(F.lit(BASE_URL + "/r/"), sub, F.lit("/comments/"), post, F.lit("/"))
     return {
         "post_id": post,
@@ -55,18 +56,30 @@ def metadata(info: Column, post_id: Column, fallback_date: Column) -> dict[str,
 META = ("post_id", "title", "date", "subreddit", "author", "thread_url", "comment_url", "download_date")
 
 
+INFO = ("id", "link_id", "author", "created_utc", "subreddit", "permalink", "retrieved_on", "retrieved_utc")
+
+
+def _fallback(df: DataFrame, fallback_date: str, info: str) -> Column:
+    """The last resort for download dates: the date of the row's file, where it has one."""
+    return F.coalesce(F.col(f"{info}.file_date"), F.lit(fallback_date)) if "file_date" in df.columns else F.lit(fallback_date)
+
+
 def threads(df: DataFrame, fallback_date: str = "1970-01-01") -> DataFrame:
-    """One row per thread: thread_id, n_comments, comments (in order) and metadata of the last one."""
-    item = F.struct("ord", "id", "author", "body", "created_utc")
-    last = F.max_by(F.struct("id", "link_id", "author", "created_utc", "subreddit", "permalink", "retrieved_on", "retrieved_utc"), "ord")
+    """One row per thread: thread_id, n_comments, comments (in order) and metadata of the last one.
+
+    A column ``text`` of ``df``, the body made ready for a document, goes with the comments. ``ord`` may be of any type with an order.
+    """
+    held = [c for c in ("text", "file_date") if c in df.columns]
+    item = F.struct("ord", "id", "author", "body", "created_utc", *(c for c in held if c == "text"))
+    last = F.max_by(F.struct(*INFO, *(c for c in held if c == "file_date")), "ord")
     rows = df.groupBy("source", thread_id(F.col("link_id")).alias("thread_id")).agg(F.count(F.lit(1)).alias("n_comments"), F.array_sort(F.collect_list(item)).alias("comments"), last.alias("info"))
-    return rows.select("source", "thread_id", "n_comments", "comments", *(c.alias(n) for n, c in metadata(F.col("info"), F.col("thread_id"), F.lit(fallback_date)).items()))
+    return rows.select("source", "thread_id", "n_comments", "comments", *(c.alias(n) for n, c in metadata(F.col("info"), F.col("thread_id"), _fallback(df, fallback_date, "info")).items()))
 
 
 def single_comments(df: DataFrame, fallback_date: str = "1970-01-01") -> DataFrame:
     """One row per comment with its metadata; no shuffle."""
-    rows = df.withColumn("__info", F.struct("id", "link_id", "author", "created_utc", "subreddit", "permalink", "retrieved_on", "retrieved_utc"))
-    found = metadata(F.col("__info"), thread_id(F.col("link_id")), F.lit(fallback_date))
+    rows = df.withColumn("__info", F.struct(*INFO, *(c for c in ("file_date",) if c in df.columns)))
+    found = metadata(F.col("__info"), thread_id(F.col("link_id")), _fallback(df, fallback_date, "__info"))
     return rows.select("source", "ord", thread_id(F.col("link_id")).alias("thread_id"), F.col("id").alias("comment_id"), "body", *(c.alias(n) for n, c in found.items()))
 
 
@@ -87,9 +100,9 @@ def with_shard(df: DataFrame, key: str, per_shard: int = 1000, rows_per_bucket:
 
     Numbers are global, but no task sorts all rows: buckets follow the hash, a small table of their counts gives offsets.
     """
-    n = df.count()
-    buckets = max(64, -(-n // rows_per_bucket))
-    rows = df.withColumn("__h", F.md5(F.col(key).cast("binary")))
+    # written once, as counts, offsets and rows are three uses of what may be a long plan
+    rows = stored(df.withColumn("__h", F.md5(F.col(key).cast("binary"))), "sharded")
+    buckets = max(64, -(-rows.count() // rows_per_bucket))
     rows = rows.withColumn("__b", F.shiftright(F.conv(F.substring("__h", 1, 8), 16, 10).cast("long") * buckets, 32))
     before = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     before = before.select("__b", (F.sum("__n").over(W.partitionBy(F.lit(0)).orderBy("__b")) - F.col("__n")).alias("__before"))
@@ -99,6 +112,6 @@ def with_shard(df: DataFrame, key: str, per_shard: int = 1000, rows_per_bucket:
 
 def reconcile(filtered: DataFrame, emitted: DataFrame) -> DataFrame:
     """One row: how many records there were after filtering and after shaping, and whether these agree."""
-    a = filtered.agg(F.count(F.lit(1)).alias("filtered_n"))
-    b = emitted.agg(F.count(F.lit(1)).alias("emitted_n"))
-    return a.crossJoin(b).withColumn("matches", F.col("filtered_n") == F.col("emitted_n"))
+    count = lambda df: df.agg(F.count(F.lit(1)))
+    counts = count(filtered).withColumnRenamed("count(1)", "filtered_n").select("filtered_n", count(emitted).scalar().alias("emitted_n"))
+    return counts.withColumn("matches", F.col("filtered_n") == F.col("emitted_n"))

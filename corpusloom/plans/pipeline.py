@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corpusloom.functions.shared import stored
 from corpusloom.operators import comments, tei, threads
-from corpusloom.operators.validate import validate
+from corpusloom.operators.validate import Dtd, read_dtd, validate
 from corpusloom.schema import COMMENT_FIELDS
 from corpusloom.sources import readers, writers
 
 
 @dataclass
 class Run:
-    """Lazy results of a run; ``tagged`` is kept on disk as several of them read it."""
+    """Lazy results of a run; ``tagged`` is written to the shared folder as several of them read it."""
 
     tagged: DataFrame
     clean: DataFrame
@@ -28,31 +29,47 @@ class Run:
     validation: DataFrame = field(repr=False)
 
 
-def run(rows: DataFrame, bots: DataFrame | None = None, grouped: bool = True, config: comments.Config = comments.Config(), strict: bool = False, fallback_date: str = "1970-01-01") -> Run:  # noqa: B008
-    tagged = comments.tag(rows, bots, config).persist(StorageLevel.DISK_ONLY)
+def documents_of(extracted: DataFrame, grouped: bool = True, strict: bool = False, fallback_date: str = "1970-01-01") -> DataFrame:
+    """TEI documents of comments, one a thread or one a comment; null bodies count as empty."""
+    extracted = extracted.withColumn("body", F.coalesce("body", F.lit("")))
+    if grouped:
+        return tei.grouped(threads.threads(tei.prepared(extracted, strict=strict), fallback_date), strict=strict)
+    return tei.single(threads.single_comments(extracted, fallback_date), strict=strict)
+
+
+def run(rows: DataFrame, bots: DataFrame | None = None, grouped: bool = True, config: comments.Config = comments.Config(), strict: bool = False, fallback_date: str = "1970-01-01", dtd: Dtd | None = None) -> Run:  # noqa: B008
+    tagged = stored(comments.tag(rows, bots, config), "tagged")
     clean = comments.kept(tagged)
     extracted = threads.first_of_id(threads.extract(clean))
-    if grouped:
-        documents = tei.grouped(threads.threads(extracted, fallback_date), strict=strict)
-        json = threads.thread_json(extracted, COMMENT_FIELDS)
-    else:
-        documents = tei.single(threads.single_comments(extracted, fallback_date), strict=strict)
-        json = threads.comment_json(extracted, COMMENT_FIELDS)
-    return Run(tagged, clean, extracted, documents, json, comments.audit(tagged), comments.counters(tagged), threads.reconcile(clean, extracted), validate(documents))
+    documents = documents_of(extracted, grouped, strict, fallback_date)
+    json = (threads.thread_json if grouped else threads.comment_json)(extracted, COMMENT_FIELDS)
+    return Run(tagged, clean, extracted, documents, json, comments.audit(tagged), comments.counters(tagged), threads.reconcile(clean, extracted), validate(documents, dtd=dtd))
+
+
+def reconcile_written(spark: SparkSession, archive: str, folder: str) -> DataFrame:
+    """One row: the records in a written archive and in the JSON files below a folder, and whether these agree."""
+    counts = readers.count_lines(spark, archive).select(F.col("n").alias("filtered_n"), readers.count_objects(spark, folder).scalar().alias("emitted_n"))
+    return counts.withColumn("matches", F.col("filtered_n") == F.col("emitted_n"))
+
 
+def run_archive(spark: SparkSession, path: str, out: str, bots: str | None = None, grouped: bool = True, raw_inline: bool = True, long_window: bool = False, dtd: str | None = None) -> Run:
+    """Archive files to ``out``/filtered (the cleaned archive), ``out``/json, ``out``/xml and the tables ``audit``, ``counters``, ``reconciled`` and ``validation`` beside them.
 
-def run_archive(spark: SparkSession, path: str, out: str, bots: str | None = None, grouped: bool = True, raw_inline: bool = True, long_window: bool = False) -> Run:
-    """Archive files to ``out``/json, ``out``/xml and the tables ``audit``, ``counters`` and ``validation`` beside them."""
+    ``reconciled`` counts what was written; ``dtd`` is the file of a DTD to hold the documents against.
+    """
     rows = readers.read_archive(spark, path, raw_inline, long_window)
     result = run(rows, readers.read_names(spark, bots) if bots else None, grouped)
+    writers.write_archive(result.clean, f"{out}/filtered", list(COMMENT_FIELDS))
     writers.write_files(result.json, f"{out}/json", "json")
+    result.documents = stored(result.documents, "documents")
     writers.write_files(result.documents, f"{out}/xml", "tei")
+    result.validation = validate(result.documents, dtd=read_dtd(spark, dtd) if dtd else None)
+    result.reconciled = reconcile_written(spark, f"{out}/filtered", f"{out}/json")
     for name in ("audit", "counters", "reconciled", "validation"):
         writers.write_table(getattr(result, name), f"{out}/{name}", mode="overwrite")
     return result
 
 
-def run_json(spark: SparkSession, path: str, grouped: bool = True, fallback_date: str = "1970-01-01") -> DataFrame:
-    """Documents again from JSON files written earlier, without the cleaning stage."""
-    rows = readers.read_json_documents(spark, path)
-    return tei.grouped(threads.threads(rows, fallback_date)) if grouped else tei.single(threads.single_comments(rows, fallback_date))
+def run_json(spark: SparkSession, path: str, grouped: bool = True, fallback_date: str = "1970-01-01", recursive: bool = True) -> DataFrame:
+    """Documents again from JSON files written earlier, without the cleaning stage: one a thread, whatever files it lies in, or one a comment."""
+    return documents_of(readers.read_json_documents(spark, path, recursive), grouped, fallback_date=fallback_date)

@@ -6,7 +6,7 @@ import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,7 +67,7 @@ def read_archive(spark: SparkSession, path: str, raw_inline: bool = False, long_
 
 def quarantine(spark: SparkSession, path: str, raw_inline: bool = False) -> DataFrame:
     """The lines of archives that are no JSON object."""
-    return parsed(archive_lines(spark, path), raw_inline).where("corrupt and trim(value) != ''").select("source", "ord", "value")
+    return parsed(archive_lines(spark, path), raw_inline).where(F.col("corrupt") & ~X.is_blank(F.col("value"))).select("source", "ord", "value")
 
 
 def community(source: DataFrame) -> DataFrame:
@@ -75,12 +75,35 @@ def community(source: DataFrame) -> DataFrame:
     return source.withColumn("community", F.regexp_extract("source", r"([^/]+?)(?:_comments)?(?:\.\w+)*$", 1))
 
 
+def file_keys(name: Column) -> tuple[Column, Column]:
+    """Thread and comment of a file's name, ``thread_comment.json``; empty for other names."""
+    pattern = r"^([^_]+)_([^_]+)\.json$"
+    return F.regexp_extract(name, pattern, 1), F.regexp_extract(name, pattern, 2)
+
+
 def read_json_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """Comments of JSON-array files; the thread and comment of the file's name, and its date as the last resort for downloads."""
+    """Comments of JSON-array files, with the thread and comment of the file's name, and its date as the last resort for downloads.
+
+    All files below ``path`` are one source, so comments of one thread belong together whatever files they are in; their
+    order is that of file names, then of places in a file. A comment without thread or id has those of its file's name.
+    """
     reader = spark.read.option("multiLine", "true").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.json").schema(COMMENT)
-    rows = reader.json(path).select("*", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("modified"))
-    name = F.regexp_extract("file_name", r"^([^_]+)_([^_]+)\.json$", 1), F.regexp_extract("file_name", r"^([^_]+)_([^_]+)\.json$", 2)
-    return rows.select("source", F.monotonically_increasing_id().alias("ord"), *COMMENT_FIELDS, name[0].alias("file_link"), name[1].alias("file_comment"), F.date_format("modified", "yyyy-MM-dd").alias("file_date"))
+    rows = reader.json(path).select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("modified"), F.monotonically_increasing_id().alias("n"))
+    link, comment = file_keys(F.regexp_replace("file_name", r"_flat\.json$", "_.json"))
+    rows = rows.withColumns({"file_link": F.nullif(F.coalesce(F.nullif(link, F.lit("")), F.regexp_extract("file_name", r"^([^_]+)_flat\.json$", 1)), F.lit("")), "file_comment": F.nullif(comment, F.lit(""))})
+    rows = rows.withColumns({"link_id": F.coalesce("link_id", F.concat(F.lit("t3_"), "file_link")), "id": F.coalesce("id", "file_comment")})
+    return rows.select(F.lit(path).alias("source"), F.struct("file_name", "n").alias("ord"), *COMMENT_FIELDS, "file_name", "file_link", "file_comment", F.date_format("modified", "yyyy-MM-dd").alias("file_date"))
+
+
+def count_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row, ``n``: the lines of an archive that aren't blank."""
+    return spark.read.text(path).where(~X.is_blank(F.col("value"))).agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_objects(spark: SparkSession, path: str) -> DataFrame:
+    """One row, ``n``: the comments in the JSON files below a folder."""
+    rows = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").schema(COMMENT).json(path)
+    return rows.agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:

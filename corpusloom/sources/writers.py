@@ -12,19 +12,29 @@ from corpusloom.functions.shipping import ship
 from corpusloom.operators.threads import with_shard
 
 
+def local(path: str) -> str:
+    """The path as the operating system has it: executors write these files themselves."""
+    return path.removeprefix("file://")
+
+
 def write_files(docs: DataFrame, path: str, content_col: str, name_col: str = "file_name", per_shard: int = 1000) -> DataFrame:
     """``path``/shard/name for every document; ``path`` must be a folder that all executors share. Returns (shard, name, path).
 
-    Files are written beside and renamed, so a task that runs again leaves the same files.
+    Two documents of one name are an error, and nothing is written then. Files are written beside and renamed, so a task
+    that runs again leaves the same files.
     """
     ship(docs.sparkSession)
-    rows = with_shard(docs.select(F.col(name_col).alias("name"), F.col(content_col).alias("content")), "name", per_shard)
+    path = local(path)
+    rows = with_shard(docs.select(F.replace(F.col(name_col), F.lit("/"), F.lit("_")).alias("name"), F.col(content_col).alias("content")), "name", per_shard)
+    twice = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name").limit(5).collect()
+    if twice:
+        raise ValueError(f"several documents are named {', '.join(str(r['name']) for r in twice)}")
 
     def write(part: Iterator[Row]) -> None:
         for r in part:
             folder = os.path.join(path, r["shard"])
             os.makedirs(folder, exist_ok=True)
-            target = os.path.join(folder, r["name"].replace("/", "_"))
+            target = os.path.join(folder, r["name"])
             with open(f"{target}.{os.getpid()}.tmp", "w", encoding="utf-8", newline="") as f:
                 f.write(r["content"])
             os.replace(f.name, target)
@@ -36,6 +46,7 @@ def write_files(docs: DataFrame, path: str, content_col: str, name_col: str = "f
 def write_archive(df: DataFrame, path: str, fields: list[str], level: int = 15) -> None:
     """NDJSON as one ``part-N.zst`` a partition in ``path``, a folder that all executors share."""
     ship(df.sparkSession)
+    path = local(path)
     os.makedirs(path, exist_ok=True)
     lines = df.select(F.to_json(F.struct(*fields)).alias("line"), F.spark_partition_id().alias("n"))
 
