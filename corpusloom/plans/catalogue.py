@@ -1,12 +1,13 @@
 """Every query of the engine by name, with the SQL that says the same.
 
 The tables at hand hold prose that seldom needs cleaning, so the queries run over comments derived
-from ``documents`` by a fixed rule that makes every operator act (:func:`comment_view`).
+from ``documents`` by a fixed rule that makes every operator act (:func:`comment_view`): every
+document's own whole text is a comment, for some with a mark before or behind it, and short cases
+come as further comments.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,35 +15,51 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions.python_text import unescaped
+from corpusloom.functions.shared import remove_at_exit, shared_dir, stored
 from corpusloom.functions.shipping import ship
 from corpusloom.operators import comments, tei, threads, validate
+from corpusloom.plans import pipeline
 from corpusloom.schema import COMMENT_FIELDS, DROPPED_FIELDS
-from corpusloom.sources import readers
+from corpusloom.sources import readers, writers
 from corpusloom.streaming import clean as streaming
 
 BOTS = ["SRC1", "src7 ", "AutoHelper"]
 FALLBACK = "2024-01-01"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores, where a table has fewer parts than there are: its texts cost far more than their shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def comment_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """source, ord and the comment fields of every document, and a later copy of every 50th with another body."""
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", F.col("source").alias("src"))
+    """source, ord and the comment fields: every document's text, short cases, and a later copy of every 50th with another body."""
+    d = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", F.col("source").alias("src")))
     text, nl = F.col("text"), "\n"
     num = F.col("doc_id").cast("string")
-    cases = {
-        0: F.lit("[deleted]"), 1: F.lit(" [removed] "), 2: F.concat(F.lit("https://example.org/x/"), num), 3: F.concat(F.lit(f"&gt; quoted{nl}"), text), 4: F.concat(text, F.lit(f"{nl}> quoted{nl}>{nl}tail")),
-        5: F.concat(F.lit("[site](https://a.example/x) "), text), 6: F.lit("[www.a.example](https://b.example)"), 7: F.concat(F.lit("see www.a.example/p). "), text), 8: F.lit("!remindme 2 days"), 9: F.lit("RemindMe! 2 days"),
-        10: F.concat(F.lit("**b** *i* ~~s~~ "), text), 11: F.concat(F.lit(f"a{nl} {nl}{nl}"), text), 12: F.lit("&#x200B;"), 13: F.concat(F.lit("hi /u/some_user "), text), 14: F.lit("   "),
+    around = {
+        3: F.concat(F.lit(f"&gt; quoted{nl}"), text), 4: F.concat(text, F.lit(f"{nl}> quoted{nl}>{nl}tail")), 5: F.concat(F.lit("[site](https://a.example/x) "), text), 7: F.concat(F.lit("see www.a.example/p). "), text),
+        10: F.concat(F.lit("**b** *i* ~~s~~ "), text), 11: F.concat(F.lit(f"a{nl} {nl}{nl}"), text), 13: F.concat(F.lit("hi /u/some_user "), text), 14: F.concat(text, F.lit(" \x1c")),
+    }
+    short = {
+        0: F.lit("[deleted]"), 1: F.lit(" [removed] "), 2: F.concat(F.lit("https://example.org/x/"), num), 6: F.lit("[www.a.example](https://b.example)"), 8: F.lit("!remindme 2 days"), 9: F.lit("RemindMe! 2 days"), 12: F.lit("&#x200B;"), 14: F.lit("   "),
+        15: F.concat(F.lit("line\rone\x1etwo "), num),
     }
-    body = text
-    for k, v in cases.items():
+    body, case = text, F.lit(None).cast("string")
+    for k, v in around.items():
         body = F.when(F.col("doc_id") % 16 == k, v).otherwise(body)
+    for k, v in short.items():
+        case = F.when(F.col("doc_id") % 16 == k, v).otherwise(case)
+    one = lambda i, ord_, value: F.struct(i.alias("id"), ord_.alias("ord"), value.alias("body"))
+    main, more = one(F.concat(F.lit("c"), num), F.col("doc_id"), body), one(F.concat(F.lit("k"), num), F.col("doc_id") + 2000000000, case)
+    both = d.select("*", F.explode(F.when(case.isNull(), F.array(main)).otherwise(F.array(main, more))).alias("m"))
+    ident = F.col("m.id")
     link = F.when(F.col("doc_id") % 37 == 0, F.lit("t1_x")).otherwise(F.concat(F.lit("t3_p"), F.floor(F.col("doc_id") / 8).cast("string")))
-    ident = F.concat(F.lit("c"), num)
     created = F.lit(1700000000) + F.col("doc_id") * 3601
     path = F.concat(F.lit("/r/"), F.col("lang"), F.lit("/comments/p"), F.floor(F.col("doc_id") / 8).cast("string"), F.lit("/slug_"), F.col("src"), F.lit("/"), ident, F.lit("/"))
-    rows = d.select(
-        F.lit("documents").alias("source"), F.col("doc_id").alias("ord"), ident.alias("id"), link.alias("link_id"), F.when(F.col("doc_id") % 2 == 1, F.upper("src")).otherwise(F.col("src")).alias("author"), body.alias("body"),
+    rows = both.select(
+        F.lit("documents").alias("source"), F.col("m.ord").alias("ord"), ident.alias("id"), link.alias("link_id"), F.when(F.col("doc_id") % 41 == 0, F.lit(None)).when(F.col("doc_id") % 2 == 1, F.upper("src")).otherwise(F.col("src")).alias("author"), F.col("m.body").alias("body"),
         F.when(F.col("doc_id") % 2 == 1, F.concat(created.cast("string"), F.lit(".0"))).otherwise(created.cast("string")).alias("created_utc"), F.col("lang").alias("subreddit"), F.when(F.col("doc_id") % 5 != 0, path).alias("permalink"),
         F.when(F.col("doc_id") % 3 == 0, (created + 100000).cast("string")).alias("retrieved_on"), F.when(F.col("doc_id") % 3 == 1, (created + 200000).cast("string")).alias("retrieved_utc"),
     )
@@ -53,21 +70,25 @@ def comment_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 NL = "chr(10)"
 VIEW_SQL = f"""base AS (
   SELECT doc_id, text, lang, source AS src, doc_id % 16 AS k, 1700000000 + doc_id * 3601 AS created FROM documents
+), bodies AS (
+  SELECT *, doc_id AS ord, 'c' || doc_id AS id, CASE k
+      WHEN 3 THEN '&gt; quoted' || {NL} || text WHEN 4 THEN text || {NL} || '> quoted' || {NL} || '>' || {NL} || 'tail'
+      WHEN 5 THEN '[site](https://a.example/x) ' || text WHEN 7 THEN 'see www.a.example/p). ' || text
+      WHEN 10 THEN '**b** *i* ~~s~~ ' || text WHEN 11 THEN 'a' || {NL} || ' ' || {NL} || {NL} || text
+      WHEN 13 THEN 'hi /u/some_user ' || text WHEN 14 THEN text || ' ' || chr(28) ELSE text END AS body FROM base
+  UNION ALL
+  SELECT *, doc_id + 2000000000, 'k' || doc_id, CASE k WHEN 0 THEN '[deleted]' WHEN 1 THEN ' [removed] ' WHEN 2 THEN 'https://example.org/x/' || doc_id
+      WHEN 6 THEN '[www.a.example](https://b.example)' WHEN 8 THEN '!remindme 2 days' WHEN 9 THEN 'RemindMe! 2 days' WHEN 12 THEN '&#x200B;' WHEN 14 THEN '   '
+      ELSE 'line' || chr(13) || 'one' || chr(30) || 'two ' || doc_id END FROM base WHERE k IN (0, 1, 2, 6, 8, 9, 12, 14, 15)
 ), one AS (
-  SELECT 'documents' AS source, doc_id AS ord, 'c' || doc_id AS id,
+  SELECT 'documents' AS source, ord, id,
     CASE WHEN doc_id % 37 = 0 THEN 't1_x' ELSE 't3_p' || (doc_id // 8) END AS link_id,
-    CASE WHEN doc_id % 2 = 1 THEN upper(src) ELSE src END AS author,
-    CASE k WHEN 0 THEN '[deleted]' WHEN 1 THEN ' [removed] ' WHEN 2 THEN 'https://example.org/x/' || doc_id
-      WHEN 3 THEN '&gt; quoted' || {NL} || text WHEN 4 THEN text || {NL} || '> quoted' || {NL} || '>' || {NL} || 'tail'
-      WHEN 5 THEN '[site](https://a.example/x) ' || text WHEN 6 THEN '[www.a.example](https://b.example)'
-      WHEN 7 THEN 'see www.a.example/p). ' || text WHEN 8 THEN '!remindme 2 days' WHEN 9 THEN 'RemindMe! 2 days'
-      WHEN 10 THEN '**b** *i* ~~s~~ ' || text WHEN 11 THEN 'a' || {NL} || ' ' || {NL} || {NL} || text WHEN 12 THEN '&#x200B;'
-      WHEN 13 THEN 'hi /u/some_user ' || text WHEN 14 THEN '   ' ELSE text END AS body,
+    CASE WHEN doc_id % 41 = 0 THEN NULL WHEN doc_id % 2 = 1 THEN upper(src) ELSE src END AS author, body,
     created AS created_utc, lang AS subreddit,
-    CASE WHEN doc_id % 5 <> 0 THEN '/r/' || lang || '/comments/p' || (doc_id // 8) || '/slug_' || src || '/c' || doc_id || '/' END AS permalink,
+    CASE WHEN doc_id % 5 <> 0 THEN '/r/' || lang || '/comments/p' || (doc_id // 8) || '/slug_' || src || '/' || id || '/' END AS permalink,
     CASE WHEN doc_id % 3 = 0 THEN created + 100000 END AS retrieved_on,
     CASE WHEN doc_id % 3 = 1 THEN created + 200000 END AS retrieved_utc
-  FROM base
+  FROM bodies
 ), comments AS (
   SELECT * FROM one
   UNION ALL
@@ -121,7 +142,7 @@ BOTS_SQL = "('src1', 'src7', 'autohelper')"
 TAGGED_SQL = f"""{VIEW_SQL}, s1 AS (
   SELECT *, {strip_sql('body')} AS original FROM comments
 ), s2 AS (
-  SELECT *, CASE WHEN lower(author) IN {BOTS_SQL} THEN 'bot' WHEN original IN {DELETED_SQL} THEN 'deleted'
+  SELECT *, CASE WHEN coalesce(lower(author) IN {BOTS_SQL}, false) THEN 'bot' WHEN original IN {DELETED_SQL} THEN 'deleted'
     WHEN regexp_full_match(original, '(?i){URL_SQL}') THEN 'url_only' END AS early, {escaped_sql('original')} AS q1 FROM s1
 ), s3 AS (
   SELECT *, {strip_sql(modern_sql('q1'))} AS q2, {strip_sql('q1')} AS q1s FROM s2
@@ -153,19 +174,19 @@ def date_sql(x: str) -> str:
 
 
 def xml_sql(x: str) -> str:
-    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(13), '&#13;')"
 
 
 def meta_sql(prefix: str, post: str) -> str:
     p = f"{prefix}permalink"
     return f"""coalesce(split_part({p}, '/', 5), {post}) AS post_id, coalesce(split_part({p}, '/', 6), {post}) AS title, {date_sql(prefix + 'created_utc')} AS date,
-      coalesce(split_part({p}, '/', 3), {prefix}subreddit) AS subreddit, {prefix}author AS author,
+      coalesce(split_part({p}, '/', 3), {prefix}subreddit) AS subreddit, coalesce({prefix}author, 'Unknown Author') AS author,
       'https://www.reddit.com/r/' || coalesce(split_part({p}, '/', 3), {prefix}subreddit) || '/comments/' || coalesce(split_part({p}, '/', 5), {post}) || '/' AS thread_url,
       'https://www.reddit.com/r/' || coalesce(split_part({p}, '/', 3), {prefix}subreddit) || '/comments/' || coalesce(split_part({p}, '/', 5), {post}) || '/comment/' || {prefix}id || '/' AS comment_url,
       coalesce({date_sql(prefix + 'retrieved_on')}, {date_sql(prefix + 'retrieved_utc')}, '{FALLBACK}') AS download_date"""
 
 
-RENDER_SQL = r"replace({}, chr(10), '<lb/>')".format(xml_sql(r"regexp_replace(replace(replace(body, '&gt;', '>'), '&amp;', '&'), '/u/(\w+)', '\1', 'g')"))
+RENDER_SQL = r"replace({}, chr(10), '<lb/>')".format(xml_sql(r"translate(regexp_replace(replace(replace(body, '&gt;', '>'), '&amp;', '&'), '/u/(\w+)', '\1', 'g'), chr(28) || chr(30), '  ')"))
 THREADS_SQL = f"""{EXTRACTED_SQL}, threads AS (
   SELECT source, replace(link_id, 't3_', '') AS thread_id, count(*) AS n_comments, arg_max({{'id': id, 'author': author, 'created_utc': created_utc, 'subreddit': subreddit, 'permalink': permalink, 'retrieved_on': retrieved_on, 'retrieved_utc': retrieved_utc}}, ord) AS info
   FROM extracted GROUP BY 1, 2
@@ -239,6 +260,15 @@ def query(sql: str | None = None):
     return add
 
 
+def work(spark: SparkSession, what: str) -> str:
+    """A folder for what a query writes and reads back."""
+    folder = shared_dir(spark, what)
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+    remove_at_exit(spark, folder)
+    return folder
+
+
 def bots(spark: SparkSession) -> DataFrame:
     return readers.names(spark, BOTS)
 
@@ -272,7 +302,7 @@ change("newline_collapse", X.newlines, newlines_sql)
 change("inline_format_strip", X.inline_formatting, inline_sql)
 change("mention_strip", X.mentions, lambda x: rf"regexp_replace({x}, '/u/(\w+)', '\1', 'g')")
 change("xml_escape", X.xml_text, xml_sql)
-change("line_break_markup", lambda c: X.line_breaks(X.xml_text(X.separators(c))), lambda x: f"replace({xml_sql(x)}, chr(10), '<lb/>')")
+change("line_break_markup", lambda c: X.line_breaks(X.xml_text(X.separators(c))), lambda x: f"replace({xml_sql(f'translate({x}, chr(28) || chr(30), repeat(chr(32), 2))')}, chr(10), '<lb/>')")
 change("author_lower_strip", lambda c: X.py_strip(F.lower(c)), lambda x: strip_sql(f"lower({x})"))
 flag("deleted_filter", lambda c: X.py_strip(c).isin(*X.DELETED), lambda x: f"{strip_sql(x)} IN {DELETED_SQL}")
 flag("url_only_filter", lambda c: X.is_only_url(X.py_strip(c)), lambda x: f"regexp_full_match({strip_sql(x)}, '(?i){URL_SQL}')")
@@ -280,7 +310,7 @@ flag("remindme_filter", X.is_reminder, lambda x: f"regexp_matches({x}, {REMIND_S
 flag("empty_filter", X.is_blank, lambda x: f"{strip_sql(x)} = ''")
 
 
-@query(f"WITH {VIEW_SQL} SELECT ord, id, author FROM comments WHERE lower(author) NOT IN {BOTS_SQL}")
+@query(f"WITH {VIEW_SQL} SELECT ord, id, author FROM comments WHERE author IS NULL OR lower(author) NOT IN {BOTS_SQL}")
 def bot_anti_join(spark, sf_dir):
     return comments.without_bots(comment_view(spark, sf_dir), bots(spark)).select("ord", "id", "author")
 
@@ -384,7 +414,7 @@ def tei_grouped_header(spark, sf_dir):
 
 
 @query(f"""WITH {THREADS_SQL}, items AS (
-  SELECT m.thread_id, count(*) AS n_items, string_agg('          <item source="' || m.thread_url || 'comment/' || e.id || '/">' || {RENDER_SQL.replace('body', 'e.body')} || '<date>' || {date_sql('e.created_utc')} || '</date> <name>' || {xml_sql('e.author')} || '</name> </item>' || chr(10), '' ORDER BY e.ord) AS items
+  SELECT m.thread_id, count(*) AS n_items, string_agg('          <item source="' || m.thread_url || 'comment/' || e.id || '/">' || {RENDER_SQL.replace('body', 'e.body')} || '<date>' || {date_sql('e.created_utc')} || '</date> <name>' || coalesce({xml_sql('e.author')}, '') || '</name> </item>' || chr(10), '' ORDER BY e.ord) AS items
   FROM meta m JOIN extracted e ON replace(e.link_id, 't3_', '') = m.thread_id WHERE e.body <> '[deleted]' GROUP BY 1
 ) SELECT post_id || '.xml' AS file_name, '{tei.START}' || {header_sql(True)} || '  <text>
     <body>
@@ -396,7 +426,7 @@ def tei_grouped_header(spark, sf_dir):
   </text>
 {tei.END}' AS tei, n_items, true AS xml_ok FROM meta JOIN items USING (thread_id)""")
 def tei_grouped(spark, sf_dir):
-    return tei.grouped(threads.threads(extracted(spark, sf_dir), FALLBACK)).drop("xml_error")
+    return tei.grouped(threads.threads(tei.prepared(extracted(spark, sf_dir)), FALLBACK)).drop("xml_error")
 
 
 @query(f"""WITH {EXTRACTED_SQL}, singles AS (
@@ -455,7 +485,7 @@ def unescape_control(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", unescaped(F.col("html")).alias("text"))
 
 
-@query()
+@query(f"WITH {THREADS_SQL} SELECT DISTINCT m.post_id || '.xml' AS file_name, true AS valid, NULL::VARCHAR AS error FROM meta m JOIN extracted e ON replace(e.link_id, 't3_', '') = m.thread_id WHERE e.body <> '[deleted]'")
 def validate_documents(spark, sf_dir):
     return validate.validate(tei_grouped(spark, sf_dir))
 
@@ -463,8 +493,7 @@ def validate_documents(spark, sf_dir):
 @query(f"WITH {TAGGED_SQL} SELECT ord, id, body FROM tagged WHERE drop_reason IS NULL")
 def stream_clean(spark, sf_dir):
     """The cleaning stage as a stream that takes what there is, batch by batch."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    folder = f"{base or _local(spark)}/stream-{os.urandom(6).hex()}"
+    folder = work(spark, "stream")
     rows = comment_view(spark, sf_dir)
     rows.write.parquet(f"{folder}/in")
     stream = streaming.read_stream(spark, f"{folder}/in", rows.schema, files_per_batch=4)
@@ -472,16 +501,167 @@ def stream_clean(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select("ord", "id", "body")
 
 
-def _local(spark: SparkSession) -> str:
-    """Where no shared folder is set: one of this machine, for tests."""
-    import tempfile
-
-    return "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-
-
 @query("SELECT unnest(" + str(sorted(DROPPED_FIELDS)).replace('"', "'") + ") AS field")
 def dropped_fields(spark, sf_dir):
     """The fields that pruning removes, one a row."""
     kept = threads.prune(F.map_from_arrays(F.array(*(F.lit(f) for f in [*DROPPED_FIELDS, "id"])), F.array(*(F.lit(1) for _ in [*DROPPED_FIELDS, "id"]))))
     everything = F.array(*(F.lit(f) for f in [*DROPPED_FIELDS, "id"]))
     return spark.range(1).select(F.explode(F.array_except(everything, F.map_keys(kept))).alias("field"))
+
+
+# ---- sources and sinks: written, read back, and held against the rows they were made of ----
+
+
+def written_archive(spark: SparkSession, sf_dir: str) -> str:
+    """An archive of all comments: zstd NDJSON."""
+    folder = work(spark, "archive")
+    writers.write_archive(comment_view(spark, sf_dir), folder, list(COMMENT_FIELDS))
+    return folder
+
+
+@query(f"WITH {VIEW_SQL} SELECT id, body, count(*) AS n FROM comments GROUP BY ALL")
+def archive_scan(spark, sf_dir):
+    """What was written as archive, read as such; places in files are unique."""
+    rows = readers.read_archive(spark, written_archive(spark, sf_dir))
+    return rows.groupBy("id", "body").agg(F.count_distinct("source", "ord").alias("n"))
+
+
+@query(f"WITH {VIEW_SQL} SELECT id, count(*) AS n FROM comments GROUP BY 1")
+def long_window_scan(spark, sf_dir):
+    return readers.read_archive(spark, f"{written_archive(spark, sf_dir)}/*.zst", long_window=True).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, source AS community FROM documents")
+def archive_community(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return readers.community(docs.select("doc_id", F.concat(F.lit("file:/archives/x.y/"), "source", F.lit("_comments.zst")).alias("source"))).select("doc_id", "community")
+
+
+@query(f"WITH {VIEW_SQL} SELECT '{{broken ' || id AS value FROM comments WHERE ord % 4 = 0")
+def quarantine_scan(spark, sf_dir):
+    """Lines that are no JSON object, without the blank ones, of a written text archive."""
+    folder = work(spark, "lines")
+    line = F.to_json(F.struct("id", "body"))
+    value = F.when(F.col("ord") % 4 == 0, F.concat(F.lit("{broken "), "id")).when(F.col("ord") % 4 == 1, F.lit(" \t\x1c ")).otherwise(line)
+    comment_view(spark, sf_dir).select(value.alias("value")).write.mode("overwrite").option("compression", "gzip").text(folder)
+    return readers.quarantine(spark, folder).select("value")
+
+
+@query("SELECT DISTINCT lower(source) AS name FROM documents WHERE source IS NOT NULL")
+def bot_list_scan(spark, sf_dir):
+    """A list of names with repeats, blanks, white space and capitals, written and read."""
+    folder = work(spark, "names")
+    name = F.col("source")
+    listed = F.explode(F.array(F.upper(name), F.concat(F.lit(" \t"), name, F.lit(" \x1c")), F.lit("   "), F.lit("")))
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select(listed.alias("value")).where("value is not null").write.mode("overwrite").text(folder)
+    return readers.read_names(spark, folder)
+
+
+def written_json(spark: SparkSession, sf_dir: str, grouped: bool) -> str:
+    folder = work(spark, "json")
+    rows = extracted(spark, sf_dir)
+    writers.write_files((threads.thread_json if grouped else threads.comment_json)(rows, COMMENT_FIELDS), folder, "json", per_shard=100)
+    return folder
+
+
+@query(f"WITH {EXTRACTED_SQL} SELECT replace(link_id, 't3_', '') || '_flat.json' AS file_name, replace(link_id, 't3_', '') AS file_link, id, body FROM extracted")
+def json_scan(spark, sf_dir):
+    """Thread files in numbered folders, read with these."""
+    return readers.read_json_documents(spark, written_json(spark, sf_dir, True)).select("file_name", "file_link", "id", "body")
+
+
+@query(f"WITH {EXTRACTED_SQL}, named AS (SELECT DISTINCT replace(link_id, 't3_', '') || '_flat.json' AS name FROM extracted) SELECT name AS file_name FROM named QUALIFY row_number() OVER (ORDER BY md5(name), name) <= 100")
+def json_scan_flat(spark, sf_dir):
+    """The files of one numbered folder; the folder above them has none of its own."""
+    return readers.read_json_documents(spark, f"{written_json(spark, sf_dir, True)}/00001", recursive=False).select("file_name").distinct()
+
+
+@query(f"WITH {EXTRACTED_SQL} SELECT replace(link_id, 't3_', '') AS file_link, id AS file_comment FROM extracted")
+def file_name_keys(spark, sf_dir):
+    return readers.read_json_documents(spark, written_json(spark, sf_dir, False)).select("file_link", "file_comment")
+
+
+@query(f"WITH {THREADS_SQL} SELECT m.post_id || '.xml' AS file_name, count(*) AS n_items, true AS xml_ok FROM meta m JOIN extracted e ON replace(e.link_id, 't3_', '') = m.thread_id WHERE e.body <> '[deleted]' GROUP BY m.thread_id, m.post_id")
+def json_reentry(spark, sf_dir):
+    """Documents made again from files of single comments: one a thread, none lost, whatever files its comments lie in."""
+    docs = pipeline.run_json(spark, written_json(spark, sf_dir, False), True, FALLBACK)
+    return docs.select("file_name", "n_items", "xml_ok")
+
+
+@query(f"WITH {EXTRACTED_SQL} SELECT f.n AS filtered_n, e.n AS emitted_n, f.n = e.n AS matches FROM (SELECT count(*) AS n FROM tagged WHERE drop_reason IS NULL) f, (SELECT count(*) AS n FROM extracted) e")
+def written_reconcile(spark, sf_dir):
+    """Counts of what was written: the filtered archive, and the JSON files."""
+    folder = work(spark, "filtered")
+    kept = stored(comments.kept(tagged(spark, sf_dir)), "kept")
+    writers.write_archive(kept, f"{folder}/archive", list(COMMENT_FIELDS))
+    writers.write_files(threads.thread_json(threads.first_of_id(threads.extract(kept)), COMMENT_FIELDS), f"{folder}/json", "json")
+    return pipeline.reconcile_written(spark, f"{folder}/archive", f"{folder}/json")
+
+
+@query(f"WITH {THREADS_SQL} SELECT true AS valid, count(*) AS n FROM (SELECT DISTINCT m.post_id FROM meta m JOIN extracted e ON replace(e.link_id, 't3_', '') = m.thread_id WHERE e.body <> '[deleted]') GROUP BY 1 UNION ALL SELECT false, count(DISTINCT doc_id) FROM documents WHERE doc_id % 100 = 0")
+def validate_written(spark, sf_dir):
+    """The XML files below a folder: documents, broken files, and empty files, which don't count."""
+    folder = work(spark, "xml")
+    docs = tei_grouped(spark, sf_dir).select("file_name", "tei")
+    broken = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id % 100 = 0").select("doc_id").distinct()
+    name = lambda what: F.concat(F.lit(what), F.col("doc_id").cast("string"), F.lit(".xml"))
+    docs = docs.unionByName(broken.select(name("broken").alias("file_name"), F.lit("<TEI>").alias("tei"))).unionByName(broken.select(name("empty").alias("file_name"), F.lit("").alias("tei")))
+    writers.write_files(docs, folder, "tei", per_shard=50)
+    return validate.validate_directory(spark, folder).groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, doc_id % 5 <> 1 AND doc_id % 5 <> 2 AND doc_id % 5 <> 3 AS valid FROM documents")
+def validate_dtd(spark, sf_dir):
+    """A DTD from a file, with entities, choices, enumerations and required attributes."""
+    folder = work(spark, "dtd")
+    lines = ['<!ENTITY % inline "b | i">', "<!ELEMENT doc (head, (para | list)+)>", "<!ELEMENT head (#PCDATA)>", "<!ELEMENT para (#PCDATA | %inline;)*>", "<!ELEMENT list (para+)>", "<!ELEMENT b (#PCDATA)>", "<!ELEMENT i (#PCDATA)>", '<!ATTLIST doc id CDATA #REQUIRED kind (a | z) "a">']
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+    text = X.xml_text(F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f\uFFFE\uFFFF]", " "))
+    body = F.concat(F.lit('<doc id="1"><head>h</head><para>'), text, F.lit("<b>b</b></para></doc>"))
+    case = F.col("doc_id") % 5
+    made = F.when(case == 1, F.replace(body, F.lit(' id="1"'), F.lit(""))).when(case == 2, F.replace(body, F.lit("<head>h</head>"), F.lit(""))).when(case == 3, F.replace(body, F.lit('id="1"'), F.lit('id="1" kind="b"'))).otherwise(body)
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(F.col("doc_id").alias("file_name"), F.coalesce(made, F.lit("")).alias("tei"))
+    return validate.validate(docs, dtd=validate.read_dtd(spark, folder)).select(F.col("file_name").alias("doc_id"), "valid")
+
+
+#: Bodies and what decoding character references and removing unprintable characters makes of them.
+GOLDEN = [
+    ("a &amp;gt; b", "a > b"), ("&lt;i&gt; &quot;x&quot;", '<i> "x"'), ("caf&eacute; &#8364; &#x41;", "caf\u00e9 \u20ac A"), ("&amp;amp;", "&amp;"), ("zero\u200bwidth\u200djoin\u00adsoft\ufeff", "zerowidthjoinsoft"),
+    ("tab\there\nand\u00a0there", "tab\there\nand\u00a0there"), ("bell\x07esc\x1b[0m\x7f\x90", "bellesc[0m"), ("kept\x1c\x0b\x85", "kept\x1c\x0b\x85"), ("private\ue000\U000f0000", "private"), ("no end &copy 2024 &nosuch;", "no end \u00a9 2024 &nosuch;"),
+]
+
+
+def _chars(text: str) -> str:
+    """A text as SQL."""
+    return "concat(" + ", ".join(f"chr({ord(c)})" for c in text) + ")"
+
+
+@query("SELECT doc_id, CASE doc_id % 10 " + " ".join(f"WHEN {i} THEN {_chars(out)}" for i, (_, out) in enumerate(GOLDEN)) + " END || ' ' || doc_id AS text FROM documents")
+def unescape_golden(spark, sf_dir):
+    ship(spark)
+    body = F.element_at(F.array(*(F.lit(given) for given, _ in GOLDEN)), (F.col("doc_id") % 10 + 1).cast("int"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", unescaped(F.concat(body, F.lit(" "), F.col("doc_id").cast("string"))).alias("text"))
+
+
+@query(f"WITH {VIEW_SQL} SELECT ord, id, {newlines_sql(ZERO_SQL.format(x='body'))} AS body FROM comments WHERE {strip_sql(newlines_sql(ZERO_SQL.format(x='body')))} <> ''")
+def feature_flags_off(spark, sf_dir):
+    """The cleaning stage with every removal switched off."""
+    off = comments.Config(deleted=False, quotes=False, reminders=False, urls=False)
+    return comments.kept(comments.tag(comment_view(spark, sf_dir), None, off)).select("ord", "id", "body")
+
+
+@query(f"WITH {VIEW_SQL}, lines AS (SELECT ord, {inline_sql('to_json({id: id, body: body})')} AS line FROM comments) SELECT ord, line::JSON->>'$.body' AS body FROM lines WHERE json_valid(line)")
+def raw_inline_strip(spark, sf_dir):
+    """Inline marks stripped on raw lines, before they are parsed: a pair may reach over fields and break the line."""
+    lines = comment_view(spark, sf_dir).select("source", "ord", F.to_json(F.struct("id", "body")).alias("value"))
+    return readers.parsed(lines, raw_inline=True).where("not corrupt").select("ord", "body")
+
+
+@query(f"WITH {EXTRACTED_SQL} SELECT replace(link_id, 't3_', '') || '_' || id || '.xml' AS name, lpad(((row_number() OVER (ORDER BY md5(replace(link_id, 't3_', '') || '_' || id || '.xml')) - 1) // 50 + 1)::VARCHAR, 5, '0') AS shard FROM extracted WHERE body <> '[deleted]'")
+def written_files(spark, sf_dir):
+    """Documents of single comments as files in numbered folders, listed from the folder."""
+    folder = work(spark, "files")
+    writers.write_files(tei_nogroup(spark, sf_dir), folder, "tei", per_shard=50)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where("length > 0").select(F.split("path", "/").alias("p"))
+    return files.select(F.element_at("p", -1).alias("name"), F.element_at("p", -2).alias("shard"))
