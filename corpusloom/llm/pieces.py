@@ -203,10 +203,11 @@ class Encoder:
     def decode(self, ids: list[int]) -> str:
         return self.whole.decode(ids)
 
-    def digests(self, ids: list[int]) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of their decimals, SHA-256 of the text they decode to."""
+    def digests(self, ids: list[int], begins: np.ndarray | list = (), ends: np.ndarray | list = ()) -> tuple[int, str, str, str]:
+        """Number of ids, SHA-256 of their decimals, of the text they decode to, and of the spans (little-endian 64-bit begins, then ends)."""
         digits = self.digits
-        return len(ids), hashlib.sha256(" ".join([digits[i] for i in ids]).encode()).hexdigest(), hashlib.sha256(self.decode(ids).encode()).hexdigest()
+        spans = hashlib.sha256(np.asarray(begins, "<i8").tobytes() + np.asarray(ends, "<i8").tobytes()).hexdigest()
+        return len(ids), hashlib.sha256(" ".join([digits[i] for i in ids]).encode()).hexdigest(), hashlib.sha256(self.decode(ids).encode()).hexdigest(), spans
 
 
 @lru_cache(maxsize=2)
@@ -242,4 +243,4 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     return rows.mapInArrow(run, f"{kept}, {schema}")
 
 
-DIGESTS = ("n_tokens long, ids_sha256 string, decoded_sha256 string", [pa.int64(), pa.string(), pa.string()], lambda coder, ids, begins, ends: coder.digests(ids))
+DIGESTS = ("n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string", [pa.int64(), pa.string(), pa.string(), pa.string()], lambda coder, *lists: coder.digests(*lists))

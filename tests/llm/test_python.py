@@ -299,6 +299,34 @@ def test_pieces_equal_the_library(odd, none):
     assert pieces.encode(none, MODEL).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_the_pieces_query_against_the_library(spark):
+    """Ids and text as the library has them; spans by the surfaces of its pieces, which for this model are stretches of the text itself."""
+    import sentencepiece as sp
+
+    from corpusloom.llm.queries import op6_piece_spans
+
+    lib = sp.SentencePieceProcessor(model_file=MODEL)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    rows = op6_piece_spans(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        text = texts[r.doc_id]
+        ids = lib.encode(text, add_eos=True)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids)).encode()), sha(lib.decode(ids).encode()))
+        if "\u2581" in text:
+            continue
+        ends, at = [], 0
+        for i in ids[:-1]:
+            piece = lib.id_to_piece(i)
+            at += 1 if lib.is_byte(i) else len(piece.replace("\u2581", " ").encode()) - (piece[0] == "\u2581" and not at)
+            ends.append(at)
+        begins = [0, *ends]
+        ends = [*ends, at] if ids[:-1] else [0]
+        assert r.spans_sha256 == sha(np.array(begins[: len(ids)], "<i8").tobytes() + np.array(ends, "<i8").tobytes()), r.doc_id
+
+
 def test_random_texts_equal_the_library():
     import sentencepiece as sp
 
