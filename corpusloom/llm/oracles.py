@@ -127,6 +127,23 @@ def _op9(block: int = 64) -> str:
     SELECT doc_id, size, words AS source_size, target, coalesce(taken, 0) AS taken FROM laid JOIN n USING (k) LEFT JOIN got USING (rid)"""
 
 
+#: From the contract alone: targets by handing excess on again and again, at most once a source.
+MIX = rf"""WITH RECURSIVE d AS (
+  SELECT CASE WHEN source IS NULL THEN '~' ELSE '=' || source END AS k, coalesce(len(regexp_extract_all(text, '[^{WS}]+')), 0) AS size FROM documents
+), s AS (
+  SELECT k, count(*) AS documents, sum(size)::BIGINT AS words, CASE (row_number() OVER (ORDER BY k) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM d GROUP BY k
+), turns AS (
+  SELECT 0 AS turn, k, false AS full_, words, weight FROM s
+  UNION ALL
+  SELECT turn + 1, k, full_ OR weight * (1.5 * sum(words) OVER () - coalesce(sum(2.0 * words) FILTER (full_) OVER (), 0)) > 2.0 * words * sum(weight) FILTER (NOT full_) OVER (), words, weight
+  FROM turns WHERE turn < (SELECT count(*) FROM s)
+), last AS (
+  SELECT * FROM turns WHERE turn = (SELECT count(*) FROM s)
+), t AS (
+  SELECT k, CASE WHEN full_ THEN 2.0 * words ELSE weight * (1.5 * sum(words) OVER () - coalesce(sum(2.0 * words) FILTER (full_) OVER (), 0)) / sum(weight) FILTER (NOT full_) OVER () END AS target FROM last
+)
+SELECT k AS source_key, documents, words AS source_size, round(target::DOUBLE, 3) AS target, true AS near, true AS bounded FROM s JOIN t USING (k)"""
+
 OP10 = rf"""WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^{WS}]+') AS w FROM documents
 ), s AS (
@@ -146,4 +163,4 @@ OP10 = rf"""WITH RECURSIVE w AS (
 )
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, w.doc_id) AS component_id, w.doc_id = coalesce(least, w.doc_id) AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op5_planted_templates": PLANTED, "op8_interleave": OP8, "op9_block_mix": _op9(), "op10_circulant_minhash": OP10}
+ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op5_planted_templates": PLANTED, "op8_interleave": OP8, "op9_block_mix": _op9(), "op9_mix_of_sources": MIX, "op10_circulant_minhash": OP10}

@@ -112,9 +112,16 @@ def op9_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"), block_words=64).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_mix_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix by source, held against what is asked of it: words near the target, no document above twice its size."""
+    rows = mixing.taken(table(spark, sf_dir, "documents"), block_words=64)
+    near = F.abs(F.sum("taken") - F.first("target")) <= F.greatest(F.lit(128.0), 0.02 * F.first("target"))
+    return rows.groupBy("source_key").agg(F.count(F.lit(1)).alias("documents"), F.first("source_size").alias("source_size"), F.round(F.first("target"), 3).alias("target"), near.alias("near"), F.bool_and(F.col("taken") <= 2 * F.col("size")).alias("bounded"))
+
+
 def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash, op5_planted_templates)}
+QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash, op5_planted_templates, op9_mix_of_sources)}

@@ -283,6 +283,23 @@ def test_count_columns(odd, none):
     assert edit_counts.build(none, *COUNTER).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_the_edit_query_against_whole_counts(spark):
+    """Edits made by plain slices, and the tokens of the whole texts before and after."""
+    from corpusloom.llm.queries import made_edits, op4_edit_counts
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own, wanted = edit_counts.counter(*COUNTER), {}
+    for r in docs.withColumn("edits", made_edits(F.col("doc_id"), F.col("text"))).collect():
+        text = r.text
+        for e in r.edits:
+            text = text[: e.start] + e.text + text[e.end :] if e.start <= len(text) else text + e.text
+        wanted[r.doc_id] = (own.whole(r.text), own.whole(text), hashlib.sha256(text.encode()).hexdigest(), 4)
+    got = {r.doc_id: (r.n_before, r.n_tokens, r.edited_sha256, r.n_edits) for r in op4_edit_counts(spark, "/root/testdata/sf0.001").collect()}
+    assert got == wanted
+
+
 # ---- pieces ----
 
 
