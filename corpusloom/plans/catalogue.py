@@ -429,6 +429,13 @@ def tei_grouped(spark, sf_dir):
     return tei.grouped(threads.threads(tei.prepared(extracted(spark, sf_dir)), FALLBACK)).drop("xml_error")
 
 
+@query(f"WITH {VIEW_SQL} SELECT replace(link_id, 't3_', '') || '.xml' AS file_name, count(*) AS n_items FROM (SELECT * FROM comments WHERE starts_with(link_id, 't3_') QUALIFY row_number() OVER (PARTITION BY source, id ORDER BY ord) = 1) WHERE body <> '[deleted]' GROUP BY 1")
+def tei_skips_deleted(spark, sf_dir):
+    """Documents of comments that were not cleaned: deleted ones are left out when documents are made."""
+    rows = threads.first_of_id(threads.extract(comment_view(spark, sf_dir)))
+    return pipeline.documents_of(rows, fallback_date=FALLBACK).select("file_name", "n_items")
+
+
 @query(f"""WITH {EXTRACTED_SQL}, singles AS (
   SELECT replace(x.link_id, 't3_', '') AS thread_id, x.id AS comment_id, x.body AS body, {meta_sql('x.', "replace(x.link_id, 't3_', '')")} FROM extracted x
 ) SELECT thread_id || '_' || comment_id || '.xml' AS file_name, '{tei.START}' || {header_sql(False)} || '  <text>
