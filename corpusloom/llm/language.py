@@ -40,6 +40,8 @@ SAMPLE_DOCS, SAMPLE_BYTES = 256, 400_000
 #: Bound of the languages that are learned: those with the most labelled documents.
 SAMPLE_LANGUAGES = 256
 EVIDENCE = 64
+#: Bytes that are coded at once.
+STRETCH = 1 << 18
 LETTER = regex.compile(r"\p{L}")
 #: Separates documents and stands for the context before their first byte; as long as the longest context.
 PAD = b"\n" * ORDER
@@ -155,7 +157,7 @@ class Model:
         out = np.zeros((len(texts), len(self.languages)))
         piece, size, first = [], 0, 0
         for i, text in enumerate([*texts, None]):
-            if text is None or size > 1 << 20:
+            if text is None or size > STRETCH:
                 if piece:
                     out[first : first + len(piece)] = self._code(piece)
                 piece, size, first = [], 0, i
@@ -167,7 +169,7 @@ class Model:
     def _code(self, texts: list[bytes]) -> np.ndarray:
         ends = np.cumsum([len(t) + ORDER for t in texts])
         data = np.frombuffer(b"".join(PAD + t for t in texts), np.uint8)
-        total, step = np.zeros((len(texts), len(self.languages))), 1 << 20
+        total, step = np.zeros((len(texts), len(self.languages))), STRETCH
         owner_ends = ends
         for at in range(0, len(data), step):
             lo = max(0, at - ORDER)

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_hot, narrowed, ship, stored
+from .common import discard, join_hot, narrowed, settings, ship, stored
 
 SHINGLE, BANDS, ROWS, UNIVERSE_BITS, SEED = 5, 40, 5, 22, 20240229
 LOT = 64
@@ -55,6 +55,8 @@ PAIRS, THIN = 16, 4096
 #: Documents of a cluster are compared in blocks of so many, in products of so many columns.
 BLOCK, COLUMNS = 128, 1 << 15
 REMEMBERED = 400_000
+#: Texts and sets may be long, so few of them go to Python at once: what executors hold beside their heap follows this.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -331,6 +333,11 @@ def leftover_links(opened: DataFrame, sets: DataFrame, tested: DataFrame, percen
 
 def near_groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
+    with settings(docs.sparkSession, BATCHES):  # every step with Python is written before this returns
+        return _near_groups(docs, percent, id_col, text_col)
+
+
+def _near_groups(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     made = stored(signatures(docs, id_col, text_col), "signatures")
     full = made.where("n_shingles > 0 and doc_id is not null")
     classes = stored(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
