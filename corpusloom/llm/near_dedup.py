@@ -207,13 +207,12 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         label = last.select("v", "label")
         near = both.join(label.select(F.col("v").alias("b"), F.col("label").alias("l")), "b").groupBy(F.col("a").alias("v")).agg(F.min("l").alias("near"))
-        step = label.join(near, "v").select("v", F.col("label").alias("old"), F.least("label", "near").alias("l"))
+        met = stored(label.join(near, "v").select("v", F.col("label").alias("old"), F.least("label", "near").alias("l")), "steps")
         jump = label.select(F.col("v").alias("l"), F.col("label").alias("far"))
         # a label that many hold is a hot key: its one row is broadcast
-        held = step.groupBy("l").agg(F.count(F.lit(1)).alias("n")).join(jump, "l")
-        step = join_hot(step, held, ["l"], "n").select("v", "old", F.least("l", "far").alias("label"))
-        step = stored(step, "labels")
-        discard(last)
+        held = met.groupBy("l").agg(F.count(F.lit(1)).alias("n")).join(jump, "l")
+        step = stored(join_hot(met, held, ["l"], "n").select("v", "old", F.least("l", "far").alias("label")), "labels")
+        discard(last, met)
         last = step
         if step.where("old != label").isEmpty():
             discard(both)
