@@ -110,13 +110,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", diges
     spark = docs.sparkSession
     folder = shared_dir(spark, "dedup")
     log = arrivals(docs, id_col, text_col, digest)
-    if log.rdd.getNumPartitions() < batches:
-        log = log.repartition(batches)
-    log.write.parquet(f"{folder}/arrivals")
+    arrived = f"{folder}/arrivals"
+    log.write.parquet(arrived)
     remove_at_exit(spark, folder)
-    log = spark.read.schema(log.schema).parquet(f"{folder}/arrivals")
+    log = spark.read.schema(log.schema).parquet(arrived)
+    if len(log.inputFiles()) < batches:  # a small table: cut into as many files as there are batches
+        arrived = f"{folder}/dealt"
+        log.repartition(batches).write.parquet(arrived)
+        log = spark.read.schema(log.schema).parquet(arrived)
     files = len(log.inputFiles())
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", max(1, files // batches)).parquet(f"{folder}/arrivals")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", max(1, files // batches)).parquet(arrived)
     state = stored(stream_state(stream, folder), "state")
     met = join_hot(log, state, ["digest"], "group_size")
     columns = [F.col("doc_id"), F.col("keep_id"), F.col("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), F.col("keep_locator")]
