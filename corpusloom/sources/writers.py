@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -14,7 +15,7 @@ from corpusloom.operators.threads import with_shard
 
 def local(path: str) -> str:
     """The path as the operating system has it: executors write these files themselves."""
-    return path.removeprefix("file://")
+    return re.sub(r"^file:(?://)?(?=/)", "", path)
 
 
 def write_files(docs: DataFrame, path: str, content_col: str, name_col: str = "file_name", per_shard: int = 1000) -> DataFrame:
