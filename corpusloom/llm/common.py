@@ -74,15 +74,18 @@ def prefix_sums(df: DataFrame, keys: list[str], bucket: str, sums: dict[str, Col
     )
 
 
-def join_hot(rows: DataFrame, per_key: DataFrame, on: list[str], count: str) -> DataFrame:
+def join_hot(rows: DataFrame, per_key: DataFrame, on: list[str], count: str, total: int | None = None) -> DataFrame:
     """``rows`` joined with ``per_key``, which has one row for each key and in ``count`` how many of ``rows`` have it.
 
     Keys with more than one in HOT_KEYS of the rows are fewer than HOT_KEYS whatever the input, so their side is broadcast
     and their rows stay where they are; all other keys are too small to stall a task and are shuffled.
-    ``per_key`` is read three times and ``rows`` twice: give tables, or what is cheap to make again.
+    ``per_key`` is read three times and ``rows`` twice: give tables, or what is cheap to make again. ``total`` is a number
+    of rows that ``rows`` don't exceed, where the caller has it; else they are counted. Without a hot key it is a plain join.
     """
-    total = per_key.agg(F.sum(count)).first()[0] or 0
-    least = max(LEAST_HOT, total // HOT_KEYS)
+    counted, most = per_key.agg(F.sum(count), F.max(count)).first()
+    least = max(LEAST_HOT, (counted or 0 if total is None else total) // HOT_KEYS)
+    if (most or 0) <= least:
+        return rows.join(per_key, on)
     hot = per_key.where(F.col(count) > least)
     cold = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(per_key.where(F.col(count) <= least), on)
     return rows.join(F.broadcast(hot), on).unionByName(cold)

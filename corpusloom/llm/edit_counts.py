@@ -34,12 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
+from .workers import tidied
 
 #: Pre-tokens in a leaf when it is made; it is split at twice this.
 LEAF = 64
 #: Patterns, and the characters behind its end that a pre-token's extent can depend on: none of their parts looks further ahead.
 CONTEXTS = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+": 3}
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 class Counter:
@@ -277,6 +278,7 @@ def build(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id"
     ship(docs.sparkSession)
     names = ["doc_id", *keep, "text", "tree", "n_tokens", "n_pretokens"]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(ranks_path, pattern, context)
         for batch in batches:
@@ -297,6 +299,7 @@ def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, edits_col: str
     ship(trees.sparkSession)
     names = ["doc_id", "text", "tree", "n_tokens", "n_edits", "n_encoded"]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(ranks_path, pattern, context)
         for batch in batches:

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
+from .workers import tidied
 
 PATH_DIMS, WORD_DIMS, MEASURES = 320, 32, 9
 WIDTH = PATH_DIMS + WORD_DIMS + MEASURES
@@ -537,6 +538,7 @@ def extract(pages: DataFrame, net: Labeller, id_col: str = "page_id", html_col:
     shared = pages.sparkSession.sparkContext.broadcast(net)
     names = ["page_id", *keep, "text", "n_chars"]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import ship
+from .workers import tidied
 
 ORDER = 4
 #: Bound of the training sample: documents of a language, and bytes of a language (whole documents, passing over those that do not fit; if none fits, the head of the shortest).
@@ -244,6 +245,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["doc_id", *keep]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
+from .workers import tidied
 
 UNIT, KEY_EVERY, PER_CHUNK, TIMESCALE, TICKS = 64, 16, 64, 600, 20
 #: Boxes that hold nothing but boxes.
@@ -347,6 +348,7 @@ def with_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, n_bytes (of the text in UTF-8) and ``media``, the text's bytes as a media file."""
     ship(docs.sparkSession)
 
+    @tidied
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1):
@@ -375,6 +377,7 @@ def with_probe(media: DataFrame, media_col: str = "media", payload: bool = False
     listed = pa.list_(pa.struct([("handler", pa.string()), ("codec", pa.string()), *numbers("timescale", "duration", "n_samples", "n_keyframes")]))
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct(numbers("time", "offset", "size"))), pa.string(), listed, pa.binary()]
 
+    @tidied
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, keep.index(media_col)):

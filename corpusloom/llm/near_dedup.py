@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, join_hot, narrowed, settings, ship, stored
+from .workers import tidied
 
 SHINGLE, BANDS, ROWS, UNIVERSE_BITS, SEED = 5, 40, 5, 22, 20240229
 LOT = 64
@@ -54,7 +55,7 @@ LOT = 64
 PAIRS, THIN = 16, 4096
 #: Documents of a cluster are compared in blocks of so many, in products of so many columns.
 BLOCK, COLUMNS = 128, 1 << 15
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 #: Texts and sets may be long, so few of them go to Python at once: what executors hold beside their heap follows this.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -123,6 +124,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, digest (of the word sequence), n_shingles, bands (the keys; none for an empty set)."""
     ship(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
@@ -147,6 +149,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """From (rep, text): rep, keys (the sorted set of shingle hashes)."""
     ship(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
@@ -176,6 +179,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame
     needed = members.unionByName(centres)
     dealt = sets.join(needed, "rep").select("a", "lot", "role", "rep", "keys").repartition("a", "lot").sortWithinPartitions("a", "lot", "role")
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, centre = None, None
         for batch in batches:
@@ -204,6 +208,7 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = stored(both, "edges")
     last = stored(both.groupBy(F.col("a").alias("v")).agg(F.least("v", F.min("b")).alias("label")), "labels")
+    vertices = last.count()
     while True:
         label = last.select("v", "label")
         near = both.join(label.select(F.col("v").alias("b"), F.col("label").alias("l")), "b").groupBy(F.col("a").alias("v")).agg(F.min("l").alias("near"))
@@ -211,7 +216,7 @@ def components(edges: DataFrame) -> DataFrame:
         jump = label.select(F.col("v").alias("l"), F.col("label").alias("far"))
         # a label that many hold is a hot key: its one row is broadcast
         held = met.groupBy("l").agg(F.count(F.lit(1)).alias("n")).join(jump, "l")
-        step = stored(join_hot(met, held, ["l"], "n").select("v", "old", F.least("l", "far").alias("label")), "labels")
+        step = stored(join_hot(met, held, ["l"], "n", vertices).select("v", "old", F.least("l", "far").alias("label")), "labels")
         discard(last, met)
         last = step
         if step.where("old != label").isEmpty():
@@ -278,6 +283,7 @@ def block_links(clusters: DataFrame, opened: DataFrame, sets: DataFrame, percent
     dealt = dealt.select("rep", "comp", F.xxhash64("cluster", "lo", "hi").alias("pair"), (F.col("lo") == F.col("hi")).cast("int").alias("same"), "side")
     rows = sets.join(dealt, "rep").select("pair", "same", "side", "rep", "comp", "keys").repartition("pair").sortWithinPartitions("pair", "side")
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, group = None, []
 

@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
+from .workers import tidied
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 #: Segments whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class CharacterMap:
@@ -229,6 +230,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     schema, types, make = derive or (LISTS, [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())], lambda _, *lists: lists)
     names = ["doc_id", *keep, *(s.split()[0] for s in schema.split(", "))]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model_path)
         for batch in batches:

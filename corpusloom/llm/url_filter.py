@@ -59,10 +59,10 @@ def part(segment: Column) -> Column:
     return out
 
 
-def name_children(child: DataFrame, z: float, many: int, few: float) -> DataFrame:
+def name_children(child: DataFrame, z: float, many: int, few: float, total: int) -> DataFrame:
     """From (host, t, seg, cn, cs, cb, paths), the pages, labels and blocked labels below each child: host, t, seg, paths, name."""
     node = child.groupBy("host", "t").agg(F.count(F.lit(1)).alias("kids"), F.sum("cn").alias("pn"), F.sum("cs").alias("ps"), F.sum("cb").alias("pb"))
-    child = join_hot(child, stored(node, "nodes"), ["host", "t"], "kids")
+    child = join_hot(child, node, ["host", "t"], "kids", total)
     wild = (F.col("kids") > many) & (F.col("pn") < few * F.col("kids"))
     share = F.col("pb") / F.col("ps")
     spread = F.sqrt(share * (1 - share) * (1 / F.col("cs") + 1 / (F.col("ps") - F.col("cs"))))
@@ -73,8 +73,8 @@ def name_children(child: DataFrame, z: float, many: int, few: float) -> DataFram
     return child.select("host", "t", "seg", "paths", name.alias("name"))
 
 
-def grown(paths: DataFrame, z: float, many: int, few: float) -> DataFrame:
-    """From (host, raw, n, seen, bad), the template parts of every path: with ``template``."""
+def grown(paths: DataFrame, z: float, many: int, few: float, total: int) -> DataFrame:
+    """From (host, raw, n, seen, bad), ``total`` paths with their parts: with ``template``."""
     kept = ["host", "raw", "n", "seen", "bad"]
     cut = F.locate("/", F.col("rest"))
     head = F.when(cut > 0, F.substring(F.col("rest"), F.lit(1), cut - 1)).otherwise(F.col("rest"))
@@ -83,13 +83,13 @@ def grown(paths: DataFrame, z: float, many: int, few: float) -> DataFrame:
     while True:
         level = level.withColumns({"seg": head, "rest": tail})
         child = level.groupBy("host", "t", "seg").agg(F.sum("n").alias("cn"), F.sum("seen").alias("cs"), F.sum("bad").alias("cb"), F.count(F.lit(1)).alias("paths"))
-        named = stored(name_children(stored(child, "children"), z, many, few), "names")
+        named = stored(name_children(child, z, many, few, total), "names")
         longer = F.concat("t", F.lit("/"), "name").alias("t")
-        level = stored(join_hot(level, named, ["host", "t", "seg"], "paths").select(*kept, longer, "rest"), "paths")
+        level = stored(join_hot(level, named, ["host", "t", "seg"], "paths", total).select(*kept, longer, "rest"), "paths")
         # a path that no other of its template goes on with is closed as it is
         going = level.where("rest is not null").groupBy("host", "t").agg(F.count(F.lit(1)).alias("going"))
         going = stored(going, "going")
-        alone = join_hot(level.where("rest is not null"), going, ["host", "t"], "going")
+        alone = join_hot(level.where("rest is not null"), going, ["host", "t"], "going", total)
         done.append(level.where("rest is null").select(*kept, "t"))
         done.append(alone.where("going = 1").select(*kept, F.concat("t", F.lit("/"), "rest").alias("t")))
         level = alone.where("going > 1").select(*kept, "t", "rest")
@@ -112,15 +112,16 @@ def judge(pages: DataFrame, rules=RULES, purity: float = 0.8, alpha: float = 4.0
     rows = stored(rows.withColumns({"rule": rule, "fixed": verdict, "raw": raw}), "urls")
     labelled, blocked = F.col("fixed").isNotNull(), F.col("fixed") == "block"
     paths = stored(rows.groupBy("host", "raw").agg(F.count(F.lit(1)).alias("n"), F.count_if(labelled).alias("seen"), F.count_if(blocked).alias("bad")), "paths")
-    tree = grown(paths, z, many, few)
+    n_paths = paths.count()
+    tree = grown(paths, z, many, few, n_paths)
     leaves = stored(tree.groupBy("host", "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("paths")), "leaves")
     hosts = leaves.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb"), F.count(F.lit(1)).alias("templates"))
     whole = hosts.agg(F.coalesce(F.sum("hb") / F.nullif(F.sum("hs"), F.lit(0)), F.lit(0.0)).alias("base"))
     hosts = hosts.select("host", "hs", "hb", "templates", whole.scalar().alias("base")).withColumn("prior", (F.col("hb") + alpha * F.col("base")) / (F.col("hs") + alpha))
-    leaves = join_hot(leaves, stored(hosts, "hosts"), ["host"], "templates")
+    leaves = join_hot(leaves, hosts, ["host"], "templates", n_paths)
     score = F.when(F.col("seen") == 0, F.col("base")).otherwise((F.col("bad") + alpha * F.col("prior")) / (F.col("seen") + alpha))
     leaves = stored(leaves.select("host", "template", "paths", score.alias("score")), "scores")
-    scored = stored(join_hot(tree.select("host", "raw", "n", "template"), leaves, ["host", "template"], "paths").drop("paths"), "scored")
+    scored = stored(join_hot(tree.select("host", "raw", "n", "template"), leaves, ["host", "template"], "paths", n_paths).drop("paths"), "scored")
     discard(tree, paths)
     return join_hot(rows, scored, ["host", "raw"], "n").select(
         "page_id", "host", "path", "rule", F.coalesce("fixed", F.when(F.col("score") >= purity, "block").otherwise("allow")).alias("verdict"), "template", "score"
