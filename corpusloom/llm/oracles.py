@@ -163,4 +163,42 @@ OP10 = rf"""WITH RECURSIVE w AS (
 )
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, w.doc_id) AS component_id, w.doc_id = coalesce(least, w.doc_id) AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op5_planted_templates": PLANTED, "op8_interleave": OP8, "op9_block_mix": _op9(), "op9_mix_of_sources": MIX, "op10_circulant_minhash": OP10}
+def _op12() -> str:
+    """One pattern for all stamps, casts for the calendar, and DuckDB's own time zones for the offsets."""
+    clock = r"(?:[T ](\d\d):([0-5]\d)(?::([0-5]\d))?(?: ?([AP])M)?(?: ?(Z|[+-](?:0\d|1[0-4]):?[0-5]\d))?)?".replace(r"\d", "[0-9]")
+    two, year, month = "([0-9]{2})", "(20[0-9]{2})", "(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
+    forms = {
+        "iso": (f"{year}-{two}-{two}", "ymd"), "packed": (f"{year}{two}{two}", "ymd"), "dotted": (rf"{two}\.{two}\.{year}", "dmy"), "named": (f"{two} {month} {year}", "dmy"), "slashed": (f"{two}/{two}/{year}", "dmy"),
+    }
+    names = lambda order: "[" + ", ".join(f"'{x}'" for x in (*order, "h", "i", "s", "half", "z")) + "]"
+    parts = "CASE " + " ".join(f"WHEN regexp_full_match(t, '{p}{clock}') THEN struct_pack(f := '{n}', p := CAST(regexp_extract(t, '{p}{clock}', {names(o)}) AS STRUCT(y VARCHAR, m VARCHAR, d VARCHAR, h VARCHAR, i VARCHAR, s VARCHAR, half VARCHAR, z VARCHAR)))" for n, (p, o) in forms.items()) + " END"
+    wall = lambda m, d: f"epoch_us(TRY_CAST(format('{{}}-{{}}-{{}} {{}}:{{}}:{{}}', y, {m}, {d}, h, i, s) AS TIMESTAMP))"
+    shift = lambda us: f"(epoch_us(timezone(zone, make_timestamptz({us}))) - ({us}))"
+    return f"""WITH a AS (
+      SELECT stamp_id, source, zone, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM stamps
+    ), b AS (
+      SELECT *, CASE WHEN regexp_full_match(t, '[0-9]{{10}}') THEN TRY_CAST(t AS BIGINT) * 1000000 WHEN regexp_full_match(t, '[0-9]{{13}}') THEN TRY_CAST(t AS BIGINT) * 1000 END AS epoch, {parts} AS q FROM a
+    ), c AS (
+      SELECT stamp_id, source, zone, epoch, q.f AS form, q.p.y AS y, CASE WHEN q.f = 'named' THEN lpad(CAST((strpos('JanFebMarAprMayJunJulAugSepOctNovDec', q.p.m) + 2) // 3 AS VARCHAR), 2, '0') ELSE q.p.m END AS m, q.p.d AS d,
+        CASE WHEN q.p.half = '' THEN CASE WHEN q.p.h = '' THEN '00' WHEN TRY_CAST(q.p.h AS INT) < 24 THEN q.p.h END WHEN TRY_CAST(q.p.h AS INT) BETWEEN 1 AND 12 THEN lpad(CAST(TRY_CAST(q.p.h AS INT) % 12 + CASE WHEN q.p.half = 'P' THEN 12 ELSE 0 END AS VARCHAR), 2, '0') END AS h,
+        CASE WHEN q.p.i = '' THEN '00' ELSE q.p.i END AS i, CASE WHEN q.p.s = '' THEN '00' ELSE q.p.s END AS s,
+        CASE WHEN q.p.z = 'Z' THEN 0 WHEN q.p.z <> '' THEN (CASE WHEN q.p.z[1] = '-' THEN -1 ELSE 1 END) * (TRY_CAST(q.p.z[2:3] AS BIGINT) * 60 + TRY_CAST(q.p.z[-2:] AS BIGINT)) * 60000000 END AS off
+      FROM b
+    ), w AS (
+      SELECT *, CASE WHEN h IS NOT NULL AND (off IS NOT NULL OR zone IS NOT NULL) THEN {wall("m", "d")} END AS dm, CASE WHEN h IS NOT NULL AND (off IS NOT NULL OR zone IS NOT NULL) AND form = 'slashed' THEN {wall("d", "m")} END AS md FROM c
+    ), v AS (
+      SELECT source, count(*) FILTER (form = 'slashed' AND dm IS NOT NULL AND md IS NULL) AS dn, count(*) FILTER (form = 'slashed' AND dm IS NULL AND md IS NOT NULL) AS mn FROM w GROUP BY 1
+    ), o AS (
+      SELECT w.*, coalesce(dm <> md, false) AS open, dn > 10 * mn OR mn > 10 * dn AS won, CASE WHEN dm <> md AND mn > 10 * dn THEN md ELSE coalesce(dm, md) END AS local FROM w JOIN v ON w.source IS NOT DISTINCT FROM v.source
+    ), z AS (
+      SELECT *, CASE WHEN off IS NULL THEN {shift("local - 86400000000")} END AS early, CASE WHEN off IS NULL THEN {shift("local + 86400000000")} END AS late FROM o
+    ), r AS (
+      SELECT *, early <> late AND {shift("local - early")} = early AS e_ok, early <> late AND {shift("local - late")} = late AS l_ok FROM z
+    )
+    SELECT stamp_id, coalesce(epoch, local - coalesce(off, CASE WHEN e_ok AND NOT l_ok THEN early ELSE late END)) AS utc_us,
+      CASE WHEN epoch IS NOT NULL THEN 'epoch' WHEN local IS NULL THEN 'bad' WHEN open AND won THEN 'votes' WHEN open THEN 'default' ELSE 'plain' END AS rule,
+      open OR coalesce(early <> late AND e_ok = l_ok, false) AS ambiguous
+    FROM r"""
+
+
+ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op5_planted_templates": PLANTED, "op8_interleave": OP8, "op9_block_mix": _op9(), "op9_mix_of_sources": MIX, "op10_circulant_minhash": OP10, "op12_zone_stamps": _op12()}
