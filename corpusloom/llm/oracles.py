@@ -201,4 +201,33 @@ def _op12() -> str:
     FROM r"""
 
 
-ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op5_planted_templates": PLANTED, "op8_interleave": OP8, "op9_block_mix": _op9(), "op9_mix_of_sources": MIX, "op10_circulant_minhash": OP10, "op12_zone_stamps": _op12()}
+def _op13(rounds: int = 6) -> str:
+    """Every distance in full, in whole numbers; a round is an assignment and the means of what each entry got."""
+    sql = """WITH kept AS MATERIALIZED (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS v, len(embedding) // 8 AS w FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS MATERIALIZED (
+      SELECT vec_id, label, p, v[p * w + 1:(p + 1) * w] AS x FROM kept, (SELECT unnest(range(8)) AS p)
+    ), book0 AS MATERIALIZED (
+      SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, x AS c FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+    )"""
+    for i in range(rounds + 1):
+        sql += f""", near{i} AS MATERIALIZED (
+      SELECT vec_id, label, p, x, unnest(min_by(struct_pack(e := e, d := d), struct_pack(d := d, e := e)))
+      FROM (SELECT *, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM parts JOIN book{i} USING (p)) GROUP BY vec_id, label, p, x
+    )"""
+        if i < rounds:
+            sql += f""", sums{i} AS MATERIALIZED (
+      SELECT p, e, k, CAST(sum(y) AS BIGINT) AS s, count(*) AS n FROM (SELECT p, e, unnest(x) AS y, generate_subscripts(x, 1) AS k FROM near{i}) GROUP BY ALL
+    ), book{i + 1} AS MATERIALIZED (
+      SELECT p, e, coalesce(m, c) AS c FROM book{i} LEFT JOIN (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS m FROM sums{i} GROUP BY ALL) USING (p, e)
+    )"""
+    return sql + f""", coded AS (
+      SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY ALL
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+      (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+    FROM coded"""
+
+
+ORACLES = {"op3_stream_dedup": OP3, "op5_template_tree": _op5(), "op5_planted_templates": PLANTED, "op8_interleave": OP8, "op9_block_mix": _op9(), "op9_mix_of_sources": MIX, "op10_circulant_minhash": OP10, "op12_zone_stamps": _op12(), "op13_partial_distance": _op13()}

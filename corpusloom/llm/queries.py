@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_counts, exact_dedup, html_blocks, language, media, mixing, near_dedup, pieces, sharding, stamps, url_filter
+from . import edit_counts, exact_dedup, html_blocks, language, media, mixing, near_dedup, pieces, sharding, stamps, url_filter, vector_codes
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -128,4 +128,9 @@ def op12_zone_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamps.normalise(table(spark, sf_dir, "stamps")).select("stamp_id", "utc_us", "rule", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash, op12_zone_stamps, op5_planted_templates, op9_mix_of_sources)}
+def op13_partial_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash, op12_zone_stamps, op13_partial_distance, op5_planted_templates, op9_mix_of_sources)}
