@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from corpusloom.functions.shared import discard, shared_dir, stored  # noqa: F401
+from corpusloom.functions.shared import discard, remove_at_exit, shared_dir, stored  # noqa: F401
 from corpusloom.functions.shipping import ship  # noqa: F401
 
 #: The white space of every contract: space and the six ASCII controls 0x09-0x0D without 0x0E on.

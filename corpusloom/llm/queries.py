@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_counts, exact_dedup, html_blocks, language, media, mixing, near_dedup, pieces, sharding, stamps, url_filter, vector_codes
-from .common import table
+from . import edit_counts, exact_dedup, html_blocks, language, media, mixing, near_dedup, pieces, sharding, stamps, token_files, url_filter, vector_codes
+from .common import remove_at_exit, shared_dir, table
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -124,6 +124,14 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op11_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-lists")
+    remove_at_exit(spark, path)
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"))
+    rows = token_files.with_global_start(spark, token_files.with_crc(token_files.read(spark, path)), path)
+    return rows.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
+
+
 def op12_zone_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamps.normalise(table(spark, sf_dir, "stamps")).select("stamp_id", "utc_us", "rule", "ambiguous")
 
@@ -133,4 +141,4 @@ def op13_partial_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash, op12_zone_stamps, op13_partial_distance, op5_planted_templates, op9_mix_of_sources)}
+QUERIES = {f.__name__: f for f in (op1_media_column, op2_ppm_language, op3_stream_dedup, op4_edit_counts, op5_template_tree, op6_piece_spans, op7_block_labeller, op8_interleave, op9_block_mix, op10_circulant_minhash, op11_token_lists, op12_zone_stamps, op13_partial_distance, op5_planted_templates, op9_mix_of_sources)}
