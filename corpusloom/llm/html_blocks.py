@@ -49,37 +49,60 @@ LONG, TOGETHER = 20_000, 30_000
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no text of the page: those whose content is raw up to the end tag, and those that hold elements.
-RAW = frozenset("script style title iframe".split())
+RAW = frozenset("script style title iframe textarea xmp noembed noframes".split())
 NESTED = frozenset("noscript template svg math object canvas audio video".split())
 #: Elements whose start ends an open one of these, looked for up to the nearest holder.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",)}
 ENDED = frozenset(["p", *(x for names in ENDS.values() for x in names)])
 HOLDERS = frozenset("ul ol dl table tbody thead tfoot select body html div section article aside form blockquote".split())
-MARKUP = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|([^<]+|<)""", re.S)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: Attributes by the states of HTML: a quote opens a value right after the equals sign only, and a name or a plain value may hold
+#: quotes. A quoted value that never ends is none, so the tag ends at the next ``>`` and what follows stays.
+BLANK = r"[ \t\n\f\r]"
+ATTRIBUTE = rf"""([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:{BLANK}*+={BLANK}*+(?:"([^"]*)"|'([^']*)'|(?=>|\Z)|([^ \t\n\f\r>"'][^ \t\n\f\r>]*+)))?+"""
+UNNAMED = re.sub(r"(?<!\\)\((?!\?)", "(?:", ATTRIBUTE)
+COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+MARKUP = re.compile(rf"{COMMENT}|<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)((?:[ \t\n\f\r/]++|{UNNAMED})*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|([^<]+|<)", re.S)
+ATTRIBUTES = re.compile(ATTRIBUTE)
+NAMING = frozenset(("class", "id", "role"))
 PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 HEAD_ENDS = re.compile(r"</head|<body", re.I | re.A)
 
 
 @lru_cache(maxsize=64)
-def tags_of(tag: str) -> re.Pattern:
-    """Start and end tags of an element, by ASCII letters of either case: places are those in the page itself."""
-    return re.compile(rf"<(/?){tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I | re.A)
+def end_of(tag: str) -> re.Pattern:
+    """The start of an element's end tag, by ASCII letters of either case."""
+    return re.compile(rf"</{tag}(?=[ \t\n\f\r/>])", re.I | re.A)
 
 
 def behind(page: str, tag: str, at: int) -> int:
-    """Where a hidden element that starts right before ``at`` ends; -1 if it never does."""
+    """Where a hidden element that starts right before ``at`` ends; -1 if it never does.
+
+    Raw content ends at the first end tag. Other content is read tag by tag, as an end tag may stand in a value or a comment.
+    """
+    if tag in RAW:
+        found = end_of(tag).search(page, at)
+        return MARKUP.match(page, found.start()).end() if found else -1
     depth = 1
-    for m in tags_of(tag).finditer(page, at):
-        if m[1]:
-            depth -= 1
-        elif tag in NESTED and not m[0].endswith("/>"):
-            depth += 1
-        if not depth or m[1] and tag in RAW:
-            return m.end()
+    while at < len(page):
+        m = MARKUP.match(page, at)
+        at = m.end()
+        name = m[2].lower() if m[2] else ""
+        if name == tag:
+            depth += -1 if m[1] else 0 if m[0].endswith("/>") else 1
+            if not depth:
+                return at
+        elif name in RAW and not m[1] and not m[0].endswith("/>"):
+            at = behind(page, name, at)
+            if at < 0:
+                return -1
     return -1
 
 
+def naming(attributes: str) -> str:
+    """The values of class, id and role."""
+    return " ".join(html.unescape(a or b or c) for name, a, b, c in ATTRIBUTES.findall(attributes) if name.lower() in NAMING)
+
+
 class Node:
     """An open element: bits of its own path parts, and of all that hold it."""
 
@@ -201,7 +224,7 @@ def blocks(page: str) -> list[Block]:
                 near = node.ended if node else None
             else:
                 near = near.parent.ended if near.parent else None
-        node = Node(node, tag, part_bits(tag, " ".join("".join(x) for x in NAMES.findall(m[3])) if m[3] else ""))
+        node = Node(node, tag, part_bits(tag, naming(m[3]) if m[3] else ""))
         opened[tag] += 1
     close()
     return found
