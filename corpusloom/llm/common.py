@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -37,6 +37,13 @@ def settings(spark: SparkSession, wanted: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def observed(df: DataFrame, what: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`stored`, and aggregates of the rows that were written, from the same pass."""
+    seen = Observation()
+    out = stored(df.observe(seen, *(c.alias(k) for k, c in metrics.items())), what)
+    return out, seen.get
+
+
 def source_key(col: Column) -> Column:
     """A never-null grouping key: '=' + the name, and '~' (sorts after) for null."""
     return F.when(col.isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), col))
@@ -74,15 +81,18 @@ def prefix_sums(df: DataFrame, keys: list[str], bucket: str, sums: dict[str, Col
     )
 
 
-def join_hot(rows: DataFrame, per_key: DataFrame, on: list[str], count: str, total: int | None = None) -> DataFrame:
+def join_hot(rows: DataFrame, per_key: DataFrame, on: list[str], count: str, total: int | None = None, most: int | None = None) -> DataFrame:
     """``rows`` joined with ``per_key``, which has one row for each key and in ``count`` how many of ``rows`` have it.
 
     Keys with more than one in HOT_KEYS of the rows are fewer than HOT_KEYS whatever the input, so their side is broadcast
     and their rows stay where they are; all other keys are too small to stall a task and are shuffled.
     ``per_key`` is read three times and ``rows`` twice: give tables, or what is cheap to make again. ``total`` is a number
-    of rows that ``rows`` don't exceed, where the caller has it; else they are counted. Without a hot key it is a plain join.
+    of rows that ``rows`` don't exceed and ``most`` the largest of ``count``, where the caller has them; else they are
+    looked up. Without a hot key it is a plain join.
     """
-    counted, most = per_key.agg(F.sum(count), F.max(count)).first()
+    counted = None
+    if total is None or most is None:
+        counted, most = per_key.agg(F.sum(count), F.max(count)).first()
     least = max(LEAST_HOT, (counted or 0 if total is None else total) // HOT_KEYS)
     if (most or 0) <= least:
         return rows.join(per_key, on)

@@ -11,8 +11,8 @@ share of all hosts, as the labels of other branches say nothing about it.
 
 Labels are the verdicts of the given rules, so every page under a rule teaches the template it
 falls under. Pages are first counted by (host, template parts); the tree is grown on those counts
-level by level, as deep as different paths share a template, and what is left of a path that is
-alone is its own. Pages meet the tree again in one join. A host, node or template with a large part
+in rounds that follow its branchings, as deep as different paths share a template, and what is left of
+a path that is alone is its own. Pages meet the tree again in one join. A host, node or template with a large part
 of all rows is joined by broadcast (see :func:`~.common.join_hot`). DataFrame functions only.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no rule and the
@@ -22,10 +22,12 @@ judged alike; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, join_hot, stored
+from .common import discard, join_hot, observed, stored
 
 #: (verdict, host, path) of the fixed rules.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -59,10 +61,8 @@ def part(segment: Column) -> Column:
     return out
 
 
-def name_children(child: DataFrame, z: float, many: int, few: float, total: int) -> DataFrame:
-    """From (host, t, seg, cn, cs, cb, paths), the pages, labels and blocked labels below each child: host, t, seg, paths, name."""
-    node = child.groupBy("host", "t").agg(F.count(F.lit(1)).alias("kids"), F.sum("cn").alias("pn"), F.sum("cs").alias("ps"), F.sum("cb").alias("pb"))
-    child = join_hot(child, node, ["host", "t"], "kids", total)
+def named(child: DataFrame, z: float, many: int, few: float) -> DataFrame:
+    """From (host, t, seg, paths), the sums ``cn``, ``cs``, ``cb`` of pages, labels and blocked labels below each child, ``pn``, ``ps``, ``pb`` below its node, and ``kids``: host, t, seg, paths, name."""
     wild = (F.col("kids") > many) & (F.col("pn") < few * F.col("kids"))
     share = F.col("pb") / F.col("ps")
     spread = F.sqrt(share * (1 - share) * (1 / F.col("cs") + 1 / (F.col("ps") - F.col("cs"))))
@@ -73,32 +73,49 @@ def name_children(child: DataFrame, z: float, many: int, few: float, total: int)
     return child.select("host", "t", "seg", "paths", name.alias("name"))
 
 
+def shared_parts(first: Column, last: Column) -> Column:
+    """How many parts at the beginning all paths share that lie between these two in the order of arrays."""
+    unlike = F.array_position(F.zip_with(first, last, lambda a, b: a.eqNullSafe(b)), False)
+    return F.when(unlike > 0, unlike - 1).otherwise(F.size(first)).cast("int")
+
+
 def grown(paths: DataFrame, z: float, many: int, few: float, total: int) -> DataFrame:
-    """From (host, raw, n, seen, bad), ``total`` paths with their parts: with ``template``."""
+    """From (host, raw, n, seen, bad), ``total`` paths with their parts: with ``template``.
+
+    A round takes the paths that still go on below their template (``t``, of ``at`` parts). What all paths of a template
+    share next has one child at each level, so it is passed over in one step; only where they part are children counted and
+    named. Rounds so follow the branchings of a tree, not its depth. A path that is alone below its template is closed as it is.
+    """
     kept = ["host", "raw", "n", "seen", "bad"]
-    cut = F.locate("/", F.col("rest"))
-    head = F.when(cut > 0, F.substring(F.col("rest"), F.lit(1), cut - 1)).otherwise(F.col("rest"))
-    tail = F.when(cut > 0, F.substring(F.col("rest"), cut + 1, F.length("rest")))
-    done, level = [], paths.select(*kept, F.lit("").alias("t"), F.col("raw").alias("rest"))
-    while True:
-        level = level.withColumns({"seg": head, "rest": tail})
-        child = level.groupBy("host", "t", "seg").agg(F.sum("n").alias("cn"), F.sum("seen").alias("cs"), F.sum("bad").alias("cb"), F.count(F.lit(1)).alias("paths"))
-        named = stored(name_children(child, z, many, few, total), "names")
-        longer = F.concat("t", F.lit("/"), "name").alias("t")
-        level = stored(join_hot(level, named, ["host", "t", "seg"], "paths", total).select(*kept, longer, "rest"), "paths")
-        # a path that no other of its template goes on with is closed as it is
-        going = level.where("rest is not null").groupBy("host", "t").agg(F.count(F.lit(1)).alias("going"))
-        going = stored(going, "going")
-        alone = join_hot(level.where("rest is not null"), going, ["host", "t"], "going", total)
-        done.append(level.where("rest is null").select(*kept, "t"))
-        done.append(alone.where("going = 1").select(*kept, F.concat("t", F.lit("/"), "rest").alias("t")))
-        level = alone.where("going > 1").select(*kept, "t", "rest")
-        if going.where("going > 1").isEmpty():
-            break
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return stored(out.withColumnRenamed("t", "template"), "templates")
+    left = lambda: F.slice("parts", F.col("at") + 1, F.size("parts"))
+    level, done, used = paths.select(*kept, F.split("raw", "/").alias("parts"), F.lit("").alias("t"), F.lit(0).alias("at")), [], []
+    going = total
+    while going:
+        nodes = level.groupBy("host", "t").agg(F.count(F.lit(1)).alias("going"), F.min(left()).alias("first"), F.max(left()).alias("last"))
+        shared = F.slice("first", F.lit(1), shared_parts(F.col("first"), F.col("last")))
+        jump = F.array_join(F.transform(shared, lambda s: F.when(s == "", "/").otherwise("/~")), "")
+        nodes, seen = observed(nodes.select("host", "t", "going", jump.alias("jump"), F.size(shared).alias("far")), "nodes", most=F.max("going"))
+        rows = join_hot(level, nodes, ["host", "t"], "going", total, seen["most"])
+        alone, after = F.col("going") == 1, F.col("at") + F.col("far")
+        rows = rows.select(*kept, "parts", F.when(alone, F.concat("t", F.lit("/"), F.array_join(left(), "/"))).otherwise(F.concat("t", "jump")).alias("t"), F.when(alone, F.size("parts")).otherwise(after).alias("at"))
+        rows = rows.withColumn("seg", F.get("parts", F.col("at")))  # null where the path has ended
+        child = rows.where("seg is not null").groupBy("host", "t", "seg").agg(F.sum("n").alias("cn"), F.sum("seen").alias("cs"), F.sum("bad").alias("cb"), F.count(F.lit(1)).alias("paths"))
+        child, got = observed(child, "children", most=F.max("paths"))
+        parents, above = observed(child.groupBy("host", "t").agg(F.count(F.lit(1)).alias("kids"), F.sum("cn").alias("pn"), F.sum("cs").alias("ps"), F.sum("cb").alias("pb")), "parents", most=F.max("kids"))
+        names = named(join_hot(child, parents, ["host", "t"], "kids", total, above["most"] or 0), z, many, few)
+        onward = join_hot(rows.where("seg is not null"), names, ["host", "t", "seg"], "paths", total, got["most"] or 0)
+        step = onward.select(*kept, "parts", F.concat("t", F.lit("/"), "name").alias("t"), (F.col("at") + 1).alias("at")).unionByName(rows.where("seg is null").drop("seg"))
+        ended = F.col("at") >= F.size("parts")
+        step, left_over = observed(step, "paths", going=F.count_if(~ended))
+        discard(nodes, child, parents)
+        done.append(step.where(ended).select(*kept, F.col("t").alias("template")))
+        level, going = step.where(~ended), left_over["going"]
+        used.append(step)
+    if not done:
+        return level.select(*kept, F.col("t").alias("template"))
+    tree = stored(reduce(DataFrame.unionByName, done), "templates")
+    discard(*used)
+    return tree
 
 
 def judge(pages: DataFrame, rules=RULES, purity: float = 0.8, alpha: float = 4.0, z: float = 1.96, many: int = 16, few: float = 4.0, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -111,18 +128,21 @@ def judge(pages: DataFrame, rules=RULES, purity: float = 0.8, alpha: float = 4.0
     raw = F.array_join(F.transform(F.split(F.regexp_replace("path", "^/", ""), "/"), part), "/")
     rows = stored(rows.withColumns({"rule": rule, "fixed": verdict, "raw": raw}), "urls")
     labelled, blocked = F.col("fixed").isNotNull(), F.col("fixed") == "block"
-    paths = stored(rows.groupBy("host", "raw").agg(F.count(F.lit(1)).alias("n"), F.count_if(labelled).alias("seen"), F.count_if(blocked).alias("bad")), "paths")
-    n_paths = paths.count()
+    paths = rows.groupBy("host", "raw").agg(F.count(F.lit(1)).alias("n"), F.count_if(labelled).alias("seen"), F.count_if(blocked).alias("bad"))
+    paths, counted = observed(paths, "paths", rows=F.count(F.lit(1)), pages=F.sum("n"), most=F.max("n"))
+    n_paths = counted["rows"]
     tree = grown(paths, z, many, few, n_paths)
-    leaves = stored(tree.groupBy("host", "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("paths")), "leaves")
+    leaves, seen = observed(tree.groupBy("host", "template").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("paths")), "leaves", most=F.max("paths"))
     hosts = leaves.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb"), F.count(F.lit(1)).alias("templates"))
     whole = hosts.agg(F.coalesce(F.sum("hb") / F.nullif(F.sum("hs"), F.lit(0)), F.lit(0.0)).alias("base"))
     hosts = hosts.select("host", "hs", "hb", "templates", whole.scalar().alias("base")).withColumn("prior", (F.col("hb") + alpha * F.col("base")) / (F.col("hs") + alpha))
     leaves = join_hot(leaves, hosts, ["host"], "templates", n_paths)
     score = F.when(F.col("seen") == 0, F.col("base")).otherwise((F.col("bad") + alpha * F.col("prior")) / (F.col("seen") + alpha))
     leaves = stored(leaves.select("host", "template", "paths", score.alias("score")), "scores")
-    scored = stored(join_hot(tree.select("host", "raw", "n", "template"), leaves, ["host", "template"], "paths", n_paths).drop("paths"), "scored")
-    discard(tree, paths)
-    return join_hot(rows, scored, ["host", "raw"], "n").select(
+    scored = stored(join_hot(tree.select("host", "raw", "n", "template"), leaves, ["host", "template"], "paths", n_paths, seen["most"] or 0).drop("paths"), "scored")
+    if counted["rows"]:
+        discard(tree)
+    discard(paths, leaves)
+    return join_hot(rows, scored, ["host", "raw"], "n", counted["pages"] or 0, counted["most"] or 0).select(
         "page_id", "host", "path", "rule", F.coalesce("fixed", F.when(F.col("score") >= purity, "block").otherwise("allow")).alias("verdict"), "template", "score"
     )

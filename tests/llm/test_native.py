@@ -1,7 +1,10 @@
 """Exact dedup, URL templates, sharding and mixing against plain Python."""
 
+import math
 import os
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -105,6 +108,56 @@ def test_deep_and_long_urls(spark):
     assert {r.verdict for r in got.values()} == {"allow"}
 
 
+def plain_templates(paths, z=1.96, many=16, few=4.0):
+    """Groups of paths that share a template, level by level; paths are (parts, pages, labels, blocked labels)."""
+    level, out = {"": list(paths)}, {}
+    at = 0
+    while level:
+        onward = {}
+        for t, rows in level.items():
+            kids = {}
+            for r in rows:
+                if len(r[0]) == at:
+                    out.setdefault(t, set()).add(r[0])
+                else:
+                    kids.setdefault(r[0][at], []).append(r)
+            sums = {k: [sum(r[i] for r in v) for i in (1, 2, 3)] for k, v in kids.items()}
+            pn, ps, pb = (sum(x[i] for x in sums.values()) for i in range(3))
+            for k, (_, cs, cb) in sums.items():
+                name = "?" if not cs and ps else "~"
+                if k == "":
+                    name = ""
+                elif len(kids) > many and pn < few * len(kids):
+                    name = "*"
+                elif cs and ps != cs and 0 < pb < ps:
+                    share = pb / ps
+                    if abs(cb / cs - (pb - cb) / (ps - cs)) >= z * math.sqrt(share * (1 - share) * (1 / cs + 1 / (ps - cs))):
+                        name = k
+                onward.setdefault(f"{t}/{name}", []).extend(kids[k])
+        level, at = onward, at + 1
+    return {frozenset(v) for v in out.values()}
+
+
+def test_rounds_that_skip_what_paths_share_give_the_tree_of_levels(spark):
+    random.seed(4)
+    for turn in (0, 2):
+        words, shared = ["a", "b", "", "~", "c", *(f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz")], [["s"] * 9, ["a", "", "b"], []]
+        paths = {tuple([*random.choice(shared), *random.choices(words[: 4 + 9 * turn], k=random.randrange(1, 6)), *random.choice(shared)]): None for _ in range(90)}
+        rows = [(p, n := random.randrange(1, 9), s := random.randrange(n + 1) * (random.random() < 0.7), random.choice([0, s, random.randrange(s + 1)])) for p in paths]
+        df = spark.createDataFrame([("h", "/".join(p), n, int(s), int(b)) for p, n, s, b in rows], "host string, raw string, n long, seen long, bad long")
+        got = {}
+        for r in url_filter.grown(df, 1.96, 16, 4.0, len(rows)).collect():
+            got.setdefault(r["template"], set()).add(tuple(r["raw"].split("/")))
+        assert {frozenset(v) for v in got.values()} == plain_templates([(p, n, int(s), int(b)) for p, n, s, b in rows])
+
+
+def test_what_deep_urls_share_takes_no_rounds(spark):
+    rows = [(k, "http://deep.net/" + "/".join(["s"] * 3000) + f"/{'abcde'[k % 5]}/{k}") for k in range(20)]
+    began = time.time()
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert time.time() - began < 60 and len({r.template for r in got}) == 1 and len(got) == 20
+
+
 def test_labels_below_the_third_segment_decide(spark):
     from corpusloom.llm.queries import PLANTED_RULES, planted_pages
 
