@@ -7,7 +7,7 @@ and offset indexes let a reader skip pages: :func:`read` prunes columns (metadat
 down to row groups and pages. A small table beside the files has the count of each part and the tokens of all parts before.
 
 The tokenizer drops white space and never lets a pre-token cross it, so a text's ids are those of its words; each batch
-encodes a distinct word once, and ids of common words are remembered, up to a bound.
+encodes a distinct word once, and ids of words and pre-tokens are remembered, up to a bound.
 
 Null and empty texts have the end id only. Rows without id come last; rows of one id are ordered by a hash of their text, so
 equal rows only change places among themselves, and a hot id is spread over ranges. Very long texts are encoded in stretches.
@@ -17,9 +17,11 @@ Other columns aren't read; a table without rows gives files without rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,38 +34,98 @@ from pyspark.sql import Window as W
 from .common import ship
 from .workers import tidied
 
-#: Words whose ids a worker remembers, and how long these are at most.
+#: Words, and pre-tokens, of each of two generations whose ids a worker remembers, and how long these are at most.
 REMEMBERED, SHORT = 200_000, 48
 #: Characters that are encoded at once.
-STRETCH = 1 << 19
+STRETCH = 1 << 21
+#: Fixed value: the tokenizer's pre-tokens, for ASCII.
+PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.A)
 #: Parts whose counts are summed together before the sums of such groups are.
 PARTS = 1024
 
 
+class Remembered:
+    """Ids of words (as bytes of int32) in two generations: the older goes when the younger is full, what is used comes back."""
+
+    def __init__(self, make: Callable[[list[str]], list[bytes]]):
+        self.make, self.young, self.old = make, {}, {}
+
+    def get(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        young, old = self.young, self.old
+        out = [young.get(w) for w in words]
+        if None in out:
+            missing = []
+            for i, found in enumerate(out):
+                if found is None:
+                    out[i] = old.get(words[i])
+                    if out[i] is None:
+                        missing.append(i)
+                    else:
+                        young[words[i]] = out[i]
+            fresh = self.make([words[i] for i in missing]) if missing else []
+            for i, found in zip(missing, fresh, strict=True):
+                out[i] = found
+                if len(words[i]) <= SHORT:
+                    young[words[i]] = found
+            if len(young) > REMEMBERED:
+                self.young, self.old = {}, young
+        return out
+
+
 class WordEncoder:
-    """Ids of texts by words, for tokenizers that drop white space and keep words apart."""
+    """Ids of texts by words, for tokenizers that drop white space, lower-case, and keep words apart.
+
+    An ASCII word is cut into pre-tokens here, as many words share them. The library gets pre-tokens it hasn't had in long
+    lines, whose ids are cut where a pre-token ends, and other words in lines with zeros between them.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        if self.library.encode("a b\nc  d", add_special_tokens=False).ids != [i for w in "abcd" for i in self.library.encode(w, add_special_tokens=False).ids]:
+        if self._lines(["a b\nC  d's"])[0] != list(chain.from_iterable(self._lines(["a", "b", "c", "d", "'s"]))):
             raise ValueError("this tokenizer keeps white space")
-        self.known: dict[str, np.ndarray] = {}
-
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        known = self.known
-        missing = [w for w in words if w not in known]
-        fresh: dict[str, np.ndarray] = {}
-        if missing:
-            fresh = {w: np.array(e.ids, np.int32) for w, e in zip(missing, self.library.encode_batch(missing, add_special_tokens=False), strict=True)}
-        out = [fresh[w] if w in fresh else known[w] for w in words]
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-        known.update((w, i) for w, i in fresh.items() if len(w) <= SHORT)
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.library.get_vocab().items() if token.endswith("</w>")]] = True
+        self.zero = np.zeros(len(self.ends), bool)
+        self.zero[self._lines(["0"])[0]] = True
+        self.words, self.parts = Remembered(self._words), Remembered(self._parts)
+
+    def _lines(self, lines: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(lines, add_special_tokens=False)]
+
+    def _cut(self, words: list[str], between: str, ends: np.ndarray, keep: int) -> list[bytes]:
+        """Ids of words that the library gets in lines, ``between`` them; they are cut behind ids that are ``ends``, of which ``keep`` belong to the word."""
+        out: list[bytes] = []
+        lines = [words[i : i + 256] for i in range(0, len(words), 256)]
+        for line, found in zip(lines, self._lines([between.join(x) + between for x in lines]), strict=True):
+            ids = np.array(found, np.int32)
+            cuts = np.flatnonzero(ends[ids]).tolist()
+            if len(cuts) == len(line):
+                raw = ids.tobytes()
+                out += [raw[4 * a : 4 * (b + keep)] for a, b in zip([0, *(c + 1 for c in cuts)], cuts, strict=False)]
+            else:  # a pre-token whose end has no id
+                out += [np.array(x, np.int32).tobytes() for x in self._lines(line)]
         return out
 
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of ASCII pre-tokens."""
+        return self._cut(parts, " ", self.ends, 1)
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        ours = {w: [low] if (low := w.lower()).isalpha() else PART.findall(low) for w in words if w.isascii() and "<|" not in w}
+        distinct = list(dict.fromkeys(chain.from_iterable(ours.values())))
+        known = dict(zip(distinct, self.parts.get(distinct), strict=True))
+        out = {w: known[parts[0]] if len(parts) == 1 else b"".join([known[x] for x in parts]) for w, parts in ours.items()}
+        rest = [w for w in words if w not in out]
+        plain = [w for w in rest if "0" not in w and "<|" not in w]  # a digit is a pre-token of its own
+        out.update(zip(plain, self._cut(plain, " 0 ", self.zero, 0), strict=True))
+        odd = [w for w in rest if w not in out]
+        out.update((w, np.array(ids, np.int32).tobytes()) for w, ids in zip(odd, self._lines(odd), strict=True))
+        return [out[w] for w in words]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
         column = pa.array(texts, pa.large_string())
@@ -72,9 +134,9 @@ class WordEncoder:
         split = pc.split_pattern(column, " ")
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         words = split.flatten().dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist())
-        size = np.array([len(x) for x in ids], np.int64)
-        flat, which = np.concatenate([*ids, np.zeros(0, np.int32)]), words.indices.to_numpy()
+        ids = self.words.get(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.array([len(x) for x in ids], np.int64) // 4
+        flat, which = np.frombuffer(b"".join(ids), np.int32), words.indices.to_numpy()
         each = size[which]
         ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
         found = flat[np.repeat((np.cumsum(size) - size)[which] - ends[:-1], each) + np.arange(ends[-1])]
@@ -143,8 +205,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, place = encoder(tokenizer_path), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 lists = token_lists(part.column(1), coder, end_id)
                 n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
                 starts = place + np.cumsum(n) - n

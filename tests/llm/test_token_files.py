@@ -43,7 +43,10 @@ def test_stretches_and_memory(library, monkeypatch):
     texts = ["word other " * 200, "x" * 300, "", "it 's " * 40 + "y" * 90, "end"]
     for _ in range(3):
         assert token_files.token_lists(pa.array(texts), coder, 1).to_pylist() == [plain(library, t) for t in texts]
-    assert len(coder.known) <= 40
+    many = [f"w{i}" for i in range(300)] * 2
+    assert token_files.token_lists(pa.array(many), coder, 1).to_pylist() == [plain(library, t) for t in many]
+    assert [token_files.token_lists(pa.array([t]), coder, 1).to_pylist() for t in many] == [[plain(library, t)] for t in many]
+    assert len(coder.words.young) <= 21 and len(coder.words.old) <= 700
 
 
 def check(rows, got, library):
