@@ -17,7 +17,6 @@ Other columns aren't read; a table without rows gives files without rows.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -38,8 +37,8 @@ from .workers import tidied
 REMEMBERED, SHORT = 200_000, 48
 #: Characters that are encoded at once.
 STRETCH = 1 << 21
-#: Fixed value: the tokenizer's pre-tokens, for ASCII.
-PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.A)
+#: Fixed value: the tokenizer's pre-tokens, for lower-case ASCII without white space.
+PART = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
 #: Parts whose counts are summed together before the sums of such groups are.
 PARTS = 1024
 
@@ -115,32 +114,52 @@ class WordEncoder:
         return self._cut(parts, " ", self.ends, 1)
 
     def _words(self, words: list[str]) -> list[bytes]:
-        ours = {w: [low] if (low := w.lower()).isalpha() else PART.findall(low) for w in words if w.isascii() and "<|" not in w}
-        distinct = list(dict.fromkeys(chain.from_iterable(ours.values())))
-        known = dict(zip(distinct, self.parts.get(distinct), strict=True))
-        out = {w: known[parts[0]] if len(parts) == 1 else b"".join([known[x] for x in parts]) for w, parts in ours.items()}
-        rest = [w for w in words if w not in out]
-        plain = [w for w in rest if "0" not in w and "<|" not in w]  # a digit is a pre-token of its own
-        out.update(zip(plain, self._cut(plain, " 0 ", self.zero, 0), strict=True))
-        odd = [w for w in rest if w not in out]
+        """Ids of any words; a digit is a pre-token of its own, so zeros can stand between words without one."""
+        plain = [w for w in words if "0" not in w and "<|" not in w]
+        out = dict(zip(plain, self._cut(plain, " 0 ", self.zero, 0), strict=True))
+        odd = [w for w in words if w not in out]
         out.update((w, np.array(ids, np.int32).tobytes()) for w, ids in zip(odd, self._lines(odd), strict=True))
         return [out[w] for w in words]
 
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct words all ids in a row, how many each has, and the place of each among them."""
+        ours = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
+        parts = pc.split_pattern(pc.replace_substring_regex(pc.ascii_lower(words.filter(ours)), PART, r"\0 "), " ")
+        offsets, parts = parts.offsets.to_numpy() - parts.offsets[0].as_py(), parts.flatten().dictionary_encode()
+        flat, size = joined(self.parts.get(strings(parts.dictionary)))
+        flat, size = gathered(flat, size, np.arange(len(size)), parts.indices.to_numpy())
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        more, n = joined(self.words.get(strings(words.filter(pc.invert(ours)))))
+        mine = ours.to_numpy(zero_copy_only=False)
+        return np.concatenate([flat, more]), np.concatenate([np.diff(ends[offsets]), n]), np.argsort(np.argsort(~mine, kind="stable"), kind="stable")
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
         column = pa.array(texts, pa.large_string())
-        for blank in "\n\t\r":
+        for blank in "\t\n\x0b\x0c\r":
             column = pc.replace_substring(column, blank, " ")
         split = pc.split_pattern(column, " ")
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         words = split.flatten().dictionary_encode()
-        ids = self.words.get(words.dictionary.to_numpy(zero_copy_only=False).tolist())
-        size = np.array([len(x) for x in ids], np.int64) // 4
-        flat, which = np.frombuffer(b"".join(ids), np.int32), words.indices.to_numpy()
-        each = size[which]
-        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
-        found = flat[np.repeat((np.cumsum(size) - size)[which] - ends[:-1], each) + np.arange(ends[-1])]
-        return found, np.diff(ends[offsets])
+        ids, each = gathered(*self._distinct(words.dictionary), words.indices.to_numpy())
+        return ids, np.diff(np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])[offsets])
+
+
+def strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(ids), np.int32), np.array([len(x) for x in ids], np.int64) // 4
+
+
+def gathered(flat: np.ndarray, size: np.ndarray, place: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` that ``which`` asks for, by way of ``place``, in a row, and the size of each."""
+    which = place[which]
+    each = size[which]
+    ends = np.cumsum(each)
+    found = flat[np.repeat((np.cumsum(size) - size)[which] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
+    return found, each
 
 
 @lru_cache(maxsize=2)

@@ -46,7 +46,7 @@ def test_stretches_and_memory(library, monkeypatch):
     many = [f"w{i}" for i in range(300)] * 2
     assert token_files.token_lists(pa.array(many), coder, 1).to_pylist() == [plain(library, t) for t in many]
     assert [token_files.token_lists(pa.array([t]), coder, 1).to_pylist() for t in many] == [[plain(library, t)] for t in many]
-    assert len(coder.words.young) <= 21 and len(coder.words.old) <= 700
+    assert len(coder.parts.young) <= 21 and len(coder.parts.old) <= 700
 
 
 def check(rows, got, library):
