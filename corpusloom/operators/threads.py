@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from corpusloom.functions import records
 from corpusloom.functions import text as X
 from corpusloom.functions.shared import stored
 from corpusloom.schema import DROPPED_FIELDS
@@ -83,20 +84,29 @@ def single_comments(df: DataFrame, fallback_date: str = "1970-01-01") -> DataFra
     return rows.select("source", "ord", thread_id(F.col("link_id")).alias("thread_id"), F.col("id").alias("comment_id"), "body", *(c.alias(n) for n, c in found.items()))
 
 
+def record_json(df: DataFrame, fields: tuple[str, ...], pruned: bool = False) -> Column:
+    """A comment as a JSON object: the whole record with its clean body where the rows carry one (``fields``), without the dropped fields if ``pruned``; else the named columns."""
+    if "fields" not in df.columns:
+        return F.to_json(F.struct(*fields))
+    record = records.with_text(F.col("fields"), "body", F.col("body"))
+    return records.to_json(prune(record) if pruned else record)
+
+
 def comment_json(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """(file_name, json): an array of the one comment."""
     name = F.concat(thread_id(F.col("link_id")), F.lit("_"), F.col("id"), F.lit(".json"))
-    return df.select(name.alias("file_name"), F.to_json(F.array(F.struct(*fields))).alias("json"))
+    return df.select(name.alias("file_name"), F.concat(F.lit("["), record_json(df, fields, True), F.lit("]")).alias("json"))
 
 
 def thread_json(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """(file_name, json): an array of a thread's comments in order."""
-    rows = df.groupBy("source", thread_id(F.col("link_id")).alias("t")).agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*fields).alias("c")))).alias("cs"))
-    return rows.select(F.concat("t", F.lit("_flat.json")).alias("file_name"), F.to_json(F.transform("cs", lambda x: x["c"])).alias("json"))
+    item = F.struct("ord", record_json(df, fields, True).alias("c"))
+    rows = df.groupBy("source", thread_id(F.col("link_id")).alias("t")).agg(F.array_sort(F.collect_list(item)).alias("cs"))
+    return rows.select(F.concat("t", F.lit("_flat.json")).alias("file_name"), F.concat(F.lit("["), F.array_join(F.transform("cs", lambda x: x["c"]), ","), F.lit("]")).alias("json"))
 
 
-def with_shard(df: DataFrame, key: str, per_shard: int = 1000, rows_per_bucket: int = 20_000) -> DataFrame:
-    """Adds ``shard``: 00001 and so on, ``per_shard`` rows each, in a hashed order of ``key``.
+def with_shard(df: DataFrame, key: str, per_shard: int = 1000, rows_per_bucket: int = 20_000, first: int = 0) -> DataFrame:
+    """Adds ``shard``: 00001 and so on, ``per_shard`` rows each, in a hashed order of ``key``; ``first`` places are taken.
 
     Numbers are global, but no task sorts all rows: buckets follow the hash, a small table of their counts gives offsets.
     """
@@ -106,7 +116,7 @@ def with_shard(df: DataFrame, key: str, per_shard: int = 1000, rows_per_bucket:
     rows = rows.withColumn("__b", F.shiftright(F.conv(F.substring("__h", 1, 8), 16, 10).cast("long") * buckets, 32))
     before = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     before = before.select("__b", (F.sum("__n").over(W.partitionBy(F.lit(0)).orderBy("__b")) - F.col("__n")).alias("__before"))
-    place = F.row_number().over(W.partitionBy("__b").orderBy("__h", key)) - 1 + F.col("__before")
+    place = F.row_number().over(W.partitionBy("__b").orderBy("__h", key)) - 1 + F.col("__before") + first
     return rows.join(before, "__b").withColumn("shard", F.lpad((F.floor(place / per_shard) + 1).cast("string"), 5, "0")).drop("__h", "__b", "__before")
 
 

@@ -52,21 +52,24 @@ def reconcile_written(spark: SparkSession, archive: str, folder: str) -> DataFra
     return counts.withColumn("matches", F.col("filtered_n") == F.col("emitted_n"))
 
 
-def run_archive(spark: SparkSession, path: str, out: str, bots: str | None = None, grouped: bool = True, raw_inline: bool = True, long_window: bool = False, dtd: str | None = None) -> Run:
+def run_archive(spark: SparkSession, path: str, out: str, bots: str | None = None, grouped: bool = True, raw_inline: bool = True, long_window: bool = False, dtd: str | None = None, mode: str = "overwrite") -> Run:
     """Archive files to ``out``/filtered (the cleaned archive), ``out``/json, ``out``/xml and the tables ``audit``, ``counters``, ``reconciled`` and ``validation`` beside them.
 
-    ``reconciled`` counts what was written; ``dtd`` is the file of a DTD to hold the documents against.
+    ``reconciled`` counts what was written; ``dtd`` is the file of a DTD to hold the documents against. A second run into one
+    folder replaces what the first wrote (``mode`` ``overwrite``) or is refused (``errorifexists``).
     """
+    if mode not in ("overwrite", "errorifexists"):
+        raise ValueError("mode is overwrite or errorifexists")
     rows = readers.read_archive(spark, path, raw_inline, long_window)
     result = run(rows, readers.read_names(spark, bots) if bots else None, grouped)
-    writers.write_archive(result.clean, f"{out}/filtered", list(COMMENT_FIELDS))
-    writers.write_files(result.json, f"{out}/json", "json")
+    writers.write_archive(result.clean, f"{out}/filtered", list(COMMENT_FIELDS), mode=mode)
+    writers.write_files(result.json, f"{out}/json", "json", mode=mode)
     result.documents = stored(result.documents, "documents")
-    writers.write_files(result.documents, f"{out}/xml", "tei")
+    writers.write_files(result.documents, f"{out}/xml", "tei", mode=mode)
     result.validation = validate(result.documents, dtd=read_dtd(spark, dtd) if dtd else None)
     result.reconciled = reconcile_written(spark, f"{out}/filtered", f"{out}/json")
     for name in ("audit", "counters", "reconciled", "validation"):
-        writers.write_table(getattr(result, name), f"{out}/{name}", mode="overwrite")
+        writers.write_table(getattr(result, name), f"{out}/{name}", mode=mode)
     return result
 
 

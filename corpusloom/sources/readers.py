@@ -8,15 +8,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from corpusloom.functions import records
 from corpusloom.functions import text as X
 from corpusloom.functions.shipping import ship
 from corpusloom.schema import COMMENT, COMMENT_FIELDS
 
-CORRUPT = "__corrupt"
-
-
 def archive_lines(spark: SparkSession, path: str, long_window: bool = False) -> DataFrame:
     """(source, ord, value): the lines of NDJSON archives (.zst, .gz or plain), in file order within a source.
 
@@ -52,16 +49,16 @@ def _lines(name: str, first: int, lines: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([name] * len(lines), pa.string()), pa.array(range(first, first + len(lines)), pa.int64()), pa.array(lines, pa.string())], ["source", "ord", "value"])
 
 
-def parsed(lines: DataFrame, raw_inline: bool = False, schema: T.StructType = COMMENT) -> DataFrame:
-    """Comments of the lines, with ``corrupt`` for lines that are no JSON object. ``raw_inline`` strips inline marks before parsing."""
+def parsed(lines: DataFrame, raw_inline: bool = False) -> DataFrame:
+    """Comments of the lines: the fields the stages need as text, all ``fields`` of the record, and ``corrupt`` for lines that are no JSON object. ``raw_inline`` strips inline marks before parsing."""
+    records.keep_last_of_repeated(lines.sparkSession)
     value = X.inline_formatting(F.col("value")) if raw_inline else F.col("value")
-    wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = lines.select("source", "ord", F.from_json(value, wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("c"), "value")
-    return rows.select("source", "ord", *(F.col(f"c.{n}") for n in schema.names), (F.col("c").isNull() | F.col(f"c.{CORRUPT}").isNotNull()).alias("corrupt"), "value")
+    rows = lines.select("source", "ord", "value", F.explode_outer(F.array(records.fields(value))).alias("fields"))
+    return rows.select("source", "ord", *(records.text(F.col("fields"), n).alias(n) for n in COMMENT_FIELDS), F.col("fields").isNull().alias("corrupt"), "value", "fields")
 
 
 def read_archive(spark: SparkSession, path: str, raw_inline: bool = False, long_window: bool = False) -> DataFrame:
-    """Well-formed comments of archives: source, ord, and the comment fields."""
+    """Well-formed comments of archives: source, ord, the comment fields, and ``fields``, the whole record."""
     return parsed(archive_lines(spark, path, long_window), raw_inline).where("not corrupt").drop("corrupt", "value")
 
 

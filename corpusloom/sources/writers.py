@@ -2,70 +2,42 @@
 
 from __future__ import annotations
 
-import os
-import re
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.shipping import ship
-from corpusloom.operators.threads import with_shard
-
+from corpusloom.functions.shared import stored
+from corpusloom.operators.threads import record_json, with_shard
+from corpusloom.sources.sink import last_place, local, put
 
-def local(path: str) -> str:
-    """The path as the operating system has it: executors write these files themselves."""
-    return re.sub(r"^file:(?://)?(?=/)", "", path)
+#: Folder of the names written so far, for runs that go on; readers pass over names that begin so.
+MANIFEST = "_manifest"
 
 
-def write_files(docs: DataFrame, path: str, content_col: str, name_col: str = "file_name", per_shard: int = 1000) -> DataFrame:
+def write_files(docs: DataFrame, path: str, content_col: str, name_col: str = "file_name", per_shard: int = 1000, mode: str = "errorifexists") -> DataFrame:
     """``path``/shard/name for every document; ``path`` must be a folder that all executors share. Returns (shard, name, path).
 
-    Two documents of one name are an error, and nothing is written then. Files are written beside and renamed, so a task
-    that runs again leaves the same files.
+    Two documents of one name are an error, and nothing is written then. All of a run's files appear or none (see
+    :mod:`~corpusloom.sources.sink`). ``mode`` ``append`` goes on behind the highest numbered folder, after the free places in
+    it; names that earlier runs wrote are refused by a join with the manifest they left.
     """
-    ship(docs.sparkSession)
-    path = local(path)
-    rows = with_shard(docs.select(F.replace(F.col(name_col), F.lit("/"), F.lit("_")).alias("name"), F.col(content_col).alias("content")), "name", per_shard)
-    twice = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name").limit(5).collect()
+    spark = docs.sparkSession
+    number, held = last_place(path) if mode == "append" else (0, 0)
+    named = docs.select(F.replace(F.col(name_col), F.lit("/"), F.lit("_")).alias("name"), F.col(content_col).alias("content"))
+    rows = stored(with_shard(named, "name", per_shard, first=max(0, number - 1) * per_shard + min(held, per_shard)), "files")
+    names = rows.select("name")
+    if number:
+        names = names.unionByName(spark.read.schema("name string").parquet(f"file://{local(path)}/{MANIFEST}").join(names, "name", "left_semi"))
+    twice = names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name").limit(5).collect()
     if twice:
         raise ValueError(f"several documents are named {', '.join(str(r['name']) for r in twice)}")
+    put(rows, path, "files", mode)
+    rows.select("name", "shard").write.mode("append").parquet(f"file://{local(path)}/{MANIFEST}")
+    return rows.select("shard", "name", F.concat(F.lit(local(path) + "/"), "shard", F.lit("/"), "name").alias("path"))
 
-    def write(part: Iterator[Row]) -> None:
-        for r in part:
-            folder = os.path.join(path, r["shard"])
-            os.makedirs(folder, exist_ok=True)
-            target = os.path.join(folder, r["name"])
-            with open(f"{target}.{os.getpid()}.tmp", "w", encoding="utf-8", newline="") as f:
-                f.write(r["content"])
-            os.replace(f.name, target)
-
-    rows.foreachPartition(write)
-    return rows.select("shard", "name", F.concat(F.lit(path + "/"), "shard", F.lit("/"), "name").alias("path"))
-
-
-def write_archive(df: DataFrame, path: str, fields: list[str], level: int = 15) -> None:
-    """NDJSON as one ``part-N.zst`` a partition in ``path``, a folder that all executors share."""
-    ship(df.sparkSession)
-    path = local(path)
-    os.makedirs(path, exist_ok=True)
-    lines = df.select(F.to_json(F.struct(*fields)).alias("line"), F.spark_partition_id().alias("n"))
-
-    def write(part: Iterator[Row]) -> None:
-        import zstandard
-
-        out = target = None
-        for r in part:
-            if out is None:
-                target = os.path.join(path, f"part-{r['n']:05d}.zst")
-                raw = open(f"{target}.{os.getpid()}.tmp", "wb")  # noqa: SIM115
-                out = zstandard.ZstdCompressor(level=level).stream_writer(raw)
-            out.write(r["line"].encode() + b"\n")
-        if out is not None:
-            out.close()
-            os.replace(raw.name, target)
 
-    lines.foreachPartition(write)
+def write_archive(df: DataFrame, path: str, fields: list[str], level: int = 15, mode: str = "errorifexists") -> None:
+    """NDJSON as one ``part-N.zst`` a partition in ``path``, a folder that all executors share: whole records where rows carry them, else ``fields``."""
+    put(df.select(record_json(df, tuple(fields)).alias("line")), path, "lines", mode, level)
 
 
 def write_table(df: DataFrame, path: str, by: str | None = None, form: str = "parquet", mode: str = "errorifexists") -> None:

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from corpusloom.plans import catalogue
+from corpusloom.plans import catalogue, catalogue_records  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
