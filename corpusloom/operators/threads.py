@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from corpusloom.functions import records
 from corpusloom.functions import text as X
+from corpusloom.functions.key_filter import narrowed
 from corpusloom.functions.shared import stored
 from corpusloom.schema import DROPPED_FIELDS
 
@@ -24,6 +25,17 @@ def extract(df: DataFrame, link: str | None = None) -> DataFrame:
     return rows if link is None else rows.where(thread_id(F.col("link_id")) == link)
 
 
+def of_threads(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Lines of archives (source, ord, value) whose ``link_id`` is one of ``wanted`` (``link_id``, a list of any length), before they are parsed.
+
+    One field is looked up in the line, a Bloom filter sized to the list leaves out most other lines, and a left-semi join the
+    rest; only what is left is shuffled, and parsed later.
+    """
+    links = stored(wanted.select(F.col("link_id").alias("__wanted")).where("__wanted is not null").distinct(), "threads")
+    found = lines.withColumn("__link", F.get_json_object("value", "$.link_id"))
+    return narrowed(found, F.col("__link"), links, F.col("__wanted")).join(links, F.col("__link") == F.col("__wanted"), "left_semi").drop("__link")
+
+
 def first_of_id(df: DataFrame) -> DataFrame:
     """The first row of each id of a source in file order; a rank limit prunes before the shuffle."""
     place = F.row_number().over(W.partitionBy("source", "id").orderBy("ord"))

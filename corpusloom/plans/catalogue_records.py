@@ -103,3 +103,10 @@ def shards_go_on(spark, sf_dir):
         writers.write_files(docs.where(part), folder, "tei", per_shard=70, mode="append")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").load(f"file://{local(folder)}").select(F.regexp_extract("path", r"/([0-9]+)/([^/]+)$", 1).alias("shard"), F.regexp_extract("path", r"/([^/]+)$", 1).alias("name"))
     return files.groupBy("shard").agg(F.count_distinct("name").alias("files"))
+
+
+@query(f"WITH {TAGGED_SQL} SELECT ord, id, body FROM comments WHERE link_id IN (SELECT 't3_p' || (doc_id // 8) FROM documents WHERE lang = 'de')")
+def many_threads(spark, sf_dir):
+    """The comments of a list of threads, as long as there are threads with a German document: other lines go before parsing."""
+    listed = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang = 'de'").select(F.concat(F.lit("t3_p"), F.floor(F.col("doc_id") / 8).cast("string")).alias("link_id"))
+    return readers.parsed(threads.of_threads(json_lines(comment_view(spark, sf_dir)), listed)).select("ord", "id", "body")
