@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from corpusloom.functions.key_filter import with_chance
 from corpusloom.llm import exact_dedup, language, mixing, near_dedup, pieces
-from corpusloom.llm.common import SLOT_BITS, buckets_for, prefix_sums, source_key, stored, table
+from corpusloom.llm.common import buckets_for, prefix_sums, source_key, stored, table
 from corpusloom.llm.queries import tokenizer
 
 #: Documents whose language is less sure than this go; text with letters of one language is far above it.
@@ -33,16 +34,14 @@ def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id isn't among the ids of ``gone``, a written table.
 
-    Rows whose id shares a slot with none of these stay where they are; only the others are joined.
+    Rows that a filter sized to these ids tells apart stay where they are; only the others are joined.
     """
     plain, at, back = _plain(docs)
     key = F.col(at["doc_id"])
     gone = gone.select(F.col("doc_id").alias("gone")).distinct()
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SLOT_BITS))
-    slots = F.broadcast(gone.select(slot(F.col("gone")).alias("slot")).distinct())
-    rows = plain.withColumn("slot", slot(key))
-    perhaps = rows.join(slots, "slot", "left_semi")
-    return rows.join(slots, "slot", "left_anti").select(*back).unionByName(perhaps.join(gone, key.eqNullSafe(F.col("gone")), "left_anti").select(*back))
+    rows = with_chance(plain, key, gone, F.col("gone"))
+    left = rows.where("__maybe").join(gone, key.eqNullSafe(F.col("gone")), "left_anti")
+    return rows.where("not __maybe").select(*back).unionByName(left.select(*back))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
