@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from corpusloom.functions.key_filter import narrowed, with_chance  # noqa: F401
 from corpusloom.functions.shared import discard, remove_at_exit, shared_dir, stored  # noqa: F401
 from corpusloom.functions.shipping import ship  # noqa: F401
 
@@ -16,8 +17,6 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A key with more than one in so many rows is hot, so there are fewer hot keys than this; and never below LEAST_HOT rows.
 HOT_KEYS, LEAST_HOT = 8192, 64
-#: Slots of the filter that :func:`narrowed` broadcasts.
-SLOT_BITS = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,14 +98,3 @@ def join_hot(rows: DataFrame, per_key: DataFrame, on: list[str], count: str, tot
     hot = per_key.where(F.col(count) > least)
     cold = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(per_key.where(F.col(count) <= least), on)
     return rows.join(F.broadcast(hot), on).unionByName(cold)
-
-
-def narrowed(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, bits: int = SLOT_BITS) -> DataFrame:
-    """All rows whose key is among the wanted ones, and few others as long as the wanted are fewer than ``2**bits``.
-
-    What is broadcast is the slots that the wanted keys hash to, ``2**bits`` numbers at most. It spares the join that follows
-    most of its shuffle where few rows are wanted; where many are, it lets all pass.
-    """
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
-    slots = wanted.select(slot(wanted_key).alias("__slot")).distinct()
-    return rows.withColumn("__slot", slot(key)).join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
