@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
@@ -108,17 +108,22 @@ def audit(tagged: DataFrame) -> DataFrame:
     return tagged.select("id", F.explode(F.array_compact(entries)).alias("e")).select("id", "e.*")
 
 
-def counters(tagged: DataFrame) -> DataFrame:
-    """One row: what was removed. Quotes and URLs count also where the comment goes later."""
+def counter_columns() -> dict[str, Column]:
+    """The aggregates over tagged comments that say what was removed. Quotes and URLs count also where the comment goes later."""
     reason = F.col("drop_reason")
-    return tagged.agg(
-        F.count_if(reason == "bot").alias("bots"),
-        F.count_if(reason == "deleted").alias("deleted"),
-        F.count_if("quote_changed").alias("quotes"),
-        F.count_if(reason == "reminder").alias("reminders"),
-        F.coalesce(F.sum("urls_removed"), F.lit(0).cast("long")).alias("urls"),
-        F.count_if(reason == "url_only").alias("url_only"),
-    )
+    return {
+        "bots": F.count_if(reason == "bot"),
+        "deleted": F.count_if(reason == "deleted"),
+        "quotes": F.count_if("quote_changed"),
+        "reminders": F.count_if(reason == "reminder"),
+        "urls": F.coalesce(F.sum("urls_removed"), F.lit(0).cast("long")),
+        "url_only": F.count_if(reason == "url_only"),
+    }
+
+
+def counters(tagged: DataFrame) -> DataFrame:
+    """One row: what was removed."""
+    return tagged.agg(*(c.alias(n) for n, c in counter_columns().items()))
 
 
 def bot_counts(tagged: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from corpusloom.functions import records
 from corpusloom.functions.shared import stored
 from corpusloom.operators import comments, threads
 from corpusloom.plans import pipeline
-from corpusloom.plans.catalogue import BOTS_SQL, EXTRACTED_SQL, TAGGED_SQL, bots, comment_view, query, tagged, tei_nogroup, work  # noqa: F401
+from corpusloom.plans.catalogue import COUNTERS_SQL, EXTRACTED_SQL, TAGGED_SQL, bots, comment_view, query, tagged, tei_nogroup, work
 from corpusloom.schema import COMMENT_FIELDS
 from corpusloom.sources import readers, writers
 from corpusloom.sources.sink import local
@@ -110,3 +110,21 @@ def many_threads(spark, sf_dir):
     """The comments of a list of threads, as long as there are threads with a German document: other lines go before parsing."""
     listed = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang = 'de'").select(F.concat(F.lit("t3_p"), F.floor(F.col("doc_id") / 8).cast("string")).alias("link_id"))
     return readers.parsed(threads.of_threads(json_lines(comment_view(spark, sf_dir)), listed)).select("ord", "id", "body")
+
+
+@query(f"WITH {TAGGED_SQL} SELECT {COUNTERS_SQL} FROM tagged")
+def observed_counters(spark, sf_dir):
+    """The counters of a run, observed while its tagged comments were written: one pass over the comments."""
+    return pipeline.run(comment_view(spark, sf_dir), bots(spark)).counters
+
+
+@query(f"""WITH {EXTRACTED_SQL}, kept AS (SELECT * FROM tagged WHERE drop_reason IS NULL)
+SELECT id, link_id, CASE WHEN starts_with(link_id, 't3_') THEN 'repeat' ELSE 'no_submission' END AS reason, count(*) - count(*) FILTER ((id, ord) IN (SELECT (id, ord) FROM extracted)) AS n FROM kept GROUP BY ALL HAVING n > 0""")
+def lost_records(spark, sf_dir):
+    """Each record of the written archive that no written document has, with its reason."""
+    folder = work(spark, "lost")
+    result = pipeline.run(comment_view(spark, sf_dir), bots(spark))
+    writers.write_archive(result.clean, f"{folder}/filtered", list(COMMENT_FIELDS))
+    writers.write_files(result.json, f"{folder}/json", "json")
+    writers.write_files(result.documents.select("file_name", "tei"), f"{folder}/xml", "tei")
+    return pipeline.lost_records(spark, folder)
