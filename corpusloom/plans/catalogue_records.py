@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import records
 from corpusloom.functions.shared import stored
-from corpusloom.operators import comments, threads
+from corpusloom.operators import comments, tei, threads
 from corpusloom.plans import pipeline
-from corpusloom.plans.catalogue import COUNTERS_SQL, EXTRACTED_SQL, TAGGED_SQL, bots, comment_view, query, tagged, tei_nogroup, work
+from corpusloom.plans.catalogue import COUNTERS_SQL, EXTRACTED_SQL, FALLBACK, ORACLES, QUERIES, TAGGED_SQL, bots, comment_view, query, tagged, tei_nogroup, work
 from corpusloom.schema import COMMENT_FIELDS
 from corpusloom.sources import readers, writers
 from corpusloom.sources.sink import local
+from corpusloom.streaming import arrivals
 
 
 def json_lines(view: DataFrame) -> DataFrame:
@@ -128,3 +131,46 @@ def lost_records(spark, sf_dir):
     writers.write_files(result.json, f"{folder}/json", "json")
     writers.write_files(result.documents.select("file_name", "tei"), f"{folder}/xml", "tei")
     return pipeline.lost_records(spark, folder)
+
+
+def arriving(spark: SparkSession, sf_dir: str, rows: DataFrame, what: str) -> Callable[[Callable[[DataFrame, str], None]], str]:
+    """Comments with their text, dealt out of order over five files that arrive one a batch: three, then, in a run that starts again, two more."""
+    folder = work(spark, what)
+    made = tei.prepared(rows.withColumn("body", F.coalesce("body", F.lit("")))).select(*arrivals.KEPT, F.pmod(F.xxhash64("ord", F.lit(what)), F.lit(5)).alias("turn"))
+    made = stored(made, "arriving")
+
+    def runs(each: Callable[[DataFrame, str], None]) -> str:
+        for turns in ((0, 1, 2), (3, 4)):
+            for turn in turns:
+                made.where(F.col("turn") == turn).drop("turn").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            each(spark.readStream.schema(made.drop("turn").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in"), folder)
+        return folder
+
+    return runs
+
+
+def first_changes(stream: DataFrame, folder: str) -> None:
+    arrivals.run(arrivals.first_rows(stream), f"{folder}/changes", f"{folder}/first")
+
+
+@query(ORACLES["dedupe_keep_first"])
+def stream_first_of_id(spark, sf_dir):
+    """The first row of each id, though rows arrive out of order and the run starts again on the way."""
+    folder = arriving(spark, sf_dir, comment_view(spark, sf_dir), "stream-first")(first_changes)
+    changes = spark.read.schema(arrivals.CHANGE).parquet(f"{folder}/changes/*")
+    left = changes.groupBy("source", "id", "ord").agg(F.bool_or("gone").alias("gone"), F.max("body").alias("body")).where("not gone")
+    return left.select("ord", "id", "body")
+
+
+@query(ORACLES["tei_grouped"])
+def stream_threads(spark, sf_dir):
+    """Documents of threads that grow as comments arrive; the last version of each is the document of the whole."""
+
+    def both(stream: DataFrame, folder: str) -> None:
+        first_changes(stream, folder)
+        changes = spark.readStream.schema(arrivals.CHANGE).parquet(f"{folder}/changes/*")
+        arrivals.run(arrivals.growing_threads(changes), f"{folder}/docs", f"{folder}/threads", lambda batch: arrivals.documents(batch, FALLBACK))
+
+    folder = arriving(spark, sf_dir, threads.extract(comments.kept(tagged(spark, sf_dir))), "stream-threads")(both)
+    docs = arrivals.latest(spark.read.parquet(f"{folder}/docs"), "source", "thread_id").where("tei is not null")
+    return docs.select(*QUERIES["tei_grouped"](spark, sf_dir).columns)
