@@ -11,9 +11,9 @@ from corpusloom.functions import records
 from corpusloom.functions.shared import stored
 from corpusloom.operators import comments, tei, threads
 from corpusloom.plans import pipeline
-from corpusloom.plans.catalogue import COUNTERS_SQL, EXTRACTED_SQL, FALLBACK, ORACLES, QUERIES, TAGGED_SQL, bots, comment_view, query, tagged, tei_nogroup, work
+from corpusloom.plans.catalogue import COUNTERS_SQL, EXTRACTED_SQL, FALLBACK, ORACLES, QUERIES, TAGGED_SQL, VIEW_SQL, bots, comment_view, query, tagged, tei_nogroup, work
 from corpusloom.schema import COMMENT_FIELDS
-from corpusloom.sources import readers, writers
+from corpusloom.sources import frames, readers, writers
 from corpusloom.sources.sink import local
 from corpusloom.streaming import arrivals
 
@@ -174,3 +174,14 @@ def stream_threads(spark, sf_dir):
     folder = arriving(spark, sf_dir, threads.extract(comments.kept(tagged(spark, sf_dir))), "stream-threads")(both)
     docs = arrivals.latest(spark.read.parquet(f"{folder}/docs"), "source", "thread_id").where("tei is not null")
     return docs.select(*QUERIES["tei_grouped"](spark, sf_dir).columns)
+
+
+@query(f"WITH {VIEW_SQL} SELECT id, body, count(*) AS n, true AS in_order FROM comments GROUP BY ALL")
+def frames_scan(spark, sf_dir):
+    """One archive of many frames, read by many tasks: every line once, in the order of the file."""
+    folder = work(spark, "frames")
+    writers.write_archive(comment_view(spark, sf_dir).coalesce(1), folder, list(COMMENT_FIELDS), frame_lines=100)
+    rows = readers.parsed(frames.frame_lines(spark, f"{folder}/*.zst", range_bytes=1 << 14))
+    held = rows.groupBy("id", "body").agg(F.count_distinct("ord").alias("n"))
+    most = rows.groupBy(F.shiftright("ord", 36).alias("range")).agg(F.count(F.lit(1)).alias("lines"), (F.max("ord") - F.min("ord") + 1).alias("span"))
+    return held.withColumn("in_order", most.agg((F.count(F.lit(1)) > 1) & F.bool_and(F.col("lines") == F.col("span"))).scalar())

@@ -39,10 +39,11 @@ class Written(WriterCommitMessage):
 
 
 class FilesWriter(DataSourceWriter):
-    """Rows of (folder, name, content), one file each; or of lines, one compressed file a task."""
+    """Rows of (folder, name, content), one file each; or of lines, one compressed file a task, of frames that can be read alone."""
 
     def __init__(self, options: dict[str, str]):
         self.path, self.mode, self.form, self.level = options["path"], options["mode"], options["form"], int(options.get("level", 15))
+        self.frame_lines = int(options.get("frame_lines", 50_000))
         self.staging = options["staging"]
 
     def write(self, iterator: Iterator[Row]) -> Written:
@@ -81,7 +82,9 @@ class FilesWriter(DataSourceWriter):
             return 0
         with open(made, "wb") as raw, zstandard.ZstdCompressor(level=self.level).stream_writer(raw) as out:
             out.write(first["line"].encode() + b"\n")
-            for r in rows:
+            for n, r in enumerate(rows, 1):
+                if n % self.frame_lines == 0:
+                    out.flush(zstandard.FLUSH_FRAME)
                 out.write(r["line"].encode() + b"\n")
         self._put(made, "", f"part-{partition:05d}.zst")
         return 1
@@ -134,7 +137,7 @@ class FilesSink(DataSource):
         return FilesWriter({"path": self.options["target"], **self.options})
 
 
-def put(rows: DataFrame, path: str, form: str, mode: str = "errorifexists", level: int = 15) -> None:
+def put(rows: DataFrame, path: str, form: str, mode: str = "errorifexists", level: int = 15, frame_lines: int = 50_000) -> None:
     """Write rows of (shard, name, content), ``form`` files, or of (line), ``form`` lines, below ``path``.
 
     ``mode``: ``errorifexists`` refuses a folder that holds anything, ``overwrite`` replaces it, ``append`` adds to it.
@@ -153,7 +156,7 @@ def put(rows: DataFrame, path: str, form: str, mode: str = "errorifexists", leve
     ship(spark)
     spark.dataSource.register(FilesSink)
     columns = ("line",) if form == "lines" else ("shard", "name", "content")
-    rows.select(*columns).write.format("corpusloom_files").mode("append").options(target=target, staging=staging, mode=mode, form=form, level=str(level)).save()
+    rows.select(*columns).write.format("corpusloom_files").mode("append").options(target=target, staging=staging, mode=mode, form=form, level=str(level), frame_lines=str(frame_lines)).save()
 
 
 def last_place(path: str) -> tuple[int, int]:

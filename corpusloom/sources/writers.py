@@ -35,9 +35,9 @@ def write_files(docs: DataFrame, path: str, content_col: str, name_col: str = "f
     return rows.select("shard", "name", F.concat(F.lit(local(path) + "/"), "shard", F.lit("/"), "name").alias("path"))
 
 
-def write_archive(df: DataFrame, path: str, fields: list[str], level: int = 15, mode: str = "errorifexists") -> None:
-    """NDJSON as one ``part-N.zst`` a partition in ``path``, a folder that all executors share: whole records where rows carry them, else ``fields``."""
-    put(df.select(record_json(df, tuple(fields)).alias("line")), path, "lines", mode, level)
+def write_archive(df: DataFrame, path: str, fields: list[str], level: int = 15, mode: str = "errorifexists", frame_lines: int = 50_000) -> None:
+    """NDJSON as one ``part-N.zst`` a partition in ``path``, a folder that all executors share: whole records where rows carry them, else ``fields``. A frame ends every ``frame_lines``, so :mod:`~corpusloom.sources.frames` can split a file."""
+    put(df.select(record_json(df, tuple(fields)).alias("line")), path, "lines", mode, level, frame_lines)
 
 
 def write_table(df: DataFrame, path: str, by: str | None = None, form: str = "parquet", mode: str = "errorifexists") -> None:
