@@ -44,7 +44,8 @@ EMITTED = """
 <!ELEMENT date (#PCDATA)> <!ATTLIST date type CDATA #IMPLIED>
 """
 TEXT = "#"
-REPEATS = {expat.model.XML_CQUANT_NONE: "", expat.model.XML_CQUANT_OPT: "?", expat.model.XML_CQUANT_REP: "*", expat.model.XML_CQUANT_PLUS: "+"}
+#: Possessive, as models are deterministic (XML asks for it): a child fits in one way only, so nothing has to be tried again.
+REPEATS = {expat.model.XML_CQUANT_NONE: "", expat.model.XML_CQUANT_OPT: "?+", expat.model.XML_CQUANT_REP: "*+", expat.model.XML_CQUANT_PLUS: "++"}
 
 
 def _pattern(part: tuple) -> str:

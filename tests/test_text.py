@@ -72,3 +72,16 @@ def test_long_quote_does_not_recurse(spark):
 def test_python_cleaning():
     assert clean("&amp;gt; &lt;b&gt; a​b­c\x0b &eacute; ") == "> <b> abc\x0b é "
     assert clean(None) is None
+
+
+def test_content_models_are_matched_in_linear_time():
+    import time
+
+    from corpusloom.operators import validate
+
+    dtd = validate.Dtd("<!ELEMENT r ((a|b)*, c?)*><!ELEMENT s ((a, b?)+, (c | (a, c))?)><!ELEMENT a EMPTY><!ELEMENT b EMPTY><!ELEMENT c EMPTY><!ELEMENT d EMPTY>")
+    began = time.time()
+    assert validate.problem("<r>" + "<a/>" * 5000 + "<d/></r>", dtd)
+    assert validate.problem("<r>" + "<a/><c/><b/>" * 2000 + "</r>", dtd) is None
+    assert time.time() - began < 5
+    assert validate.problem("<s><a/><b/><a/><c/></s>", dtd) is None and validate.problem("<s><b/></s>", dtd)
