@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusloom.functions.key_filter import narrowed, with_chance  # noqa: F401
-from corpusloom.functions.shared import discard, remove_at_exit, shared_dir, stored  # noqa: F401
+from corpusloom.functions.shared import discard, observed, remove_at_exit, shared_dir, stored  # noqa: F401
 from corpusloom.functions.shipping import ship  # noqa: F401
 
 #: The white space of every contract: space and the six ASCII controls 0x09-0x0D without 0x0E on.
@@ -36,13 +36,6 @@ def settings(spark: SparkSession, wanted: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def observed(df: DataFrame, what: str, **metrics: Column) -> tuple[DataFrame, dict]:
-    """:func:`stored`, and aggregates of the rows that were written, from the same pass."""
-    seen = Observation()
-    out = stored(df.observe(seen, *(c.alias(k) for k, c in metrics.items())), what)
-    return out, seen.get
-
-
 def source_key(col: Column) -> Column:
     """A never-null grouping key: '=' + the name, and '~' (sorts after) for null."""
     return F.when(col.isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), col))
