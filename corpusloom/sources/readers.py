@@ -13,14 +13,17 @@ from corpusloom.functions import records
 from corpusloom.functions import text as X
 from corpusloom.functions.shipping import ship
 from corpusloom.schema import COMMENT, COMMENT_FIELDS
+from corpusloom.sources.frames import frame_lines
 
 def archive_lines(spark: SparkSession, path: str, long_window: bool = False) -> DataFrame:
     """(source, ord, value): the lines of NDJSON archives (.zst, .gz or plain), in file order within a source.
 
-    A .zst file is one task's to read. ``long_window`` reads frames beyond the JVM reader's window, a stream at a time.
+    A .zst file is one task's to read here. ``long_window`` reads frames beyond the JVM reader's window: in a shared folder
+    by ranges of frames, each a task's (:func:`~corpusloom.sources.frames.frame_lines`); elsewhere file by file, of 2 GB at most.
     """
     if long_window:
-        return _long_window(spark, path)
+        one = spark.read.format("binaryFile").load(path).select("path").first()
+        return frame_lines(spark, path) if one is not None and one["path"].startswith("file:") else _long_window(spark, path)
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("ord"), "value")
 
 
