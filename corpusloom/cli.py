@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--no-group", action="store_true", help="one document per comment")
     parser.add_argument("--dtd", help="a DTD to hold the documents against")
     parser.add_argument("--long-window", action="store_true", help="archives compressed with a long window")
+    parser.add_argument("--threads", help="list of threads to take, one a line; all if not given")
     parser.add_argument("--keep", action="store_true", help="refuse folders that hold an earlier run instead of replacing it")
     args = parser.parse_args(argv)
     mode = "errorifexists" if args.keep else "overwrite"
@@ -26,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
         name = given.rstrip("/").rsplit("/", 1)[-1]
         if given.endswith((".zst", ".gz", ".ndjson")):
             out = f"{args.out}/{name.split('.')[0].removesuffix('_comments')}_{'nogroup' if args.no_group else 'grouped'}"
-            result = pipeline.run_archive(spark, given, out, args.bots, not args.no_group, long_window=args.long_window, dtd=args.dtd, mode=mode)
+            result = pipeline.run_archive(spark, given, out, args.bots, not args.no_group, long_window=args.long_window, dtd=args.dtd, mode=mode, only=args.threads)
             result.counters.show(truncate=False)
             result.reconciled.show(truncate=False)
             result.validation.groupBy("valid").count().show()

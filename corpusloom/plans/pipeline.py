@@ -80,15 +80,16 @@ def lost_records(spark: SparkSession, folder: str, grouped: bool = True) -> Data
     return met.select("id", "link_id", F.explode(F.array_compact(F.array(first, rest))).alias("x")).where("x.reason is not null and x.n > 0").select("id", "link_id", "x.*")
 
 
-def run_archive(spark: SparkSession, path: str, out: str, bots: str | None = None, grouped: bool = True, raw_inline: bool = True, long_window: bool = False, dtd: str | None = None, mode: str = "overwrite") -> Run:
+def run_archive(spark: SparkSession, path: str, out: str, bots: str | None = None, grouped: bool = True, raw_inline: bool = True, long_window: bool = False, dtd: str | None = None, mode: str = "overwrite", only: str | None = None) -> Run:
     """Archive files to ``out``/filtered (the cleaned archive), ``out``/json, ``out``/xml and the tables ``audit``, ``counters``, ``reconciled`` and ``validation`` beside them.
 
     ``reconciled`` counts what was written; ``dtd`` is the file of a DTD to hold the documents against. A second run into one
-    folder replaces what the first wrote (``mode`` ``overwrite``) or is refused (``errorifexists``).
+    folder replaces what the first wrote (``mode`` ``overwrite``) or is refused (``errorifexists``). ``only`` is the file of a
+    list of threads: comments of others are left out before they are parsed.
     """
     if mode not in ("overwrite", "errorifexists"):
         raise ValueError("mode is overwrite or errorifexists")
-    rows = readers.read_archive(spark, path, raw_inline, long_window)
+    rows = readers.read_archive(spark, path, raw_inline, long_window, readers.read_threads(spark, only) if only else None)
     result = run(rows, readers.read_names(spark, bots) if bots else None, grouped)
     writers.write_archive(result.clean, f"{out}/filtered", list(COMMENT_FIELDS), mode=mode)
     writers.write_files(result.json, f"{out}/json", "json", mode=mode)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import records
 from corpusloom.functions import text as X
 from corpusloom.functions.shipping import ship
+from corpusloom.operators.threads import of_threads
 from corpusloom.schema import COMMENT, COMMENT_FIELDS
 from corpusloom.sources.frames import frame_lines
 
@@ -60,9 +61,10 @@ def parsed(lines: DataFrame, raw_inline: bool = False) -> DataFrame:
     return rows.select("source", "ord", *(records.text(F.col("fields"), n).alias(n) for n in COMMENT_FIELDS), F.col("fields").isNull().alias("corrupt"), "value", "fields")
 
 
-def read_archive(spark: SparkSession, path: str, raw_inline: bool = False, long_window: bool = False) -> DataFrame:
-    """Well-formed comments of archives: source, ord, the comment fields, and ``fields``, the whole record."""
-    return parsed(archive_lines(spark, path, long_window), raw_inline).where("not corrupt").drop("corrupt", "value")
+def read_archive(spark: SparkSession, path: str, raw_inline: bool = False, long_window: bool = False, wanted: DataFrame | None = None) -> DataFrame:
+    """Well-formed comments of archives: source, ord, the comment fields, and ``fields``, the whole record. ``wanted`` (``link_id``) leaves out other threads before parsing."""
+    lines = archive_lines(spark, path, long_window)
+    return parsed(lines if wanted is None else of_threads(lines, wanted), raw_inline).where("not corrupt").drop("corrupt", "value")
 
 
 def quarantine(spark: SparkSession, path: str, raw_inline: bool = False) -> DataFrame:
@@ -112,5 +114,11 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(name.alias("name")).where("name != ''").distinct()
 
 
+def read_threads(spark: SparkSession, path: str) -> DataFrame:
+    """A list of threads, one a line, with or without the prefix of submissions: ``link_id``, without blanks and repeats."""
+    name = X.py_strip(F.col("value"))
+    return spark.read.text(path).select(F.when(name.startswith("t3_"), name).otherwise(F.concat(F.lit("t3_"), name)).alias("link_id")).where("link_id != 't3_'").distinct()
+
+
 def names(spark: SparkSession, listed: list[str]) -> DataFrame:
     return spark.createDataFrame([(n.strip().lower(),) for n in listed if n.strip()], "name string").distinct()

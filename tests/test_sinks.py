@@ -107,3 +107,24 @@ def test_nothing_to_write(spark, tmp_path):
     writers.write_files(docs(spark, []), str(tmp_path / "x"), "tei")
     writers.write_archive(spark.createDataFrame([], "id string"), str(tmp_path / "y"), ["id"])
     assert held(tmp_path / "x") == {} and lines_of(tmp_path / "y") == []
+
+
+def test_a_list_of_threads(spark, tmp_path):
+    lines = [json.dumps({"id": f"c{i}", "link_id": f"t3_p{i % 7}", "author": "x", "body": f"text {i}", "created_utc": i}) for i in range(70)] + ['{"id":"x","link_id":null,"body":"y"}', "{broken"]
+    (tmp_path / "A_comments.ndjson").write_text("\n".join(lines))
+    (tmp_path / "list.txt").write_text("t3_p3\n p5 \n\nt3_p3\nnone\n")
+    result = pipeline.run_archive(spark, str(tmp_path / "A_comments.ndjson"), str(tmp_path / "out"), only=str(tmp_path / "list.txt"))
+    assert sorted(json.loads(x)["id"] for x in lines_of(tmp_path / "out/filtered")) == sorted(f"c{i}" for i in range(70) if i % 7 in (3, 5))
+    assert result.documents.count() == 2
+    lost = pipeline.lost_records(spark, str(tmp_path / "out"))
+    assert lost.count() == 0
+
+
+def test_lost_records_have_their_reasons(spark, tmp_path):
+    body = lambda i, link, text: json.dumps({"id": i, "link_id": link, "author": "x", "body": text, "created_utc": 1, "permalink": None})
+    lines = [body("a", "t3_p", "one"), body("a", "t3_p", "again"), body("a", "t3_q", "elsewhere"), body("b", "t1_a", "an answer"), body("c", "t3_q", "two"), body("d", "t3_r", "three")]
+    (tmp_path / "A_comments.ndjson").write_text("\n".join(lines))
+    pipeline.run_archive(spark, str(tmp_path / "A_comments.ndjson"), str(tmp_path / "out"))
+    os.remove(next(f for f in glob.glob(f"{tmp_path}/out/json/*/*.json") if f.endswith("r_flat.json")))
+    got = {(r["id"], r["link_id"], r["reason"], r["n"]) for r in pipeline.lost_records(spark, str(tmp_path / "out")).collect()}
+    assert got == {("a", "t3_p", "repeat", 1), ("a", "t3_q", "repeat", 1), ("b", "t1_a", "no_submission", 1), ("d", "t3_r", "missing", 1)}
