@@ -38,8 +38,8 @@ from .workers import tidied
 ORDER = 4
 #: Bound of the training sample: documents of a language, and bytes of a language (whole documents, passing over those that do not fit; if none fits, the head of the shortest).
 SAMPLE_DOCS, SAMPLE_BYTES = 256, 400_000
-#: Bound of the languages that are learned: those with the most labelled documents.
-SAMPLE_LANGUAGES = 256
+#: All languages are learned. Of more than this many each has less of the sample, so that the whole keeps its bound, but LEAST_DOCS at least.
+SAMPLE_LANGUAGES, LEAST_DOCS = 256, 8
 EVIDENCE = 64
 #: Bytes that are coded at once.
 STRETCH = 1 << 18
@@ -200,21 +200,26 @@ class Model:
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int | None = 2, folds: int = 4, per_language: int = SAMPLE_DOCS, max_bytes: int = SAMPLE_BYTES, languages: int = SAMPLE_LANGUAGES) -> dict[str, list[bytes]]:
     """The training texts: of each language the first documents in a hashed order of ids and texts, whole, up to the two bounds.
 
+    Of more languages than ``languages`` each has its share of the bounds, so what is collected is a number of documents that
+    the parameters fix, and a row for each language.
+
     A hash threshold that counts have fixed leaves a few times ``per_language`` rows of each language, and a rank that Spark
     limits in every task before it shuffles holds that bound where rows tie, as those without id do.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if held_out is not None:
         rows = rows.where(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds != held_out)
-    candidates = 2 * per_language + 64
     share = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("train")), 2)
-    counts = rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("__n"), F.min(share).alias("__least")).orderBy(F.desc("__n"), lang_col).limit(languages).collect()
+    counts = rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("__n"), F.min(share).alias("__least")).collect()
     if not counts:
         return {}
-    limit = F.lit(-1).cast("long")
-    for lang, n, least in counts:  # the least, as few different rows may all lie above the threshold
-        limit = F.when(F.col(lang_col) == lang, F.lit(max(least, min((1 << 62) - 1, (candidates << 62) // n))).cast("long")).otherwise(limit)
-    picked = rows.where(share <= limit).select(F.col(lang_col).alias("lang"), share.alias("h"), F.xxhash64(F.col(text_col)).alias("x"), F.octet_length(text_col).alias("n"), F.col(text_col).alias("text"))
+    if len(counts) > languages:
+        per_language, max_bytes = max(LEAST_DOCS, per_language * languages // len(counts)), max_bytes * languages // len(counts)
+    candidates = 2 * per_language + 64
+    # the least, as few different rows may all lie above the threshold
+    limits = docs.sparkSession.createDataFrame([(lang, max(least, min((1 << 62) - 1, (candidates << 62) // n))) for lang, n, least in counts], "lang string, most long")
+    picked = rows.select(F.col(lang_col).alias("lang"), share.alias("h"), F.xxhash64(F.col(text_col)).alias("x"), F.octet_length(text_col).alias("n"), F.col(text_col).alias("text"))
+    picked = picked.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most")).drop("most")
     place = F.row_number().over(W.partitionBy("lang").orderBy("h", "x", "n"))
     order: dict[str, list] = {}
     for r in picked.select("lang", "h", "x", "n", place.alias("place")).where(F.col("place") <= candidates).collect():

@@ -192,7 +192,13 @@ def test_rows_without_ids_and_repeats_do_not_break_the_bound(make):
     rows = [(None, f"words number {i} of a text", "en") for i in range(900)] + [(7, "the same text", "en")] * 900 + [(None, "eins zwei", "de")] * 700
     got = language.sample(make(rows), held_out=None, per_language=20)
     assert len(got["en"]) == 20 == len(got["de"]) and got == language.sample(make(rows).repartition(7), held_out=None, per_language=20)
-    assert set(language.sample(make(rows), held_out=None, languages=1)) == {"en"}
+    shared = language.sample(make(rows), held_out=None, per_language=20, languages=1)
+    assert {k: len(v) for k, v in shared.items()} == {"en": 10, "de": 10} and shared["en"] == got["en"][:10]
+
+
+def test_no_language_is_left_out(make):
+    rows = [(i, f"text {i % 300} of its own", f"l{i % 300}") for i in range(900)]
+    assert {k: len(v) for k, v in language.sample(make(rows), held_out=None).items()} == {f"l{i}": 3 for i in range(300)}
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
