@@ -28,7 +28,7 @@ LINES = 2048
 
 
 def frames(f, size: int) -> list[tuple[int, int]]:
-    """(start, end) of each frame, from the start of a file up to ``size``; one that is broken or cut is an error."""
+    """(start, end) of each frame with content, from the start of a file up to ``size``; one that is broken or cut is an error."""
     out, at = [], 0
 
     def number(place: int, n: int) -> int:
@@ -43,16 +43,16 @@ def frames(f, size: int) -> list[tuple[int, int]]:
             raise ValueError(f"no frame begins at byte {at}")
         else:
             flags = number(at + 4, 1)
-            single, end, last = flags >> 5 & 1, 0, 0
+            single, last, held = flags >> 5 & 1, 0, 0
             end = at + 5 + (not single) + DICTIONARY[flags & 3] + (CONTENT[flags >> 6] or single)
             while not last and end < size:
                 block = number(end, 3)
-                last, kind = block & 1, block >> 1 & 3
+                last, kind, held = block & 1, block >> 1 & 3, held | block >> 3
                 end += 3 + (1 if kind == 1 else block >> 3)
             end += 4 * (flags >> 2 & 1)
         if end > size:
             raise ValueError(f"the frame at byte {at} is cut")
-        if magic >> 4 != SKIPPABLE:
+        if magic >> 4 != SKIPPABLE and held:
             out.append((at, end))
         at = end
     return out
@@ -75,21 +75,20 @@ class Section(io.RawIOBase):
         return len(got)
 
 
-def lines_of(path: str, start: int, end: int) -> Iterator[str]:
-    """The lines that begin in the frames from ``start`` up to ``end``, and in full."""
+def lines_of(path: str, start: int, end: int, before: int) -> Iterator[str]:
+    """The lines that begin in the frames from ``start`` up to ``end``, and in full; ``before`` is where the frame in front begins."""
     import zstandard
 
     size = os.path.getsize(path)
     with open(path, "rb") as f:
         opened = lambda a, b: io.BufferedReader(zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(Section(f, a, b), read_across_frames=True, closefd=False), 1 << 20)
-        before = b"\n"
-        if start:  # does the frame before this range end a line? only then does one begin here
-            listed = frames(f, start)
-            with opened(*listed[-1]) as last:
+        ending = b"\n"
+        if before < start:  # does the frame in front end a line? only then does one begin here
+            with opened(before, start) as last:
                 while got := last.read(1 << 20):
-                    before = got[-1:]
+                    ending = got[-1:]
         part = opened(start, end)
-        if before != b"\n":
+        if ending != b"\n":
             part.readline()
         line = b""
         for line in part:
@@ -105,7 +104,7 @@ def _table(columns: dict[str, pa.Array]) -> pa.RecordBatch:
 
 
 def ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(source, place, start, end): ranges of whole frames of each file, about ``range_bytes`` or one frame long."""
+    """(source, place, start, end, before): ranges of whole frames of each file, about ``range_bytes`` or one frame long, and where the last frame in front of each begins."""
     ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,14 +113,17 @@ def ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> Da
                 made: list[list[int]] = []
                 file = local(name)
                 with open(file, "rb") as f:
+                    last = 0
                     for start, end in frames(f, os.path.getsize(file)):
                         if made and made[-1][1] - made[-1][0] < range_bytes:
                             made[-1][1] = end
                         else:
-                            made.append([start, end])
-                yield _table({"source": pa.array([name] * len(made), pa.string()), "place": pa.array(range(len(made)), pa.int64()), "start": pa.array([m[0] for m in made], pa.int64()), "end": pa.array([m[1] for m in made], pa.int64())})
+                            made.append([start, end, last if made else start])
+                        last = start
+                numbers = {n: pa.array([m[i] for m in made], pa.int64()) for i, n in enumerate(("start", "end", "before"))}
+                yield _table({"source": pa.array([name] * len(made), pa.string()), "place": pa.array(range(len(made)), pa.int64()), **numbers})
 
-    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(run, "source string, place long, start long, end long")
+    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(run, "source string, place long, start long, end long, before long")
 
 
 def frame_lines(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -132,7 +134,7 @@ def frame_lines(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES)
         for batch in batches:
             for r in batch.to_pylist():
                 first, held = r["place"] << 36, []
-                for line in lines_of(local(r["source"]), r["start"], r["end"]):
+                for line in lines_of(local(r["source"]), r["start"], r["end"], r["before"]):
                     held.append(line)
                     if len(held) == LINES:
                         yield _lines(r["source"], first, held)
