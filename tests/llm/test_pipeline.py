@@ -43,7 +43,7 @@ def test_oracles(spark):
 
     for name, sql in ORACLES.items():
         with duckdb.connect() as c:
-            for t in ("documents", "pages"):
+            for t in ("documents", "pages", "stamps", "embeddings"):
                 c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
             wanted = c.sql(sql)
             names = sorted(wanted.columns)
