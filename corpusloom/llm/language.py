@@ -249,15 +249,17 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["doc_id", *keep]
+    sent = text_col if text_col in keep else "__text"  # a text that is kept is sent once
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                langs, scores = shared.value.predict(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
+                langs, scores = shared.value.predict(part.column(place).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("__text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, *([F.col(text_col).alias("__text")] if sent == "__text" else []))
+    place = rows.columns.index(sent)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
     return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
