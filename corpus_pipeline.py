@@ -24,6 +24,15 @@ from corpusloom.llm.queries import tokenizer
 LEAST_SCORE = 0.5
 
 
+#: Rows that go to Python at once in the stages that send whole texts: with the session's usual 10,000 an executor's memory has no room to spare.
+BATCH_ROWS = 1024
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """For the session, as a stage's result is made after the stage returns."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
     """``docs`` under column names that clash with no other, the new name of each, and what gives the old names back."""
     names = docs.columns
@@ -49,6 +58,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows without id or language are judged like any other; repeated rows get one judgement.
     """
+    _small_batches(spark)
     model = language.Model(language.sample(docs))
     plain, at, back = _plain(docs)
     found = language.identify(plain, model, at["doc_id"], at["text"], keep=tuple(plain.columns))
@@ -111,6 +121,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and the ids of every row; null and empty texts have the end id only."""
+    _small_batches(spark)
     out = pieces.encode(docs.select("doc_id", "source", "text"), tokenizer("piece_bpe_32k.model"), keep=("source",))
     return out.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
