@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions.python_text import unescaped
-from corpusloom.functions.shipping import ship
+from corpusloom.functions.shipping import ship_for_texts
 
 #: XML 1.0 has no place for these; cleaning keeps them as white space.
 ILLEGAL = "\x0b\x0c\x1d\x1f"
@@ -60,7 +60,7 @@ def _checked(docs: DataFrame, strict: bool) -> DataFrame:
 
 def prepared(comments: DataFrame, python: bool = True, strict: bool = False) -> DataFrame:
     """Comments with ``text``, the body as XML content: to be made before comments are grouped, as the Python function takes columns, not arrays."""
-    ship(comments.sparkSession)
+    ship_for_texts(comments.sparkSession)
     return comments.withColumn("text", rendered(F.col("body"), python, strict))
 
 
@@ -79,7 +79,7 @@ def grouped(threads: DataFrame, filtered: bool = True, strict: bool = False, kee
 
 def single(comments: DataFrame, filtered: bool = True, python: bool = True, strict: bool = False) -> DataFrame:
     """One document per comment: file_name, tei, n_items, xml_ok, xml_error."""
-    ship(comments.sparkSession)
+    ship_for_texts(comments.sparkSession)
     rows = comments.where(F.col("body") != "[deleted]") if filtered else comments
     body = lines("  <text>\n    <body>\n      <p>", rendered(F.col("body"), python, strict), "</p>\n    </body>\n  </text>\n")
     name = F.concat("thread_id", F.lit("_"), "comment_id", F.lit(".xml"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions.python_text import unescaped
 from corpusloom.functions.shared import remove_at_exit, shared_dir, stored
-from corpusloom.functions.shipping import ship
+from corpusloom.functions.shipping import ship_for_texts
 from corpusloom.operators import comments, tei, threads, validate
 from corpusloom.plans import pipeline
 from corpusloom.schema import COMMENT_FIELDS, DROPPED_FIELDS
@@ -488,7 +488,7 @@ def malformed_tolerance(spark, sf_dir):
 @query()
 def unescape_control(spark, sf_dir):
     """Character references and unprintable characters over the pages' html; SQL has no such function."""
-    ship(spark)
+    ship_for_texts(spark)
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", unescaped(F.col("html")).alias("text"))
 
 
@@ -645,7 +645,7 @@ def _chars(text: str) -> str:
 
 @query("SELECT doc_id, CASE doc_id % 10 " + " ".join(f"WHEN {i} THEN {_chars(out)}" for i, (_, out) in enumerate(GOLDEN)) + " END || ' ' || doc_id AS text FROM documents")
 def unescape_golden(spark, sf_dir):
-    ship(spark)
+    ship_for_texts(spark)
     body = F.element_at(F.array(*(F.lit(given) for given, _ in GOLDEN)), (F.col("doc_id") % 10 + 1).cast("int"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return docs.select("doc_id", unescaped(F.concat(body, F.lit(" "), F.col("doc_id").cast("string"))).alias("text"))

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-from corpusloom.functions.shipping import ship
+from corpusloom.functions.shipping import ship_for_texts
 
 MODES = ("errorifexists", "overwrite", "append")
 
@@ -153,7 +153,7 @@ def put(rows: DataFrame, path: str, form: str, mode: str = "errorifexists", leve
     for part in ("tmp", "files"):
         os.makedirs(os.path.join(staging, part))
     spark = rows.sparkSession
-    ship(spark)
+    ship_for_texts(spark)
     spark.dataSource.register(FilesSink)
     columns = ("line",) if form == "lines" else ("shard", "name", "content")
     rows.select(*columns).write.format("corpusloom_files").mode("append").options(target=target, staging=staging, mode=mode, form=form, level=str(level), frame_lines=str(frame_lines)).save()

@@ -4,12 +4,15 @@ import glob
 import json
 import os
 
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpusloom.functions import records
+from corpusloom.functions.shipping import BATCH_BYTES
+from corpusloom.operators import tei
 from corpusloom.plans import pipeline
 from corpusloom.schema import DROPPED_FIELDS
 from corpusloom.sources import readers, sink, writers
@@ -128,3 +131,16 @@ def test_lost_records_have_their_reasons(spark, tmp_path):
     os.remove(next(f for f in glob.glob(f"{tmp_path}/out/json/*/*.json") if f.endswith("r_flat.json")))
     got = {(r["id"], r["link_id"], r["reason"], r["n"]) for r in pipeline.lost_records(spark, str(tmp_path / "out")).collect()}
     assert got == {("a", "t3_p", "repeat", 1), ("a", "t3_q", "repeat", 1), ("b", "t1_a", "no_submission", 1), ("d", "t3_r", "missing", 1)}
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark):
+    """Long texts are split into batches by their bytes, not by 10,000 rows."""
+    rows = spark.range(0, 400, numPartitions=1).select(F.expr("repeat('x', 50000)").alias("body"))
+    tei.prepared(rows)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    held = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert len(held) > 5 and max(held) < 2 * BATCH_BYTES
