@@ -7,6 +7,8 @@ as the JVM would recurse on them otherwise.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,9 +24,19 @@ URL_MARK = "[URL]"
 DELETED = ("[removed]", "[deleted]", "[removed by reddit]")
 
 
+def _where(found: Column, changed: Column, c: Column) -> Column:
+    """The changed text where a cheap look finds what the change is about, else the text as it is: most texts have none of it, and patterns and translations cost many times the look."""
+    return F.when(found, changed).otherwise(c)
+
+
+def _holds(c: Column, *parts: str) -> Column:
+    return reduce(Column.__or__, (F.contains(c, F.lit(p)) for p in parts))
+
+
 def py_strip(c: Column) -> Column:
     """White space off both ends, by the Unicode definition."""
-    return F.regexp_replace(c, rf"(?U)^{SPACE}++|{SPACE}++\z", "")
+    ends = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    return _where(ends.rlike(rf"(?U){SPACE}"), F.regexp_replace(c, rf"(?U)^{SPACE}++|{SPACE}++\z", ""), c)
 
 
 def is_blank(c: Column) -> Column:
@@ -33,7 +45,7 @@ def is_blank(c: Column) -> Column:
 
 def plain_urls(c: Column) -> Column:
     """Bare URLs to ``[URL]``, unless a ``]`` comes right before."""
-    return F.regexp_replace(c, rf"(?iUd)(^|[^\]\w]){PLAIN_URL}", "$1[URL]")
+    return _where(c.rlike(r"://|[wW]{3}\."), F.regexp_replace(c, rf"(?iUd)(^|[^\]\w]){PLAIN_URL}", "$1[URL]"), c)
 
 
 def count_plain_urls(c: Column) -> Column:
@@ -45,10 +57,10 @@ def markdown_urls(c: Column) -> Column:
 
     One pass finds the links and puts marks around their texts, so links that a greedy target swallows stay swallowed.
     """
-    c = F.translate(c, OPEN + CLOSE, "")
-    c = F.regexp_replace(c, rf"(?Ud){MARKDOWN_URL}", f"{OPEN}$1{CLOSE}")
-    c = F.regexp_replace(c, rf"(?iUd){OPEN}(?:https?://|www\.)[^\s{CLOSE}]*\w[^{CLOSE}]*{CLOSE}", URL_MARK)
-    return F.translate(c, OPEN + CLOSE, "")
+    bare = F.translate(c, OPEN + CLOSE, "")
+    marked = F.regexp_replace(bare, rf"(?Ud){MARKDOWN_URL}", f"{OPEN}$1{CLOSE}")
+    named = F.regexp_replace(marked, rf"(?iUd){OPEN}(?:https?://|www\.)[^\s{CLOSE}]*\w[^{CLOSE}]*{CLOSE}", URL_MARK)
+    return _where(_holds(c, "](", OPEN, CLOSE), F.translate(named, OPEN + CLOSE, ""), c)
 
 
 def count_markdown_urls(c: Column) -> Column:
@@ -66,17 +78,17 @@ def is_only_marks(c: Column) -> Column:
 
 def inline_formatting(c: Column) -> Column:
     """Struck text goes; bold and italic marks go, their text stays."""
-    c = F.regexp_replace(c, r"(?Ud)~~.*?~~", "")
-    c = F.regexp_replace(c, r"(?Ud)\*\*((?:\S(?:.*?\S)??)??)\*\*", "$1")
-    return F.regexp_replace(c, r"(?Ud)\*((?:\S(?:.*?\S)??)??)\*", "$1")
+    struck = F.regexp_replace(c, r"(?Ud)~~.*?~~", "")
+    bold = F.regexp_replace(struck, r"(?Ud)\*\*((?:\S(?:.*?\S)??)??)\*\*", "$1")
+    return _where(_holds(c, "~~", "*"), F.regexp_replace(bold, r"(?Ud)\*((?:\S(?:.*?\S)??)??)\*", "$1"), c)
 
 
 def escaped_quotes(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?:\n|\A)&gt;[^\n]*+", "")
+    return _where(_holds(c, "&gt;"), F.regexp_replace(c, r"(?:\n|\A)&gt;[^\n]*+", ""), c)
 
 
 def modern_quotes(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?:\n|\A)>[^\n]++(?:\n>[^\n]*+)*+", "")
+    return _where(_holds(c, ">"), F.regexp_replace(c, r"(?:\n|\A)>[^\n]++(?:\n>[^\n]*+)*+", ""), c)
 
 
 def is_reminder(c: Column) -> Column:
@@ -85,19 +97,24 @@ def is_reminder(c: Column) -> Column:
 
 
 def zero_width_marks(c: Column) -> Column:
-    return F.regexp_replace(c, ZERO_WIDTH, "")
+    return _where(_holds(c, "200B"), F.regexp_replace(c, ZERO_WIDTH, ""), c)
 
 
 def newlines(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)\n{SPACE}*\n+", "\n")
+    return _where(_holds(c, "\n"), F.regexp_replace(c, rf"(?U)\n{SPACE}*\n+", "\n"), c)
 
 
 def mentions(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)/u/(\w+)", "$1")
+    return _where(_holds(c, "/u/"), F.regexp_replace(c, r"(?U)/u/(\w+)", "$1"), c)
+
+
+def translated(c: Column, chars: str) -> Column:
+    """Each of some characters to a space."""
+    return _where(_holds(c, *chars), F.translate(c, chars, " " * len(chars)), c)
 
 
 def separators(c: Column) -> Column:
-    return F.translate(c, "\x1c\x1e\x00", "   ")
+    return translated(c, "\x1c\x1e\x00")
 
 
 def xml_text(c: Column) -> Column:

@@ -23,7 +23,7 @@ def rendered(body: Column, python: bool = True, strict: bool = False) -> Column:
     text = unescaped(body) if python else body
     text = X.separators(X.mentions(text))
     if not strict:
-        text = F.translate(text, ILLEGAL, " " * len(ILLEGAL))
+        text = X.translated(text, ILLEGAL)
     return X.line_breaks(X.xml_text(text))
 
 

@@ -121,4 +121,6 @@ def read_threads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def names(spark: SparkSession, listed: list[str]) -> DataFrame:
-    return spark.createDataFrame([(n.strip().lower(),) for n in listed if n.strip()], "name string").distinct()
+    """A list that the program holds. As one literal its size is known, so a join broadcasts it; of rows that come from Python Spark knows none, and shuffles the other side."""
+    held = sorted({n.strip().lower() for n in listed if n.strip()})
+    return spark.range(1).select(F.explode(F.split(F.lit("\n".join(held)), "\n")).alias("name")).where("name != ''")

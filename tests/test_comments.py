@@ -2,10 +2,12 @@
 
 import os
 import json
+import random
 
 import pytest
 import zstandard
 
+from corpusloom.functions import text as X
 from corpusloom.operators import comments, tei, threads, validate
 from corpusloom.plans import pipeline
 from corpusloom.schema import COMMENT, COMMENT_FIELDS
@@ -207,3 +209,27 @@ def test_stream_takes_up_where_it_stopped(spark, tmp_path):
         stream = streaming.read_stream(spark, str(tmp_path / "in"), df.schema, files_per_batch=1)
         streaming.run_available(streaming.clean(stream), str(tmp_path / "out"), str(tmp_path / "log"))
         assert spark.read.parquet(str(tmp_path / "out")).count() == turn
+
+
+def test_a_list_of_names_does_not_shuffle_the_comments(spark):
+    """The list's size is known before anything runs, so it is broadcast; texts were shuffled by author, of whom there are few."""
+    given = rows(spark, {"id": "a", "author": "Bot", "body": "x"}, {"id": "b", "author": "ann", "body": "y"})
+    tagged = comments.tag(given, readers.names(spark, [" BOT ", "bot", "", "other"]))
+    plan = tagged._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [r["id"] for r in comments.kept(tagged).collect()] == ["b"]
+    assert readers.names(spark, []).count() == 0
+
+
+@pytest.mark.parametrize("name", ["py_strip", "plain_urls", "markdown_urls", "inline_formatting", "escaped_quotes", "modern_quotes", "zero_width_marks", "newlines", "mentions", "separators"])
+def test_a_look_before_a_change_misses_nothing(spark, name):
+    """Texts glued together of what the patterns are about: the same with the look and without it."""
+    random.seed(name)
+    parts = ["a", "é", " ", "\u2003", "\n", "\n\n", "\x1c", "\x1e", "\x00", "&gt;", ">", "*", "**", "~~", "/u/", "www.a.b", "WwW.x.y", "HTTPS://a.b/c", "http\u017f://a", "[", "](", ")", "]", "\ue000", "\ue001", "&amp;#x200B;", "&#x200B;", "\\u200B"]
+    texts = ["".join(random.choices(parts, k=random.randrange(9))) for _ in range(3000)] + [*parts, "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    made = getattr(X, name)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(X, "_where", lambda found, changed, c: changed)
+        always = made(F.col("c"))
+    assert df.where(~made(F.col("c")).eqNullSafe(always)).collect() == []
