@@ -61,7 +61,8 @@ def lost_records(spark: SparkSession, folder: str, grouped: bool = True) -> Data
     written) and ``missing`` (none of these: something went wrong between the archive and the JSON files).
     """
     archive = readers.read_archive(spark, f"{folder}/filtered").groupBy("id", "link_id").agg(F.count(F.lit(1)).alias("n"))
-    written = readers.read_json_documents(spark, f"{folder}/json")
+    # the small files are read once for three uses, and of the bodies only the mark of deleted ones counts
+    written = stored(readers.read_json_documents(spark, f"{folder}/json").withColumn("body", F.when(F.col("body") == "[deleted]", F.col("body"))), "written")
     names = spark.read.schema("name string").parquet(f"{folder}/xml/{writers.MANIFEST}").select(F.col("name").alias("__name"))
     if grouped:
         files = threads.threads(written).select("thread_id", F.concat("post_id", F.lit(".xml")).alias("file"))
