@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.shared import stored
 from corpusloom.operators.threads import record_json, with_shard
 from corpusloom.sources.sink import last_place, local, put
 
@@ -23,7 +22,8 @@ def write_files(docs: DataFrame, path: str, content_col: str, name_col: str = "f
     spark = docs.sparkSession
     number, held = last_place(path) if mode == "append" else (0, 0)
     named = docs.select(F.replace(F.col(name_col), F.lit("/"), F.lit("_")).alias("name"), F.col(content_col).alias("content"))
-    rows = stored(with_shard(named, "name", per_shard, first=max(0, number - 1) * per_shard + min(held, per_shard)), "files")
+    # numbers follow from the names, so the uses below agree; only the one that writes files reads the contents
+    rows = with_shard(named, "name", per_shard, first=max(0, number - 1) * per_shard + min(held, per_shard))
     names = rows.select("name")
     if number:
         names = names.unionByName(spark.read.schema("name string").parquet(f"file://{local(path)}/{MANIFEST}").join(names, "name", "left_semi"))
