@@ -455,7 +455,8 @@ def shard_assign(spark, sf_dir):
 
 @query(f"WITH {EXTRACTED_SQL} SELECT f.n AS filtered_n, e.n AS emitted_n, f.n = e.n AS matches FROM (SELECT count(*) AS n FROM tagged WHERE drop_reason IS NULL) f, (SELECT count(*) AS n FROM extracted) e")
 def count_reconcile(spark, sf_dir):
-    return threads.reconcile(comments.kept(tagged(spark, sf_dir)), extracted(spark, sf_dir))
+    kept = stored(comments.kept(tagged(spark, sf_dir)).select("source", "ord", "id", "link_id"), "kept")  # cleaned once, counted twice
+    return threads.reconcile(kept, threads.first_of_id(threads.extract(kept)))
 
 
 @query(f"WITH {TAGGED_SQL} SELECT ord, id, link_id, author, body, created_utc::BIGINT AS created, subreddit, permalink FROM tagged WHERE drop_reason IS NULL")
