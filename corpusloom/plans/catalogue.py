@@ -504,7 +504,9 @@ def stream_clean(spark, sf_dir):
     folder = work(spark, "stream")
     rows = comment_view(spark, sf_dir)
     rows.write.parquet(f"{folder}/in")
-    stream = streaming.read_stream(spark, f"{folder}/in", rows.schema, files_per_batch=4)
+    files = len(spark.read.schema(rows.schema).parquet(f"{folder}/in").inputFiles())
+    # three batches: of a fixed number of files, more cores would wait and more input make more batches
+    stream = streaming.read_stream(spark, f"{folder}/in", rows.schema, files_per_batch=max(1, -(-files // 3)))
     streaming.run_available(streaming.clean(stream, bots(spark)), f"{folder}/out", f"{folder}/log")
     return spark.read.parquet(f"{folder}/out").select("ord", "id", "body")
 
