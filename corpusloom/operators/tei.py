@@ -64,16 +64,17 @@ def prepared(comments: DataFrame, python: bool = True, strict: bool = False) ->
     return comments.withColumn("text", rendered(F.col("body"), python, strict))
 
 
-def grouped(threads: DataFrame, filtered: bool = True, strict: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One document per thread of :func:`prepared` comments: the columns of ``keep``, file_name, tei, n_items, xml_ok, xml_error. A thread of which nothing is left has none."""
+def grouped(threads: DataFrame, filtered: bool = True, strict: bool = False, keep: tuple[str, ...] = (), empty: bool = False) -> DataFrame:
+    """One document per thread of :func:`prepared` comments: the columns of ``keep``, file_name, tei, n_items, xml_ok, xml_error. A thread of which nothing is left has none; with ``empty`` it has a row of nulls beside ``keep``."""
     items = F.filter("comments", lambda c: c["body"] != "[deleted]") if filtered else F.col("comments")
-    rows = threads.withColumn("__items", items).where(F.size("__items") > 0)
+    rows, some = threads.withColumn("__items", items), F.size("__items") > 0
+    rows, made = (rows, lambda c: F.when(some, c)) if empty else (rows.where(some), lambda c: c)
     item = lambda c: lines(
         '          <item source="', X.xml_attribute(F.concat(F.col("thread_url"), F.lit("comment/"), c["id"], F.lit("/"))), '">', c["text"], "<date>", F.coalesce(X.utc_date(c["created_utc"]), F.lit("")), "</date> <name>",
         X.xml_text(F.coalesce(c["author"], F.lit(""))), "</name> </item>\n",
     )
     body = lines('  <text>\n    <body>\n      <div type="comments">\n        <list>\n', F.array_join(F.transform("__items", item), ""), "        </list>\n      </div>\n    </body>\n  </text>\n")
-    docs = rows.select(*keep, F.concat("post_id", F.lit(".xml")).alias("file_name"), F.concat(F.lit(START), header(True), body, F.lit(END)).alias("tei"), F.size("__items").cast("long").alias("n_items"))
+    docs = rows.select(*keep, made(F.concat("post_id", F.lit(".xml"))).alias("file_name"), made(F.concat(F.lit(START), header(True), body, F.lit(END))).alias("tei"), made(F.size("__items").cast("long")).alias("n_items"))
     return _checked(docs, strict)
 
 

@@ -1,5 +1,7 @@
 """Threads that grow from arrivals: corrections across threads, closing by timer, late comments, restarts."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from corpusloom.plans import catalogue_records
@@ -64,3 +66,25 @@ def test_a_turn_is_dealt_over_many_files(spark):
     assert [n for n, _ in seen] == [3, 2] and sum(n for _, n in seen) == 4000
     files = spark.read.parquet(f"{folder}/in").groupBy(F.input_file_name()).count()
     assert files.agg(F.max("count")).first()[0] < 4000 / 5 / 2  # a single task once wrote and read a whole turn
+
+
+def test_parts_of_state_grow_with_the_input(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(arrivals, "PART_BYTES", 100)
+    folder = f"file://{tmp_path}"
+    stream = arrive(spark, folder, [(1, "a", "p", "one"), (2, "b", "q", "two")])
+    size = sum(f.stat().st_size for f in (tmp_path / "in").glob("*.parquet"))
+    parts = arrivals.parts_for(spark, f"{folder}/in")
+    assert parts == -(-size // 100) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    arrivals.run(arrivals.first_rows(stream), f"{folder}/changes", f"{folder}/first", parts=parts)
+    assert len([n for n in os.listdir(tmp_path / "first/state/0") if n.isdigit()]) == parts
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    again = arrivals.latest(spark.read.parquet(f"{folder}/changes"), "source", "id", parts=parts)
+    assert again.rdd.getNumPartitions() == parts and again.count() == 2
+
+
+def test_a_batch_becomes_documents_without_reading_its_state_twice(spark):
+    schema = arrivals.THREAD
+    item = lambda n, b: (n, f"c{n}", "t3_p", "x", "1", None, None, None, None, b, b)
+    made = arrivals.documents(spark.createDataFrame([("s", "p", "open", [item(1, "one")]), ("s", "q", "open", []), ("s", "r", "closed", [item(2, "[deleted]")]), (None, "p", "open", [item(3, "x")])], schema))
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.source, r.thread_id): (r.n_items, r.tei is None, r.file_name, r.xml_ok) for r in made.collect()} == {("s", "p"): (1, False, "p.xml", True), ("s", "q"): (None, True, None, None), ("s", "r"): (None, True, None, None), (None, "p"): (1, False, "p.xml", True)}
