@@ -256,3 +256,17 @@ def test_the_mix_can_be_rebuilt_from_its_shards(make, odd, none, rows_per_bucket
     want = sorted(str((r.doc_id, r.size, r.source_key, r.source_size, r.target, taken[r.source_key, r.place])) for r in documents.collect())
     assert want == sorted(map(key, mixing.taken(make(rows), block_words=16, rows_per_bucket=rows_per_bucket).collect())) == sorted(map(key, mixing.counted(make(rows), block_words=16, rows_per_bucket=rows_per_bucket).collect()))
     assert mixing.packed(odd)[1].where("text = ''").count() == 0 and mixing.packed(none)[1].count() == 0
+
+
+def test_the_state_of_dedup_is_cut_by_its_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "shared_dir", lambda _, what: f"file://{tmp_path}/{what}")
+    docs = spark.createDataFrame([(i, f"text {i % 3}") for i in range(12)], "doc_id long, text string")
+    with exact_dedup.settings(spark, {"spark.sql.shuffle.partitions": "40"}):
+        got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.dedup(docs).collect()}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    assert got == {i: (i % 3, 4) for i in range(12)}
+    parts = [n for n in os.listdir(tmp_path / "dedup/state/state/0") if n.isdigit()]
+    assert len(parts) == 2 * spark.sparkContext.defaultParallelism  # once 40: a store for each of the session's partitions
+    monkeypatch.setattr(exact_dedup, "PART_BYTES", 16)
+    size = sum(f.stat().st_size for f in (tmp_path / "dedup/arrivals").glob("*.parquet"))
+    assert exact_dedup.parts_for(spark, f"file://{tmp_path}/dedup/arrivals") == -(-size // 16) > len(parts)
