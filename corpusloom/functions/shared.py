@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -30,6 +31,15 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def shared_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder of a path as the operating system has it; None where the path is another scheme's, a file's or a pattern."""
+    files, target = _file_system(spark, path)
+    if files.getUri().getScheme() != "file":
+        return None
+    plain = files.makeQualified(target).toUri().getPath()
+    return plain if os.path.isdir(plain) else None
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
     """Results read from ``path`` are lazy, so it goes with the application."""
     files, target = _file_system(spark, path)

@@ -8,12 +8,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import records
 from corpusloom.functions import text as X
+from corpusloom.functions.shared import shared_folder
 from corpusloom.functions.shipping import ship
 from corpusloom.operators.threads import of_threads
 from corpusloom.schema import COMMENT, COMMENT_FIELDS
+from corpusloom.sources.folders import read_json_texts
 from corpusloom.sources.frames import frame_lines
 
 def archive_lines(spark: SparkSession, path: str, long_window: bool = False) -> DataFrame:
@@ -83,18 +86,29 @@ def file_keys(name: Column) -> tuple[Column, Column]:
     return F.regexp_extract(name, pattern, 1), F.regexp_extract(name, pattern, 2)
 
 
+def json_rows(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """The comment fields, path, file_name, modified and n, the place: rows of JSON-array files. In a shared folder tasks list and read them (:mod:`~corpusloom.sources.folders`); elsewhere Spark's reader does."""
+    if shared_folder(spark, path) is None:
+        reader = spark.read.option("multiLine", "true").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.json").schema(COMMENT)
+        return reader.json(path).select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("modified"), F.monotonically_increasing_id().alias("n"))
+    files = read_json_texts(spark, path, "*.json", recursive)
+    # a file that is no JSON is one row of nulls, as Spark's reader has it
+    found = F.coalesce(F.from_json("text", T.ArrayType(COMMENT)), F.array(F.lit(None).cast(COMMENT)))
+    rows = files.select("path", F.col("name").alias("file_name"), "modified", F.posexplode(found).alias("n", "c"))
+    return rows.select("c.*", "path", "file_name", "modified", F.col("n").cast("long").alias("n"))
+
+
 def read_json_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """Comments of JSON-array files, with the thread and comment of the file's name, and its date as the last resort for downloads.
 
     All files below ``path`` are one source, so comments of one thread belong together whatever files they are in; their
     order is that of file names, then of places in a file. A comment without thread or id has those of its file's name.
     """
-    reader = spark.read.option("multiLine", "true").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.json").schema(COMMENT)
-    rows = reader.json(path).select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("modified"), F.monotonically_increasing_id().alias("n"))
+    rows = json_rows(spark, path, recursive)
     link, comment = file_keys(F.regexp_replace("file_name", r"_flat\.json$", "_.json"))
     rows = rows.withColumns({"file_link": F.nullif(F.coalesce(F.nullif(link, F.lit("")), F.regexp_extract("file_name", r"^([^_]+)_flat\.json$", 1)), F.lit("")), "file_comment": F.nullif(comment, F.lit(""))})
     rows = rows.withColumns({"link_id": F.coalesce("link_id", F.concat(F.lit("t3_"), "file_link")), "id": F.coalesce("id", "file_comment")})
-    return rows.select(F.lit(path).alias("source"), F.struct("file_name", "n").alias("ord"), *COMMENT_FIELDS, "file_name", "file_link", "file_comment", F.date_format("modified", "yyyy-MM-dd").alias("file_date"))
+    return rows.select(F.lit(path).alias("source"), F.struct("file_name", "path", "n").alias("ord"), *COMMENT_FIELDS, "file_name", "file_link", "file_comment", F.date_format("modified", "yyyy-MM-dd").alias("file_date"))
 
 
 def count_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -104,8 +118,7 @@ def count_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def count_objects(spark: SparkSession, path: str) -> DataFrame:
     """One row, ``n``: the comments in the JSON files below a folder."""
-    rows = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").schema(COMMENT).json(path)
-    return rows.agg(F.count(F.lit(1)).alias("n"))
+    return json_rows(spark, path).agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:
