@@ -55,6 +55,17 @@ def test_files_in_utf_16_are_read_whole(spark, tmp_path):
     assert [(r["id"], r["created_utc"], r["body"]) for r in readers.read_json_documents(spark, str(tmp_path)).collect()] == [("a", "1.0", "5")]
 
 
+def test_files_of_one_folder_are_many_tasks_to_read_and_few_where_there_are_many(spark, tmp_path, monkeypatch):
+    for i in range(200):
+        put(tmp_path, f"flat/p_{i}.json", json.dumps([{"id": f"c{i}"}]).encode())
+    rows = readers.read_json_documents(spark, f"{tmp_path}/flat")
+    assert rows.rdd.getNumPartitions() == 4 and len({r["id"] for r in rows.select("id").collect()}) == 200  # 32 files a task once, whatever their size
+    monkeypatch.setattr(folders, "READ_FILES", 20)
+    assert readers.read_json_documents(spark, f"{tmp_path}/flat").rdd.getNumPartitions() == 10
+    monkeypatch.setattr(folders, "READ_BYTES", 100)
+    assert readers.read_json_documents(spark, f"{tmp_path}/flat").rdd.getNumPartitions() > 20
+
+
 def test_the_driver_goes_down_to_where_folders_are_many(tmp_path):
     for i in range(9):
         put(tmp_path, f"a/b/{i}/c/x.json", b"[]")
