@@ -21,6 +21,7 @@ from corpusloom.operators import comments, tei, threads, validate
 from corpusloom.plans import pipeline
 from corpusloom.schema import COMMENT_FIELDS, DROPPED_FIELDS
 from corpusloom.sources import readers, writers
+from corpusloom.sources.folders import listed
 from corpusloom.streaming import clean as streaming
 
 BOTS = ["SRC1", "src7 ", "AutoHelper"]
@@ -673,5 +674,4 @@ def written_files(spark, sf_dir):
     """Documents of single comments as files in numbered folders, listed from the folder."""
     folder = work(spark, "files")
     writers.write_files(tei_nogroup(spark, sf_dir), folder, "tei", per_shard=50)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where("length > 0").select(F.split("path", "/").alias("p"))
-    return files.select(F.element_at("p", -1).alias("name"), F.element_at("p", -2).alias("shard"))
+    return listed(spark, folder).where("length > 0").select("name", F.element_at(F.split("path", "/"), -2).alias("shard"))

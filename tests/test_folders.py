@@ -80,3 +80,10 @@ def test_the_driver_goes_down_to_where_folders_are_many(tmp_path):
 
 def test_an_empty_folder_has_no_files(spark, tmp_path):
     assert folders.listed(spark, str(tmp_path)).count() == 0 and readers.read_json_documents(spark, str(tmp_path)).count() == 0
+
+
+def test_written_files_are_listed_by_tasks(spark, table):
+    files = catalogue.written_files(spark, table)
+    assert "binaryFile" not in plan(files) and "MapInArrow" in plan(files)
+    assert files.count() == catalogue.tei_nogroup(spark, table).count() > 200
+    assert files.groupBy("shard").count().agg(F.max("count")).first()[0] == 50
